@@ -13,7 +13,6 @@ AFTER_FIRST_COMMA = r",\s*(.+)$"
 KEY_SEPARATOR = "_"
 PERCENT_DECIMAL = "decimal(18,6)"
 SCORE_SEPARATOR = " - "
-SCORE_FORMAT_1DP = "%.1f-%.1f"
 
 
 def first_part(c: ColumnOrName, sep: str = ",") -> Column:
@@ -42,6 +41,13 @@ def score_text(a: ColumnOrName, b: ColumnOrName) -> Column:
     return F.concat(_col(a).cast("string"), F.lit(SCORE_SEPARATOR), _col(b).cast("string"))
 
 
+def one_decimal(c: ColumnOrName) -> Column:
+    """Number → text with one decimal, rounded half-even on the exact binary value (as C's
+    and Python's ``%.1f`` do; Java's ``%.1f`` rounds 2.25 up instead).  ``format_number``
+    rounds that way; its thousands separators are removed."""
+    return F.regexp_replace(F.format_number(_col(c), 1), ",", "")
+
+
 def score_text_1dp(a: ColumnOrName, b: ColumnOrName) -> Column:
     """``'1.4-0.7'`` from unrounded expected scores, one decimal each."""
-    return F.format_string(SCORE_FORMAT_1DP, _col(a), _col(b))
+    return F.concat(one_decimal(a), F.lit("-"), one_decimal(b))

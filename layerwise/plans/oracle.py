@@ -16,6 +16,17 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _r(expr: str, digits: int = 0) -> str:
+    """Round a double as Spark does: HALF_UP on its shortest decimal text (DuckDB's own
+    ``round`` scales in binary first, which can flip a last digit)."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
+
+
+def _dec(expr: str, scale: int = 6, precision: int = 18) -> str:
+    """Double → DECIMAL as Spark casts it: from the shortest decimal text, HALF_UP."""
+    return f"CAST(CAST({expr} AS VARCHAR) AS DECIMAL({precision},{scale}))"
+
+
 def _exact_case(col: str, aliases: dict[str, str]) -> str:
     arms = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in aliases.items())
     return f"coalesce(CASE {col} {arms} END, {col})"
@@ -100,9 +111,9 @@ ra AS (SELECT team, year, avg(rank) AS avg_rank FROM season_ranks GROUP BY team,
 standings AS (
   SELECT tp.team, tp.season, wins, losses, draws, matches_played, goals_scored, goals_conceded,
          goals_scored - goals_conceded AS goal_difference, wins * 3 + draws AS points,
-         round(avg_goals_scored, 6) AS avg_goals_scored,
-         round(avg_goals_conceded, 6) AS avg_goals_conceded,
-         round(ra.avg_rank, 6) AS avg_rank
+         {_r('avg_goals_scored', 6)} AS avg_goals_scored,
+         {_r('avg_goals_conceded', 6)} AS avg_goals_conceded,
+         {_r('ra.avg_rank', 6)} AS avg_rank
   FROM tp LEFT JOIN ra ON tp.team = ra.team AND tp.season = ra.year)"""
 
 SEASON_STATS = """season_stats AS (
@@ -182,8 +193,8 @@ pd3 AS (
 predictions AS (
   SELECT match_id, home_team, away_team, match_date, home_rank, away_rank,
          rating_home, rating_away,
-         round(ph, 4) AS prob_home_win, round(pa, 4) AS prob_away_win, round(pdraw, 4) AS prob_draw,
-         round(xh, 2) AS expected_goals_home, round(xa, 2) AS expected_goals_away,
+         {_r('ph', 4)} AS prob_home_win, {_r('pa', 4)} AS prob_away_win, {_r('pdraw', 4)} AS prob_draw,
+         {_r('xh', 2)} AS expected_goals_home, {_r('xa', 2)} AS expected_goals_away,
          CASE WHEN ph > pa AND ph > pdraw THEN CAST(home_team AS VARCHAR)
               WHEN pa > ph AND pa > pdraw THEN CAST(away_team AS VARCHAR)
               ELSE 'Draw' END AS predicted_winner
@@ -191,7 +202,7 @@ predictions AS (
 
 
 def _pct(col: str) -> str:
-    return f"CAST(round(CAST({col} AS DECIMAL(18,6)) * 100, 1) AS VARCHAR) || '%'"
+    return f"CAST(round({_dec(col)} * 100, 1) AS VARCHAR) || '%'"
 
 
 ORACLE: dict[str, str] = {}
@@ -200,12 +211,12 @@ ORACLE["team_performance"] = f"WITH {STANDINGS}\nSELECT * FROM standings"
 
 ORACLE["season_stats"] = f"""WITH {CONTESTS},
 {SEASON_STATS}
-SELECT season, total_matches, total_goals, round(avg_goals_per_match, 6) AS avg_goals_per_match,
+SELECT season, total_matches, total_goals, {_r('avg_goals_per_match', 6)} AS avg_goals_per_match,
        max_goals_in_match, home_wins, away_wins, draws
 FROM season_stats ORDER BY season DESC NULLS FIRST"""
 
 ORACLE["rank_average"] = f"""WITH {SEASON_RANKS}
-SELECT team, year, round(avg(rank), 6) AS avg_rank FROM season_ranks GROUP BY team, year"""
+SELECT team, year, {_r('avg(rank)', 6)} AS avg_rank FROM season_ranks GROUP BY team, year"""
 
 ORACLE["top_teams"] = f"""WITH {CONTESTS},
 {SIDES}
@@ -463,7 +474,7 @@ SELECT entity, rating FROM ratings WHERE snapshot_date = (SELECT max(snapshot_da
 ORDER BY rating DESC NULLS FIRST, entity ASC NULLS LAST LIMIT 15"""
 
 ORACLE["rating_by_group"] = f"""WITH {RATINGS}
-SELECT grp, round(avg(rating)) AS avg_rating FROM ratings
+SELECT grp, {_r('avg(rating)', 0)} AS avg_rating FROM ratings
 WHERE snapshot_date = (SELECT max(snapshot_date) FROM ratings)
 GROUP BY grp ORDER BY avg_rating DESC NULLS FIRST, grp"""
 
@@ -505,12 +516,12 @@ m AS (
          (ga / ma) * (rating_away / rating_home) AS xa
   FROM k),
 n AS (
-  SELECT *, round(base * (1 - pdraw), 4) AS prob_home_win, round((1 - base) * (1 - pdraw), 4) AS prob_away_win,
-         round(pdraw, 4) AS prob_draw
+  SELECT *, {_r('base * (1 - pdraw)', 4)} AS prob_home_win, {_r('(1 - base) * (1 - pdraw)', 4)} AS prob_away_win,
+         {_r('pdraw', 4)} AS prob_draw
   FROM m)
 SELECT match_id, home_team, away_team, match_date, home_rank, away_rank, rating_home, rating_away,
        prob_home_win, prob_away_win, prob_draw,
-       round(xh, 2) AS expected_goals_home, round(xa, 2) AS expected_goals_away,
+       {_r('xh', 2)} AS expected_goals_home, {_r('xa', 2)} AS expected_goals_away,
        printf('%.1f-%.1f', xh, xa) AS expected_score,
        CASE WHEN prob_home_win > prob_away_win AND prob_home_win > prob_draw THEN CAST(home_team AS VARCHAR)
             WHEN prob_away_win > prob_home_win AND prob_away_win > prob_draw THEN CAST(away_team AS VARCHAR)
@@ -522,15 +533,19 @@ ORACLE["pairwise_predictions"] = f"""WITH {SCHEDULE},
 latest AS (
   SELECT entity, rating, goals_for, matches_total FROM ratings
   WHERE snapshot_date = (SELECT max(snapshot_date) FROM ratings)),
-pairs AS (SELECT DISTINCT home_team AS team_a, away_team AS team_b FROM schedule WHERE home_team <> away_team)
-SELECT p.team_a, p.team_b, a.rating AS rating_a, b.rating AS rating_b,
-       round(CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + pow(CAST(10.0 AS DOUBLE),
-             (b.rating - a.rating) / CAST(400.0 AS DOUBLE))), 6) AS prob_a_win,
-       round(CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + pow(CAST(10.0 AS DOUBLE),
-             (a.rating - b.rating) / CAST(400.0 AS DOUBLE))), 6) AS prob_b_win,
-       round((a.goals_for / NULLIF(a.matches_total, 0)) * (a.rating / b.rating), 6) AS expected_goals_a,
-       round((b.goals_for / NULLIF(b.matches_total, 0)) * (b.rating / a.rating), 6) AS expected_goals_b
-FROM pairs p JOIN latest a ON p.team_a = a.entity JOIN latest b ON p.team_b = b.entity"""
+pairs AS (SELECT DISTINCT home_team AS team_a, away_team AS team_b FROM schedule WHERE home_team <> away_team),
+scored AS (
+  SELECT p.team_a, p.team_b, a.rating AS rating_a, b.rating AS rating_b,
+         CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + pow(CAST(10.0 AS DOUBLE),
+             (b.rating - a.rating) / CAST(400.0 AS DOUBLE))) AS pa,
+         CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + pow(CAST(10.0 AS DOUBLE),
+             (a.rating - b.rating) / CAST(400.0 AS DOUBLE))) AS pb,
+         (a.goals_for / NULLIF(a.matches_total, 0)) * (a.rating / b.rating) AS xa,
+         (b.goals_for / NULLIF(b.matches_total, 0)) * (b.rating / a.rating) AS xb
+  FROM pairs p JOIN latest a ON p.team_a = a.entity JOIN latest b ON p.team_b = b.entity)
+SELECT team_a, team_b, rating_a, rating_b, {_r('pa', 6)} AS prob_a_win, {_r('pb', 6)} AS prob_b_win,
+       {_r('xa', 6)} AS expected_goals_a, {_r('xb', 6)} AS expected_goals_b
+FROM scored"""
 
 ORACLE["prediction_report"] = f"""WITH {PREDICTIONS}
 SELECT home_team, rating_home, away_team, rating_away,
@@ -544,6 +559,6 @@ FROM predictions ORDER BY match_date ASC NULLS LAST, match_id ASC NULLS LAST"""
 ORACLE["prediction_summary"] = f"""WITH {PREDICTIONS}
 SELECT count(*) AS matches_simulated,
        {_pct('avg(prob_draw)')} AS avg_draw_probability,
-       CAST(round(CAST(avg(expected_goals_home + expected_goals_away) AS DECIMAL(18,6)), 2)
+       CAST(round({_dec('avg(expected_goals_home + expected_goals_away)')}, 2)
             AS DECIMAL(18,2)) AS avg_expected_goals
 FROM predictions"""
