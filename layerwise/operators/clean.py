@@ -9,8 +9,9 @@ choice of row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerwise.functions.casts import parse_date, safe_cast, truncating_int
@@ -35,6 +36,10 @@ CONTEST_VENUE_COLUMNS = ("Venue", "stadium")
 DATE_FORMAT = "yyyy-MM-dd"
 
 RANKING_COLUMNS = ["rank", "country", "points", "year"]
+RANKING_KEY = ["country", "year"]
+HISTORY_KEY = "year"
+SCHEDULE_KEY = "match_id"
+CONTEST_KEY = "match_id"
 HISTORY_COLUMNS = [
     "year", "host_country", "winner", "runner_up", "third_place", "fourth_place",
     "goals_scored", "matches_played",
@@ -48,27 +53,51 @@ CONTEST_COLUMNS = [
 ]
 
 
+INVALID = "__invalid"
+
+
+def _invalid(*checks: tuple[Column, Column]) -> Column:
+    """Flag: some raw value is present but its parsed value is NULL."""
+    flags = [raw.isNotNull() & parsed.isNull() for raw, parsed in checks]
+    return reduce(lambda a, b: a | b, flags, F.lit(False)).alias(INVALID)
+
+
+def keep_one(rows: DataFrame, key: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """De-duplicate typed rows on ``key``; the kept row is the first by the remaining output
+    columns (ascending, NULLs first).  The invalid flag rides along but does not order."""
+    keys = [key] if isinstance(key, str) else list(key)
+    order = [F.col(c).asc_nulls_first() for c in columns if c not in keys]
+    return dedup(rows, keys, order=order)
+
+
 def standardise_rankings(vintage: DataFrame, year: int) -> DataFrame:
     """One ranking vintage: integer rank, points truncated to int, trimmed name, year tag."""
     name = first_existing(vintage, NAME_COLUMNS)
+    rank = safe_cast("rank", "int")
+    points = truncating_int("points")
     return vintage.select(
-        safe_cast("rank", "int").alias("rank"),
+        rank.alias("rank"),
         F.trim(F.col(name)).alias("country"),
-        truncating_int("points").alias("points"),
+        points.alias("points"),
         F.lit(year).cast("int").alias("year"),
+        _invalid((F.col("rank"), rank), (F.col("points"), points)),
     )
 
 
-def clean_rankings(vintages: Sequence[tuple[DataFrame, int]]) -> DataFrame:
-    """Union of standardised vintages (by column name), one row per (country, year)."""
+def ranking_rows(vintages: Sequence[tuple[DataFrame, int]]) -> DataFrame:
     frames = [standardise_rankings(df, year) for df, year in vintages]
     union = frames[0]
     for frame in frames[1:]:
         union = union.unionByName(frame)
-    return dedup(union, ["country", "year"]).select(*RANKING_COLUMNS)
+    return union
 
 
-def clean_history(
+def clean_rankings(vintages: Sequence[tuple[DataFrame, int]]) -> DataFrame:
+    """Union of standardised vintages (by column name), one row per (country, year)."""
+    return keep_one(ranking_rows(vintages), RANKING_KEY, RANKING_COLUMNS).select(*RANKING_COLUMNS)
+
+
+def history_rows(
     history: DataFrame,
     *,
     year: str = "Year",
@@ -77,10 +106,10 @@ def clean_history(
     runner_up: str = "Runner-Up",
     matches: str = "Matches",
 ) -> DataFrame:
-    """Season history: unknown labels become ``'Unknown'``, columns the source lacks are
-    typed NULLs, matches default to 0 (malformed included), one row per year."""
-    clean = history.select(
-        safe_cast(year, "int").alias("year"),
+    year_int = safe_cast(year, "int")
+    matches_int = safe_cast(matches, "int")
+    return history.select(
+        year_int.alias("year"),
         unknown_if_null(host).alias("host_country"),
         unknown_if_null(winner).alias("winner"),
         unknown_if_null(runner_up).alias("runner_up"),
@@ -88,11 +117,17 @@ def clean_history(
         F.lit(None).cast("string").alias("fourth_place"),
         F.lit(None).cast("int").alias("goals_scored"),
         default_cast_first(matches, "int", 0).alias("matches_played"),
+        _invalid((F.col(year), year_int), (F.col(matches), matches_int)),
     )
-    return dedup(clean, "year").select(*HISTORY_COLUMNS)
 
 
-def clean_schedule(
+def clean_history(history: DataFrame, **names: str) -> DataFrame:
+    """Season history: unknown labels become ``'Unknown'``, columns the source lacks are
+    typed NULLs, matches default to 0 (malformed included), one row per year."""
+    return keep_one(history_rows(history, **names), HISTORY_KEY, HISTORY_COLUMNS).select(*HISTORY_COLUMNS)
+
+
+def schedule_rows(
     schedule: DataFrame,
     *,
     date: str = "Date",
@@ -100,25 +135,27 @@ def clean_schedule(
     home: str = "home_team",
     away: str = "away_team",
 ) -> DataFrame:
-    """Fixture list: parsed date, stage default, placeholders for unknown venue and group,
-    key ``date_home_away`` built from the raw text, one row per key."""
-    clean = schedule.select(
+    match_date = parse_date(date, DATE_FORMAT)
+    return schedule.select(
         natural_key(date, home, away).alias("match_id"),
-        parse_date(date, DATE_FORMAT).alias("match_date"),
+        match_date.alias("match_date"),
         unknown_if_null(stage).alias("stage"),
         F.lit(TO_BE_DECIDED).alias("group_name"),
         F.col(home).alias("home_team"),
         F.col(away).alias("away_team"),
         F.lit(TO_BE_DECIDED).alias("stadium"),
         F.lit(TO_BE_DECIDED).alias("city"),
+        _invalid((F.col(date), match_date)),
     )
-    return dedup(clean, "match_id").select(*SCHEDULE_COLUMNS)
 
 
-def clean_contests(contests: DataFrame) -> DataFrame:
-    """Played contests: alternative raw column names, tolerant casts, defaults, venue split
-    into stadium and city (both read from the original venue text), key
-    ``date_home_away`` with defaulted team names, one row per key."""
+def clean_schedule(schedule: DataFrame, **names: str) -> DataFrame:
+    """Fixture list: parsed date, stage default, placeholders for unknown venue and group,
+    key ``date_home_away`` built from the raw text, one row per key."""
+    return keep_one(schedule_rows(schedule, **names), SCHEDULE_KEY, SCHEDULE_COLUMNS).select(*SCHEDULE_COLUMNS)
+
+
+def contest_rows(contests: DataFrame) -> DataFrame:
     date = first_existing(contests, CONTEST_DATE_COLUMNS)
     year = first_existing(contests, CONTEST_YEAR_COLUMNS)
     stage = first_existing(contests, CONTEST_STAGE_COLUMNS)
@@ -126,10 +163,12 @@ def clean_contests(contests: DataFrame) -> DataFrame:
     venue = first_existing(contests, CONTEST_VENUE_COLUMNS)
     home = unknown_if_null("home_team")
     away = unknown_if_null("away_team")
-    clean = contests.select(
+    year_int = safe_cast(year, "int")
+    match_date = parse_date(date, DATE_FORMAT)
+    return contests.select(
         natural_key(F.col(date), home, away).alias("match_id"),
-        safe_cast(year, "int").alias("year"),
-        parse_date(date, DATE_FORMAT).alias("match_date"),
+        year_int.alias("year"),
+        match_date.alias("match_date"),
         unknown_if_null(stage).alias("stage"),
         F.lit(None).cast("string").alias("group_name"),
         home.alias("home_team"),
@@ -139,5 +178,12 @@ def clean_contests(contests: DataFrame) -> DataFrame:
         F.coalesce(first_part(venue), F.lit(UNKNOWN)).alias("stadium"),
         F.coalesce(after_first_comma(venue), F.lit(UNKNOWN)).alias("city"),
         default_coalesce_first(attendance, "int", 0).alias("attendance"),
+        _invalid((F.col(date), match_date), (F.col(year), year_int)),
     )
-    return dedup(clean, "match_id").select(*CONTEST_COLUMNS)
+
+
+def clean_contests(contests: DataFrame) -> DataFrame:
+    """Played contests: alternative raw column names, tolerant casts, defaults, venue split
+    into stadium and city (both read from the original venue text), key
+    ``date_home_away`` with defaulted team names, one row per key."""
+    return keep_one(contest_rows(contests), CONTEST_KEY, CONTEST_COLUMNS).select(*CONTEST_COLUMNS)

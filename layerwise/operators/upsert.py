@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwise.operators.dedup import _keys
+from layerwise.sources.fs import delete, hadoop_path
 
 _OLD, _NEW = "__upsert_old", "__upsert_new"
 
@@ -57,9 +58,7 @@ _VERSION_PREFIX = "version="
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+    return hadoop_path(spark, path)
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
@@ -105,8 +104,6 @@ def upsert_table(
     merged = incoming if current is None else upsert(current, incoming, key, update)
     path = write_next_version(merged, root)
     versions = committed_versions(spark, root)
-    fs, _ = _fs(spark, root)
     for old in versions[:-retain] if retain > 0 else []:
-        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-            f"{root}/{_VERSION_PREFIX}{old:08d}"), True)
+        delete(spark, f"{root}/{_VERSION_PREFIX}{old:08d}")
     return path
