@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def partition_bounds(
-    spark: SparkSession, url: str, table: str, column: str, properties: dict | None = None
+    spark: SparkSession, url: str, table: str, column: str, properties: dict | None = None,
+    quote: str = '"',
 ) -> tuple[int | None, int | None]:
+    """MIN and MAX of ``column``, computed by the database.  The column is quoted with
+    ``quote`` (standard SQL double quotes; pass ``""`` for a raw expression)."""
+    ref = f"{quote}{column}{quote}"
     bounds = spark.read.jdbc(
-        url, f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) b",
+        url, f"(SELECT MIN({ref}) AS lo, MAX({ref}) AS hi FROM {table}) b",
         properties=properties or {},
     ).first()
     return (bounds[0], bounds[1]) if bounds else (None, None)
