@@ -1,0 +1,9 @@
+"""Streaming.
+
+The system this library re-expresses is batch only: it has no stream sources,
+watermarks, windows over event time or stateful operators, and nothing here adds
+them.  Every operator in ``layerwise`` is a plain DataFrame transformation, so
+one can be applied unchanged inside ``foreachBatch`` of a Structured Streaming
+query (for example the keyed upsert on each micro-batch) when a caller lands
+files incrementally.
+"""
