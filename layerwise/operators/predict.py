@@ -217,11 +217,15 @@ def predict_clamped(
         stats("away"), on="__away_clean", how="left"
     )
     if ranks is not None:
-        for tag, raw in (("home", "home_team"), ("away", "away_team")):
-            joined = rank_lookup_fallback(
-                joined, ranks, raw=raw, clean=f"__{tag}_clean", key=rank_entity,
-                value=rank, out=f"{tag}_rank",
-            )
+        for tag, raw, source in (("home", "home_team", home), ("away", "away_team", away)):
+            if aliases and _is_text(schedule, source):
+                joined = rank_lookup_fallback(
+                    joined, ranks, raw=raw, clean=f"__{tag}_clean", key=rank_entity,
+                    value=rank, out=f"{tag}_rank",
+                )
+            else:  # names are not normalised: the raw key is the only key, one join
+                dim = ranks.select(F.col(rank_entity).alias(f"__{tag}_rk"), F.col(rank).alias(f"{tag}_rank"))
+                joined = joined.join(dim, F.col(raw) == F.col(f"__{tag}_rk"), "left").drop(f"__{tag}_rk")
     else:
         joined = joined.withColumn("home_rank", F.lit(None).cast("int")).withColumn(
             "away_rank", F.lit(None).cast("int"))

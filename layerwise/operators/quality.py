@@ -9,7 +9,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerwise.operators.dedup import _keys, dedup
+from layerwise.operators.dedup import _keys
 
 
 def null_count(columns: Sequence[str]) -> Column:
@@ -46,27 +46,38 @@ def profile(
     rows), duplicate_count (rows removed), invalid_records (kept rows with a raw value that
     did not parse).  ``columns`` limits the NULL count (default: all but the raw columns
     of ``invalid``).
+
+    One pass: per key, ``count(*)`` and ``min(struct(other columns))`` — the same row that
+    ``dedup`` keeps (first by the other columns, ascending, NULLs first) — are aggregated
+    with map-side combining, so a hot key adds one row per map task to the shuffle.
     """
     raw_cols = {raw for raw, _ in invalid}
     columns = list(columns) if columns is not None else [
         c for c in df.columns if c not in raw_cols
     ]
-    kept = dedup(df, key) if key else df
+    if key:
+        keys = _keys(key)
+        rest = [c for c in df.columns if c not in keys]
+        per_key = df.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("__rows"),
+            *([F.min(F.struct(*rest)).alias("__kept")] if rest else []),
+        )
+        kept = per_key.select(*keys, "__rows", *[F.col("__kept")[c].alias(c) for c in rest])
+        rows_in = F.sum("__rows")
+    else:
+        kept, rows_in = df, F.count(F.lit(1))
     record = kept.agg(
         F.count(F.lit(1)).alias("total_records"),
+        rows_in.alias("__rows_in"),
         null_count(columns).alias("null_count"),
         invalid_count(invalid).alias("invalid_records"),
     )
-    if key:
-        rows_in = df.select(F.count(F.lit(1))).scalar()
-        duplicates = rows_in - F.col("total_records")
-    else:
-        duplicates = F.lit(0).cast("long")
     return record.select(
         F.lit(table_name).alias("table_name"),
         "total_records",
         "null_count",
-        duplicates.alias("duplicate_count"),
+        F.coalesce(F.col("__rows_in") - F.col("total_records"), F.lit(0)).cast("long")
+        .alias("duplicate_count"),
         "invalid_records",
     )
 
