@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 
 from layerwise.sources import fs
 from layerwise.sources.files import read_csv
+from layerwise.sources.jdbc import read_jdbc
 
 log = logging.getLogger(__name__)
 
@@ -34,22 +35,44 @@ MANIFEST_SCHEMA = (
 
 @dataclass(frozen=True)
 class Source:
+    """A raw input.  ``path`` is a file or folder for file formats; for ``fmt="jdbc"`` it is
+    the JDBC URL and ``options`` carries ``table``, connection ``properties`` and optional
+    ``partition_column`` / ``num_partitions`` for a split read."""
+
     name: str
     path: str
     schema: StructType | str | None = None
     required: bool = True
     fmt: str = "csv"
+    options: dict = field(default_factory=dict)
 
 
 def read_source(spark: SparkSession, source: Source) -> DataFrame:
     if source.fmt == "csv":
         return read_csv(spark, source.path, source.schema)
-    reader = spark.read.format(source.fmt)
+    if source.fmt == "jdbc":
+        opts = dict(source.options)
+        return read_jdbc(
+            spark, source.path, opts.pop("table"), opts.pop("properties", None),
+            partition_column=opts.pop("partition_column", None),
+            num_partitions=opts.pop("num_partitions", None),
+        )
+    reader = spark.read.format(source.fmt).options(**source.options)
     if source.schema is not None:
         reader = reader.schema(source.schema)
     return reader.load(source.path)
 
 
+def _available(spark: SparkSession, source: Source) -> bool:
+    if source.fmt == "jdbc":
+        return True  # a missing table fails the read itself
+    return fs.exists(spark, source.path)
+
+
+def _source_bytes(spark: SparkSession, source: Source) -> int | None:
+    return None if source.fmt == "jdbc" else fs.size_bytes(spark, source.path)
+
+
 def land(
     spark: SparkSession,
     sources: list[Source],
@@ -61,7 +84,7 @@ def land(
     stamp = ingestion_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = []
     for source in sources:
-        if not fs.exists(spark, source.path):
+        if not _available(spark, source):
             if source.required:
                 raise FileNotFoundError(f"required source {source.name!r} missing: {source.path}")
             log.warning("optional source %s missing at %s; skipped", source.name, source.path)
@@ -73,7 +96,7 @@ def land(
         seconds = time.perf_counter() - started
         count = int(observation.get["rows"])
         rows.append((
-            source.name, source.path.rsplit("/", 1)[-1], stamp, count, DEFAULT_SCHEMA_VERSION,
-            fs.size_bytes(spark, source.path), seconds, count / seconds if seconds > 0 else float(count),
+            source.name, source.options.get("table") or source.path.rsplit("/", 1)[-1], stamp, count, DEFAULT_SCHEMA_VERSION,
+            _source_bytes(spark, source), seconds, count / seconds if seconds > 0 else float(count),
         ))
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)

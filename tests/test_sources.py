@@ -58,3 +58,23 @@ def test_jdbc_roundtrip_partitioned_read_and_truncate(spark):
     assert back.agg(F.sum("id")).collect()[0][0] == sum(range(1000))
     write_jdbc(df.limit(10), DERBY, "NUMBERS", DERBY_PROPS, truncate=True)
     assert read_jdbc(spark, DERBY, "NUMBERS", DERBY_PROPS).count() == 10
+
+
+def test_land_from_jdbc_source(spark, tmp_root):
+    df = spark.range(0, 50).select(F.col("id"), (F.col("id") * 2).alias("twice"))
+    write_jdbc(df, DERBY, "LANDME", DERBY_PROPS, truncate=False)
+    source = Source("landme", DERBY, fmt="jdbc",
+                    options={"table": "LANDME", "properties": DERBY_PROPS, "partition_column": "id",
+                             "num_partitions": 3})
+    manifest = land(spark, [source], f"{tmp_root}/raw").collect()[0]
+    assert (manifest.table_name, manifest.source_file, manifest.row_count) == ("landme", "LANDME", 50)
+    assert spark.read.parquet(f"{tmp_root}/raw/landme").count() == 50
+
+
+def test_count_tables_excludes_registry(spark):
+    from layerwise.operators.serving import count_tables
+
+    spark.range(1).createOrReplaceTempView("metadata")
+    spark.range(1).createOrReplaceTempView("some_raw_table")
+    names = {t.name for t in spark.catalog.listTables("default")}
+    assert count_tables(spark, "default") == len(names) - 1
