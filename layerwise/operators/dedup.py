@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import MapType
 
 _RN = "__dedup_rn"
 
@@ -24,8 +24,8 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 
 
 def _orderable(df: DataFrame, names: Sequence[str]) -> list[str]:
-    bad = (MapType,)
-    return [n for n in names if not isinstance(df.schema[n].dataType, bad)]
+    """Columns usable as sort keys (maps have no ordering)."""
+    return [n for n in names if not isinstance(df.schema[n].dataType, MapType)]
 
 
 def tie_break_order(df: DataFrame, key: str | Sequence[str]) -> list[Column]:

@@ -100,11 +100,6 @@ def season_series(stats: DataFrame, season_col: str = "season") -> DataFrame:
 
 # --- registries ---------------------------------------------------------------
 
-_REGISTRY_ORDER = {
-    "table_name": lambda c: F.col(c).asc_nulls_last(),
-}
-
-
 def manifest(registry: DataFrame, by: str = "table_name") -> DataFrame:
     """Landing registry, ordered by name (ascending) or by a measure (descending)."""
     order = F.col(by).asc_nulls_last() if by == "table_name" else F.col(by).desc_nulls_first()

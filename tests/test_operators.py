@@ -258,3 +258,23 @@ def test_empty_inputs_keep_schema(spark):
     out = standings.standings(empty)
     assert out.count() == 0 and "points" in out.columns
     assert dd.dedup(empty, "contest_id").count() == 0
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        (n - F.col("id")).alias("v"),
+    ).repartition(8)
+    kept = dd.dedup(df, "k")
+    assert kept.count() == n - n // 3 + 1
+    assert kept.filter("k = 0").collect()[0].v == n - (n - 3)  # smallest v among the hot key's rows
+    report = dd.dedup_report(df, "k").collect()[0]
+    assert report.duplicate_count == n // 3 - 1
+    hot = quality.key_violations(df, "k").collect()
+    assert [(r.k, r.occurrences) for r in hot] == [(0, n // 3)]
+    contests = df.select(F.when(F.col("k") == 0, F.lit("HOT")).otherwise(F.col("k").cast("string")).alias("home_team"),
+                         F.lit("AWAY").alias("away_team"), F.lit(2000).alias("season"),
+                         (F.col("v") % 3).cast("int").alias("home_score"), F.lit(1).alias("away_score"))
+    table = {r.team: r for r in standings.standings(contests).collect()}
+    assert table["HOT"].matches_played == n // 3 and table["AWAY"].matches_played == n
