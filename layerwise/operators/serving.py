@@ -139,21 +139,15 @@ def count_tables(spark: SparkSession, database: str, exclude: Sequence[str] = ("
 
 
 def table_bytes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Bytes on storage per table, from file metadata (distinct files, summed)."""
-    frames = [
-        spark.read.parquet(path)
-        .select(F.col("_metadata.file_path").alias("file_path"),
-                F.col("_metadata.file_size").alias("file_size"))
-        .distinct()
-        .groupBy()
-        .agg(F.sum("file_size").alias("bytes"))
-        .select(F.lit(name).alias("table_name"), "bytes")
-        for name, path in paths.items()
-    ]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out.orderBy(F.col("bytes").desc_nulls_first(), "table_name")
+    """Bytes on storage per table, largest first.
+
+    Sizes come from a file-system listing (O(files), no Spark job) rather than from the
+    ``_metadata`` columns, which would iterate every row of the table.  One row per table."""
+    from layerwise.sources.fs import size_bytes
+
+    sizes = [(name, size_bytes(spark, path)) for name, path in paths.items()]
+    return spark.createDataFrame(sizes, "table_name string, bytes long").orderBy(
+        F.col("bytes").desc_nulls_first(), "table_name")
 
 
 # --- ratings ------------------------------------------------------------------
