@@ -59,3 +59,15 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(expected_cols)
     assert len(got) == len(expected)
     assert _canonical(df.columns, got) == _canonical(expected_cols, expected)
+
+
+@pytest.mark.parametrize("name", ["team_performance", "clean_contests", "clean_history", "quality_profile",
+                                  "predict_contests", "predict_pair_clamped", "standardise_rankings"])
+def test_result_independent_of_partitioning(spark, name):
+    results = []
+    for n in (1, 4, 50):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        df = queries()[name](spark, SF_SMALL)
+        results.append(_canonical(df.columns, [tuple(r) for r in df.collect()]))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert results[0] == results[1] == results[2]
