@@ -146,3 +146,44 @@ def manifest_report(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 __all__ = ["LayeredConfig", "run_layered", "quality_report", "manifest_report", "WIDE_COLUMNS"]
+
+
+def config_from_json(spec: dict) -> tuple[list[Source], str, LayeredConfig]:
+    """``{"root": ..., "sources": [{name, path, schema?, required?, fmt?, options?}],
+    "layers": {ranking_vintages: [[name, year]], history, schedule, contests, ratings,
+    rank_year, aliases}}`` → arguments of ``run_layered``."""
+    sources = [Source(**s) for s in spec["sources"]]
+    layers = dict(spec.get("layers", {}))
+    layers["ranking_vintages"] = [tuple(v) for v in layers.get("ranking_vintages", [])]
+    return sources, spec["root"], LayeredConfig(**layers)
+
+
+def main(argv: list[str] | None = None) -> dict:
+    """``python -m layerwise.plans.layered config.json``: run the job, print a JSON report
+    (written paths and the quality log, one row per cleaned table)."""
+    import argparse
+    import json
+
+    from layerwise.session import get_session
+
+    parser = argparse.ArgumentParser(description="land → clean → aggregate")
+    parser.add_argument("config", help="JSON file with root, sources and layers")
+    args = parser.parse_args(argv)
+    with open(args.config) as fh:
+        sources, root, config = config_from_json(json.load(fh))
+    spark = get_session("layerwise-layered")
+    paths = run_layered(spark, sources, root, config)
+    quality = quality_report(spark, root)
+    report = {
+        "paths": paths,
+        "quality": [
+            {k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in r.asDict().items()}
+            for r in (quality.orderBy("table_name").collect() if quality is not None else [])
+        ],
+    }
+    print(json.dumps(report))
+    return report
+
+
+if __name__ == "__main__":
+    main()

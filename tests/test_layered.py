@@ -101,3 +101,21 @@ def test_layered_job(spark, tmp_root):
     run_layered(spark, sources, out, config, ingestion_time=stamp)
     assert quality_report(spark, out).count() == 4
     assert read_current(spark, f"{out}/registry/manifest").filter(F.col("table_name") == "matches").count() == 1
+
+
+def test_layered_job_from_json_config(spark, tmp_root):
+    import json
+
+    from layerwise.plans.layered import main
+
+    with open(f"{tmp_root}/matches.csv", "w") as fh:
+        fh.write(MATCHES)
+    spec = {"root": f"{tmp_root}/wh",
+            "sources": [{"name": "matches", "path": f"{tmp_root}/matches.csv"}],
+            "layers": {"contests": "matches"}}
+    with open(f"{tmp_root}/job.json", "w") as fh:
+        json.dump(spec, fh)
+    report = main([f"{tmp_root}/job.json"])
+    assert set(report["paths"]) >= {"contests", "team_performance", "tournament_stats", "quality"}
+    assert [q["table_name"] for q in report["quality"]] == ["contests"]
+    assert report["quality"][0]["total_records"] == 3
