@@ -6,7 +6,6 @@ Library code never creates a session: every operator works on the caller's
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,12 +53,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: a cluster must name a shared folder; "
+                "a machine-local scratch folder is only created in local mode"
+            )
         current = tempfile.mkdtemp(prefix="layerwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for intermediate tables."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
