@@ -4,7 +4,6 @@ import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from layerwise.functions import after_first_comma, first_part, normalise_ci
 from layerwise.functions.names import RATING_NAME_ALIASES
