@@ -78,3 +78,19 @@ def test_count_tables_excludes_registry(spark):
     spark.range(1).createOrReplaceTempView("some_raw_table")
     names = {t.name for t in spark.catalog.listTables("default")}
     assert count_tables(spark, "default") == len(names) - 1
+
+
+def test_checkpoint_folder_rules(spark):
+    from types import SimpleNamespace
+
+    from layerwise.session import ensure_checkpoint_dir
+
+    assert ensure_checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    cluster = SimpleNamespace(conf=Conf(), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(cluster)
