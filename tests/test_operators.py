@@ -278,3 +278,39 @@ def test_hot_key_holding_a_third_of_rows(spark):
                          (F.col("v") % 3).cast("int").alias("home_score"), F.lit(1).alias("away_score"))
     table = {r.team: r for r in standings.standings(contests).collect()}
     assert table["HOT"].matches_played == n // 3 and table["AWAY"].matches_played == n
+
+
+def test_hot_home_team_join_is_split_by_aqe(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        n = 30_000
+        schedule = spark.range(n).select(
+            F.concat(F.lit("m"), F.col("id").cast("string")).alias("match_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("home_team"),
+            ((F.col("id") * 7) % 500).alias("away_team"),
+            F.lit(dt.date(2026, 6, 1)).alias("match_date"))
+        ratings = spark.range(500).select(
+            F.col("id").alias("country"), F.lit(dt.date(2026, 1, 1)).alias("snapshot_date"),
+            (F.lit(1500) + F.col("id")).alias("rating"), F.lit(10).cast("long").alias("goals_for"),
+            F.lit(5).cast("long").alias("matches_total"), F.lit(0).alias("is_host"))
+        out = predict(schedule, ratings)
+        got = out.collect()
+        assert len(got) == n and all(r.rating_home is not None for r in got)
+        final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
