@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from layerwise.sources import fs
-from layerwise.sources.files import read_csv
+from layerwise.sources.files import read_csv, replace_keeping_schema
 from layerwise.sources.jdbc import read_jdbc
 
 log = logging.getLogger(__name__)
@@ -45,6 +45,7 @@ class Source:
     required: bool = True
     fmt: str = "csv"
     options: dict = field(default_factory=dict)
+    keep_schema: bool = False  # truncate-then-append: keep an existing table's schema
 
 
 def read_source(spark: SparkSession, source: Source) -> DataFrame:
@@ -92,7 +93,11 @@ def land(
         started = time.perf_counter()
         observation = Observation(f"land_{source.name}")
         df = read_source(spark, source).observe(observation, F.count(F.lit(1)).alias("rows"))
-        df.write.mode("overwrite").parquet(f"{out_root}/{source.name}")
+        target = f"{out_root}/{source.name}"
+        if source.keep_schema:
+            replace_keeping_schema(spark, df, target)
+        else:
+            df.write.mode("overwrite").parquet(target)
         seconds = time.perf_counter() - started
         count = int(observation.get["rows"])
         rows.append((

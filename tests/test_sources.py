@@ -94,3 +94,13 @@ def test_checkpoint_folder_rules(spark):
     cluster = SimpleNamespace(conf=Conf(), sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(cluster)
+
+
+def test_land_keeping_schema(spark, tmp_root):
+    _write(f"{tmp_root}/r.csv", "country,rating\nA,1500\n")
+    land(spark, [Source("r", f"{tmp_root}/r.csv", "country string, rating long")], f"{tmp_root}/raw")
+    _write(f"{tmp_root}/r.csv", "rating,country\n1600,B\n1700,C\n")
+    manifest = land(spark, [Source("r", f"{tmp_root}/r.csv", keep_schema=True)], f"{tmp_root}/raw").collect()
+    landed = spark.read.parquet(f"{tmp_root}/raw/r")
+    assert manifest[0].row_count == 2 and landed.columns == ["country", "rating"]
+    assert dict(landed.dtypes)["rating"] == "bigint" and landed.count() == 2
