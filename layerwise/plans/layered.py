@@ -26,6 +26,7 @@ from layerwise.operators.quality import null_count
 from layerwise.operators.standings import season_stats, standings
 from layerwise.operators.upsert import read_current, upsert_table
 from layerwise.sources.catalog import Source, land
+from layerwise.sources.jdbc import write_jdbc
 
 QUALITY_SCHEMA = (
     "table_name string, ingestion_timestamp timestamp, total_records long, null_count long, "
@@ -48,6 +49,26 @@ class LayeredConfig:
     ratings: str | None = None
     rank_year: int = 2026
     aliases: Mapping[str, str] = field(default_factory=lambda: dict(TEAM_ALIASES))
+    # optional export of the cleaned and aggregate tables to a database:
+    # {"url": ..., "properties": {...}, "prefix": "SCHEMA."}
+    jdbc_sink: Mapping | None = None
+
+
+EXPORTED = ("rankings", "history", "schedule", "contests", "team_performance", "tournament_stats",
+            "tournament_predictions", "predictions")
+
+
+def export_jdbc(spark: SparkSession, paths: Mapping[str, str], sink: Mapping) -> list[str]:
+    """Copy the written cleaned / aggregate tables into a database (truncate-overwrite, so the
+    target tables keep their DDL); each table is read back from storage, not recomputed."""
+    written = []
+    for table in EXPORTED:
+        if table in paths:
+            name = f"{sink.get('prefix', '')}{table}"
+            write_jdbc(spark.read.parquet(paths[table]), sink["url"], name, dict(sink.get("properties", {})),
+                       truncate=sink.get("truncate", True))
+            written.append(name)
+    return written
 
 
 def _write_clean(
@@ -134,6 +155,8 @@ def run_layered(
         paths["predictions"] = f"{gold}/predictions"
         spark.read.parquet(paths["tournament_predictions"]).select(*NARROW_COLUMNS) \
             .write.mode("overwrite").parquet(paths["predictions"])
+    if config.jdbc_sink:
+        export_jdbc(spark, paths, config.jdbc_sink)
     return paths
 
 

@@ -119,3 +119,23 @@ def test_layered_job_from_json_config(spark, tmp_root):
     assert set(report["paths"]) >= {"contests", "team_performance", "tournament_stats", "quality"}
     assert [q["table_name"] for q in report["quality"]] == ["contests"]
     assert report["quality"][0]["total_records"] == 3
+
+
+def test_layered_job_exports_to_jdbc(spark, tmp_root):
+    from layerwise.plans.layered import export_jdbc
+    from layerwise.sources.jdbc import read_jdbc
+
+    for name, text in {"matches": MATCHES}.items():
+        with open(f"{tmp_root}/{name}.csv", "w") as fh:
+            fh.write(text)
+    url = "jdbc:derby:memory:layered_sink;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    config = LayeredConfig(contests="matches", jdbc_sink={"url": url, "properties": props, "truncate": False})
+    paths = run_layered(spark, [Source("matches", f"{tmp_root}/matches.csv")], f"{tmp_root}/wh", config)
+    assert read_jdbc(spark, url, "contests", props).count() == 3
+    assert read_jdbc(spark, url, "tournament_stats", props).count() == 2
+    # a second export truncates and refills the same tables
+    assert export_jdbc(spark, paths, {"url": url, "properties": props}) == ["contests", "team_performance",
+                                                                            "tournament_stats"]
+    assert read_jdbc(spark, url, "team_performance", props).count() == spark.read.parquet(
+        paths["team_performance"]).count()
