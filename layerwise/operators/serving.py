@@ -39,7 +39,7 @@ def search_standings(
     limit: int = STANDINGS_LIMIT[2],
     *,
     team_col: str = "team",
-    season_col: str = "season",
+    season_col: str = "year",
 ) -> DataFrame:
     """Optional filters (applied only when truthy: ``""`` and ``0`` mean no filter); the team
     filter is a case-insensitive substring match in which ``%`` and ``_`` stay wildcards.
@@ -56,7 +56,7 @@ def search_standings(
     ).limit(limit)
 
 
-def list_seasons(stats: DataFrame, season_col: str = "season") -> DataFrame:
+def list_seasons(stats: DataFrame, season_col: str = "year") -> DataFrame:
     return stats.orderBy(F.col(season_col).desc_nulls_first())
 
 
@@ -91,7 +91,7 @@ def top_teams(
     )
 
 
-def season_series(stats: DataFrame, season_col: str = "season") -> DataFrame:
+def season_series(stats: DataFrame, season_col: str = "year") -> DataFrame:
     """Goals per season as a (time, value) series, oldest first."""
     return stats.orderBy(F.col(season_col).asc_nulls_last()).select(
         year_start(F.col(season_col)).alias("time"), F.col("total_goals").alias("value")

@@ -25,7 +25,7 @@ def two_sided(
     away: str = "away_team",
     home_score: str = "home_score",
     away_score: str = "away_score",
-    season: str = "season",
+    season: str = "year",
     team: str = "team",
 ) -> DataFrame:
     """(team, season, goals_scored, goals_conceded, win, loss, draw): two rows per contest."""
@@ -68,7 +68,7 @@ def standings(
     away: str = "away_team",
     home_score: str = "home_score",
     away_score: str = "away_score",
-    season: str = "season",
+    season: str = "year",
     team: str = "team",
     rank_team: str = "country",
     rank_season: str = "year",
@@ -108,7 +108,7 @@ def season_stats(
     contests: DataFrame,
     home_score: str = "home_score",
     away_score: str = "away_score",
-    season: str = "season",
+    season: str = "year",
 ) -> DataFrame:
     """Per season: contests, goals (sum(h) + sum(a), so a NULL on one side does not hide the
     other), mean and max goals per contest, home wins, away wins and draws."""

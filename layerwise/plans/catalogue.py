@@ -38,7 +38,7 @@ def _round(df: DataFrame, *cols: str, digits: int = FLOAT_DIGITS) -> DataFrame:
 
 def _standings(spark, root, with_ranks=True) -> DataFrame:
     ranks = fx.season_ranks(spark, root) if with_ranks else None
-    return standings.standings(fx.contests(spark, root), ranks, rank_team="team")
+    return standings.standings(fx.contests(spark, root), ranks, season="season", rank_team="team")
 
 
 # --- aggregate layer --------------------------------------------------------------
@@ -48,8 +48,8 @@ def team_performance(spark, root):
 
 
 def season_stats(spark, root):
-    stats = standings.season_stats(fx.contests(spark, root))
-    return serving.list_seasons(_round(stats, "avg_goals_per_match"))
+    stats = standings.season_stats(fx.contests(spark, root), season="season")
+    return serving.list_seasons(_round(stats, "avg_goals_per_match"), season_col="season")
 
 
 def rank_average(spark, root):
@@ -61,12 +61,14 @@ def top_teams(spark, root):
 
 
 def team_performance_search(spark, root):
-    found = serving.search_standings(_standings(spark, root), team="nation_1", season=1998, limit=100)
+    found = serving.search_standings(_standings(spark, root), team="nation_1", season=1998, limit=100,
+                                     season_col="season")
     return _round(found, "avg_goals_scored", "avg_goals_conceded", "avg_rank")
 
 
 def season_goal_series(spark, root):
-    return serving.season_series(standings.season_stats(fx.contests(spark, root)))
+    stats = standings.season_stats(fx.contests(spark, root), season="season")
+    return serving.season_series(stats, season_col="season")
 
 
 # --- scalar cleaning ----------------------------------------------------------------

@@ -93,6 +93,22 @@ def test_layered_job(spark, tmp_root):
     assert (m.expected_goals_home, m.expected_goals_away, m.home_rank, m.away_rank) == (0.81, 0.61, 2, 1)
     assert spark.read.parquet(paths["predictions"]).count() == 3
 
+    # the serving queries run on the aggregate tables with their default column names
+    from layerwise.operators import serving
+
+    gold_tp = spark.read.parquet(paths["team_performance"])
+    found = serving.search_standings(gold_tp, team="alp").collect()
+    assert [(r.team, r.year) for r in found] == [("Alpha", 2022), ("Alpha", 2018)]
+    assert serving.top_teams(gold_tp, 2).collect()[0].team == "Alpha"
+    stats = spark.read.parquet(paths["tournament_stats"])
+    assert [r.year for r in serving.list_seasons(stats).collect()] == [2022, 2018]
+    assert [r.value for r in serving.season_series(stats).collect()] == [3, 5]  # 2-1 and 0-0; 3-2
+    assert serving.list_predictions(spark.read.parquet(paths["predictions"]), 2).count() == 2
+    report = serving.prediction_report(spark.read.parquet(paths["tournament_predictions"])).collect()
+    assert report[0].prob_home_win == "70.7%" and report[0].expected_score == "0.81 - 0.61"
+    summary = serving.prediction_summary(spark.read.parquet(paths["tournament_predictions"])).collect()[0]
+    assert summary.matches_simulated == 3
+
     views = register_views(spark, paths)
     assert spark.sql("SELECT count(*) FROM v_tournament_stats").collect()[0][0] == 2
     assert set(views) == {"v_team_performance", "v_tournament_stats"}

@@ -128,7 +128,7 @@ def test_latest_per_key_and_global_max(spark):
 # --- standings -------------------------------------------------------------------------------------
 
 def test_standings_invariants(spark):
-    table = standings.standings(fx.contests(spark, SF_SMALL))
+    table = standings.standings(fx.contests(spark, SF_SMALL), season="season")
     t = table.agg(F.sum("wins"), F.sum("losses"), F.sum("goals_scored"), F.sum("goals_conceded"),
                   F.sum("matches_played"), F.sum(F.col("wins") + F.col("losses") + F.col("draws"))).collect()[0]
     assert t[0] == t[1] and t[2] == t[3] and t[4] == t[5]
@@ -136,7 +136,7 @@ def test_standings_invariants(spark):
 
 
 def test_standings_scans_contests_once_without_python(spark):
-    plan = standings.standings(fx.contests(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    plan = standings.standings(fx.contests(spark, SF_SMALL), season="season")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("lineitem.parquet") == 1
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
@@ -145,7 +145,7 @@ def test_standings_rank_join_and_missing_season(spark):
     contests = spark.createDataFrame([("A", "B", 2001, 2, 1), ("B", "A", 2002, 0, 0)],
                                      "home_team string, away_team string, season int, home_score int, away_score int")
     ranks = spark.createDataFrame([("A", 2001, 3), ("A", 2001, 5)], "country string, year int, rank int")
-    got = {(r.team, r.season): r for r in standings.standings(contests, ranks).collect()}
+    got = {(r.team, r.season): r for r in standings.standings(contests, ranks, season="season").collect()}
     a1 = got[("A", 2001)]
     assert (a1.wins, a1.points, a1.goal_difference, a1.avg_rank) == (1, 3, 1, 4.0)
     assert got[("A", 2002)].avg_rank is None and got[("A", 2002)].draws == 1
@@ -153,17 +153,17 @@ def test_standings_rank_join_and_missing_season(spark):
 
 def test_season_stats_sum_plus_sum_with_nulls(spark):
     df = spark.createDataFrame([(1, 2, None), (1, None, 3), (1, 1, 1)], "season int, home_score int, away_score int")
-    r = standings.season_stats(df).collect()[0]
+    r = standings.season_stats(df, season="season").collect()[0]
     assert (r.total_matches, r.total_goals, r.max_goals_in_match, r.draws) == (3, 7, 2, 1)
 
 
 # --- serving ---------------------------------------------------------------------------------------------
 
 def test_search_filters_and_limits(spark):
-    table = standings.standings(fx.contests(spark, SF_SMALL))
-    everything = serving.search_standings(table, team="", season=0, limit=1000).count()
+    table = standings.standings(fx.contests(spark, SF_SMALL), season="season")
+    everything = serving.search_standings(table, team="", season=0, limit=1000, season_col="season").count()
     assert everything == table.count()
-    found = serving.search_standings(table, team="NATION_1", season=1998).collect()
+    found = serving.search_standings(table, team="NATION_1", season=1998, season_col="season").collect()
     assert found and all("NATION_1" in r.team.upper() and r.season == 1998 for r in found)
     for bad in (0, 1001, "5"):
         with pytest.raises(ValueError):
@@ -255,7 +255,7 @@ def test_pair_probabilities_distinct_pairs_at_latest(spark):
 
 def test_empty_inputs_keep_schema(spark):
     empty = fx.contests(spark, SF_SMALL).limit(0)
-    out = standings.standings(empty)
+    out = standings.standings(empty, season="season")
     assert out.count() == 0 and "points" in out.columns
     assert dd.dedup(empty, "contest_id").count() == 0
 
@@ -276,7 +276,7 @@ def test_hot_key_holding_a_third_of_rows(spark):
     contests = df.select(F.when(F.col("k") == 0, F.lit("HOT")).otherwise(F.col("k").cast("string")).alias("home_team"),
                          F.lit("AWAY").alias("away_team"), F.lit(2000).alias("season"),
                          (F.col("v") % 3).cast("int").alias("home_score"), F.lit(1).alias("away_score"))
-    table = {r.team: r for r in standings.standings(contests).collect()}
+    table = {r.team: r for r in standings.standings(contests, season="season").collect()}
     assert table["HOT"].matches_played == n // 3 and table["AWAY"].matches_played == n
 
 
