@@ -52,19 +52,27 @@ class LayeredConfig:
     # optional export of the cleaned and aggregate tables to a database:
     # {"url": ..., "properties": {...}, "prefix": "SCHEMA."}
     jdbc_sink: Mapping | None = None
+    # physical names of the written tables (folders, database tables), by logical name,
+    # e.g. {"contests": "matches"}; unnamed tables keep their logical name
+    table_names: Mapping[str, str] = field(default_factory=dict)
+
+    def name(self, table: str) -> str:
+        return self.table_names.get(table, table)
 
 
 EXPORTED = ("rankings", "history", "schedule", "contests", "team_performance", "tournament_stats",
             "tournament_predictions", "predictions")
 
 
-def export_jdbc(spark: SparkSession, paths: Mapping[str, str], sink: Mapping) -> list[str]:
+def export_jdbc(
+    spark: SparkSession, paths: Mapping[str, str], sink: Mapping, names: Mapping[str, str] | None = None
+) -> list[str]:
     """Copy the written cleaned / aggregate tables into a database (truncate-overwrite, so the
     target tables keep their DDL); each table is read back from storage, not recomputed."""
     written = []
     for table in EXPORTED:
         if table in paths:
-            name = f"{sink.get('prefix', '')}{table}"
+            name = f"{sink.get('prefix', '')}{(names or {}).get(table, table)}"
             write_jdbc(spark.read.parquet(paths[table]), sink["url"], name, dict(sink.get("properties", {})),
                        truncate=sink.get("truncate", True))
             written.append(name)
@@ -129,7 +137,7 @@ def run_layered(
     if (df := read_raw(config.contests)) is not None:
         steps.append(("contests", clean.contest_rows(df), clean.CONTEST_KEY, clean.CONTEST_COLUMNS))
     for table, rows, key, columns in steps:
-        paths[table] = f"{cleaned}/{table}"
+        paths[table] = f"{cleaned}/{config.name(table)}"
         quality.append(_write_clean(rows, key, columns, paths[table], table, stamp))
     paths["quality"] = upsert_table(spark, f"{root}/registry/quality",
                                     spark.createDataFrame(quality, QUALITY_SCHEMA), "table_name")
@@ -139,24 +147,24 @@ def run_layered(
 
     contests, rankings = read_clean("contests"), read_clean("rankings")
     if contests is not None:
-        paths["team_performance"] = f"{gold}/team_performance"
+        paths["team_performance"] = f"{gold}/{config.name('team_performance')}"
         standings(contests, rankings, season="year", team="team", rank_team="country",
                   rank_season="year") \
             .write.mode("overwrite").parquet(paths["team_performance"])
-        paths["tournament_stats"] = f"{gold}/tournament_stats"
+        paths["tournament_stats"] = f"{gold}/{config.name('tournament_stats')}"
         season_stats(contests, season="year").write.mode("overwrite").parquet(paths["tournament_stats"])
 
     schedule, ratings = read_clean("schedule"), read_raw(config.ratings)
     if schedule is not None and ratings is not None:
         ranks = rankings.filter(F.col("year") == config.rank_year) if rankings is not None else None
         wide = predict(schedule, ratings, ranks, aliases=dict(config.aliases))
-        paths["tournament_predictions"] = f"{gold}/tournament_predictions"
+        paths["tournament_predictions"] = f"{gold}/{config.name('tournament_predictions')}"
         wide.write.mode("overwrite").parquet(paths["tournament_predictions"])
-        paths["predictions"] = f"{gold}/predictions"
+        paths["predictions"] = f"{gold}/{config.name('predictions')}"
         spark.read.parquet(paths["tournament_predictions"]).select(*NARROW_COLUMNS) \
             .write.mode("overwrite").parquet(paths["predictions"])
     if config.jdbc_sink:
-        export_jdbc(spark, paths, config.jdbc_sink)
+        export_jdbc(spark, paths, config.jdbc_sink, config.table_names)
     return paths
 
 

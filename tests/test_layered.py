@@ -146,12 +146,14 @@ def test_layered_job_exports_to_jdbc(spark, tmp_root):
             fh.write(text)
     url = "jdbc:derby:memory:layered_sink;create=true"
     props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    config = LayeredConfig(contests="matches", jdbc_sink={"url": url, "properties": props, "truncate": False})
+    config = LayeredConfig(contests="matches", jdbc_sink={"url": url, "properties": props, "truncate": False},
+                           table_names={"contests": "matches_clean"})
     paths = run_layered(spark, [Source("matches", f"{tmp_root}/matches.csv")], f"{tmp_root}/wh", config)
-    assert read_jdbc(spark, url, "contests", props).count() == 3
+    assert paths["contests"].endswith("/cleaned/matches_clean")
+    assert read_jdbc(spark, url, "matches_clean", props).count() == 3
     assert read_jdbc(spark, url, "tournament_stats", props).count() == 2
     # a second export truncates and refills the same tables
-    assert export_jdbc(spark, paths, {"url": url, "properties": props}) == ["contests", "team_performance",
-                                                                            "tournament_stats"]
+    assert export_jdbc(spark, paths, {"url": url, "properties": props}, config.table_names) == [
+        "matches_clean", "team_performance", "tournament_stats"]
     assert read_jdbc(spark, url, "team_performance", props).count() == spark.read.parquet(
         paths["team_performance"]).count()
