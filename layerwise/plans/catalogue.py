@@ -133,7 +133,7 @@ def normalise_names_ci(spark, root):
 
 
 def rank_lookup_fallback_query(spark, root):
-    nation = fx._t(spark, root, "nation")
+    nation = fx.table(spark, root, "nation")
     dim = dd.dedup(
         nation.select(normalise("n_name", fx.NATION_ALIASES).alias("team"),
                       (F.col("n_nationkey") + 1).alias("rank")),

@@ -52,7 +52,8 @@ TABLES = (
 FIXED_DIMENSIONS = {"nation": 25, "region": 5}
 
 
-def _t(spark: SparkSession, root: str, name: str) -> DataFrame:
+def table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A benchmark table; spec-bounded dimensions come with a broadcast hint."""
     df = read_table(spark, root, name)
     return F.broadcast(df) if name in FIXED_DIMENSIONS else df
 
@@ -68,23 +69,23 @@ def _contest_join(spark: SparkSession, root: str) -> DataFrame:
     customer → nation lookup is folded into orders and the nation into suppliers first, so
     the line-item stream meets only two larger inputs (orders by order key, suppliers by
     supplier key).  Each join is broadcast by AQE only while that side is measured small."""
-    nation = _t(spark, root, "nation")
-    customer = _t(spark, root, "customer").select("c_custkey", "c_nationkey", "c_name")
+    nation = table(spark, root, "nation")
+    customer = table(spark, root, "customer").select("c_custkey", "c_nationkey", "c_name")
     home = customer.join(
         nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home_team"),
                       F.col("n_regionkey").alias("home_region")),
         "c_nationkey",
     )
-    orders = _t(spark, root, "orders")
+    orders = table(spark, root, "orders")
     orders = orders.select(
         "o_orderkey", "o_custkey", calendar_date(orders, "o_orderdate").alias("o_date"))
     orders = orders.join(home, orders.o_custkey == home.c_custkey).drop("o_custkey", "c_nationkey")
-    supplier = _t(spark, root, "supplier").select("s_suppkey", "s_nationkey")
+    supplier = table(spark, root, "supplier").select("s_suppkey", "s_nationkey")
     away = supplier.join(
         nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("away_team")),
         "s_nationkey",
     ).drop("s_nationkey")
-    lineitem = _t(spark, root, "lineitem").select(
+    lineitem = table(spark, root, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_suppkey", "l_partkey", "l_returnflag")
     return (
         lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
@@ -112,7 +113,7 @@ def contests(spark: SparkSession, root: str, drop_same_side: bool = True) -> Dat
 def raw_contests(spark: SparkSession, root: str) -> DataFrame:
     """Uncleaned contests as landed: text dates (some malformed), text year, missing home
     names, venue text with two commas, none, or NULL."""
-    region = _t(spark, root, "region").select(
+    region = table(spark, root, "region").select(
         F.col("r_regionkey").alias("home_region"), F.col("r_name"))
     df = _contest_join(spark, root).join(region, "home_region")
     date_text = F.col("o_date").cast("string")
@@ -138,7 +139,7 @@ def raw_contests(spark: SparkSession, root: str) -> DataFrame:
 def ratings(spark: SparkSession, root: str) -> DataFrame:
     """entity, snapshot_date, rating, goals_for, matches_total, is_host, grp — one row per
     (user, day) of the event stream."""
-    events = _t(spark, root, "events")
+    events = table(spark, root, "events")
     day = calendar_date(events, "ts")
     return (
         events.select("user_id", "event_id", day.alias("snapshot_date"))
@@ -162,7 +163,7 @@ def ratings(spark: SparkSession, root: str) -> DataFrame:
 
 def schedule(spark: SparkSession, root: str) -> DataFrame:
     """match_id, home_team, away_team (entity ids), match_date — one row per match_id."""
-    orders = _t(spark, root, "orders")
+    orders = table(spark, root, "orders")
     date = calendar_date(orders, "o_orderdate")
     home, away = _div("o_custkey", 9), _div("o_orderkey", 100)
     return (
@@ -179,7 +180,7 @@ def schedule(spark: SparkSession, root: str) -> DataFrame:
 
 def raw_schedule(spark: SparkSession, root: str) -> DataFrame:
     """Uncleaned fixture list: text date (some not dates), round (some missing), team text."""
-    orders = _t(spark, root, "orders")
+    orders = table(spark, root, "orders")
     date = calendar_date(orders, "o_orderdate")
     home, away = _div("o_custkey", 9).cast("string"), _div("o_orderkey", 100).cast("string")
     return orders.select(
@@ -193,7 +194,7 @@ def raw_schedule(spark: SparkSession, root: str) -> DataFrame:
 
 def rankings(spark: SparkSession, root: str) -> DataFrame:
     """entity, year (2022 for even keys, 2026 for odd), rank, points (truncated balance)."""
-    customer = _t(spark, root, "customer")
+    customer = table(spark, root, "customer")
     return customer.select(
         F.col("c_custkey").alias("entity"),
         F.when(F.col("c_custkey") % 2 == 0, F.lit(2022)).otherwise(F.lit(2026)).alias("year"),
@@ -209,7 +210,7 @@ def ranks_for_year(spark: SparkSession, root: str, year: int = RANK_YEAR) -> Dat
 def ranking_vintages(spark: SparkSession, root: str) -> list[tuple[DataFrame, int]]:
     """Two raw ranking files: 2022 names its team column ``team``, 2026 ``country``; rank is
     text (some malformed), points a double, some names padded; 2026 repeats some rows."""
-    customer = _t(spark, root, "customer")
+    customer = table(spark, root, "customer")
     rank_text = F.when(F.col("c_custkey") % 50 == 0, F.lit("n/a")).otherwise(
         (F.col("c_custkey") % 211 + 1).cast("string"))
     name = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit(" "), F.col("c_name"), F.lit(" "))).otherwise(
@@ -225,8 +226,8 @@ def ranking_vintages(spark: SparkSession, root: str) -> list[tuple[DataFrame, in
 
 def season_ranks(spark: SparkSession, root: str) -> DataFrame:
     """team (nation name), year (1995 + key % 9), rank — many rows per (team, year)."""
-    customer = _t(spark, root, "customer").select("c_custkey", "c_nationkey")
-    nation = _t(spark, root, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    customer = table(spark, root, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, root, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return customer.join(nation, "c_nationkey").select(
         F.col("n_name").alias("team"),
         (F.lit(1995) + F.col("c_custkey") % 9).cast("int").alias("year"),
@@ -253,10 +254,10 @@ def raw_history(spark: SparkSession, root: str) -> DataFrame:
 
 def venues(spark: SparkSession, root: str) -> DataFrame:
     """key, venue: ``name, nation, region``; a bare name; or NULL."""
-    customer = _t(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey")
-    nation = _t(spark, root, "nation").select(
+    customer = table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey")
+    nation = table(spark, root, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name", F.col("n_regionkey").alias("r_regionkey"))
-    region = _t(spark, root, "region").select("r_regionkey", "r_name")
+    region = table(spark, root, "region").select("r_regionkey", "r_name")
     df = customer.join(nation, "c_nationkey").join(region, "r_regionkey")
     return df.select(
         F.col("c_custkey").alias("key"),
@@ -268,7 +269,7 @@ def venues(spark: SparkSession, root: str) -> DataFrame:
 
 def raw_numbers(spark: SparkSession, root: str) -> DataFrame:
     """key, text (about one in five is not a number), price (double)."""
-    part = _t(spark, root, "part")
+    part = table(spark, root, "part")
     return part.select(
         F.col("p_partkey").alias("key"),
         F.when(F.col("p_size") % 5 == 0, F.col("p_type")).otherwise(F.col("p_size").cast("string"))
@@ -279,7 +280,7 @@ def raw_numbers(spark: SparkSession, root: str) -> DataFrame:
 
 def raw_dates(spark: SparkSession, root: str) -> DataFrame:
     """key, text: ISO order dates with some replaced by a word."""
-    orders = _t(spark, root, "orders")
+    orders = table(spark, root, "orders")
     date = calendar_date(orders, "o_orderdate")
     return orders.select(
         F.col("o_orderkey").alias("key"),
@@ -290,8 +291,8 @@ def raw_dates(spark: SparkSession, root: str) -> DataFrame:
 
 def labelled_docs(spark: SparkSession, root: str) -> DataFrame:
     """doc_id, lang, source, quality, toxic — documents left join labels (real NULLs)."""
-    docs = _t(spark, root, "documents").select("doc_id", "lang", "source")
-    labels = _t(spark, root, "labels").select("doc_id", "quality", "toxic")
+    docs = table(spark, root, "documents").select("doc_id", "lang", "source")
+    labels = table(spark, root, "labels").select("doc_id", "quality", "toxic")
     return docs.join(labels, "doc_id", "left")
 
 
@@ -299,7 +300,7 @@ def registry(spark: SparkSession, root: str, tables=TABLES) -> DataFrame:
     """Landing registry of the benchmark tables: table_name, source_file, row_count,
     schema_version."""
     frames = [
-        _t(spark, root, name).agg(F.count(F.lit(1)).alias("row_count")).select(
+        table(spark, root, name).agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"),
             F.lit(f"{name}.parquet").alias("source_file"),
             "row_count",
@@ -314,7 +315,7 @@ def registry(spark: SparkSession, root: str, tables=TABLES) -> DataFrame:
 
 
 def customer_registry(spark: SparkSession, root: str) -> DataFrame:
-    return _t(spark, root, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    return table(spark, root, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
 
 
 def customer_changes(spark: SparkSession, root: str) -> DataFrame:
