@@ -218,3 +218,36 @@ def main(argv: list[str] | None = None) -> dict:
 
 if __name__ == "__main__":
     main()
+
+
+def expectations(spark: SparkSession, root: str, paths: Mapping[str, str],
+                 coverage_bound: float = 0.9) -> DataFrame:
+    """Post-run checks over the written tables, one row each: check_name, observed, bound,
+    passed.  Volume: every landed, cleaned and aggregate table holds rows; one quality row per
+    cleaned table; one prediction per scheduled contest.  Coverage: share of predictions with
+    both ranks above ``coverage_bound``.  Each check is one aggregation over one table."""
+    from layerwise.operators.quality import coverage, row_count_check
+
+    def norm(df: DataFrame) -> DataFrame:
+        return df.select("check_name", F.col("observed").cast("double"), F.col("bound").cast("double"),
+                         "passed")
+
+    checks = [norm(row_count_check(manifest_report(spark, root), "manifest rows", 1))]
+    cleaned = [t for t in ("rankings", "history", "schedule", "contests") if t in paths]
+    for table in cleaned + [t for t in EXPORTED if t in paths and t not in cleaned]:
+        checks.append(norm(row_count_check(spark.read.parquet(paths[table]), f"{table} rows", 1)))
+    quality = quality_report(spark, root)
+    checks.append(norm(row_count_check(quality, "quality rows", len(cleaned)).withColumn(
+        "passed", F.col("observed") == F.lit(len(cleaned)))))
+    if "predictions" in paths and "schedule" in paths:
+        scheduled = spark.read.parquet(paths["schedule"]).select(F.count(F.lit(1))).scalar()
+        predicted = row_count_check(spark.read.parquet(paths["predictions"]), "one prediction per contest")
+        checks.append(norm(predicted.withColumn("bound", scheduled).withColumn(
+            "passed", F.col("observed") == scheduled)))
+        covered = coverage(spark.read.parquet(paths["predictions"]), ["home_rank", "away_rank"],
+                           coverage_bound, "both ranks")
+        checks.append(covered.select("check_name", F.col("coverage").alias("observed"), "bound", "passed"))
+    out = checks[0]
+    for check in checks[1:]:
+        out = out.unionByName(check)
+    return out

@@ -109,6 +109,13 @@ def test_layered_job(spark, tmp_root):
     summary = serving.prediction_summary(spark.read.parquet(paths["tournament_predictions"])).collect()[0]
     assert summary.matches_simulated == 3
 
+    from layerwise.plans.layered import expectations
+
+    checks = {r.check_name: r for r in expectations(spark, out, paths).collect()}
+    assert checks["quality rows"].passed and checks["one prediction per contest"].observed == 3
+    assert checks["contests rows"].passed and checks["manifest rows"].observed == 6
+    assert checks["both ranks"].observed == 1 / 3 and not checks["both ranks"].passed  # Gamma, Delta unranked
+
     views = register_views(spark, paths)
     assert spark.sql("SELECT count(*) FROM v_tournament_stats").collect()[0][0] == 2
     assert set(views) == {"v_team_performance", "v_tournament_stats"}
