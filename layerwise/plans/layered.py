@@ -205,8 +205,10 @@ def main(argv: list[str] | None = None) -> dict:
     spark = get_session("layerwise-layered")
     paths = run_layered(spark, sources, root, config)
     quality = quality_report(spark, root)
+    checks = [r.asDict() for r in expectations(spark, root, paths).collect()]  # one row per check
     report = {
         "paths": paths,
+        "checks": checks,
         "quality": [
             {k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in r.asDict().items()}
             for r in (quality.orderBy("table_name").collect() if quality is not None else [])

@@ -142,6 +142,7 @@ def test_layered_job_from_json_config(spark, tmp_root):
     assert set(report["paths"]) >= {"contests", "team_performance", "tournament_stats", "quality"}
     assert [q["table_name"] for q in report["quality"]] == ["contests"]
     assert report["quality"][0]["total_records"] == 3
+    assert all(c["passed"] for c in report["checks"])
 
 
 def test_layered_job_exports_to_jdbc(spark, tmp_root):
