@@ -207,26 +207,34 @@ def predict_clamped(
         _name_key(schedule, away, aliases, True).alias("__away_clean"),
     )
 
+    # Without name normalisation the raw and normalised keys coincide, so ranks fold into the
+    # per-entity profile and the schedule is joined once per side instead of twice.
+    fold = ranks is not None and not any(aliases and _is_text(schedule, c) for c in (home, away))
+    if fold:
+        latest = latest.join(
+            ranks.select(F.col(rank_entity).alias("__key"), F.col(rank).alias("__rank")), "__key", "full")
+
     def stats(tag: str) -> DataFrame:
         return latest.select(
             F.col("__key").alias(f"__{tag}_clean"), F.col("__rating").alias(f"__r_{tag}"),
             F.col("__goals").alias(f"__g_{tag}"), F.col("__matches").alias(f"__m_{tag}"),
+            *([F.col("__rank").alias(f"{tag}_rank")] if fold else []),
         )
 
     joined = games.join(stats("home"), on="__home_clean", how="left").join(
         stats("away"), on="__away_clean", how="left"
     )
-    if ranks is not None:
+    if ranks is not None and not fold:
         for tag, raw, source in (("home", "home_team", home), ("away", "away_team", away)):
             if aliases and _is_text(schedule, source):
                 joined = rank_lookup_fallback(
                     joined, ranks, raw=raw, clean=f"__{tag}_clean", key=rank_entity,
                     value=rank, out=f"{tag}_rank",
                 )
-            else:  # names are not normalised: the raw key is the only key, one join
+            else:  # this side's names are not normalised: the raw key is the only key
                 dim = ranks.select(F.col(rank_entity).alias(f"__{tag}_rk"), F.col(rank).alias(f"{tag}_rank"))
                 joined = joined.join(dim, F.col(raw) == F.col(f"__{tag}_rk"), "left").drop(f"__{tag}_rk")
-    else:
+    elif ranks is None:
         joined = joined.withColumn("home_rank", F.lit(None).cast("int")).withColumn(
             "away_rank", F.lit(None).cast("int"))
 
