@@ -166,6 +166,29 @@ def predict(
     return out.select(*NARROW_COLUMNS) if narrow else out
 
 
+def attach_ranks(
+    schedule: DataFrame,
+    ranks: DataFrame,
+    *,
+    home: str = "home_team",
+    away: str = "away_team",
+    rank_entity: str = "country",
+    rank: str = "rank",
+    aliases: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The schedule with ``home_rank`` and ``away_rank`` (the same values ``predict`` reports),
+    without the rating side: for checks that only need ranks, such as rank coverage."""
+    ranked = ranks.select(
+        _name_key(ranks, rank_entity, aliases, False).alias("entity"), F.col(rank).alias("rank"))
+    ranked = dedup(ranked, "entity", order=[F.col("rank").asc_nulls_last()])
+    out = schedule
+    for tag, col in (("home", home), ("away", away)):
+        side = ranked.select(F.col("entity").alias(f"__{tag}_rk"), F.col("rank").alias(f"{tag}_rank"))
+        out = out.join(side, _name_key(schedule, col, aliases, False) == F.col(f"__{tag}_rk"), "left") \
+            .drop(f"__{tag}_rk")
+    return out
+
+
 def predict_clamped(
     schedule: DataFrame,
     ratings: DataFrame,

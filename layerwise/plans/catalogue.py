@@ -25,7 +25,13 @@ from layerwise.functions import (
 )
 from layerwise.functions.text import after_first_comma, first_part
 from layerwise.operators import clean, dedup as dd, quality, serving, snapshots, standings, upsert
-from layerwise.operators.predict import pair_probabilities, predict, predict_clamped, rank_lookup_fallback
+from layerwise.operators.predict import (
+    attach_ranks,
+    pair_probabilities,
+    predict,
+    predict_clamped,
+    rank_lookup_fallback,
+)
 from layerwise.plans import fixtures as fx
 
 FLOAT_DIGITS = 6
@@ -192,8 +198,9 @@ def key_violations(spark, root):
 
 
 def rank_coverage(spark, root):
-    preds = _predictions(spark, root, narrow=True)
-    return quality.coverage(preds, ["home_rank", "away_rank"], bound=0.9, name="both_ranks")
+    # ranks exactly as the predictions carry them, without computing the rating side
+    ranked = attach_ranks(fx.schedule(spark, root), fx.ranks_for_year(spark, root), rank_entity="entity")
+    return quality.coverage(ranked, ["home_rank", "away_rank"], bound=0.9, name="both_ranks")
 
 
 # --- registries --------------------------------------------------------------------------

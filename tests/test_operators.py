@@ -314,3 +314,14 @@ def test_hot_home_team_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_attach_ranks_matches_prediction_ranks(spark):
+    from layerwise.operators.predict import attach_ranks
+
+    schedule, ranks = fx.schedule(spark, SF_SMALL), fx.ranks_for_year(spark, SF_SMALL)
+    preds = predict(schedule, fx.ratings(spark, SF_SMALL), ranks, entity="entity", rank_entity="entity")
+    expected = rows(preds.select("match_id", "home_rank", "away_rank"), "match_id")
+    got = rows(attach_ranks(schedule, ranks, rank_entity="entity").select("match_id", "home_rank", "away_rank"),
+               "match_id")
+    assert got == expected
