@@ -114,15 +114,12 @@ def run_layered(
     manifest = land(spark, sources, raw, stamp)
     paths["manifest"] = upsert_table(spark, f"{root}/registry/manifest", manifest, "table_name",
                                      update=MANIFEST_UPDATED)
-    landed = {s.name for s in sources}
+    # tables landed by this run (one manifest row each); a skipped optional source must not
+    # be replaced by a raw folder left over from an earlier run
+    landed = {r.table_name for r in manifest.select("table_name").collect()}
 
     def read_raw(name: str | None) -> DataFrame | None:
-        if not name or name not in landed:
-            return None
-        try:
-            return spark.read.parquet(f"{raw}/{name}")
-        except Exception:  # optional source skipped at landing
-            return None
+        return spark.read.parquet(f"{raw}/{name}") if name in landed else None
 
     quality = []
     vintages = [(read_raw(n), y) for n, y in config.ranking_vintages]

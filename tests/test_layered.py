@@ -165,3 +165,14 @@ def test_layered_job_exports_to_jdbc(spark, tmp_root):
         "matches_clean", "team_performance", "tournament_stats"]
     assert read_jdbc(spark, url, "team_performance", props).count() == spark.read.parquet(
         paths["team_performance"]).count()
+
+
+def test_skipped_optional_source_does_not_reuse_stale_raw_data(spark, tmp_root):
+    with open(f"{tmp_root}/matches.csv", "w") as fh:
+        fh.write(MATCHES)
+    config = LayeredConfig(contests="matches")
+    out = f"{tmp_root}/wh"
+    first = run_layered(spark, [Source("matches", f"{tmp_root}/matches.csv", required=False)], out, config)
+    assert "contests" in first
+    second = run_layered(spark, [Source("matches", f"{tmp_root}/gone.csv", required=False)], out, config)
+    assert "contests" not in second  # the old raw/matches folder is not cleaned again
