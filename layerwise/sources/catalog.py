@@ -100,8 +100,9 @@ def land(
             df.write.mode("overwrite").parquet(target)
         seconds = time.perf_counter() - started
         count = int(observation.get["rows"])
+        source_file = source.options.get("table") or source.path.rsplit("/", 1)[-1]
         rows.append((
-            source.name, source.options.get("table") or source.path.rsplit("/", 1)[-1], stamp, count, DEFAULT_SCHEMA_VERSION,
-            _source_bytes(spark, source), seconds, count / seconds if seconds > 0 else float(count),
+            source.name, source_file, stamp, count, DEFAULT_SCHEMA_VERSION, _source_bytes(spark, source),
+            seconds, count / seconds if seconds > 0 else float(count),
         ))
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)
