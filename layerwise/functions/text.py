@@ -32,7 +32,7 @@ def natural_key(*parts: ColumnOrName, sep: str = KEY_SEPARATOR) -> Column:
 
 def percent_text(c: ColumnOrName, digits: int = 1) -> Column:
     """Probability → ``'70.7%'``.  Decimal arithmetic keeps a trailing ``.0``."""
-    scaled = _col(c).cast(PERCENT_DECIMAL) * F.lit(100)
+    scaled = _col(c).try_cast(PERCENT_DECIMAL) * F.lit(100)
     return F.concat(F.round(scaled, digits).cast("string"), F.lit("%"))
 
 

@@ -200,6 +200,6 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("matches_simulated"),
         percent_text(F.avg("prob_draw")).alias("avg_draw_probability"),
         F.round(
-            F.avg(F.col("expected_goals_home") + F.col("expected_goals_away")).cast("decimal(18,6)"), 2
-        ).cast("decimal(18,2)").alias("avg_expected_goals"),
+            F.avg(F.col("expected_goals_home") + F.col("expected_goals_away")).try_cast("decimal(18,6)"), 2
+        ).try_cast("decimal(18,2)").alias("avg_expected_goals"),
     )
