@@ -219,8 +219,8 @@ def predict_clamped(
     latest = latest_per_key(
         ratings.select(entity, snapshot, rating, goals, matches), entity, snapshot
     ).select(
-        F.col(entity).alias("__key"), F.col(rating).cast("double").alias("__rating"),
-        F.col(goals).cast("double").alias("__goals"), F.col(matches).cast("double").alias("__matches"),
+        F.col(entity).alias("__key"), F.col(rating).try_cast("double").alias("__rating"),
+        F.col(goals).try_cast("double").alias("__goals"), F.col(matches).try_cast("double").alias("__matches"),
     )
     games = schedule.select(
         F.col(match_id).alias("match_id"), F.col(home).alias("home_team"),
