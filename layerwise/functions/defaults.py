@@ -25,7 +25,11 @@ def default_cast_first(c: ColumnOrName, to: str | DataType, default) -> Column:
 
 
 def default_coalesce_first(c: ColumnOrName, to: str | DataType, default) -> Column:
-    return F.coalesce(_col(c), F.lit(default)).try_cast(to)
+    """``try_cast(coalesce(c, default))`` written without mixing the column's type and the
+    default's: under ANSI rules ``coalesce(text, 0)`` would cast the text implicitly and fail
+    on a malformed value instead of giving NULL."""
+    value = _col(c)
+    return F.when(value.isNull(), F.lit(default).try_cast(to)).otherwise(value.try_cast(to))
 
 
 def unknown_if_null(c: ColumnOrName, text: str = UNKNOWN) -> Column:

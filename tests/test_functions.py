@@ -49,6 +49,12 @@ def test_default_order_matters(spark):
     assert [tuple(r) for r in rows] == [(0, None), (0, 0), (7, 7)]
 
 
+def test_coalesce_first_with_numeric_default_on_text(spark):
+    df = spark.createDataFrame([("x",), (None,), ("3",)], "s string")
+    got = [r[0] for r in df.select(default_coalesce_first("s", "int", 0)).collect()]
+    assert got == [None, 0, 3]
+
+
 def test_unknown_default(spark):
     df = spark.createDataFrame([(None,), ("a",)], "v string")
     assert [r[0] for r in df.select(unknown_if_null("v")).collect()] == ["Unknown", "a"]
