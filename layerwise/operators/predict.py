@@ -51,6 +51,12 @@ def _is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, StringType)
 
 
+def _measure(df: DataFrame, name: str, to: str = "double") -> Column:
+    """A numeric input as is; text (an untyped landing) converted tolerantly: malformed → NULL,
+    which the defaults then fill."""
+    return F.col(name).try_cast(to) if _is_text(df, name) else F.col(name)
+
+
 def _name_key(df: DataFrame, name: str, aliases: Mapping[str, str] | None, ci: bool) -> Column:
     if not aliases or not _is_text(df, name):
         return F.col(name)
@@ -78,8 +84,9 @@ def entity_profile(
     per normalised entity (best rank)."""
     rated = ratings.select(
         _name_key(ratings, entity, aliases, False).alias("entity"),
-        F.col(snapshot), F.col(rating).alias("rating"), F.col(goals).alias("goals_for"),
-        F.col(matches).alias("matches_total"), F.col(host).alias("is_host"),
+        (F.col(snapshot).try_cast("date") if _is_text(ratings, snapshot) else F.col(snapshot)).alias(snapshot),
+        _measure(ratings, rating).alias("rating"), _measure(ratings, goals).alias("goals_for"),
+        _measure(ratings, matches).alias("matches_total"), _measure(ratings, host, "int").alias("is_host"),
     )
     latest = latest_per_key(rated, "entity", snapshot).drop(snapshot)
     if ranks is None:

@@ -176,3 +176,16 @@ def test_skipped_optional_source_does_not_reuse_stale_raw_data(spark, tmp_root):
     assert "contests" in first
     second = run_layered(spark, [Source("matches", f"{tmp_root}/gone.csv", required=False)], out, config)
     assert "contests" not in second  # the old raw/matches folder is not cleaned again
+
+
+def test_predictions_from_untyped_ratings(spark, tmp_root):
+    from layerwise.operators.predict import predict
+
+    with open(f"{tmp_root}/ratings.csv", "w") as fh:
+        fh.write(RATINGS + "Delta,2026-06-01,not-a-number,1,1,0\n")
+    untyped = spark.read.option("header", True).csv(f"{tmp_root}/ratings.csv")
+    schedule = spark.createDataFrame([("m1", "Alpha", "Beta", None), ("m2", "Delta", "Beta", None)],
+                                     "match_id string, home_team string, away_team string, match_date date")
+    got = {r.match_id: r for r in predict(schedule, untyped).collect()}
+    assert (got["m1"].prob_home_win, got["m1"].prob_draw, got["m1"].expected_goals_home) == (0.7074, 0.1248, 0.81)
+    assert got["m2"].rating_home == 1500.0  # malformed rating → default
