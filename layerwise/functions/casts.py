@@ -7,9 +7,9 @@ every conversion here goes through ``try_cast`` / ``try_to_date``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StringType
 
 ColumnOrName = Column | str
 
@@ -40,3 +40,11 @@ def parse_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
 def cast_date(c: ColumnOrName) -> Column:
     """Text → date by plain cast (ISO form); malformed text becomes NULL."""
     return _col(c).try_cast("date")
+
+
+def numeric(df: DataFrame, name: str, to: str | DataType = "double") -> Column:
+    """A numeric column as it is; a text column (an untyped landing) converted with
+    ``try_cast`` so that it compares and adds as a number and malformed values become NULL."""
+    if isinstance(df.schema[name].dataType, StringType):
+        return F.col(name).try_cast(to)
+    return F.col(name)

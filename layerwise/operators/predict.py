@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from layerwise.functions.casts import numeric
 from layerwise.functions.elo import (
     DEFAULT_RATING,
     GOALS_DIGITS,
@@ -54,7 +55,7 @@ def _is_text(df: DataFrame, name: str) -> bool:
 def _measure(df: DataFrame, name: str, to: str = "double") -> Column:
     """A numeric input as is; text (an untyped landing) converted tolerantly: malformed → NULL,
     which the defaults then fill."""
-    return F.col(name).try_cast(to) if _is_text(df, name) else F.col(name)
+    return numeric(df, name, to)
 
 
 def _name_key(df: DataFrame, name: str, aliases: Mapping[str, str] | None, ci: bool) -> Column:

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerwise.functions.casts import numeric
+
 
 def _flag(cond: Column) -> Column:
     # NULL scores compare as unknown and count as 0, like CASE WHEN … ELSE 0.
@@ -37,6 +39,11 @@ def two_sided(
             F.col(theirs).alias("goals_conceded"),
         )
 
+    contests = contests.select(
+        F.col(season), F.col(home), F.col(away),
+        numeric(contests, home_score, "int").alias(home_score),
+        numeric(contests, away_score, "int").alias(away_score),
+    )
     sides = contests.select(
         F.col(season),
         F.inline(F.array(side(home, home_score, away_score), side(away, away_score, home_score))),
@@ -57,7 +64,7 @@ def rank_average(
     ranks: DataFrame, team: str = "country", season: str = "year", rank: str = "rank"
 ) -> DataFrame:
     """Mean rank per (team, season)."""
-    return ranks.groupBy(team, season).agg(F.avg(rank).alias("avg_rank"))
+    return ranks.groupBy(team, season).agg(F.avg(numeric(ranks, rank)).alias("avg_rank"))
 
 
 def standings(
@@ -112,7 +119,7 @@ def season_stats(
 ) -> DataFrame:
     """Per season: contests, goals (sum(h) + sum(a), so a NULL on one side does not hide the
     other), mean and max goals per contest, home wins, away wins and draws."""
-    h, a = F.col(home_score), F.col(away_score)
+    h, a = numeric(contests, home_score, "int"), numeric(contests, away_score, "int")
     return contests.groupBy(season).agg(
         F.count(F.lit(1)).alias("total_matches"),
         (F.sum(h) + F.sum(a)).alias("total_goals"),

@@ -325,3 +325,13 @@ def test_attach_ranks_matches_prediction_ranks(spark):
     got = rows(attach_ranks(schedule, ranks, rank_entity="entity").select("match_id", "home_rank", "away_rank"),
                "match_id")
     assert got == expected
+
+
+def test_standings_on_text_scores_compare_numerically(spark):
+    contests = spark.createDataFrame([("A", "B", "2001", "10", "9"), ("A", "B", "2001", "x", "1")],
+                                     "home_team string, away_team string, year string, home_score string, "
+                                     "away_score string")
+    got = {r.team: r for r in standings.standings(contests).collect()}
+    assert (got["A"].wins, got["A"].losses, got["A"].goals_scored) == (1, 0, 10)  # 10 > 9; 'x' → NULL
+    stats = standings.season_stats(contests).collect()[0]
+    assert (stats.home_wins, stats.total_goals) == (1, 20)
