@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerwise.functions.casts import numeric
 from layerwise.functions.dates import year_start
 from layerwise.functions.text import percent_text, score_text
 from layerwise.operators.snapshots import at_global_max
@@ -159,7 +160,7 @@ def top_ratings(
     """Best ``n`` ratings at the global latest snapshot."""
     return (
         at_global_max(ratings, snapshot)
-        .select(entity, rating)
+        .select(entity, numeric(ratings, rating).alias(rating))
         .orderBy(F.col(rating).desc_nulls_first(), F.col(entity).asc_nulls_last())
         .limit(n)
     )
@@ -173,7 +174,7 @@ def rating_by_group(
     return (
         at_global_max(ratings, snapshot)
         .groupBy(group)
-        .agg(F.round(F.avg(rating)).alias("avg_rating"))
+        .agg(F.round(F.avg(numeric(ratings, rating))).alias("avg_rating"))
         .orderBy(F.col("avg_rating").desc_nulls_first(), F.col(group).asc_nulls_last())
     )
 

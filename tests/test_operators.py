@@ -335,3 +335,11 @@ def test_standings_on_text_scores_compare_numerically(spark):
     assert (got["A"].wins, got["A"].losses, got["A"].goals_scored) == (1, 0, 10)  # 10 > 9; 'x' → NULL
     stats = standings.season_stats(contests).collect()[0]
     assert (stats.home_wins, stats.total_goals) == (1, 20)
+
+
+def test_rating_reports_on_text_ratings(spark):
+    df = spark.createDataFrame([("a", "2026-01-02", "900", "g"), ("b", "2026-01-02", "1500", "g"),
+                                ("c", "2026-01-01", "2000", "h")],
+                               "country string, snapshot_date string, rating string, confederation string")
+    assert [r.country for r in serving.top_ratings(df, 2).collect()] == ["b", "a"]  # numeric order
+    assert [(r.confederation, r.avg_rating) for r in serving.rating_by_group(df).collect()] == [("g", 1200.0)]
