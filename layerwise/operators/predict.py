@@ -344,7 +344,9 @@ def pair_probabilities(
     ``pairs`` whose two (different) entities both appear at the global latest snapshot.
 
     Expected goals use true division (goals / NULLIF(matches, 0)) · (rating ratio)."""
-    latest = at_global_max(ratings, snapshot).select(entity, rating, goals, matches)
+    latest = at_global_max(ratings, snapshot).select(
+        entity, _measure(ratings, rating).alias(rating), _measure(ratings, goals).alias(goals),
+        _measure(ratings, matches).alias(matches))
 
     def side(tag: str) -> DataFrame:
         return latest.select(

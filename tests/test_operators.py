@@ -343,3 +343,12 @@ def test_rating_reports_on_text_ratings(spark):
                                "country string, snapshot_date string, rating string, confederation string")
     assert [r.country for r in serving.top_ratings(df, 2).collect()] == ["b", "a"]  # numeric order
     assert [(r.confederation, r.avg_rating) for r in serving.rating_by_group(df).collect()] == [("g", 1200.0)]
+
+
+def test_pair_probabilities_on_text_ratings(spark):
+    ratings = spark.createDataFrame([("a", "2026-01-02", "1600", "10", "5"), ("b", "2026-01-02", "1400", "4", "0")],
+                                    "country string, snapshot_date string, rating string, goals_for string, "
+                                    "matches_total string")
+    pairs = spark.createDataFrame([("a", "b")], "team_a string, team_b string")
+    r = pair_probabilities(pairs, ratings).collect()[0]
+    assert abs(r.prob_a_win - 1 / (1 + 10 ** (-200 / 400))) < 1e-12 and r.expected_goals_b is None
