@@ -40,7 +40,9 @@ def dedup(
     """One row per key; the first by ``order`` (default: every other column, ascending,
     NULLs first).  NULL key values form one group, as in ``dropDuplicates``."""
     keys = _keys(key)
-    window = Window.partitionBy(*keys).orderBy(*(order or tie_break_order(df, keys)))
+    # with no other column every row of a key is identical: any order will do
+    ordering = order or tie_break_order(df, keys) or [F.col(k) for k in keys]
+    window = Window.partitionBy(*keys).orderBy(*ordering)
     return df.withColumn(_RN, F.row_number().over(window)).filter(F.col(_RN) == 1).drop(_RN)
 
 

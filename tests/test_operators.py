@@ -37,6 +37,11 @@ def test_dedup_keeps_first_by_other_columns_and_groups_null_keys(spark):
     assert (report.total_rows, report.distinct_keys, report.duplicate_count) == (6, 3, 3)
 
 
+def test_dedup_on_every_column_is_distinct(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "k int")
+    assert sorted(rows(dd.dedup(df, "k")), key=str) == sorted([(1,), (2,), (None,)], key=str)
+
+
 def test_dedup_report_matches_dedup(spark):
     contests = fx.contests(spark, SF_SMALL)
     report = dd.dedup_report(contests, "contest_id").collect()[0]
