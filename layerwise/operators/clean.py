@@ -34,6 +34,7 @@ CONTEST_STAGE_COLUMNS = ("Round", "stage")
 CONTEST_ATTENDANCE_COLUMNS = ("Attendance", "attendance")
 CONTEST_VENUE_COLUMNS = ("Venue", "stadium")
 DATE_FORMAT = "yyyy-MM-dd"
+CONTEST_REQUIRED = ("home_team", "away_team", "home_score", "away_score")
 
 RANKING_COLUMNS = ["rank", "country", "points", "year"]
 RANKING_KEY = ["country", "year"]
@@ -155,12 +156,23 @@ def clean_schedule(schedule: DataFrame, **names: str) -> DataFrame:
     return keep_one(schedule_rows(schedule, **names), SCHEDULE_KEY, SCHEDULE_COLUMNS).select(*SCHEDULE_COLUMNS)
 
 
+def _optional(df: DataFrame, candidates: Sequence[str]) -> Column:
+    """First existing alternative, or a NULL text column when the source has none of them."""
+    present = [c for c in candidates if c in df.columns]
+    return F.col(present[0]) if present else F.lit(None).cast("string")
+
+
 def contest_rows(contests: DataFrame) -> DataFrame:
+    missing = [c for c in CONTEST_REQUIRED if c not in contests.columns]
+    missing += [alts[0] for alts in (CONTEST_DATE_COLUMNS, CONTEST_YEAR_COLUMNS)
+                if not any(a in contests.columns for a in alts)]
+    if missing:
+        raise ValueError(f"contest source lacks required columns {missing}")
     date = first_existing(contests, CONTEST_DATE_COLUMNS)
     year = first_existing(contests, CONTEST_YEAR_COLUMNS)
-    stage = first_existing(contests, CONTEST_STAGE_COLUMNS)
-    attendance = first_existing(contests, CONTEST_ATTENDANCE_COLUMNS)
-    venue = first_existing(contests, CONTEST_VENUE_COLUMNS)
+    stage = _optional(contests, CONTEST_STAGE_COLUMNS)
+    attendance = _optional(contests, CONTEST_ATTENDANCE_COLUMNS)
+    venue = _optional(contests, CONTEST_VENUE_COLUMNS)
     home = unknown_if_null("home_team")
     away = unknown_if_null("away_team")
     year_int = safe_cast(year, "int")

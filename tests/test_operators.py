@@ -357,3 +357,16 @@ def test_pair_probabilities_on_text_ratings(spark):
     pairs = spark.createDataFrame([("a", "b")], "team_a string, team_b string")
     r = pair_probabilities(pairs, ratings).collect()[0]
     assert abs(r.prob_a_win - 1 / (1 + 10 ** (-200 / 400))) < 1e-12 and r.expected_goals_b is None
+
+
+def test_contest_cleaning_optional_and_required_columns(spark):
+    from layerwise.operators.clean import clean_contests
+
+    minimal = spark.createDataFrame([("2018-06-14", "2018", "A", "B", "2", "1")],
+                                    "match_date string, year string, home_team string, away_team string, "
+                                    "home_score string, away_score string")
+    r = clean_contests(minimal).collect()[0]
+    assert (r.match_id, r.year, r.stage, r.stadium, r.city, r.attendance, r.home_score) == (
+        "2018-06-14_A_B", 2018, "Unknown", "Unknown", "Unknown", 0, 2)
+    with pytest.raises(ValueError):
+        clean_contests(minimal.drop("home_score"))
