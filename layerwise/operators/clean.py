@@ -71,6 +71,18 @@ def keep_one(rows: DataFrame, key: str | Sequence[str], columns: Sequence[str])
     return dedup(rows, keys, order=order)
 
 
+def require_key(df: DataFrame, columns: Sequence[str], what: str) -> None:
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{what} source lacks required columns {missing}")
+
+
+def _optional(df: DataFrame, candidates: Sequence[str]) -> Column:
+    """First existing alternative, or a NULL text column when the source has none of them."""
+    present = [c for c in candidates if c in df.columns]
+    return F.col(present[0]) if present else F.lit(None).cast("string")
+
+
 def standardise_rankings(vintage: DataFrame, year: int) -> DataFrame:
     """One ranking vintage: integer rank, points truncated to int, trimmed name, year tag."""
     name = first_existing(vintage, NAME_COLUMNS)
@@ -107,18 +119,20 @@ def history_rows(
     runner_up: str = "Runner-Up",
     matches: str = "Matches",
 ) -> DataFrame:
+    require_key(history, [year], "history")
+    matches_col = _optional(history, [matches])
     year_int = safe_cast(year, "int")
-    matches_int = safe_cast(matches, "int")
+    matches_int = safe_cast(matches_col, "int")
     return history.select(
         year_int.alias("year"),
-        unknown_if_null(host).alias("host_country"),
-        unknown_if_null(winner).alias("winner"),
-        unknown_if_null(runner_up).alias("runner_up"),
+        unknown_if_null(_optional(history, [host])).alias("host_country"),
+        unknown_if_null(_optional(history, [winner])).alias("winner"),
+        unknown_if_null(_optional(history, [runner_up])).alias("runner_up"),
         F.lit(None).cast("string").alias("third_place"),
         F.lit(None).cast("string").alias("fourth_place"),
         F.lit(None).cast("int").alias("goals_scored"),
-        default_cast_first(matches, "int", 0).alias("matches_played"),
-        _invalid((F.col(year), year_int), (F.col(matches), matches_int)),
+        default_cast_first(matches_col, "int", 0).alias("matches_played"),
+        _invalid((F.col(year), year_int), (matches_col, matches_int)),
     )
 
 
@@ -136,11 +150,12 @@ def schedule_rows(
     home: str = "home_team",
     away: str = "away_team",
 ) -> DataFrame:
+    require_key(schedule, [date, home, away], "schedule")
     match_date = parse_date(date, DATE_FORMAT)
     return schedule.select(
         natural_key(date, home, away).alias("match_id"),
         match_date.alias("match_date"),
-        unknown_if_null(stage).alias("stage"),
+        unknown_if_null(_optional(schedule, [stage])).alias("stage"),
         F.lit(TO_BE_DECIDED).alias("group_name"),
         F.col(home).alias("home_team"),
         F.col(away).alias("away_team"),
@@ -156,18 +171,11 @@ def clean_schedule(schedule: DataFrame, **names: str) -> DataFrame:
     return keep_one(schedule_rows(schedule, **names), SCHEDULE_KEY, SCHEDULE_COLUMNS).select(*SCHEDULE_COLUMNS)
 
 
-def _optional(df: DataFrame, candidates: Sequence[str]) -> Column:
-    """First existing alternative, or a NULL text column when the source has none of them."""
-    present = [c for c in candidates if c in df.columns]
-    return F.col(present[0]) if present else F.lit(None).cast("string")
-
-
 def contest_rows(contests: DataFrame) -> DataFrame:
-    missing = [c for c in CONTEST_REQUIRED if c not in contests.columns]
-    missing += [alts[0] for alts in (CONTEST_DATE_COLUMNS, CONTEST_YEAR_COLUMNS)
-                if not any(a in contests.columns for a in alts)]
-    if missing:
-        raise ValueError(f"contest source lacks required columns {missing}")
+    require_key(contests, list(CONTEST_REQUIRED), "contest")
+    for alternatives in (CONTEST_DATE_COLUMNS, CONTEST_YEAR_COLUMNS):
+        if not any(a in contests.columns for a in alternatives):
+            raise ValueError(f"contest source lacks required columns {[alternatives[0]]}")
     date = first_existing(contests, CONTEST_DATE_COLUMNS)
     year = first_existing(contests, CONTEST_YEAR_COLUMNS)
     stage = _optional(contests, CONTEST_STAGE_COLUMNS)

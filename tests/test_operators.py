@@ -370,3 +370,15 @@ def test_contest_cleaning_optional_and_required_columns(spark):
         "2018-06-14_A_B", 2018, "Unknown", "Unknown", "Unknown", 0, 2)
     with pytest.raises(ValueError):
         clean_contests(minimal.drop("home_score"))
+
+
+def test_schedule_and_history_optional_columns(spark):
+    from layerwise.operators.clean import clean_history, clean_schedule
+
+    sched = spark.createDataFrame([("2026-06-11", "A", "B")], "Date string, home_team string, away_team string")
+    assert clean_schedule(sched).collect()[0].stage == "Unknown"
+    hist = spark.createDataFrame([("2018",)], "Year string")
+    r = clean_history(hist).collect()[0]
+    assert (r.year, r.host_country, r.winner, r.matches_played) == (2018, "Unknown", "Unknown", 0)
+    with pytest.raises(ValueError):
+        clean_schedule(sched.drop("Date"))
