@@ -145,9 +145,11 @@ def run_layered(
     contests, rankings = read_clean("contests"), read_clean("rankings")
     if contests is not None:
         paths["team_performance"] = f"{gold}/{config.name('team_performance')}"
-        standings(contests, rankings, season="year", team="team", rank_team="country",
-                  rank_season="year") \
-            .write.mode("overwrite").parquet(paths["team_performance"])
+        table = standings(contests, rankings, season="year", team="team", rank_team="country",
+                          rank_season="year")
+        if rankings is None:  # the aggregate table keeps its schema without a ranking source
+            table = table.withColumn("avg_rank", F.lit(None).cast("double"))
+        table.write.mode("overwrite").parquet(paths["team_performance"])
         paths["tournament_stats"] = f"{gold}/{config.name('tournament_stats')}"
         season_stats(contests, season="year").write.mode("overwrite").parquet(paths["tournament_stats"])
 

@@ -143,6 +143,8 @@ def test_layered_job_from_json_config(spark, tmp_root):
     assert [q["table_name"] for q in report["quality"]] == ["contests"]
     assert report["quality"][0]["total_records"] == 3
     assert all(c["passed"] for c in report["checks"])
+    gold = spark.read.parquet(report["paths"]["team_performance"])
+    assert gold.columns[-1] == "avg_rank" and register_views(spark, report["paths"])
 
 
 def test_layered_job_exports_to_jdbc(spark, tmp_root):
