@@ -382,3 +382,12 @@ def test_schedule_and_history_optional_columns(spark):
     assert (r.year, r.host_country, r.winner, r.matches_played) == (2018, "Unknown", "Unknown", 0)
     with pytest.raises(ValueError):
         clean_schedule(sched.drop("Date"))
+
+
+def test_upsert_composite_key(spark):
+    current = spark.createDataFrame([("a", 2022, 1, "x"), ("a", 2026, 2, "y")], "c string, y int, r int, note string")
+    incoming = spark.createDataFrame([("a", 2026, 5, None), ("b", 2026, 7, "z")], "c string, y int, r int, note string")
+    merged = upsert.upsert(current, incoming, ["c", "y"], update=["r"])
+    assert rows(merged, "c", "y") == [("a", 2022, 1, "x"), ("a", 2026, 5, "y"), ("b", 2026, 7, "z")]
+    replaced = upsert.upsert(current, incoming, ["c", "y"])
+    assert rows(replaced, "c", "y") == [("a", 2022, 1, "x"), ("a", 2026, 5, None), ("b", 2026, 7, "z")]
