@@ -150,3 +150,10 @@ def test_prediction_equal_ratings_is_draw(spark):
 
 def test_zero_matches_gives_null_expected_goals(spark):
     assert _predict_row(spark, 1600, 1500, 5, 0, 1, 1).xh is None
+
+
+def test_normalise_with_alias_table(spark):
+    aliases = spark.createDataFrame([("Türkiye", "Turkey")], "alias string, canonical string")
+    df = spark.createDataFrame([("Türkiye",), ("Chile",), (None,)], "n string")
+    got = sorted((r.m for r in normalise_column(df, "n", aliases, out="m").collect()), key=str)
+    assert got == sorted(["Turkey", "Chile", None], key=str)

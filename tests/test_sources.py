@@ -104,3 +104,10 @@ def test_land_keeping_schema(spark, tmp_root):
     landed = spark.read.parquet(f"{tmp_root}/raw/r")
     assert manifest[0].row_count == 2 and landed.columns == ["country", "rating"]
     assert dict(landed.dtypes)["rating"] == "bigint" and landed.count() == 2
+
+
+def test_land_parquet_source(spark, tmp_root):
+    spark.range(5).write.parquet(f"{tmp_root}/src.parquet")
+    manifest = land(spark, [Source("nums", f"{tmp_root}/src.parquet", fmt="parquet")], f"{tmp_root}/raw").collect()
+    assert (manifest[0].row_count, manifest[0].source_file) == (5, "src.parquet")
+    assert spark.read.parquet(f"{tmp_root}/raw/nums").count() == 5
