@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import slots, token_counts, warc
+from . import idcoder, packing, slots, token_counts, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -19,6 +19,10 @@ def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op2_exact_complements(spark: SparkSession, root: str) -> DataFrame:
+    return packing.pack(_table(spark, root, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
 def op3_token_counts(spark: SparkSession, root: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, root, "documents"), _tokenizer("piece_bpe_32k.model"))
 
@@ -31,6 +35,10 @@ def op9_virtual_slots(spark: SparkSession, root: str) -> DataFrame:
     return slots.sharded(_table(spark, root, "documents"))
 
 
+def op10_mixed_ids(spark: SparkSession, root: str) -> DataFrame:
+    return idcoder.round_trip(_table(spark, root, "documents"), _tokenizer("byte_bpe_50k.json"), 50_257)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_counts, op4_warc_archive, op9_virtual_slots)
+    f.__name__: f for f in (op2_exact_complements, op3_token_counts, op4_warc_archive, op9_virtual_slots, op10_mixed_ids)
 }
