@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idcoder, packing, slots, spaced_seed, token_counts, warc
+from . import idcoder, packing, pii, slots, spaced_seed, token_counts, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -35,6 +35,10 @@ def op7_spaced_seeds(spark: SparkSession, root: str) -> DataFrame:
     return spaced_seed.contaminated(_table(spark, root, "documents"), _table(spark, root, "benchmark"))
 
 
+def op8_boosted_candidates(spark: SparkSession, root: str) -> DataFrame:
+    return pii.digest(_table(spark, root, "documents"))
+
+
 def op9_virtual_slots(spark: SparkSession, root: str) -> DataFrame:
     return slots.sharded(_table(spark, root, "documents"))
 
@@ -44,5 +48,5 @@ def op10_mixed_ids(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_complements, op3_token_counts, op4_warc_archive, op7_spaced_seeds, op9_virtual_slots, op10_mixed_ids)
+    f.__name__: f for f in (op2_exact_complements, op3_token_counts, op4_warc_archive, op7_spaced_seeds, op8_boosted_candidates, op9_virtual_slots, op10_mixed_ids)
 }
