@@ -12,6 +12,27 @@ from pyspark.sql import functions as F
 
 from .shared import stored
 
+#: Ids given to classes without an id of their own start here; ids of rows are smaller.
+UNNAMED = 1 << 62
+
+
+def with_nodes(classes: DataFrame, key: str) -> DataFrame:
+    """``classes`` with ``node``: ``least``, the smallest id in the class, or a number made from its
+    ``key`` where no row of it has an id or another class has the same smallest one."""
+    shared = classes.groupBy("least").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and least is not null") \
+        .select("least", F.lit(True).alias("shared"))
+    own = F.lit(UNNAMED) + (F.shiftright(F.xxhash64(key), 3) % (1 << 60)) + (1 << 60)
+    return classes.join(shared, "least", "left").withColumn("node", F.when(
+        F.col("least").isNull() | F.col("shared"), own).otherwise(F.col("least"))).drop("shared")
+
+
+def named(classes: DataFrame, linked: DataFrame, key: str) -> DataFrame:
+    """``key, component, name`` of every class: ``name`` is the smallest id in its component, or null."""
+    placed = classes.select(key, "node", "least").join(linked, "node", "left") \
+        .withColumn("component", F.coalesce("component", "node"))
+    names = placed.groupBy("component").agg(F.min("least").alias("name"))
+    return placed.select(key, "component").join(names, "component")
+
 
 def _pull(edges: DataFrame) -> DataFrame:
     """Large star: every larger neighbour of a node is linked to the smallest of the node and its neighbours."""

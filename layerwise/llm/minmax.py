@@ -30,15 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, named, with_nodes
 from .shared import slices, stored, whole_text
 
 BAND = 6
 MISS = 1e-6
 #: How far below the threshold the signatures' estimate must be for a pair to be dropped untested.
 SLACK = 0.2
-#: Ids given to classes without any document id start here; document ids are smaller.
-UNNAMED = 1 << 62
 _WORDS_KEPT = 500_000
 _U = np.uint64
 
@@ -203,11 +201,7 @@ def _classes(table: DataFrame) -> DataFrame:
     """One row per distinct set: ``node`` (its smallest document id where that names no other class)."""
     classes = table.filter("n_shingles > 0").groupBy("print").agg(
         F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("text_md5", "n_shingles", "signature", "bands")])
-    shared = classes.groupBy("least").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and least is not null") \
-        .select("least", F.lit(True).alias("shared"))
-    own = F.lit(UNNAMED) + (F.shiftright(F.xxhash64("print"), 3) % (1 << 60)) + (1 << 60)
-    return classes.join(shared, "least", "left").withColumn("node", F.when(
-        F.col("least").isNull() | F.col("shared"), own).otherwise(F.col("least"))).drop("shared")
+    return with_nodes(classes, "print")
 
 
 def classify(docs: DataFrame, *, size: int, percent: int) -> DataFrame:
@@ -219,11 +213,7 @@ def classify(docs: DataFrame, *, size: int, percent: int) -> DataFrame:
     table = stored(sketches(docs, size, percent / 100), "sketches")
     classes = stored(_classes(table), "classes")
     linked = _linked(docs, classes, size, percent)
-    placed = classes.select("print", "node", "least").join(linked, "node", "left") \
-        .withColumn("component", F.coalesce("component", "node"))
-    names = placed.groupBy("component").agg(F.min("least").alias("name"))
-    placed = placed.select("print", "component").join(names, "component")
-    out = table.select("doc_id", "text_md5", "n_shingles", "print").join(placed, "print", "left")
+    out = table.select("doc_id", "text_md5", "n_shingles", "print").join(named(classes, linked, "print"), "print", "left")
     return out.select("doc_id", "text_md5", "n_shingles", "component", F.when(
         F.col("n_shingles") > 0, F.col("name")).otherwise(F.col("doc_id")).alias("component_id")) \
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idcoder, minmax, packing, pii, slots, spaced_seed, token_counts, warc
+from . import idcoder, minmax, packing, pii, rotcodes, slots, spaced_seed, token_counts, warc
 
 
 def _tokenizer(name: str) -> str:
@@ -35,6 +35,10 @@ def op5_min_max_hashing(spark: SparkSession, root: str) -> DataFrame:
     return minmax.near_copies(_table(spark, root, "documents"))
 
 
+def op6_rotation_codes(spark: SparkSession, root: str) -> DataFrame:
+    return rotcodes.near_vectors(_table(spark, root, "embeddings"))
+
+
 def op7_spaced_seeds(spark: SparkSession, root: str) -> DataFrame:
     return spaced_seed.contaminated(_table(spark, root, "documents"), _table(spark, root, "benchmark"))
 
@@ -52,5 +56,5 @@ def op10_mixed_ids(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_complements, op3_token_counts, op4_warc_archive, op5_min_max_hashing, op7_spaced_seeds, op8_boosted_candidates, op9_virtual_slots, op10_mixed_ids)
+    f.__name__: f for f in (op2_exact_complements, op3_token_counts, op4_warc_archive, op5_min_max_hashing, op6_rotation_codes, op7_spaced_seeds, op8_boosted_candidates, op9_virtual_slots, op10_mixed_ids)
 }
