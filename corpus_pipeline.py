@@ -8,9 +8,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from layerwise.llm import minmax, packing, pii, spaced_seed, toxicity
+from layerwise.llm.queries import tokenizer
 from layerwise.llm.shared import stored
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is under the cut; the model is trained on labelled ones among them."""
+    return toxicity.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a Jaccard similarity of 0.8 on five-word shingles."""
+    return minmax.deduplicated(docs, size=5, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap no benchmark item."""
+    return spaced_seed.without_overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced by its kind."""
+    return pii.redact(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in the packed sequences."""
+    return packing.pack(docs, tokenizer("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("personal_data", redact_personal_data),
+    ("packing", pack_sequences),
+]
 
 #: Several stages (a trained score, verified near copies, packing) have no SQL form.
 ORACLE_SQL = None

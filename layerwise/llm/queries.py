@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import idcoder, minmax, packing, pii, rotcodes, slots, spaced_seed, token_counts, warc
+from . import idcoder, minmax, packing, pii, rotcodes, slots, spaced_seed, token_counts, toxicity, warc
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -19,12 +19,17 @@ def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op1_sentence_bags(spark: SparkSession, root: str) -> DataFrame:
+    docs = _table(spark, root, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, root, "labels")))
+
+
 def op2_exact_complements(spark: SparkSession, root: str) -> DataFrame:
-    return packing.pack(_table(spark, root, "documents"), _tokenizer("word_bpe_49k.json"))
+    return packing.pack(_table(spark, root, "documents"), tokenizer("word_bpe_49k.json"))
 
 
 def op3_token_counts(spark: SparkSession, root: str) -> DataFrame:
-    return token_counts.token_counts(_table(spark, root, "documents"), _tokenizer("piece_bpe_32k.model"))
+    return token_counts.token_counts(_table(spark, root, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
 def op4_warc_archive(spark: SparkSession, root: str) -> DataFrame:
@@ -52,9 +57,11 @@ def op9_virtual_slots(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op10_mixed_ids(spark: SparkSession, root: str) -> DataFrame:
-    return idcoder.round_trip(_table(spark, root, "documents"), _tokenizer("byte_bpe_50k.json"), 50_257)
+    return idcoder.round_trip(_table(spark, root, "documents"), tokenizer("byte_bpe_50k.json"), 50_257)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_complements, op3_token_counts, op4_warc_archive, op5_min_max_hashing, op6_rotation_codes, op7_spaced_seeds, op8_boosted_candidates, op9_virtual_slots, op10_mixed_ids)
+    query.__name__: query for query in (
+        op1_sentence_bags, op2_exact_complements, op3_token_counts, op4_warc_archive, op5_min_max_hashing,
+        op6_rotation_codes, op7_spaced_seeds, op8_boosted_candidates, op9_virtual_slots, op10_mixed_ids)
 }
