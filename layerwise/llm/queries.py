@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import idcoder, minmax, packing, pii, rotcodes, slots, spaced_seed, token_counts, toxicity, warc
 
@@ -45,7 +46,8 @@ def op6_rotation_codes(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op7_spaced_seeds(spark: SparkSession, root: str) -> DataFrame:
-    return spaced_seed.contaminated(_table(spark, root, "documents"), _table(spark, root, "benchmark"))
+    found = spaced_seed.contaminated(_table(spark, root, "documents"), _table(spark, root, "benchmark"))
+    return found.select("doc_id", F.array_join(F.col("item_ids").cast("array<string>"), ",").alias("item_ids"), "matched")
 
 
 def op8_boosted_candidates(spark: SparkSession, root: str) -> DataFrame:
