@@ -14,7 +14,8 @@ bounds what is broadcast however large the benchmark is: a larger one takes more
 documents.  Windows are hashed and looked up inside the scan; only hits are shuffled.
 
 Null and empty texts overlap nothing.  Items of fewer than ``LEAST_WORDS`` words are not searched;
-items shorter than the masks are found by all their words in a row.  Equal items are reported under
+those shorter than the masks are found where they lie whole in the document with at most one word
+substituted.  Equal items are reported under
 the smallest ``item_id``.  Documents are told apart by ``doc_id`` and text; repeated rows give one
 result row.  Empty tables give an empty result; other columns are not read.
 """
@@ -67,12 +68,12 @@ def _at(count: Column) -> Column:
 def _seeds(segments: DataFrame, masks: list[str]) -> DataFrame:
     """``seed, item_at, segment``: every window of every segment under every mask it is long enough for.
 
-    A contiguous mask (a short item's) is used for segments of exactly its length.
+    A short item's masks are used for segments of exactly their length.
     """
     parts = []
     size = F.size("item_words")
     for mask in masks:
-        parts.append(segments.filter(size >= len(mask) if "0" in mask else size == len(mask))
+        parts.append(segments.filter(size >= len(mask) if mask in MASKS else size == len(mask))
                      .select("*", _at(size - len(mask) + 1).alias("item_at"))
                      .select(_seed(F.col("item_words"), F.col("item_at"), mask).alias("seed"), "item_at", "segment"))
     return reduce(DataFrame.union, parts)
@@ -96,7 +97,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     segments = stored(_segments(benchmark), "segments")
     lengths = [r[0] for r in segments.select(F.size("item_words").alias("n")).filter(F.col("n") < len(MASKS[0]))
                .distinct().collect()]  # fewer than the masks' span
-    masks = [*MASKS, *("1" * n for n in sorted(lengths))]
+    masks = [*MASKS, *(f"{'1' * i}0{'1' * (n - 1 - i)}" for n in sorted(lengths) for i in range(n))]
     parts = max(1, -(-segments.count() // PART_SEGMENTS))
     windows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("doc_words")) \
         .select("*", _at(F.size("doc_words") - min(map(len, masks)) + 1).alias("at")) \
