@@ -19,7 +19,8 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def safe_cast(c: ColumnOrName, to: str | DataType) -> Column:
-    """Cast, with malformed input becoming NULL instead of an error."""
+    """Cast, with malformed input becoming NULL instead of an error.  Not for numbers written as text:
+    a plain cast takes no decimals, see ``truncating_int``."""
     return _col(c).try_cast(to)
 
 
@@ -32,6 +33,11 @@ def truncating_int(c: ColumnOrName) -> Column:
     return _col(c).try_cast("double").try_cast("int")
 
 
+def converted(c: ColumnOrName, to: str | DataType) -> Column:
+    """``safe_cast``, but a whole number is read from decimal text as well (``'3.0'`` → 3, ``'12.5'`` → 12)."""
+    return truncating_int(c) if to in ("int", "integer") else safe_cast(c, to)
+
+
 def parse_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
     """Text → date with an explicit pattern; text that does not parse becomes NULL."""
     return F.try_to_date(_col(c), fmt)

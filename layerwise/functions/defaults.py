@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from layerwise.functions.casts import _col, ColumnOrName
+from layerwise.functions.casts import _col, ColumnOrName, converted
 
 # The text used for an unknown label, and for a placeholder.
 UNKNOWN = "Unknown"
@@ -21,7 +21,7 @@ TO_BE_DECIDED = "TBD"
 
 
 def default_cast_first(c: ColumnOrName, to: str | DataType, default) -> Column:
-    return F.coalesce(_col(c).try_cast(to), F.lit(default).try_cast(to))
+    return F.coalesce(converted(c, to), F.lit(default).try_cast(to))
 
 
 def default_coalesce_first(c: ColumnOrName, to: str | DataType, default) -> Column:
@@ -29,7 +29,7 @@ def default_coalesce_first(c: ColumnOrName, to: str | DataType, default) -> Colu
     default's: under ANSI rules ``coalesce(text, 0)`` would cast the text implicitly and fail
     on a malformed value instead of giving NULL."""
     value = _col(c)
-    return F.when(value.isNull(), F.lit(default).try_cast(to)).otherwise(value.try_cast(to))
+    return F.when(value.isNull(), F.lit(default).try_cast(to)).otherwise(converted(value, to))
 
 
 def unknown_if_null(c: ColumnOrName, text: str = UNKNOWN) -> Column:

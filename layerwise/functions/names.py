@@ -1,24 +1,22 @@
 """Name normalisation through alias dictionaries.
 
-Small dictionaries become a literal map inside the expression (no join, stays
-in whole-stage codegen).  Dictionaries above ``MAP_LITERAL_LIMIT`` entries, or
-alias tables that are already DataFrames, are applied by a left join; AQE
-broadcasts the alias side only when its measured size is under the threshold.
+A dictionary of any size - a mapping, or a table ``(alias, canonical)`` - becomes an alias table
+with one row per alias, and names meet it in one left join.  The join is left to the planner: an
+alias table under the session's broadcast threshold is broadcast, a larger one is shuffled.
+
+An alias that is listed more than once keeps its first meaning in a mapping and the smallest
+canonical name in a table, so a repeated alias never multiplies rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwise.functions.casts import _col, ColumnOrName
-
-MAP_LITERAL_LIMIT = 200
-
-# Team-name aliases applied to both sides of every name join in
-# the prediction job (unknown names pass through unchanged).
+# Team-name aliases, the one dictionary of all operators (names that are not in it
+# stay as they are).
 TEAM_ALIASES = {
     "United States": "USA",
     "Bosnia-Herzegovina": "Bosnia and Herzegovina",
@@ -29,84 +27,50 @@ TEAM_ALIASES = {
     "South Korea": "Korea Republic",
 }
 
-# Spellings resolved for single-pair rating lookups; matched
-# exactly first, then ignoring case against keys and values.
-RATING_NAME_ALIASES = {
-    "USA": "United States",
-    "United States": "United States",
-    "Korea Republic": "South Korea",
-    "South Korea": "South Korea",
-    "Iran": "IR Iran",
-    "IR Iran": "IR Iran",
-}
+Aliases = Mapping[str, str] | DataFrame
 
 
-def _literal_map(mapping: Mapping[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+def _pairs(spark: SparkSession, aliases: Aliases) -> DataFrame:
+    """``alias, canonical, place``: every entry, ``place`` telling which of several comes first."""
+    if isinstance(aliases, DataFrame):
+        return aliases.select("alias", "canonical", F.col("canonical").alias("place")).filter("alias is not null")
+    rows = [(alias, canonical, i) for i, (alias, canonical) in enumerate(aliases.items())]
+    return spark.createDataFrame(rows, "alias string, canonical string, place long")
 
 
-def normalise(c: ColumnOrName, aliases: Mapping[str, str] = TEAM_ALIASES) -> Column:
-    """Exact alias lookup; names not in the dictionary pass through."""
-    if len(aliases) > MAP_LITERAL_LIMIT:
-        raise ValueError(
-            f"{len(aliases)} aliases: use normalise_column(), which joins instead of inlining"
-        )
-    if not aliases:
-        return _col(c)
-    return F.coalesce(F.try_element_at(_literal_map(aliases), _col(c)), _col(c))
+def alias_table(spark: SparkSession, aliases: Aliases) -> DataFrame:
+    """``__alias, __canonical``: one row per alias."""
+    return _pairs(spark, aliases).groupBy(F.col("alias").alias("__alias")).agg(
+        F.min_by("canonical", "place").alias("__canonical"))
 
 
-def case_insensitive_aliases(aliases: Mapping[str, str]) -> dict[str, str]:
-    """lower(key) and lower(value) → value; the first pair in dictionary order wins."""
-    folded: dict[str, str] = {}
-    for key, value in aliases.items():
-        for spelling in (key, value):
-            folded.setdefault(spelling.lower(), value)
-    return folded
+def folded_alias_table(spark: SparkSession, aliases: Aliases) -> DataFrame:
+    """``__alias, __canonical, __exact``: one row per spelling ignoring case, of aliases and of canonical
+    names; ``__exact`` maps the aliases written in exactly some way to what they mean."""
+    exact = alias_table(spark, aliases).groupBy(F.lower("__alias").alias("__alias")).agg(
+        F.map_from_entries(F.collect_list(F.struct("__alias", "__canonical"))).alias("__exact"))
+    spelled = _pairs(spark, aliases).select(
+        "canonical", F.posexplode(F.array(F.lower("alias"), F.lower("canonical"))).alias("side", "__alias"), "place")
+    return spelled.groupBy("__alias").agg(
+        F.min_by("canonical", F.struct("place", "side")).alias("__canonical")).join(exact, "__alias", "left")
 
 
-def normalise_ci(c: ColumnOrName, aliases: Mapping[str, str] = RATING_NAME_ALIASES) -> Column:
-    """Exact hit, else a case-insensitive hit on keys or values, else pass-through.
+def normalise(df: DataFrame, name: str, aliases: Aliases = TEAM_ALIASES, out: str | None = None) -> DataFrame:
+    """``df`` with ``out`` (default: ``name``): the canonical name of an alias; other names pass through."""
+    joined = df.join(alias_table(df.sparkSession, aliases), F.col(name) == F.col("__alias"), "left")
+    return joined.withColumn(out or name, F.coalesce("__canonical", F.col(name))).drop("__alias", "__canonical")
+
+
+def normalise_ci(df: DataFrame, name: str, aliases: Aliases = TEAM_ALIASES, out: str | None = None) -> DataFrame:
+    """Exact alias, else a match ignoring case on aliases or canonical names, else the name.
 
     NULL and the empty string are returned as they are.
     """
-    name = _col(c)
-    if not aliases:
-        return name
-    exact = F.try_element_at(_literal_map(aliases), name)
-    folded = F.try_element_at(_literal_map(case_insensitive_aliases(aliases)), F.lower(name))
-    return F.when(name.isNull() | (name == F.lit("")), name).otherwise(
-        F.coalesce(exact, folded, name)
-    )
-
-
-def normalise_column(
-    df: DataFrame,
-    name: str,
-    aliases: Mapping[str, str] | DataFrame,
-    out: str | None = None,
-    alias_col: str = "alias",
-    canonical_col: str = "canonical",
-) -> DataFrame:
-    """``normalise`` for any dictionary size: literal map when small, left join otherwise.
-
-    ``aliases`` may be a DataFrame ``(alias, canonical)`` with unique aliases.
-    """
-    out = out or name
-    if not isinstance(aliases, DataFrame) and len(aliases) <= MAP_LITERAL_LIMIT:
-        return df.withColumn(out, normalise(name, aliases))
-    if not isinstance(aliases, DataFrame):
-        spark = SparkSession.active()
-        aliases = spark.createDataFrame(
-            list(aliases.items()), f"{alias_col} string, {canonical_col} string"
-        )
-    lookup = aliases.select(
-        F.col(alias_col).alias("__alias"), F.col(canonical_col).alias("__canonical")
-    )
-    joined = df.join(lookup, df[name] == lookup["__alias"], "left")
-    return joined.withColumn(out, F.coalesce(F.col("__canonical"), F.col(name))).drop(
-        "__alias", "__canonical"
-    )
+    spelled = F.when(F.col(name) != "", F.lower(F.col(name)))
+    joined = df.join(folded_alias_table(df.sparkSession, aliases), spelled == F.col("__alias"), "left")
+    return joined.withColumn(out or name, F.coalesce(
+        F.try_element_at("__exact", F.col(name)), F.col("__canonical"), F.col(name),
+    )).drop("__alias", "__canonical", "__exact")
 
 
 def first_existing(df: DataFrame, candidates: Iterable[str]) -> str:

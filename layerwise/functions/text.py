@@ -17,7 +17,7 @@ SCORE_SEPARATOR = " - "
 
 def first_part(c: ColumnOrName, sep: str = ",") -> Column:
     """Text before the first separator; the whole text when there is none; NULL stays NULL."""
-    return F.split(_col(c), sep).getItem(0)
+    return F.substring_index(_col(c), sep, 1)
 
 
 def after_first_comma(c: ColumnOrName) -> Column:
