@@ -8,7 +8,6 @@ DataFrame; nothing is collected to the driver.  Sub-packages:
   standings, snapshots, predictions, serving queries, cleaning)
 * ``sources``   – CSV / Parquet / JDBC landing and reading, ingest manifest
 * ``plans``     – fixtures over the benchmark tables, the layered job, query catalogue
-* ``streaming`` – notes on (the absence of) streaming semantics
 """
 
 __version__ = "0.1.0"

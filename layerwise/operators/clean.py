@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerwise.functions.casts import parse_date, safe_cast, truncating_int
+from layerwise.functions.casts import parse_date, truncating_int
 from layerwise.functions.defaults import (
     TO_BE_DECIDED,
     UNKNOWN,
@@ -36,6 +36,7 @@ CONTEST_VENUE_COLUMNS = ("Venue", "stadium")
 DATE_FORMAT = "yyyy-MM-dd"
 CONTEST_REQUIRED = ("home_team", "away_team", "home_score", "away_score")
 
+# Columns and keys of the cleaned tables.
 RANKING_COLUMNS = ["rank", "country", "points", "year"]
 RANKING_KEY = ["country", "year"]
 HISTORY_KEY = "year"
@@ -55,6 +56,15 @@ CONTEST_COLUMNS = [
 
 
 INVALID = "__invalid"
+REJECT = "__reject"
+
+# The columns by which rows of one key can differ: what is in the key or constant says nothing.
+CHOICE = {
+    "rankings": ["rank", "points"],
+    "history": ["host_country", "winner", "runner_up", "matches_played"],
+    "schedule": ["stage"],
+    "contests": ["year", "stage", "home_score", "away_score", "stadium", "city", "attendance"],
+}
 
 
 def _invalid(*checks: tuple[Column, Column]) -> Column:
@@ -63,12 +73,24 @@ def _invalid(*checks: tuple[Column, Column]) -> Column:
     return reduce(lambda a, b: a | b, flags, F.lit(False)).alias(INVALID)
 
 
-def keep_one(rows: DataFrame, key: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """De-duplicate typed rows on ``key``; the kept row is the first by the remaining output
-    columns (ascending, NULLs first).  The invalid flag rides along but does not order."""
+def _reject(**parts: Column) -> Column:
+    """Names of the key parts that are missing or did not parse, comma-joined; empty if the key is whole."""
+    return F.concat_ws(",", *[F.when(bad, F.lit(name)) for name, bad in parts.items()]).alias(REJECT)
+
+
+def keep_one(rows: DataFrame, key: str | Sequence[str], choice: Sequence[str]) -> DataFrame:
+    """De-duplicate typed rows on ``key``.  Rows with a value that did not parse come last; the kept
+    row is then the first by the ``choice`` columns (ascending, NULLs last)."""
     keys = [key] if isinstance(key, str) else list(key)
-    order = [F.col(c).asc_nulls_first() for c in columns if c not in keys]
-    return dedup(rows, keys, order=order)
+    return dedup(rows, keys, order=[F.col(INVALID).asc(), *[F.col(c).asc_nulls_last() for c in choice]])
+
+
+def rejects(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Every row with a missing or unparsed key part, and which (``reason``).
+
+    The cleaned table keeps one row per key text, so such rows may stand for one another there;
+    here each of them is listed."""
+    return rows.filter(F.col(REJECT) != "").select(*columns, F.col(REJECT).alias("reason"))
 
 
 def require_key(df: DataFrame, columns: Sequence[str], what: str) -> None:
@@ -86,7 +108,7 @@ def _optional(df: DataFrame, candidates: Sequence[str]) -> Column:
 def standardise_rankings(vintage: DataFrame, year: int) -> DataFrame:
     """One ranking vintage: integer rank, points truncated to int, trimmed name, year tag."""
     name = first_existing(vintage, NAME_COLUMNS)
-    rank = safe_cast("rank", "int")
+    rank = truncating_int("rank")
     points = truncating_int("points")
     return vintage.select(
         rank.alias("rank"),
@@ -94,6 +116,7 @@ def standardise_rankings(vintage: DataFrame, year: int) -> DataFrame:
         points.alias("points"),
         F.lit(year).cast("int").alias("year"),
         _invalid((F.col("rank"), rank), (F.col("points"), points)),
+        _reject(country=F.coalesce(F.trim(F.col(name)) == "", F.lit(True))),
     )
 
 
@@ -107,7 +130,7 @@ def ranking_rows(vintages: Sequence[tuple[DataFrame, int]]) -> DataFrame:
 
 def clean_rankings(vintages: Sequence[tuple[DataFrame, int]]) -> DataFrame:
     """Union of standardised vintages (by column name), one row per (country, year)."""
-    return keep_one(ranking_rows(vintages), RANKING_KEY, RANKING_COLUMNS).select(*RANKING_COLUMNS)
+    return keep_one(ranking_rows(vintages), RANKING_KEY, CHOICE["rankings"]).select(*RANKING_COLUMNS)
 
 
 def history_rows(
@@ -121,8 +144,8 @@ def history_rows(
 ) -> DataFrame:
     require_key(history, [year], "history")
     matches_col = _optional(history, [matches])
-    year_int = safe_cast(year, "int")
-    matches_int = safe_cast(matches_col, "int")
+    year_int = truncating_int(year)
+    matches_int = truncating_int(matches_col)
     return history.select(
         year_int.alias("year"),
         unknown_if_null(_optional(history, [host])).alias("host_country"),
@@ -133,13 +156,14 @@ def history_rows(
         F.lit(None).cast("int").alias("goals_scored"),
         default_cast_first(matches_col, "int", 0).alias("matches_played"),
         _invalid((F.col(year), year_int), (matches_col, matches_int)),
+        _reject(year=year_int.isNull()),
     )
 
 
 def clean_history(history: DataFrame, **names: str) -> DataFrame:
     """Season history: unknown labels become ``'Unknown'``, columns the source lacks are
     typed NULLs, matches default to 0 (malformed included), one row per year."""
-    return keep_one(history_rows(history, **names), HISTORY_KEY, HISTORY_COLUMNS).select(*HISTORY_COLUMNS)
+    return keep_one(history_rows(history, **names), HISTORY_KEY, CHOICE["history"]).select(*HISTORY_COLUMNS)
 
 
 def schedule_rows(
@@ -162,13 +186,14 @@ def schedule_rows(
         F.lit(TO_BE_DECIDED).alias("stadium"),
         F.lit(TO_BE_DECIDED).alias("city"),
         _invalid((F.col(date), match_date)),
+        _reject(date=match_date.isNull(), home_team=F.col(home).isNull(), away_team=F.col(away).isNull()),
     )
 
 
 def clean_schedule(schedule: DataFrame, **names: str) -> DataFrame:
     """Fixture list: parsed date, stage default, placeholders for unknown venue and group,
     key ``date_home_away`` built from the raw text, one row per key."""
-    return keep_one(schedule_rows(schedule, **names), SCHEDULE_KEY, SCHEDULE_COLUMNS).select(*SCHEDULE_COLUMNS)
+    return keep_one(schedule_rows(schedule, **names), SCHEDULE_KEY, CHOICE["schedule"]).select(*SCHEDULE_COLUMNS)
 
 
 def contest_rows(contests: DataFrame) -> DataFrame:
@@ -183,7 +208,7 @@ def contest_rows(contests: DataFrame) -> DataFrame:
     venue = _optional(contests, CONTEST_VENUE_COLUMNS)
     home = unknown_if_null("home_team")
     away = unknown_if_null("away_team")
-    year_int = safe_cast(year, "int")
+    year_int = truncating_int(year)
     match_date = parse_date(date, DATE_FORMAT)
     return contests.select(
         natural_key(F.col(date), home, away).alias("match_id"),
@@ -199,6 +224,8 @@ def contest_rows(contests: DataFrame) -> DataFrame:
         F.coalesce(after_first_comma(venue), F.lit(UNKNOWN)).alias("city"),
         default_coalesce_first(attendance, "int", 0).alias("attendance"),
         _invalid((F.col(date), match_date), (F.col(year), year_int)),
+        _reject(date=match_date.isNull(), home_team=F.col("home_team").isNull(),
+                away_team=F.col("away_team").isNull()),
     )
 
 
@@ -206,4 +233,4 @@ def clean_contests(contests: DataFrame) -> DataFrame:
     """Played contests: alternative raw column names, tolerant casts, defaults, venue split
     into stadium and city (both read from the original venue text), key
     ``date_home_away`` with defaulted team names, one row per key."""
-    return keep_one(contest_rows(contests), CONTEST_KEY, CONTEST_COLUMNS).select(*CONTEST_COLUMNS)
+    return keep_one(contest_rows(contests), CONTEST_KEY, CHOICE["contests"]).select(*CONTEST_COLUMNS)

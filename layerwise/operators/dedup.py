@@ -31,14 +31,14 @@ def _orderable(df: DataFrame, names: Sequence[str]) -> list[str]:
 def tie_break_order(df: DataFrame, key: str | Sequence[str]) -> list[Column]:
     keys = set(_keys(key))
     rest = [c for c in df.columns if c not in keys]
-    return [F.col(c).asc_nulls_first() for c in _orderable(df, rest)]
+    return [F.col(c).asc_nulls_last() for c in _orderable(df, rest)]
 
 
 def dedup(
     df: DataFrame, key: str | Sequence[str], order: Sequence[Column] | None = None
 ) -> DataFrame:
     """One row per key; the first by ``order`` (default: every other column, ascending,
-    NULLs first).  NULL key values form one group, as in ``dropDuplicates``."""
+    NULLs last, so a known value beats a missing one).  NULL key values form one group, as in ``dropDuplicates``."""
     keys = _keys(key)
     # with no other column every row of a key is identical: any order will do
     ordering = order or tie_break_order(df, keys) or [F.col(k) for k in keys]

@@ -16,8 +16,6 @@ broadcast threshold, otherwise it is a shuffled join with skew splitting for pop
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -32,11 +30,12 @@ from layerwise.functions.elo import (
     outcome_probabilities,
     winner_label,
 )
-from layerwise.functions.names import RATING_NAME_ALIASES, normalise, normalise_ci
+from layerwise.functions.names import TEAM_ALIASES, Aliases, normalise, normalise_ci
 from layerwise.functions.text import score_text_1dp
 from layerwise.operators.dedup import dedup
 from layerwise.operators.snapshots import at_global_max, latest_per_key
 
+# The output columns of both forms, and what a missing rating counts as.
 NARROW_COLUMNS = [
     "match_id", "home_team", "away_team", "match_date", "home_rank", "away_rank",
     "predicted_winner",
@@ -46,6 +45,12 @@ WIDE_COLUMNS = [
     "rating_home", "rating_away", "prob_home_win", "prob_away_win", "prob_draw",
     "expected_goals_home", "expected_goals_away", "predicted_winner",
 ]
+MISSING = {
+    "rating_home": DEFAULT_RATING, "rating_away": DEFAULT_RATING,
+    "goals_for_home": 1, "goals_for_away": 1,
+    "matches_total_home": 1, "matches_total_away": 1,
+    "home_is_host": 0, "away_is_host": 0,
+}
 
 
 def _is_text(df: DataFrame, name: str) -> bool:
@@ -58,10 +63,18 @@ def _measure(df: DataFrame, name: str, to: str = "double") -> Column:
     return numeric(df, name, to)
 
 
-def _name_key(df: DataFrame, name: str, aliases: Mapping[str, str] | None, ci: bool) -> Column:
+def _keyed(df: DataFrame, name: str, aliases: Aliases | None, out: str, ci: bool = False) -> DataFrame:
+    """``df`` with ``out``: the normalised name, or the value itself where there is nothing to normalise."""
     if not aliases or not _is_text(df, name):
-        return F.col(name)
-    return normalise_ci(name, aliases) if ci else normalise(name, aliases)
+        return df.withColumn(out, F.col(name))
+    return (normalise_ci if ci else normalise)(df, name, aliases, out)
+
+
+def _best_ranks(ranks: DataFrame, entity: str, rank: str, aliases: Aliases | None, ci: bool = False) -> DataFrame:
+    """``entity, rank``: one row per (normalised) entity, the best rank of those listed for it."""
+    keyed = _keyed(ranks, entity, aliases, "__entity", ci)
+    return dedup(keyed.select(F.col("__entity").alias("entity"), F.col(rank).alias("rank")), "entity",
+                 order=[F.col("rank").asc_nulls_last()])
 
 
 def entity_profile(
@@ -76,15 +89,15 @@ def entity_profile(
     host: str = "is_host",
     rank_entity: str = "country",
     rank: str = "rank",
-    aliases: Mapping[str, str] | None = None,
+    aliases: Aliases | None = None,
 ) -> DataFrame:
     """One row per (normalised) entity: latest rating stats and rank.
 
     Names are normalised *before* the latest snapshot is chosen, so two spellings of one
     entity cannot both survive and fan out the later joins; ranks are likewise kept once
     per normalised entity (best rank)."""
-    rated = ratings.select(
-        _name_key(ratings, entity, aliases, False).alias("entity"),
+    rated = _keyed(ratings, entity, aliases, "__entity").select(
+        F.col("__entity").alias("entity"),
         (F.col(snapshot).try_cast("date") if _is_text(ratings, snapshot) else F.col(snapshot)).alias(snapshot),
         _measure(ratings, rating).alias("rating"), _measure(ratings, goals).alias("goals_for"),
         _measure(ratings, matches).alias("matches_total"), _measure(ratings, host, "int").alias("is_host"),
@@ -92,11 +105,7 @@ def entity_profile(
     latest = latest_per_key(rated, "entity", snapshot).drop(snapshot)
     if ranks is None:
         return latest.withColumn("rank", F.lit(None).cast("int"))
-    ranked = ranks.select(
-        _name_key(ranks, rank_entity, aliases, False).alias("entity"), F.col(rank).alias("rank")
-    )
-    ranked = dedup(ranked, "entity", order=[F.col("rank").asc_nulls_last()])
-    return latest.join(ranked, on="entity", how="full")
+    return latest.join(_best_ranks(ranks, rank_entity, rank, aliases), on="entity", how="full")
 
 
 def predict(
@@ -116,7 +125,7 @@ def predict(
     host: str = "is_host",
     rank_entity: str = "country",
     rank: str = "rank",
-    aliases: Mapping[str, str] | None = None,
+    aliases: Aliases | None = None,
     narrow: bool = False,
 ) -> DataFrame:
     """Predictions for every scheduled contest (left joins: unknown entities get
@@ -139,18 +148,12 @@ def predict(
     games = schedule.select(
         F.col(match_id).alias("match_id"), F.col(home).alias("home_team"),
         F.col(away).alias("away_team"), F.col(match_date).alias("match_date"),
-        _name_key(schedule, home, aliases, False).alias("__home_key"),
-        _name_key(schedule, away, aliases, False).alias("__away_key"),
     )
+    games = _keyed(_keyed(games, "home_team", aliases, "__home_key"), "away_team", aliases, "__away_key")
     joined = (
         games.join(side("home"), on="__home_key", how="left")
         .join(side("away"), on="__away_key", how="left")
-        .na.fill({
-            "rating_home": DEFAULT_RATING, "rating_away": DEFAULT_RATING,
-            "goals_for_home": 1, "goals_for_away": 1,
-            "matches_total_home": 1, "matches_total_away": 1,
-            "home_is_host": 0, "away_is_host": 0,
-        })
+        .na.fill(MISSING)
     )
     diff = F.col("rating_home") + host_advantage("home_is_host", "away_is_host") - F.col("rating_away")
     p_home, p_away, p_draw = outcome_probabilities(diff)
@@ -182,18 +185,16 @@ def attach_ranks(
     away: str = "away_team",
     rank_entity: str = "country",
     rank: str = "rank",
-    aliases: Mapping[str, str] | None = None,
+    aliases: Aliases | None = None,
 ) -> DataFrame:
     """The schedule with ``home_rank`` and ``away_rank`` (the same values ``predict`` reports),
     without the rating side: for checks that only need ranks, such as rank coverage."""
-    ranked = ranks.select(
-        _name_key(ranks, rank_entity, aliases, False).alias("entity"), F.col(rank).alias("rank"))
-    ranked = dedup(ranked, "entity", order=[F.col("rank").asc_nulls_last()])
+    ranked = _best_ranks(ranks, rank_entity, rank, aliases)
     out = schedule
     for tag, col in (("home", home), ("away", away)):
         side = ranked.select(F.col("entity").alias(f"__{tag}_rk"), F.col("rank").alias(f"{tag}_rank"))
-        out = out.join(side, _name_key(schedule, col, aliases, False) == F.col(f"__{tag}_rk"), "left") \
-            .drop(f"__{tag}_rk")
+        out = _keyed(out, col, aliases, f"__{tag}_key") \
+            .join(side, F.col(f"__{tag}_key") == F.col(f"__{tag}_rk"), "left").drop(f"__{tag}_rk", f"__{tag}_key")
     return out
 
 
@@ -214,36 +215,33 @@ def predict_clamped(
     matches: str = "matches_total",
     rank_entity: str = "country",
     rank: str = "rank",
-    aliases: Mapping[str, str] | None = RATING_NAME_ALIASES,
+    aliases: Aliases | None = TEAM_ALIASES,
 ) -> DataFrame:
     """Single-pair prediction semantics over a whole schedule.
 
-    Ratings are the latest snapshot per raw entity name, looked up by the normalised name
+    Ratings are the latest snapshot per entity; names of ratings and schedule are normalised alike
     (exact alias, else case-insensitive); rating 1500.0 when unknown; goals and matches are
     clamped to at least 1 (and 1 when unknown); the optional ``home_side`` column names the
-    side with the +100 advantage (NULL → none); ranks are looked up by raw name and only when
-    that name is absent by normalised name; the winner is decided on rounded probabilities;
+    side with the +100 advantage (NULL → none); ranks, the best one listed per name, are looked up by
+    raw name and only when that name is absent by normalised name; the winner is decided on rounded probabilities;
     ``expected_score`` formats the unrounded expected goals with one decimal."""
-    latest = latest_per_key(
-        ratings.select(entity, snapshot, rating, goals, matches), entity, snapshot
-    ).select(
-        F.col(entity).alias("__key"), F.col(rating).try_cast("double").alias("__rating"),
-        F.col(goals).try_cast("double").alias("__goals"), F.col(matches).try_cast("double").alias("__matches"),
-    )
+    rated = _keyed(ratings, entity, aliases, "__key", True).select(
+        "__key", snapshot, F.col(rating).try_cast("double").alias("__rating"),
+        F.col(goals).try_cast("double").alias("__goals"), F.col(matches).try_cast("double").alias("__matches"))
+    latest = latest_per_key(rated, "__key", snapshot).drop(snapshot)
     games = schedule.select(
         F.col(match_id).alias("match_id"), F.col(home).alias("home_team"),
         F.col(away).alias("away_team"), F.col(match_date).alias("match_date"),
         (F.col(home_side) if home_side else F.lit(None).cast(schedule.schema[home].dataType)).alias("__host"),
-        _name_key(schedule, home, aliases, True).alias("__home_clean"),
-        _name_key(schedule, away, aliases, True).alias("__away_clean"),
     )
+    games = _keyed(games, "home_team", aliases, "__home_clean", True)
+    games = _keyed(games, "away_team", aliases, "__away_clean", True)
 
     # Without name normalisation the raw and normalised keys coincide, so ranks fold into the
     # per-entity profile and the schedule is joined once per side instead of twice.
     fold = ranks is not None and not any(aliases and _is_text(schedule, c) for c in (home, away))
     if fold:
-        latest = latest.join(
-            ranks.select(F.col(rank_entity).alias("__key"), F.col(rank).alias("__rank")), "__key", "full")
+        latest = latest.join(_best_ranks(ranks, rank_entity, rank, None).toDF("__key", "__rank"), "__key", "full")
 
     def stats(tag: str) -> DataFrame:
         return latest.select(
@@ -256,15 +254,12 @@ def predict_clamped(
         stats("away"), on="__away_clean", how="left"
     )
     if ranks is not None and not fold:
-        for tag, raw, source in (("home", "home_team", home), ("away", "away_team", away)):
-            if aliases and _is_text(schedule, source):
-                joined = rank_lookup_fallback(
-                    joined, ranks, raw=raw, clean=f"__{tag}_clean", key=rank_entity,
-                    value=rank, out=f"{tag}_rank",
-                )
-            else:  # this side's names are not normalised: the raw key is the only key
-                dim = ranks.select(F.col(rank_entity).alias(f"__{tag}_rk"), F.col(rank).alias(f"{tag}_rank"))
-                joined = joined.join(dim, F.col(raw) == F.col(f"__{tag}_rk"), "left").drop(f"__{tag}_rk")
+        raw_ranks = _best_ranks(ranks, rank_entity, rank, None)
+        clean_ranks = _best_ranks(ranks, rank_entity, rank, aliases, True)
+        for tag in ("home", "away"):
+            joined = rank_lookup_fallback(
+                joined, raw_ranks, raw=f"{tag}_team", clean=f"__{tag}_clean", key="entity", value="rank",
+                out=f"{tag}_rank", clean_dim=clean_ranks)
     elif ranks is None:
         joined = joined.withColumn("home_rank", F.lit(None).cast("int")).withColumn(
             "away_rank", F.lit(None).cast("int"))
@@ -310,15 +305,17 @@ def rank_lookup_fallback(
     key: str = "country",
     value: str = "rank",
     out: str = "rank",
+    clean_dim: DataFrame | None = None,
 ) -> DataFrame:
-    """``dim.get(raw, dim.get(clean))``: the value under the raw key when that key exists in
-    ``dim`` (even if its value is NULL), otherwise the value under the clean key.
+    """``dim.get(raw, clean_dim.get(clean))``: the value under the raw key when that key exists in
+    ``dim`` (even if its value is NULL), otherwise the value under the clean key (``clean_dim``:
+    ``dim`` itself unless given).
 
-    ``dim`` must be unique on ``key``.  Two left joins; the dimension is small in practice
+    Both must be unique on ``key``.  Two left joins; the dimension is small in practice
     and AQE broadcasts it after measuring it."""
     by_raw = dim.select(F.col(key).alias(f"__{out}_rk"), F.col(value).alias(f"__{out}_rv"),
                         F.lit(True).alias(f"__{out}_rf"))
-    by_clean = dim.select(F.col(key).alias(f"__{out}_ck"), F.col(value).alias(f"__{out}_cv"))
+    by_clean = (dim if clean_dim is None else clean_dim).select(F.col(key).alias(f"__{out}_ck"), F.col(value).alias(f"__{out}_cv"))
     joined = df.join(by_raw, F.col(raw) == F.col(f"__{out}_rk"), "left").join(
         by_clean, F.col(clean) == F.col(f"__{out}_ck"), "left"
     )

@@ -1,4 +1,4 @@
-"""Data-quality profiling and constraint checks, each a single aggregation pass."""
+"""Data-quality profiling and constraint checks, by hash aggregates."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerwise.operators.dedup import _keys
+from layerwise.operators.dedup import _keys, dedup
 
 
 def null_count(columns: Sequence[str]) -> Column:
@@ -42,43 +42,29 @@ def profile(
 ) -> DataFrame:
     """Quality record of the table obtained by de-duplicating ``df`` on ``key``.
 
-    One row: table_name, total_records (rows kept), null_count (NULL cells in the kept
-    rows), duplicate_count (rows removed), invalid_records (kept rows with a raw value that
-    did not parse).  ``columns`` limits the NULL count (default: all but the raw columns
-    of ``invalid``).
-
-    One pass: per key, ``count(*)`` and ``min(struct(other columns))`` — the same row that
-    ``dedup`` keeps (first by the other columns, ascending, NULLs first) — are aggregated
-    with map-side combining, so a hot key adds one row per map task to the shuffle.
-    """
+    ``columns`` limits the NULL count (default: all but the raw columns of ``invalid``)."""
     raw_cols = {raw for raw, _ in invalid}
-    columns = list(columns) if columns is not None else [
-        c for c in df.columns if c not in raw_cols
-    ]
-    if key:
-        keys = _keys(key)
-        rest = [c for c in df.columns if c not in keys]
-        per_key = df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("__rows"),
-            *([F.min(F.struct(*rest)).alias("__kept")] if rest else []),
-        )
-        kept = per_key.select(*keys, "__rows", *[F.col("__kept")[c].alias(c) for c in rest])
-        rows_in = F.sum("__rows")
-    else:
-        kept, rows_in = df, F.count(F.lit(1))
-    record = kept.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        rows_in.alias("__rows_in"),
-        null_count(columns).alias("null_count"),
-        invalid_count(invalid).alias("invalid_records"),
-    )
-    return record.select(
+    columns = list(columns) if columns is not None else [c for c in df.columns if c not in raw_cols]
+    return record(df, dedup(df, key) if key else df, table_name, invalid_count(invalid), columns)
+
+
+def record(rows: DataFrame, kept: DataFrame, table_name: str, invalid: Column, columns: Sequence[str]) -> DataFrame:
+    """One row: table_name, total_records (rows ``kept``), null_count (NULL cells among ``columns`` of
+    the kept rows), duplicate_count (rows removed), invalid_records (``invalid``, an aggregate over all
+    ``rows``: removing a duplicate hides no bad value).
+
+    Two hash aggregates without a key, one over the rows and one over those kept."""
+    before = rows.agg(F.count(F.lit(1)).alias("rows"), invalid.alias("invalid"))
+    after = kept.agg(F.count(F.lit(1)).alias("kept"), null_count(columns).alias("nulls"))
+    none = F.lit(0).cast("long")
+    both = before.select("rows", "invalid", none.alias("kept"), none.alias("nulls")).unionByName(
+        after.select(none.alias("rows"), none.alias("invalid"), "kept", "nulls"))
+    return both.agg(*[F.sum(c).alias(c) for c in ("rows", "invalid", "kept", "nulls")]).select(
         F.lit(table_name).alias("table_name"),
-        "total_records",
-        "null_count",
-        F.coalesce(F.col("__rows_in") - F.col("total_records"), F.lit(0)).cast("long")
-        .alias("duplicate_count"),
-        "invalid_records",
+        F.col("kept").alias("total_records"),
+        F.col("nulls").alias("null_count"),
+        (F.col("rows") - F.col("kept")).alias("duplicate_count"),
+        F.col("invalid").alias("invalid_records"),
     )
 
 

@@ -2,9 +2,10 @@
 
 Ordering follows the source system's rules: descending sorts put NULLs first,
 ascending sorts put them last, and every LIMIT gets a unique tie-break so the
-rows returned do not depend on partitioning.  Sorts only run on already
-aggregated outputs; a sort + limit plans as ``TakeOrderedAndProject`` (top-k
-per partition, then merge), never a full global sort.
+rows returned do not depend on partitioning.  A sort + limit plans as
+``TakeOrderedAndProject`` (top-k per partition, then merge); full sorts run on
+aggregated outputs only.  The prediction report holds a row per contest and is
+returned unsorted; a limited reader orders it.
 """
 
 from __future__ import annotations
@@ -182,10 +183,8 @@ def rating_by_group(
 # --- prediction reports ---------------------------------------------------------
 
 def prediction_report(predictions: DataFrame) -> DataFrame:
-    """Ratings, percentage texts and ``'x - y'`` expected score, by date."""
-    return predictions.orderBy(
-        F.col("match_date").asc_nulls_last(), F.col("match_id").asc_nulls_last()
-    ).select(
+    """Ratings, percentage texts and ``'x - y'`` expected score, a row per prediction in no order."""
+    return predictions.select(
         "home_team", "rating_home", "away_team", "rating_away",
         percent_text("prob_home_win").alias("prob_home_win"),
         percent_text("prob_away_win").alias("prob_away_win"),

@@ -3,22 +3,30 @@
 Columns listed in ``update`` take the incoming value whenever an incoming row
 exists for the key — an incoming NULL overwrites.  Unlisted columns keep the
 current value when a current row exists and take the incoming one for new keys.
-When every column is updated, the upsert is a left-anti join plus a union.
-
-Parquet has no MERGE, so ``upsert_table`` writes the result as a new committed
-version next to the current one and readers pick the newest committed version;
-the path being read is never overwritten, and a job lost half-way leaves the
-previous version intact.
+One full join on the key, which reads the incoming rows once.
+
+The result has one row per key.  Of several incoming rows of a key the first by
+``order`` counts (default: by all other columns, ascending, NULLs last).  An
+incoming row without a key, and an update column that does not exist, are
+refused.
+
+Parquet has no MERGE, so ``upsert_table`` writes the result as a new version
+next to the current one.  A writer claims the next number by creating a file
+that must not exist yet, so of two writers one is refused, and commits the
+version by a marker file of its own once the data are written; readers pick the
+newest committed version.  The path being read is never overwritten, and a job
+lost half-way leaves the previous version intact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwise.operators.dedup import _keys
+from layerwise.operators.dedup import _keys, dedup
 from layerwise.sources.fs import delete, hadoop_path
 
 _OLD, _NEW = "__upsert_old", "__upsert_new"
@@ -29,13 +37,15 @@ def upsert(
     incoming: DataFrame,
     key: str | Sequence[str],
     update: Sequence[str] | None = None,
+    order: Sequence[Column] | None = None,
 ) -> DataFrame:
     keys = _keys(key)
     columns = current.columns
-    incoming = incoming.select(*columns)
-    if update is None or set(update) >= set(columns) - set(keys):
-        return current.join(incoming.select(*keys), on=keys, how="left_anti").unionByName(incoming)
-    listed = set(update)
+    incoming = _one_per_key(incoming.select(*columns), keys, order)
+    unknown = sorted(set(update or ()) - set(columns))
+    if unknown:
+        raise ValueError(f"update names columns that the table lacks: {unknown}")
+    listed = set(columns if update is None else update)
     old = current.select(*keys, *[F.col(c).alias(f"o_{c}") for c in columns if c not in keys],
                          F.lit(True).alias(_OLD))
     new = incoming.select(*keys, *[F.col(c).alias(f"n_{c}") for c in columns if c not in keys],
@@ -52,9 +62,23 @@ def upsert(
     return merged.select(*out)
 
 
+def _one_per_key(incoming: DataFrame, keys: Sequence[str], order: Sequence[Column] | None) -> DataFrame:
+    """One incoming row per key; a row with a NULL in its key raises."""
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    checked = incoming.withColumn(keys[0], F.when(
+        missing, F.raise_error(F.lit(f"incoming row without a key ({', '.join(keys)})"))
+        .cast(incoming.schema[keys[0]].dataType)).otherwise(F.col(keys[0])))
+    return dedup(checked, keys, order)
+
+
 # --- versioned tables -------------------------------------------------------
 
 _VERSION_PREFIX = "version="
+_CLAIM, _COMMITTED = "_CLAIMED", "_COMMITTED"
+
+
+class VersionTaken(RuntimeError):
+    """Another writer has claimed the version that this one was about to write."""
 
 
 def _fs(spark: SparkSession, path: str):
@@ -62,7 +86,11 @@ def _fs(spark: SparkSession, path: str):
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions under ``root`` whose write committed (``_SUCCESS`` present), ascending."""
+    """Versions under ``root`` whose write committed, ascending."""
+    return _versions(spark, root, _COMMITTED)
+
+
+def _versions(spark: SparkSession, root: str, marker: str) -> list[int]:
     fs, jroot = _fs(spark, root)
     if not fs.exists(jroot):
         return []
@@ -70,26 +98,45 @@ def committed_versions(spark: SparkSession, root: str) -> list[int]:
     for status in fs.listStatus(jroot):
         name = status.getPath().getName()
         if status.isDirectory() and name.startswith(_VERSION_PREFIX):
-            if fs.exists(status.getPath().suffix("/_SUCCESS")):
+            if fs.exists(status.getPath().suffix(f"/{marker}")):
                 versions.append(int(name[len(_VERSION_PREFIX):]))
     return sorted(versions)
 
 
+def _create(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it exists already."""
+    fs, jpath = _fs(spark, path)
+    return bool(fs.createNewFile(jpath))
+
+
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     versions = committed_versions(spark, root)
     if not versions:
         return None
-    return spark.read.parquet(f"{root}/{_VERSION_PREFIX}{versions[-1]:08d}")
+    return spark.read.parquet(f"{root}/{_VERSION_PREFIX}{versions[-1]:08d}/data")
 
 
-def write_next_version(df: DataFrame, root: str) -> str:
-    spark = df.sparkSession
-    versions = committed_versions(spark, root)
-    path = f"{root}/{_VERSION_PREFIX}{(versions[-1] + 1 if versions else 1):08d}"
-    df.write.mode("overwrite").parquet(path)
+def claim_next_version(spark: SparkSession, root: str) -> str:
+    """The folder of the version after the newest claimed one; raises ``VersionTaken`` if a concurrent
+    writer gets it first.  An abandoned claim only leaves a gap in the numbers."""
+    claimed = _versions(spark, root, _CLAIM)
+    path = f"{root}/{_VERSION_PREFIX}{(claimed[-1] + 1 if claimed else 1):08d}"
+    if not _create(spark, f"{path}/{_CLAIM}"):
+        raise VersionTaken(path)
     return path
 
 
+def write_version(df: DataFrame, path: str, seen: Sequence[int]) -> None:
+    """Write a claimed version and commit it, unless a version other than those ``seen`` when its rows
+    were read has been committed since: its rows would be lost."""
+    spark = df.sparkSession
+    df.write.parquet(f"{path}/data")
+    root = path.rpartition("/")[0]
+    if committed_versions(spark, root) != list(seen):
+        raise VersionTaken(f"another version of {root} was committed while {path} was written")
+    _create(spark, f"{path}/{_COMMITTED}")
+
+
 def upsert_table(
     spark: SparkSession,
     root: str,
@@ -97,12 +144,18 @@ def upsert_table(
     key: str | Sequence[str],
     update: Sequence[str] | None = None,
     retain: int = 2,
+    order: Sequence[Column] | None = None,
 ) -> str:
     """Upsert ``incoming`` into the versioned Parquet table at ``root``; returns the new
-    version's path.  Keeps the newest ``retain`` committed versions."""
+    version's path.  Keeps the newest ``retain`` committed versions.
+
+    Raises ``VersionTaken``, leaving the table as it is, if another writer got in between."""
+    seen = committed_versions(spark, root)
+    path = claim_next_version(spark, root)
     current = read_current(spark, root)
-    merged = incoming if current is None else upsert(current, incoming, key, update)
-    path = write_next_version(merged, root)
+    merged = _one_per_key(incoming, _keys(key), order) if current is None else upsert(
+        current, incoming, key, update, order)
+    write_version(merged, path, seen)
     versions = committed_versions(spark, root)
     for old in versions[:-retain] if retain > 0 else []:
         delete(spark, f"{root}/{_VERSION_PREFIX}{old:08d}")

@@ -19,7 +19,6 @@ from layerwise.functions import (
     normalise_ci,
     parse_date,
     cast_date,
-    safe_cast,
     truncating_int,
     unknown_if_null,
 )
@@ -44,7 +43,7 @@ def _round(df: DataFrame, *cols: str, digits: int = FLOAT_DIGITS) -> DataFrame:
 
 def _standings(spark, root, with_ranks=True) -> DataFrame:
     ranks = fx.season_ranks(spark, root) if with_ranks else None
-    return standings.standings(fx.contests(spark, root), ranks, season="season", rank_team="team")
+    return standings.standings(fx.contests(spark, root, drop_same_side=True), ranks, season="season", rank_team="team")
 
 
 # --- aggregate layer --------------------------------------------------------------
@@ -83,7 +82,7 @@ def safe_cast_query(spark, root):
     raw = fx.raw_numbers(spark, root)
     return raw.select(
         "key", "text",
-        safe_cast("text", "int").alias("as_int"),
+        truncating_int("text").alias("as_int"),
         truncating_int("price").alias("price_int"),
     )
 
@@ -116,11 +115,14 @@ def split_location(spark, root):
 
 
 def normalise_names(spark, root):
-    c = fx.contests(spark, root)
-    return c.select(
-        "contest_id", "home_team", normalise("home_team", fx.NATION_ALIASES).alias("home_team_norm"),
-        "away_team", normalise("away_team", fx.NATION_ALIASES).alias("away_team_norm"),
-    )
+    c = fx.contests(spark, root).select("contest_id", "home_team", "away_team")
+    c = normalise(c, "home_team", fx.NATION_ALIASES, "home_team_norm")
+    return normalise(c, "away_team", fx.NATION_ALIASES, "away_team_norm")
+
+
+def normalise_names_by_table(spark, root):
+    names, aliases = fx.customer_names(spark, root), fx.club_aliases(spark, root)
+    return normalise_ci(normalise(names, "name", aliases, "exact_name"), "name", aliases, "any_case_name")
 
 
 def _mixed_case_names(spark, root) -> DataFrame:
@@ -135,18 +137,18 @@ def _mixed_case_names(spark, root) -> DataFrame:
 
 def normalise_names_ci(spark, root):
     names = _mixed_case_names(spark, root)
-    return names.select("contest_id", "name", normalise_ci("name", fx.NATION_ALIASES_CI).alias("name_norm"))
+    return normalise_ci(names, "name", fx.NATION_ALIASES_CI, "name_norm")
 
 
 def rank_lookup_fallback_query(spark, root):
     nation = fx.table(spark, root, "nation")
     dim = dd.dedup(
-        nation.select(normalise("n_name", fx.NATION_ALIASES).alias("team"),
-                      (F.col("n_nationkey") + 1).alias("rank")),
+        normalise(nation, "n_name", fx.NATION_ALIASES, "team").select(
+            "team", (F.col("n_nationkey") + 1).alias("rank")),
         "team", order=[F.col("rank").asc()],
     )
-    c = fx.contests(spark, root).select(
-        "contest_id", "home_team", normalise("home_team", fx.NATION_ALIASES).alias("__clean"))
+    c = normalise(fx.contests(spark, root).select("contest_id", "home_team"), "home_team", fx.NATION_ALIASES,
+                  "__clean")
     looked = rank_lookup_fallback(c, dim, raw="home_team", clean="__clean", key="team", value="rank",
                                   out="home_rank")
     return looked.select("contest_id", "home_team", "home_rank")
@@ -170,8 +172,13 @@ def clean_contests(spark, root):
     return clean.clean_contests(fx.raw_contests(spark, root))
 
 
+def contest_rejects(spark, root):
+    return clean.rejects(clean.contest_rows(fx.raw_contests(spark, root)), clean.CONTEST_COLUMNS)
+
+
 def dedup_keep_one(spark, root):
-    return dd.dedup(fx.contests(spark, root), "contest_id")
+    scored = fx.contests(spark, root).withColumn("home_score", F.nullif("home_score", F.lit(0)))
+    return dd.dedup(scored, "contest_id")
 
 
 def dedup_report(spark, root):
@@ -181,7 +188,7 @@ def dedup_report(spark, root):
 # --- quality ---------------------------------------------------------------------------
 
 def quality_profile(spark, root):
-    numbers = fx.raw_numbers(spark, root).select("key", "text", safe_cast("text", "int").alias("as_int"))
+    numbers = fx.raw_numbers(spark, root).select("key", "text", truncating_int("text").alias("as_int"))
     records = [
         quality.profile(fx.labelled_docs(spark, root), "labelled_docs", key="doc_id"),
         quality.profile(fx.contests(spark, root), "contests", key="contest_id"),
@@ -209,6 +216,12 @@ def upsert_by_key(spark, root):
     return upsert.upsert(fx.customer_registry(spark, root), fx.customer_changes(spark, root), "c_custkey")
 
 
+def upsert_duplicate_keys(spark, root):
+    changes = fx.customer_changes(spark, root)
+    again = changes.filter(F.col("c_custkey") % 3 == 0).withColumn("c_acctbal", F.col("c_acctbal") - 7)
+    return upsert.upsert(fx.customer_registry(spark, root), changes.unionByName(again), "c_custkey")
+
+
 def upsert_partial(spark, root):
     return upsert.upsert(fx.customer_registry(spark, root), fx.customer_changes(spark, root), "c_custkey",
                          update=["c_acctbal", "c_mktsegment"])
@@ -230,19 +243,19 @@ def manifest_nonempty(spark, root):
 # --- ratings -------------------------------------------------------------------------------
 
 def latest_snapshot(spark, root):
-    return snapshots.latest_per_key(fx.ratings(spark, root), "entity", "snapshot_date")
+    return snapshots.latest_per_key(fx.text_ratings(spark, root), "entity", "snapshot_date")
 
 
 def global_latest(spark, root):
-    return snapshots.at_global_max(fx.ratings(spark, root), "snapshot_date")
+    return snapshots.at_global_max(fx.text_ratings(spark, root), "snapshot_date")
 
 
 def top_ratings(spark, root):
-    return serving.top_ratings(fx.ratings(spark, root), 15, entity="entity")
+    return serving.top_ratings(fx.text_ratings(spark, root), 15, entity="entity")
 
 
 def rating_by_group(spark, root):
-    return serving.rating_by_group(fx.ratings(spark, root), group="grp")
+    return serving.rating_by_group(fx.text_ratings(spark, root), group="grp")
 
 
 # --- predictions -------------------------------------------------------------------------------
@@ -258,8 +271,28 @@ def predict_contests(spark, root):
     return _predictions(spark, root)
 
 
+def predict_contests_all_narrow(spark, root):
+    return _predictions(spark, root, narrow=True)
+
+
 def predict_contests_narrow(spark, root):
-    return serving.list_predictions(_predictions(spark, root, narrow=True), 100)
+    # a contest has one prediction, so the first contests have the first predictions
+    first = serving.list_predictions(fx.schedule(spark, root), 100)
+    return serving.list_predictions(predict(
+        first, fx.ratings(spark, root), fx.ranks_for_year(spark, root), entity="entity", rank_entity="entity",
+        narrow=True), 100)
+
+
+def predict_contests_named(spark, root):
+    return predict(
+        fx.named_schedule(spark, root), fx.named_ratings(spark, root), fx.named_ranks(spark, root),
+        entity="entity", rank_entity="entity", aliases=fx.club_aliases(spark, root))
+
+
+def predict_pair_named(spark, root):
+    return predict_clamped(
+        fx.named_schedule(spark, root), fx.named_ratings(spark, root), fx.named_ranks(spark, root),
+        entity="entity", rank_entity="entity", aliases=fx.club_aliases(spark, root))
 
 
 def predict_pair_clamped(spark, root):
@@ -296,11 +329,13 @@ QUERIES: dict[str, Query] = {
     "split_location": split_location,
     "normalise_names": normalise_names,
     "normalise_names_ci": normalise_names_ci,
+    "normalise_names_by_table": normalise_names_by_table,
     "rank_lookup_fallback": rank_lookup_fallback_query,
     "standardise_rankings": standardise_rankings,
     "clean_history": clean_history,
     "clean_schedule": clean_schedule,
     "clean_contests": clean_contests,
+    "contest_rejects": contest_rejects,
     "dedup_keep_one": dedup_keep_one,
     "dedup_report": dedup_report,
     "quality_profile": quality_profile,
@@ -308,6 +343,7 @@ QUERIES: dict[str, Query] = {
     "rank_coverage": rank_coverage,
     "upsert_by_key": upsert_by_key,
     "upsert_partial": upsert_partial,
+    "upsert_duplicate_keys": upsert_duplicate_keys,
     "ingest_manifest": ingest_manifest,
     "manifest_total": manifest_total,
     "manifest_nonempty": manifest_nonempty,
@@ -317,6 +353,9 @@ QUERIES: dict[str, Query] = {
     "rating_by_group": rating_by_group,
     "predict_contests": predict_contests,
     "predict_contests_narrow": predict_contests_narrow,
+    "predict_contests_all_narrow": predict_contests_all_narrow,
+    "predict_contests_named": predict_contests_named,
+    "predict_pair_named": predict_pair_named,
     "predict_pair_clamped": predict_pair_clamped,
     "pairwise_predictions": pairwise_predictions,
     "prediction_report": prediction_report,

@@ -13,10 +13,13 @@ mapping (see SURVEY §5.4) uses integer and text columns only, so sums are exact
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwise.functions.dates import calendar_date
+from layerwise.sources.catalog import registered
 from layerwise.sources.files import read_table
 
 # Alias spellings of the benchmark's nation names used by the fixtures
@@ -46,16 +49,9 @@ TABLES = (
 )
 
 
-# Dimensions whose size is fixed by the benchmark's schema (25 nations, 5 regions) at every
-# scale factor: the one case where an explicit broadcast has a proven size bound.  Every other
-# join is left to AQE, which broadcasts only below the measured-size threshold.
-FIXED_DIMENSIONS = {"nation": 25, "region": 5}
-
-
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A benchmark table; spec-bounded dimensions come with a broadcast hint."""
-    df = read_table(spark, root, name)
-    return F.broadcast(df) if name in FIXED_DIMENSIONS else df
+    """A benchmark table.  No join is forced: small sides are broadcast where their measured size allows it."""
+    return read_table(spark, root, name)
 
 
 def _div(c: str, d: int):
@@ -75,16 +71,16 @@ def _contest_join(spark: SparkSession, root: str) -> DataFrame:
         nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home_team"),
                       F.col("n_regionkey").alias("home_region")),
         "c_nationkey",
-    )
+    ).withColumnRenamed("c_nationkey", "home_key")
     orders = table(spark, root, "orders")
     orders = orders.select(
         "o_orderkey", "o_custkey", calendar_date(orders, "o_orderdate").alias("o_date"))
-    orders = orders.join(home, orders.o_custkey == home.c_custkey).drop("o_custkey", "c_nationkey")
+    orders = orders.join(home, orders.o_custkey == home.c_custkey).drop("o_custkey")
     supplier = table(spark, root, "supplier").select("s_suppkey", "s_nationkey")
     away = supplier.join(
         nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("away_team")),
         "s_nationkey",
-    ).drop("s_nationkey")
+    ).withColumnRenamed("s_nationkey", "away_key")
     lineitem = table(spark, root, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_suppkey", "l_partkey", "l_returnflag")
     return (
@@ -93,10 +89,11 @@ def _contest_join(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def contests(spark: SparkSession, root: str, drop_same_side: bool = True) -> DataFrame:
+def contests(spark: SparkSession, root: str, drop_same_side: bool = False) -> DataFrame:
     """contest_id, home_team, away_team, season, contest_date, home_score, away_score.
 
-    ``contest_id`` is not unique (natural duplicates for the de-duplication operators)."""
+    ``contest_id`` is not unique (natural duplicates for the de-duplication operators).  The two-sided
+    queries take contests between different sides only (``drop_same_side``)."""
     df = _contest_join(spark, root).select(
         F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
         .alias("contest_id"),
@@ -110,9 +107,14 @@ def contests(spark: SparkSession, root: str, drop_same_side: bool = True) -> Dat
     return df.filter(F.col("home_team") != F.col("away_team")) if drop_same_side else df
 
 
+def _decimal_text(number, key):
+    """Whole numbers as an untyped file may hold them: every second one with a decimal part."""
+    return F.concat(number.cast("string"), F.when(key % 2 == 0, F.lit(".0")).otherwise(F.lit("")))
+
+
 def raw_contests(spark: SparkSession, root: str) -> DataFrame:
     """Uncleaned contests as landed: text dates (some malformed), text year, missing home
-    names, venue text with two commas, none, or NULL."""
+    names, venue text with two commas, none, or NULL, scores as text with decimals or malformed."""
     region = table(spark, root, "region").select(
         F.col("r_regionkey").alias("home_region"), F.col("r_name"))
     df = _contest_join(spark, root).join(region, "home_region")
@@ -129,8 +131,9 @@ def raw_contests(spark: SparkSession, root: str) -> DataFrame:
         F.when(F.col("c_custkey") % 41 == 0, F.lit(None).cast("string"))
         .otherwise(F.col("home_team")).alias("home_team"),
         "away_team",
-        (F.col("l_quantity").try_cast("int") % F.lit(7)).alias("home_score"),
-        F.col("l_linenumber").alias("away_score"),
+        _decimal_text(F.col("l_quantity").try_cast("int") % F.lit(7), F.col("l_linenumber")).alias("home_score"),
+        F.when(F.col("l_orderkey") % 53 == 0, F.lit("x")).otherwise(F.col("l_linenumber").cast("string"))
+        .alias("away_score"),
         F.col("l_partkey").alias("Attendance"),
         venue.alias("Venue"),
     )
@@ -161,6 +164,63 @@ def ratings(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def text_ratings(spark: SparkSession, root: str) -> DataFrame:
+    """``ratings`` as landed without types: the date is text, and malformed for one entity in seventeen."""
+    return ratings(spark, root).withColumn("snapshot_date", F.when(
+        F.col("entity") % 17 == 3, F.lit("n/a")).otherwise(F.col("snapshot_date").cast("string")))
+
+
+def _spelled(entity, other, prefix: str = "Club "):
+    """An entity's name, spelled in the way of its alias where ``other`` holds."""
+    return F.when(other, F.concat(F.lit(prefix), entity.cast("string"))).otherwise(
+        F.concat(F.lit("Team "), entity.cast("string")))
+
+
+def club_aliases(spark: SparkSession, root: str) -> DataFrame:
+    """alias, canonical: one entry for every fifth customer key, every fiftieth listed twice."""
+    key = F.col("c_custkey")
+    customer = table(spark, root, "customer").filter(key % 5 == 0)
+    first = customer.select(F.concat(F.lit("Club "), key.cast("string")).alias("alias"),
+                            F.concat(F.lit("Team "), key.cast("string")).alias("canonical"))
+    return first.unionByName(customer.filter(key % 50 == 0).select(
+        F.concat(F.lit("Club "), key.cast("string")).alias("alias"),
+        F.concat(F.lit("Zeam "), key.cast("string")).alias("canonical")))
+
+
+def named_schedule(spark: SparkSession, root: str) -> DataFrame:
+    """``schedule`` with names: homes by their alias, some aways in capitals."""
+    home, away = F.col("home_team"), F.col("away_team")
+    return schedule(spark, root).withColumns({
+        "home_team": _spelled(home, home % 5 == 0),
+        "away_team": _spelled(away, away % 7 == 0, "TEAM "),
+    })
+
+
+def named_ratings(spark: SparkSession, root: str) -> DataFrame:
+    """``text_ratings`` with names, every tenth entity by its alias on odd days' rows."""
+    entity = F.col("entity")
+    odd = F.coalesce(F.dayofmonth(F.col("snapshot_date").try_cast("date")) % 2 == 1, F.lit(False))
+    return text_ratings(spark, root).withColumn("entity", _spelled(entity, (entity % 10 == 0) & odd))
+
+
+def named_ranks(spark: SparkSession, root: str) -> DataFrame:
+    """Ranks of the year by name: some under the alias, some listed a second time with a worse rank."""
+    entity = F.col("entity")
+    ranks = ranks_for_year(spark, root).select("entity", "rank")
+    again = ranks.filter(entity % 4 == 1).withColumn("rank", F.col("rank") + 3)
+    return ranks.unionByName(again).withColumn("entity", _spelled(entity, entity % 15 == 0))
+
+
+def customer_names(spark: SparkSession, root: str) -> DataFrame:
+    """key, name: team names of all customers in three spellings."""
+    key = F.col("c_custkey")
+    return table(spark, root, "customer").select(
+        key.alias("key"),
+        F.when(key % 3 == 0, F.concat(F.lit("Club "), key.cast("string")))
+        .when(key % 3 == 1, F.concat(F.lit("CLUB "), key.cast("string")))
+        .otherwise(F.concat(F.lit("team "), key.cast("string"))).alias("name"))
+
+
 def schedule(spark: SparkSession, root: str) -> DataFrame:
     """match_id, home_team, away_team (entity ids), match_date — one row per match_id."""
     orders = table(spark, root, "orders")
@@ -189,7 +249,7 @@ def raw_schedule(spark: SparkSession, root: str) -> DataFrame:
         .otherwise(F.col("o_orderpriority")).alias("Round"),
         home.alias("home_team"),
         away.alias("away_team"),
-    ).filter(F.col("home_team") != F.col("away_team"))
+    )
 
 
 def rankings(spark: SparkSession, root: str) -> DataFrame:
@@ -212,7 +272,7 @@ def ranking_vintages(spark: SparkSession, root: str) -> list[tuple[DataFrame, in
     text (some malformed), points a double, some names padded; 2026 repeats some rows."""
     customer = table(spark, root, "customer")
     rank_text = F.when(F.col("c_custkey") % 50 == 0, F.lit("n/a")).otherwise(
-        (F.col("c_custkey") % 211 + 1).cast("string"))
+        _decimal_text(F.col("c_custkey") % 211 + 1, F.col("c_custkey")))
     name = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit(" "), F.col("c_name"), F.lit(" "))).otherwise(
         F.col("c_name"))
     odd = customer.filter(F.col("c_custkey") % 2 == 1)
@@ -237,19 +297,14 @@ def season_ranks(spark: SparkSession, root: str) -> DataFrame:
 
 def raw_history(spark: SparkSession, root: str) -> DataFrame:
     """Season history as landed: several candidate rows per year, text year and match count."""
-    return (
-        contests(spark, root)
-        .groupBy("season", "home_team")
-        .agg(F.max("away_team").alias("Champion"), F.min("away_team").alias("Runner-Up"),
-             F.count(F.lit(1)).alias("__n"))
-        .select(
-            F.col("season").cast("string").alias("Year"),
-            F.col("home_team").alias("Host"),
-            "Champion",
-            "Runner-Up",
-            F.col("__n").cast("string").alias("Matches"),
-        )
-    )
+    grouped = _contest_join(spark, root).groupBy(F.year("o_date").alias("season"), "home_key").agg(
+        F.max("away_key").alias("most"), F.min("away_key").alias("least"), F.count(F.lit(1)).alias("__n"))
+    nation = table(spark, root, "nation")  # names are looked up for the groups, not aggregated as text
+    for key, name in (("home_key", "Host"), ("most", "Champion"), ("least", "Runner-Up")):
+        grouped = grouped.join(nation.select(F.col("n_nationkey").alias(key), F.col("n_name").alias(name)), key)
+    return grouped.select(
+        F.col("season").cast("string").alias("Year"), "Host", "Champion", "Runner-Up",
+        _decimal_text(F.col("__n"), F.col("__n")).alias("Matches"))
 
 
 def venues(spark: SparkSession, root: str) -> DataFrame:
@@ -268,11 +323,13 @@ def venues(spark: SparkSession, root: str) -> DataFrame:
 
 
 def raw_numbers(spark: SparkSession, root: str) -> DataFrame:
-    """key, text (about one in five is not a number), price (double)."""
+    """key, text (about one in five is not a number, one in seven has decimals), price (double)."""
     part = table(spark, root, "part")
     return part.select(
         F.col("p_partkey").alias("key"),
-        F.when(F.col("p_size") % 5 == 0, F.col("p_type")).otherwise(F.col("p_size").cast("string"))
+        F.when(F.col("p_size") % 5 == 0, F.col("p_type"))
+        .when(F.col("p_size") % 7 == 0, F.concat(F.col("p_size").cast("string"), F.lit(".5")))
+        .otherwise(F.col("p_size").cast("string"))
         .alias("text"),
         F.col("p_retailprice").alias("price"),
     )
@@ -299,19 +356,8 @@ def labelled_docs(spark: SparkSession, root: str) -> DataFrame:
 def registry(spark: SparkSession, root: str, tables=TABLES) -> DataFrame:
     """Landing registry of the benchmark tables: table_name, source_file, row_count,
     schema_version."""
-    frames = [
-        table(spark, root, name).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"),
-            F.lit(f"{name}.parquet").alias("source_file"),
-            "row_count",
-            F.lit("1.0").alias("schema_version"),
-        )
-        for name in tables
-    ]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+    return reduce(DataFrame.unionByName, [
+        registered(table(spark, root, name), name, f"{name}.parquet") for name in tables])
 
 
 def customer_registry(spark: SparkSession, root: str) -> DataFrame:

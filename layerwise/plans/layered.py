@@ -2,9 +2,10 @@
 
 One session, one write per table; each layer reads the previous layer back from
 storage, so lineage is cut at every table and a lost executor only recomputes
-from the last written layer.  Quality metrics are gathered with ``observe`` in
-the same pass as the cleaned table's write (rows in, rows kept, NULL cells,
-invalid values), not by extra count jobs; seconds are measured per table.
+from the last written layer.  Rows with a missing or unparsed key part are also
+written to a rejects table beside each cleaned one.  Quality records (rows in,
+rows kept, NULL cells, invalid values) come from the operator that the quality
+query uses; seconds are measured per table.
 Registries (landing manifest, quality log) are kept by keyed upsert into
 versioned tables.
 """
@@ -15,14 +16,15 @@ import datetime as dt
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwise.functions.names import TEAM_ALIASES
 from layerwise.operators import clean
 from layerwise.operators.predict import NARROW_COLUMNS, WIDE_COLUMNS, predict
-from layerwise.operators.quality import null_count
+from layerwise.operators.quality import record
 from layerwise.operators.standings import season_stats, standings
 from layerwise.operators.upsert import read_current, upsert_table
 from layerwise.sources.catalog import Source, land
@@ -80,23 +82,21 @@ def export_jdbc(
 
 
 def _write_clean(
-    rows: DataFrame, key, columns: Sequence[str], path: str, table: str, stamp: dt.datetime
-) -> tuple:
+    spark: SparkSession, rows: DataFrame, key, columns: Sequence[str], choice: Sequence[str], path: str,
+    rejects: str, table: str, stamp: dt.datetime,
+) -> DataFrame:
+    """Write one cleaned table and its rejects; returns its quality record.
+
+    Rows are counted by aggregates of their own, not by counters inside the write, which a task that
+    runs again after a lost executor would raise twice."""
     started = time.perf_counter()
-    seen = Observation(f"in_{table}")
-    kept_obs = Observation(f"out_{table}")
-    observed = rows.observe(seen, F.count(F.lit(1)).alias("n"))
-    kept = clean.keep_one(observed, key, columns).observe(
-        kept_obs,
-        F.count(F.lit(1)).alias("n"),
-        null_count(list(columns)).alias("nulls"),
-        F.count_if(F.col(clean.INVALID)).alias("invalid"),
-    )
-    kept.select(*columns).write.mode("overwrite").parquet(path)
-    seconds = time.perf_counter() - started
-    rows_in, out = int(seen.get["n"]), kept_obs.get
-    return (table, stamp, int(out["n"]), int(out["nulls"]), rows_in - int(out["n"]),
-            int(out["invalid"]), seconds)
+    clean.keep_one(rows, key, choice).select(*columns).write.mode("overwrite").parquet(path)
+    clean.rejects(rows, columns).write.mode("overwrite").parquet(rejects)
+    counted = record(rows, spark.read.parquet(path), table, F.count_if(F.col(clean.INVALID)), columns)
+    out = counted.first()  # one row
+    return spark.createDataFrame([(
+        table, stamp, out["total_records"], out["null_count"], out["duplicate_count"], out["invalid_records"],
+        time.perf_counter() - started)], QUALITY_SCHEMA)
 
 
 def run_layered(
@@ -135,9 +135,11 @@ def run_layered(
         steps.append(("contests", clean.contest_rows(df), clean.CONTEST_KEY, clean.CONTEST_COLUMNS))
     for table, rows, key, columns in steps:
         paths[table] = f"{cleaned}/{config.name(table)}"
-        quality.append(_write_clean(rows, key, columns, paths[table], table, stamp))
-    paths["quality"] = upsert_table(spark, f"{root}/registry/quality",
-                                    spark.createDataFrame(quality, QUALITY_SCHEMA), "table_name")
+        rejected = f"{root}/rejects/{config.name(table)}"
+        quality.append(_write_clean(spark, rows, key, columns, clean.CHOICE[table], paths[table], rejected, table,
+                                    stamp))
+    log = reduce(DataFrame.unionByName, quality, spark.createDataFrame([], QUALITY_SCHEMA))
+    paths["quality"] = upsert_table(spark, f"{root}/registry/quality", log, "table_name")
 
     def read_clean(table: str) -> DataFrame | None:
         return spark.read.parquet(paths[table]) if table in paths else None
@@ -156,7 +158,7 @@ def run_layered(
     schedule, ratings = read_clean("schedule"), read_raw(config.ratings)
     if schedule is not None and ratings is not None:
         ranks = rankings.filter(F.col("year") == config.rank_year) if rankings is not None else None
-        wide = predict(schedule, ratings, ranks, aliases=dict(config.aliases))
+        wide = predict(schedule, ratings, ranks, aliases=config.aliases)
         paths["tournament_predictions"] = f"{gold}/{config.name('tournament_predictions')}"
         wide.write.mode("overwrite").parquet(paths["tournament_predictions"])
         paths["predictions"] = f"{gold}/{config.name('predictions')}"
@@ -217,10 +219,6 @@ def main(argv: list[str] | None = None) -> dict:
     return report
 
 
-if __name__ == "__main__":
-    main()
-
-
 def expectations(spark: SparkSession, root: str, paths: Mapping[str, str],
                  coverage_bound: float = 0.9) -> DataFrame:
     """Post-run checks over the written tables, one row each: check_name, observed, bound,
@@ -252,3 +250,7 @@ def expectations(spark: SparkSession, root: str, paths: Mapping[str, str],
     for check in checks[1:]:
         out = out.unionByName(check)
     return out
+
+
+if __name__ == "__main__":
+    main()

@@ -27,6 +27,15 @@ def _dec(expr: str, scale: int = 6, precision: int = 18) -> str:
     return f"CAST(CAST({expr} AS VARCHAR) AS DECIMAL({precision},{scale}))"
 
 
+def _int(expr: str) -> str:
+    """Number or numeric text → integer, truncated toward zero."""
+    return f"TRY_CAST(trunc(TRY_CAST({expr} AS DOUBLE)) AS INTEGER)"
+
+
+def _decimal_text(number: str, key: str) -> str:
+    return f"(CAST({number} AS VARCHAR) || CASE WHEN {key} % 2 = 0 THEN '.0' ELSE '' END)"
+
+
 def _exact_case(col: str, aliases: dict[str, str]) -> str:
     arms = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in aliases.items())
     return f"coalesce(CASE {col} {arms} END, {col})"
@@ -47,7 +56,8 @@ def _ci_case(col: str, aliases: dict[str, str]) -> str:
 CONTEST_JOIN = """cj AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_partkey, l.l_returnflag,
          CAST(o.o_orderdate AS DATE) AS o_date, c.c_custkey, c.c_name,
-         hn.n_name AS home_team, hn.n_regionkey AS home_region, an.n_name AS away_team
+         hn.n_name AS home_team, hn.n_regionkey AS home_region, an.n_name AS away_team,
+         c.c_nationkey AS home_key, s.s_nationkey AS away_key
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
@@ -60,7 +70,9 @@ contests AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) AS contest_id,
          home_team, away_team, CAST(year(o_date) AS INTEGER) AS season, o_date AS contest_date,
          CAST(trunc(l_quantity) AS INTEGER) % 7 AS home_score, l_linenumber AS away_score
-  FROM cj WHERE home_team <> away_team)"""
+  FROM cj)"""
+
+TWO_SIDED = CONTESTS.replace("FROM cj)", "FROM cj WHERE home_team <> away_team)")
 
 RATINGS = """ratings AS (
   SELECT user_id AS entity, CAST(ts AS DATE) AS snapshot_date,
@@ -71,6 +83,12 @@ RATINGS = """ratings AS (
          user_id % 6 AS grp
   FROM events GROUP BY user_id, CAST(ts AS DATE))"""
 
+TEXT_RATINGS = RATINGS.replace("ratings AS (", "typed AS (", 1) + """,
+ratings AS (
+  SELECT * REPLACE (CASE WHEN entity % 17 = 3 THEN 'n/a' ELSE CAST(snapshot_date AS VARCHAR) END AS snapshot_date)
+  FROM typed)"""
+_KNOWN = "TRY_CAST(snapshot_date AS DATE)"
+
 SCHEDULE = """schedule AS (
   SELECT DISTINCT
          CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '_' || CAST(o_custkey // 9 AS VARCHAR)
@@ -104,7 +122,7 @@ tp AS (
          avg(gs) AS avg_goals_scored, avg(gc) AS avg_goals_conceded
   FROM sides GROUP BY team, season)"""
 
-STANDINGS = f"""{CONTESTS},
+STANDINGS = f"""{TWO_SIDED},
 {SEASON_RANKS},
 {SIDES},
 ra AS (SELECT team, year, avg(rank) AS avg_rank FROM season_ranks GROUP BY team, year),
@@ -132,7 +150,8 @@ DOCS = """docs AS (
 
 NUMBERS = """numbers AS (
   SELECT p_partkey AS key,
-         CASE WHEN p_size % 5 = 0 THEN p_type ELSE CAST(p_size AS VARCHAR) END AS text,
+         CASE WHEN p_size % 5 = 0 THEN p_type WHEN p_size % 7 = 0 THEN CAST(p_size AS VARCHAR) || '.5'
+              ELSE CAST(p_size AS VARCHAR) END AS text,
          p_retailprice AS price
   FROM part)"""
 
@@ -158,23 +177,22 @@ PREDICTION_INPUTS = f"""{SCHEDULE},
 latest AS (
   SELECT * FROM ratings
   QUALIFY row_number() OVER (PARTITION BY entity ORDER BY snapshot_date DESC NULLS LAST,
-          rating NULLS FIRST, goals_for NULLS FIRST, matches_total NULLS FIRST,
-          is_host NULLS FIRST) = 1),
+          rating NULLS LAST, goals_for NULLS LAST, matches_total NULLS LAST,
+          is_host NULLS LAST) = 1),
 r26 AS (SELECT entity, min(rank) AS rank FROM rankings WHERE year = 2026 GROUP BY entity)"""
 
-PREDICTIONS = f"""{PREDICTION_INPUTS},
-pj AS (
+_PREDICT = f"""pj AS (
   SELECT s.match_id, s.home_team, s.away_team, s.match_date,
          rh.rank AS home_rank, ra.rank AS away_rank,
          coalesce(h.rating, 1500) AS rating_home, coalesce(a.rating, 1500) AS rating_away,
          coalesce(h.goals_for, 1) AS gh, coalesce(a.goals_for, 1) AS ga,
          coalesce(h.matches_total, 1) AS mh, coalesce(a.matches_total, 1) AS ma,
          coalesce(h.is_host, 0) AS hh, coalesce(a.is_host, 0) AS ah
-  FROM schedule s
-  LEFT JOIN latest h ON s.home_team = h.entity
-  LEFT JOIN latest a ON s.away_team = a.entity
-  LEFT JOIN r26 rh ON s.home_team = rh.entity
-  LEFT JOIN r26 ra ON s.away_team = ra.entity),
+  FROM keyed s
+  LEFT JOIN latest h ON s.home_key = h.entity
+  LEFT JOIN latest a ON s.away_key = a.entity
+  LEFT JOIN r26 rh ON s.home_key = rh.entity
+  LEFT JOIN r26 ra ON s.away_key = ra.entity),
 pd1 AS (
   SELECT *, rating_home + (CASE WHEN hh = 1 THEN 100 WHEN ah = 1 THEN -100 ELSE 0 END)
             - rating_away AS diff
@@ -201,6 +219,11 @@ predictions AS (
   FROM pd3)"""
 
 
+PREDICTIONS = f"""{PREDICTION_INPUTS},
+keyed AS (SELECT *, home_team AS home_key, away_team AS away_key FROM schedule),
+{_PREDICT}"""
+
+
 def _pct(col: str) -> str:
     return f"CAST(round({_dec(col)} * 100, 1) AS VARCHAR) || '%'"
 
@@ -218,7 +241,7 @@ FROM season_stats ORDER BY season DESC NULLS FIRST"""
 ORACLE["rank_average"] = f"""WITH {SEASON_RANKS}
 SELECT team, year, {_r('avg(rank)', 6)} AS avg_rank FROM season_ranks GROUP BY team, year"""
 
-ORACLE["top_teams"] = f"""WITH {CONTESTS},
+ORACLE["top_teams"] = f"""WITH {TWO_SIDED},
 {SIDES}
 SELECT team, CAST(sum(wins) AS BIGINT) AS total_wins, CAST(sum(matches_played) AS BIGINT) AS total_matches,
        CAST(sum(goals_scored) AS BIGINT) AS total_goals
@@ -235,7 +258,7 @@ SELECT make_timestamp(season, 1, 1, 0, 0, 0) AS time, total_goals AS value
 FROM season_stats ORDER BY season"""
 
 ORACLE["safe_cast"] = f"""WITH {NUMBERS}
-SELECT key, text, TRY_CAST(text AS INTEGER) AS as_int, TRY_CAST(trunc(price) AS INTEGER) AS price_int
+SELECT key, text, {_int('text')} AS as_int, {_int('price')} AS price_int
 FROM numbers"""
 
 ORACLE["parse_dates"] = """WITH raw AS (
@@ -279,6 +302,29 @@ names AS (
   FROM contests)
 SELECT contest_id, name, {_ci_case('name', NATION_ALIASES_CI)} AS name_norm FROM names"""
 
+CLUB_ALIASES = """pairs AS (
+  SELECT 'Club ' || c_custkey AS alias, 'Team ' || c_custkey AS canonical FROM customer WHERE c_custkey % 5 = 0
+  UNION ALL
+  SELECT 'Club ' || c_custkey, 'Zeam ' || c_custkey FROM customer WHERE c_custkey % 50 = 0),
+exact AS (SELECT alias, min(canonical) AS canonical FROM pairs GROUP BY alias),
+folded AS (
+  SELECT spelling, min(canonical) AS canonical FROM (
+    SELECT lower(alias) AS spelling, canonical FROM pairs UNION ALL SELECT lower(canonical), canonical FROM pairs)
+  GROUP BY spelling)"""
+
+
+def _spelled(entity: str, other: str, prefix: str = "Club ") -> str:
+    return f"(CASE WHEN {other} THEN '{prefix}' ELSE 'Team ' END || {entity})"
+
+
+ORACLE["normalise_names_by_table"] = f"""WITH {CLUB_ALIASES},
+names AS (
+  SELECT c_custkey AS key, CASE WHEN c_custkey % 3 = 0 THEN 'Club ' WHEN c_custkey % 3 = 1 THEN 'CLUB '
+                                ELSE 'team ' END || c_custkey AS name FROM customer)
+SELECT key, name, coalesce(e.canonical, name) AS exact_name,
+       coalesce(e.canonical, f.canonical, name) AS any_case_name
+FROM names LEFT JOIN exact e ON name = e.alias LEFT JOIN folded f ON lower(name) = f.spelling"""
+
 ORACLE["rank_lookup_fallback"] = f"""WITH {CONTESTS},
 dim AS (
   SELECT team, min(rank) AS rank FROM (
@@ -288,7 +334,7 @@ c AS (SELECT contest_id, home_team, {_exact_case('home_team', NATION_ALIASES)} A
 SELECT c.contest_id, c.home_team, CASE WHEN r.team IS NOT NULL THEN r.rank ELSE k.rank END AS home_rank
 FROM c LEFT JOIN dim r ON c.home_team = r.team LEFT JOIN dim k ON c.clean = k.team"""
 
-_RANK_TEXT = "CASE WHEN c_custkey % 50 = 0 THEN 'n/a' ELSE CAST(c_custkey % 211 + 1 AS VARCHAR) END"
+_RANK_TEXT = f"CASE WHEN c_custkey % 50 = 0 THEN 'n/a' ELSE {_decimal_text('(c_custkey % 211 + 1)', 'c_custkey')} END"
 _NAME_TEXT = "CASE WHEN c_custkey % 4 = 0 THEN ' ' || c_name || ' ' ELSE c_name END"
 ORACLE["standardise_rankings"] = f"""WITH v2022 AS (
   SELECT {_RANK_TEXT} AS rank, {_NAME_TEXT} AS team, c_acctbal AS points
@@ -300,37 +346,40 @@ v2026 AS (
   SELECT {_RANK_TEXT} AS rank, {_NAME_TEXT} AS country, c_acctbal + 1 AS points
   FROM customer WHERE c_custkey % 2 = 1 AND c_custkey % 5 = 0),
 std AS (
-  SELECT TRY_CAST(rank AS INTEGER) AS rank, trim(team) AS country,
+  SELECT {_int('rank')} AS rank, trim(team) AS country,
          TRY_CAST(trunc(points) AS INTEGER) AS points, 2022 AS year FROM v2022
   UNION ALL
-  SELECT TRY_CAST(rank AS INTEGER), trim(country), TRY_CAST(trunc(points) AS INTEGER), 2026 FROM v2026)
+  SELECT {_int('rank')}, trim(country), TRY_CAST(trunc(points) AS INTEGER), 2026 FROM v2026)
 SELECT rank, country, points, year FROM std
 QUALIFY row_number() OVER (PARTITION BY country, year
-        ORDER BY rank ASC NULLS FIRST, points ASC NULLS FIRST) = 1"""
+        ORDER BY rank ASC NULLS LAST, points ASC NULLS LAST) = 1"""
 
-ORACLE["clean_history"] = f"""WITH {CONTESTS},
+ORACLE["clean_history"] = f"""WITH {CONTEST_JOIN},
+grouped AS (
+  SELECT year(o_date) AS season, home_key, max(away_key) AS most, min(away_key) AS least, count(*) AS n
+  FROM cj GROUP BY year(o_date), home_key),
 hist AS (
-  SELECT CAST(season AS VARCHAR) AS "Year", home_team AS "Host", max(away_team) AS "Champion",
-         min(away_team) AS "Runner-Up", CAST(count(*) AS VARCHAR) AS "Matches"
-  FROM contests GROUP BY season, home_team),
+  SELECT CAST(season AS VARCHAR) AS "Year", h.n_name AS "Host", m.n_name AS "Champion",
+         l.n_name AS "Runner-Up", {_decimal_text('n', 'n')} AS "Matches"
+  FROM grouped JOIN nation h ON h.n_nationkey = home_key JOIN nation m ON m.n_nationkey = most
+  JOIN nation l ON l.n_nationkey = least),
 c AS (
-  SELECT TRY_CAST("Year" AS INTEGER) AS year, coalesce("Host", 'Unknown') AS host_country,
+  SELECT {_int('"Year"')} AS year, coalesce("Host", 'Unknown') AS host_country,
          coalesce("Champion", 'Unknown') AS winner, coalesce("Runner-Up", 'Unknown') AS runner_up,
          CAST(NULL AS VARCHAR) AS third_place, CAST(NULL AS VARCHAR) AS fourth_place,
          CAST(NULL AS INTEGER) AS goals_scored,
-         coalesce(TRY_CAST("Matches" AS INTEGER), 0) AS matches_played
+         coalesce({_int('"Matches"')}, 0) AS matches_played
   FROM hist)
 SELECT * FROM c
-QUALIFY row_number() OVER (PARTITION BY year ORDER BY host_country ASC NULLS FIRST,
-        winner ASC NULLS FIRST, runner_up ASC NULLS FIRST, third_place ASC NULLS FIRST,
-        fourth_place ASC NULLS FIRST, goals_scored ASC NULLS FIRST, matches_played ASC NULLS FIRST) = 1"""
+QUALIFY row_number() OVER (PARTITION BY year ORDER BY host_country ASC NULLS LAST,
+        winner ASC NULLS LAST, runner_up ASC NULLS LAST, matches_played ASC NULLS LAST) = 1"""
 
 ORACLE["clean_schedule"] = """WITH raw AS (
   SELECT CASE WHEN o_orderkey % 97 = 0 THEN 'TBD'
               ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS "Date",
          CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS "Round",
          CAST(o_custkey // 9 AS VARCHAR) AS home_team, CAST(o_orderkey // 100 AS VARCHAR) AS away_team
-  FROM orders WHERE o_custkey // 9 <> o_orderkey // 100),
+  FROM orders),
 c AS (
   SELECT concat_ws('_', "Date", home_team, away_team) AS match_id,
          CAST(try_strptime("Date", '%Y-%m-%d') AS DATE) AS match_date,
@@ -338,44 +387,50 @@ c AS (
          'TBD' AS stadium, 'TBD' AS city
   FROM raw)
 SELECT * FROM c
-QUALIFY row_number() OVER (PARTITION BY match_id ORDER BY match_date ASC NULLS FIRST,
-        stage ASC NULLS FIRST, group_name ASC NULLS FIRST, home_team ASC NULLS FIRST,
-        away_team ASC NULLS FIRST, stadium ASC NULLS FIRST, city ASC NULLS FIRST) = 1"""
+QUALIFY row_number() OVER (PARTITION BY match_id ORDER BY stage ASC NULLS LAST) = 1"""
 
-ORACLE["clean_contests"] = "WITH " + CONTEST_JOIN + r""",
+RAW_CONTESTS = CONTEST_JOIN + f""",
 raw AS (
   SELECT CASE WHEN l_orderkey % 89 = 0 THEN 'unknown' ELSE CAST(o_date AS VARCHAR) END AS "Date",
          CAST(year(o_date) AS VARCHAR) AS "Year", l_returnflag AS "Round",
          CASE WHEN c_custkey % 41 = 0 THEN NULL ELSE home_team END AS home_team, away_team,
-         CAST(trunc(l_quantity) AS INTEGER) % 7 AS home_score, l_linenumber AS away_score,
+         {_decimal_text('(CAST(trunc(l_quantity) AS INTEGER) % 7)', 'l_linenumber')} AS home_score,
+         CASE WHEN l_orderkey % 53 = 0 THEN 'x' ELSE CAST(l_linenumber AS VARCHAR) END AS away_score,
          l_partkey AS "Attendance",
          CASE WHEN c_custkey % 3 = 0 THEN c_name || ', ' || home_team || ', ' || r.r_name
               WHEN c_custkey % 3 = 1 THEN c_name END AS "Venue"
   FROM cj JOIN region r ON cj.home_region = r.r_regionkey),
 c AS (
   SELECT concat_ws('_', "Date", coalesce(home_team, 'Unknown'), coalesce(away_team, 'Unknown')) AS match_id,
-         TRY_CAST("Year" AS INTEGER) AS year,
+         {_int('"Year"')} AS year,
          CAST(try_strptime("Date", '%Y-%m-%d') AS DATE) AS match_date,
          coalesce("Round", 'Unknown') AS stage, CAST(NULL AS VARCHAR) AS group_name,
          coalesce(home_team, 'Unknown') AS home_team, coalesce(away_team, 'Unknown') AS away_team,
-         TRY_CAST(coalesce(home_score, 0) AS INTEGER) AS home_score,
-         TRY_CAST(coalesce(away_score, 0) AS INTEGER) AS away_score,
+         {_int("coalesce(home_score, '0')")} AS home_score,
+         {_int("coalesce(away_score, '0')")} AS away_score,
          coalesce(split_part("Venue", ',', 1), 'Unknown') AS stadium,
-         coalesce(trim(regexp_extract("Venue", ',\s*(.+)$', 1)), 'Unknown') AS city,
-         TRY_CAST(coalesce("Attendance", 0) AS INTEGER) AS attendance
-  FROM raw)
-SELECT * FROM c
-QUALIFY row_number() OVER (PARTITION BY match_id ORDER BY year ASC NULLS FIRST,
-        match_date ASC NULLS FIRST, stage ASC NULLS FIRST, group_name ASC NULLS FIRST,
-        home_team ASC NULLS FIRST, away_team ASC NULLS FIRST, home_score ASC NULLS FIRST,
-        away_score ASC NULLS FIRST, stadium ASC NULLS FIRST, city ASC NULLS FIRST,
-        attendance ASC NULLS FIRST) = 1"""
-
-_CONTEST_ORDER = ("home_team ASC NULLS FIRST, away_team ASC NULLS FIRST, season ASC NULLS FIRST, "
-                  "contest_date ASC NULLS FIRST, home_score ASC NULLS FIRST, away_score ASC NULLS FIRST")
-
-ORACLE["dedup_keep_one"] = f"""WITH {CONTESTS}
-SELECT * FROM contests
+         coalesce(trim(regexp_extract("Venue", ',\\s*(.+)$', 1)), 'Unknown') AS city,
+         {_int('coalesce("Attendance", 0)')} AS attendance,
+         concat_ws(',', CASE WHEN try_strptime("Date", '%Y-%m-%d') IS NULL THEN 'date' END,
+                   CASE WHEN home_team IS NULL THEN 'home_team' END,
+                   CASE WHEN away_team IS NULL THEN 'away_team' END) AS reason
+  FROM raw)"""
+
+ORACLE["clean_contests"] = f"""WITH {RAW_CONTESTS}
+SELECT * EXCLUDE (reason) FROM c
+QUALIFY row_number() OVER (PARTITION BY match_id ORDER BY year ASC NULLS LAST, stage ASC NULLS LAST,
+        home_score ASC NULLS LAST, away_score ASC NULLS LAST, stadium ASC NULLS LAST, city ASC NULLS LAST,
+        attendance ASC NULLS LAST) = 1"""
+
+ORACLE["contest_rejects"] = f"""WITH {RAW_CONTESTS}
+SELECT * FROM c WHERE reason <> ''"""
+
+_CONTEST_ORDER = ("home_team ASC NULLS LAST, away_team ASC NULLS LAST, season ASC NULLS LAST, "
+                  "contest_date ASC NULLS LAST, home_score ASC NULLS LAST, away_score ASC NULLS LAST")
+
+ORACLE["dedup_keep_one"] = f"""WITH {CONTESTS},
+scored AS (SELECT * REPLACE (nullif(home_score, 0) AS home_score) FROM contests)
+SELECT * FROM scored
 QUALIFY row_number() OVER (PARTITION BY contest_id ORDER BY {_CONTEST_ORDER}) = 1"""
 
 ORACLE["dedup_report"] = f"""WITH {CONTESTS}
@@ -388,14 +443,14 @@ ORACLE["quality_profile"] = f"""WITH {CONTESTS},
 {DOCS},
 {NUMBERS},
 kept_docs AS (
-  SELECT * FROM docs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY lang ASC NULLS FIRST,
-         source ASC NULLS FIRST, quality ASC NULLS FIRST, toxic ASC NULLS FIRST) = 1),
+  SELECT * FROM docs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY lang ASC NULLS LAST,
+         source ASC NULLS LAST, quality ASC NULLS LAST, toxic ASC NULLS LAST) = 1),
 kept_contests AS (
   SELECT * FROM contests QUALIFY row_number() OVER (PARTITION BY contest_id ORDER BY {_CONTEST_ORDER}) = 1),
-parsed AS (SELECT key, text, TRY_CAST(text AS INTEGER) AS as_int FROM numbers),
+parsed AS (SELECT key, text, {_int('text')} AS as_int FROM numbers),
 kept_numbers AS (
-  SELECT * FROM parsed QUALIFY row_number() OVER (PARTITION BY key ORDER BY text ASC NULLS FIRST,
-         as_int ASC NULLS FIRST) = 1),
+  SELECT * FROM parsed QUALIFY row_number() OVER (PARTITION BY key ORDER BY text ASC NULLS LAST,
+         as_int ASC NULLS LAST) = 1),
 log AS (
   SELECT 'labelled_docs' AS table_name, count(*) AS total_records,
          CAST(count(*) FILTER (WHERE doc_id IS NULL) + count(*) FILTER (WHERE lang IS NULL)
@@ -416,7 +471,7 @@ log AS (
   SELECT 'raw_numbers', count(*),
          CAST(count(*) FILTER (WHERE key IS NULL) + count(*) FILTER (WHERE as_int IS NULL) AS BIGINT),
          (SELECT count(*) FROM parsed) - count(*),
-         count(*) FILTER (WHERE text IS NOT NULL AND as_int IS NULL)
+         (SELECT count(*) FROM parsed WHERE text IS NOT NULL AND as_int IS NULL)
   FROM kept_numbers)
 SELECT * FROM log ORDER BY table_name"""
 
@@ -442,6 +497,18 @@ SELECT * FROM cur WHERE NOT EXISTS (SELECT 1 FROM chg WHERE chg.c_custkey = cur.
 UNION ALL
 SELECT * FROM chg"""
 
+ORACLE["upsert_duplicate_keys"] = f"""WITH {CUSTOMER_CHANGES},
+twice AS (
+  SELECT * FROM chg
+  UNION ALL
+  SELECT c_custkey, c_name, c_acctbal - 7, c_mktsegment FROM chg WHERE c_custkey % 3 = 0),
+one AS (
+  SELECT * FROM twice QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY c_name ASC NULLS LAST,
+         c_acctbal ASC NULLS LAST, c_mktsegment ASC NULLS LAST) = 1)
+SELECT * FROM cur WHERE NOT EXISTS (SELECT 1 FROM one WHERE one.c_custkey = cur.c_custkey)
+UNION ALL
+SELECT * FROM one"""
+
 ORACLE["upsert_partial"] = f"""WITH {CUSTOMER_CHANGES}
 SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey,
        CASE WHEN o.c_custkey IS NOT NULL THEN o.c_name ELSE n.c_name END AS c_name,
@@ -460,22 +527,22 @@ SELECT * FROM registry
 WHERE row_count > 0 AND table_name <> 'metadata'
   AND table_name IN ('lineitem', 'orders', 'customer', 'supplier', 'part', 'nation', 'region', 'metadata')"""
 
-ORACLE["latest_snapshot"] = f"""WITH {RATINGS}
+ORACLE["latest_snapshot"] = f"""WITH {TEXT_RATINGS}
 SELECT * FROM ratings
-QUALIFY row_number() OVER (PARTITION BY entity ORDER BY snapshot_date DESC NULLS LAST,
-        rating ASC NULLS FIRST, goals_for ASC NULLS FIRST, matches_total ASC NULLS FIRST,
-        is_host ASC NULLS FIRST, grp ASC NULLS FIRST) = 1"""
+QUALIFY row_number() OVER (PARTITION BY entity ORDER BY {_KNOWN} DESC NULLS LAST,
+        rating ASC NULLS LAST, goals_for ASC NULLS LAST, matches_total ASC NULLS LAST,
+        is_host ASC NULLS LAST, grp ASC NULLS LAST) = 1"""
 
-ORACLE["global_latest"] = f"""WITH {RATINGS}
-SELECT * FROM ratings WHERE snapshot_date = (SELECT max(snapshot_date) FROM ratings)"""
+ORACLE["global_latest"] = f"""WITH {TEXT_RATINGS}
+SELECT * FROM ratings WHERE {_KNOWN} = (SELECT max({_KNOWN}) FROM ratings)"""
 
-ORACLE["top_ratings"] = f"""WITH {RATINGS}
-SELECT entity, rating FROM ratings WHERE snapshot_date = (SELECT max(snapshot_date) FROM ratings)
+ORACLE["top_ratings"] = f"""WITH {TEXT_RATINGS}
+SELECT entity, rating FROM ratings WHERE {_KNOWN} = (SELECT max({_KNOWN}) FROM ratings)
 ORDER BY rating DESC NULLS FIRST, entity ASC NULLS LAST LIMIT 15"""
 
-ORACLE["rating_by_group"] = f"""WITH {RATINGS}
+ORACLE["rating_by_group"] = f"""WITH {TEXT_RATINGS}
 SELECT grp, {_r('avg(rating)', 0)} AS avg_rating FROM ratings
-WHERE snapshot_date = (SELECT max(snapshot_date) FROM ratings)
+WHERE {_KNOWN} = (SELECT max({_KNOWN}) FROM ratings)
 GROUP BY grp ORDER BY avg_rating DESC NULLS FIRST, grp"""
 
 ORACLE["predict_contests"] = f"WITH {PREDICTIONS}\nSELECT * FROM predictions"
@@ -484,28 +551,10 @@ ORACLE["predict_contests_narrow"] = f"""WITH {PREDICTIONS}
 SELECT match_id, home_team, away_team, match_date, home_rank, away_rank, predicted_winner
 FROM predictions ORDER BY match_date ASC NULLS LAST, match_id ASC NULLS LAST LIMIT 100"""
 
-ORACLE["predict_pair_clamped"] = f"""WITH {SCHEDULE},
-{RATINGS},
-{RANKINGS},
-latest_raw AS (
-  SELECT * FROM ratings
-  QUALIFY row_number() OVER (PARTITION BY entity ORDER BY snapshot_date DESC NULLS LAST,
-          rating NULLS FIRST, goals_for NULLS FIRST, matches_total NULLS FIRST) = 1),
-r26 AS (SELECT entity, rank FROM rankings WHERE year = 2026),
-j AS (
-  SELECT s.match_id, s.home_team, s.away_team, s.match_date, rh.rank AS home_rank, ra.rank AS away_rank,
-         coalesce(CAST(h.rating AS DOUBLE), CAST(1500 AS DOUBLE)) AS rating_home,
-         coalesce(CAST(a.rating AS DOUBLE), CAST(1500 AS DOUBLE)) AS rating_away,
-         greatest(CAST(1 AS DOUBLE), coalesce(CAST(h.goals_for AS DOUBLE), 1)) AS gh,
-         greatest(CAST(1 AS DOUBLE), coalesce(CAST(h.matches_total AS DOUBLE), 1)) AS mh,
-         greatest(CAST(1 AS DOUBLE), coalesce(CAST(a.goals_for AS DOUBLE), 1)) AS ga,
-         greatest(CAST(1 AS DOUBLE), coalesce(CAST(a.matches_total AS DOUBLE), 1)) AS ma
-  FROM schedule s
-  LEFT JOIN latest_raw h ON s.home_team = h.entity
-  LEFT JOIN latest_raw a ON s.away_team = a.entity
-  LEFT JOIN r26 rh ON s.home_team = rh.entity
-  LEFT JOIN r26 ra ON s.away_team = ra.entity),
-k AS (
+ORACLE["predict_contests_all_narrow"] = f"""WITH {PREDICTIONS}
+SELECT match_id, home_team, away_team, match_date, home_rank, away_rank, predicted_winner FROM predictions"""
+
+_CLAMPED = f"""k AS (
   SELECT *, rating_home - rating_away AS diff FROM j),
 m AS (
   SELECT *,
@@ -528,6 +577,93 @@ SELECT match_id, home_team, away_team, match_date, home_rank, away_rank, rating_
             ELSE 'Draw' END AS predicted_winner
 FROM n"""
 
+ORACLE["predict_pair_clamped"] = f"""WITH {SCHEDULE},
+{RATINGS},
+{RANKINGS},
+latest_raw AS (
+  SELECT * FROM ratings
+  QUALIFY row_number() OVER (PARTITION BY entity ORDER BY snapshot_date DESC NULLS LAST,
+          rating NULLS LAST, goals_for NULLS LAST, matches_total NULLS LAST) = 1),
+r26 AS (SELECT entity, rank FROM rankings WHERE year = 2026),
+j AS (
+  SELECT s.match_id, s.home_team, s.away_team, s.match_date, rh.rank AS home_rank, ra.rank AS away_rank,
+         coalesce(CAST(h.rating AS DOUBLE), CAST(1500 AS DOUBLE)) AS rating_home,
+         coalesce(CAST(a.rating AS DOUBLE), CAST(1500 AS DOUBLE)) AS rating_away,
+         greatest(CAST(1 AS DOUBLE), coalesce(CAST(h.goals_for AS DOUBLE), 1)) AS gh,
+         greatest(CAST(1 AS DOUBLE), coalesce(CAST(h.matches_total AS DOUBLE), 1)) AS mh,
+         greatest(CAST(1 AS DOUBLE), coalesce(CAST(a.goals_for AS DOUBLE), 1)) AS ga,
+         greatest(CAST(1 AS DOUBLE), coalesce(CAST(a.matches_total AS DOUBLE), 1)) AS ma
+  FROM schedule s
+  LEFT JOIN latest_raw h ON s.home_team = h.entity
+  LEFT JOIN latest_raw a ON s.away_team = a.entity
+  LEFT JOIN r26 rh ON s.home_team = rh.entity
+  LEFT JOIN r26 ra ON s.away_team = ra.entity),
+{_CLAMPED}"""
+
+NAMED = f"""{CLUB_ALIASES},
+{SCHEDULE.replace("schedule AS (", "plain AS (", 1)},
+{TEXT_RATINGS.replace(chr(10) + "ratings AS (", chr(10) + "by_number AS (")},
+{RANKINGS},
+schedule AS (
+  SELECT match_id, {_spelled('home_team', 'home_team % 5 = 0')} AS home_team,
+         {_spelled('away_team', 'away_team % 7 = 0', 'TEAM ')} AS away_team, match_date FROM plain),
+named_ratings AS (
+  SELECT * REPLACE ({_spelled('entity', f'entity % 10 = 0 AND coalesce(day({_KNOWN}) % 2 = 1, false)')} AS entity)
+  FROM by_number),
+listed AS (
+  SELECT entity, rank FROM rankings WHERE year = 2026
+  UNION ALL
+  SELECT entity, rank + 3 FROM rankings WHERE year = 2026 AND entity % 4 = 1),
+named_ranks AS (SELECT {_spelled('entity', 'entity % 15 = 0')} AS entity, rank FROM listed)"""
+
+
+def _exact(col: str) -> str:
+    return f"coalesce((SELECT canonical FROM exact WHERE alias = {col}), {col})"
+
+
+def _any_case(col: str) -> str:
+    return (f"coalesce((SELECT canonical FROM exact WHERE alias = {col}), "
+            f"(SELECT canonical FROM folded WHERE spelling = lower({col})), {col})")
+
+
+_LATEST_ORDER = f"""{_KNOWN} DESC NULLS LAST, rating NULLS LAST, goals_for NULLS LAST, matches_total NULLS LAST,
+          is_host NULLS LAST"""
+
+ORACLE["predict_contests_named"] = f"""WITH {NAMED},
+latest AS (
+  SELECT * FROM (SELECT * REPLACE ({_exact('entity')} AS entity) FROM named_ratings)
+  QUALIFY row_number() OVER (PARTITION BY entity ORDER BY {_LATEST_ORDER}) = 1),
+r26 AS (SELECT entity, min(rank) AS rank FROM (
+          SELECT {_exact('entity')} AS entity, rank FROM named_ranks) GROUP BY entity),
+keyed AS (SELECT *, {_exact('home_team')} AS home_key, {_exact('away_team')} AS away_key FROM schedule),
+{_PREDICT}
+SELECT * FROM predictions"""
+
+ORACLE["predict_pair_named"] = f"""WITH {NAMED},
+latest AS (
+  SELECT * FROM (SELECT * REPLACE ({_any_case('entity')} AS entity) FROM named_ratings)
+  QUALIFY row_number() OVER (PARTITION BY entity ORDER BY {_KNOWN} DESC NULLS LAST, rating NULLS LAST,
+          goals_for NULLS LAST, matches_total NULLS LAST) = 1),
+raw_rank AS (SELECT entity, min(rank) AS rank FROM named_ranks GROUP BY entity),
+clean_rank AS (SELECT entity, min(rank) AS rank FROM (
+          SELECT {_any_case('entity')} AS entity, rank FROM named_ranks) GROUP BY entity),
+keyed AS (SELECT *, {_any_case('home_team')} AS home_key, {_any_case('away_team')} AS away_key FROM schedule),
+j AS (
+  SELECT s.match_id, s.home_team, s.away_team, s.match_date,
+         CASE WHEN rh.entity IS NOT NULL THEN rh.rank ELSE ch.rank END AS home_rank,
+         CASE WHEN ra.entity IS NOT NULL THEN ra.rank ELSE ca.rank END AS away_rank,
+         coalesce(CAST(h.rating AS DOUBLE), CAST(1500 AS DOUBLE)) AS rating_home,
+         coalesce(CAST(a.rating AS DOUBLE), CAST(1500 AS DOUBLE)) AS rating_away,
+         greatest(CAST(1 AS DOUBLE), coalesce(CAST(h.goals_for AS DOUBLE), 1)) AS gh,
+         greatest(CAST(1 AS DOUBLE), coalesce(CAST(h.matches_total AS DOUBLE), 1)) AS mh,
+         greatest(CAST(1 AS DOUBLE), coalesce(CAST(a.goals_for AS DOUBLE), 1)) AS ga,
+         greatest(CAST(1 AS DOUBLE), coalesce(CAST(a.matches_total AS DOUBLE), 1)) AS ma
+  FROM keyed s
+  LEFT JOIN latest h ON s.home_key = h.entity LEFT JOIN latest a ON s.away_key = a.entity
+  LEFT JOIN raw_rank rh ON s.home_team = rh.entity LEFT JOIN raw_rank ra ON s.away_team = ra.entity
+  LEFT JOIN clean_rank ch ON s.home_key = ch.entity LEFT JOIN clean_rank ca ON s.away_key = ca.entity),
+{_CLAMPED}"""
+
 ORACLE["pairwise_predictions"] = f"""WITH {SCHEDULE},
 {RATINGS},
 latest AS (
@@ -554,7 +690,7 @@ SELECT home_team, rating_home, away_team, rating_away,
        {_pct('prob_draw')} AS prob_draw,
        CAST(expected_goals_home AS VARCHAR) || ' - ' || CAST(expected_goals_away AS VARCHAR) AS expected_score,
        predicted_winner
-FROM predictions ORDER BY match_date ASC NULLS LAST, match_id ASC NULLS LAST"""
+FROM predictions"""
 
 ORACLE["prediction_summary"] = f"""WITH {PREDICTIONS}
 SELECT count(*) AS matches_simulated,

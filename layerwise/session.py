@@ -6,8 +6,6 @@ Library code never creates a session: every operator works on the caller's
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the operators rely on.  AQE re-plans joins (broadcast only below the
@@ -41,24 +39,4 @@ def get_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
-
-    A cluster names a shared, fault-tolerant folder there and it is used as is.
-    Only when the setting is absent (local tests) is a scratch folder created.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: a cluster must name a shared folder; "
-                "a machine-local scratch folder is only created in local mode"
-            )
-        current = tempfile.mkdtemp(prefix="layerwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current

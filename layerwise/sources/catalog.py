@@ -2,8 +2,8 @@
 
 A catalogue lists sources (name, path, declared schema, required?).  Landing
 replaces each raw table and records one manifest row per table: rows (counted
-by an ``Observation`` during the write, not by a second job), bytes of the
-source, seconds and rows per second.  A missing optional source is skipped
+over the written table, which Parquet answers from its footers, so that tasks
+run again after a lost executor count once), bytes of the source, seconds and rows per second.  A missing optional source is skipped
 with a warning; a missing required source stops the landing.
 """
 
@@ -14,7 +14,7 @@ import logging
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -37,7 +37,8 @@ MANIFEST_SCHEMA = (
 class Source:
     """A raw input.  ``path`` is a file or folder for file formats; for ``fmt="jdbc"`` it is
     the JDBC URL and ``options`` carries ``table``, connection ``properties`` and optional
-    ``partition_column`` / ``num_partitions`` for a split read."""
+    ``partition_column`` / ``num_partitions`` for a split read, or ``small`` for a table that one
+    task may read."""
 
     name: str
     path: str
@@ -56,7 +57,7 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
         return read_jdbc(
             spark, source.path, opts.pop("table"), opts.pop("properties", None),
             partition_column=opts.pop("partition_column", None),
-            num_partitions=opts.pop("num_partitions", None),
+            num_partitions=opts.pop("num_partitions", None), small=opts.pop("small", False),
         )
     reader = spark.read.format(source.fmt).options(**source.options)
     if source.schema is not None:
@@ -74,6 +75,13 @@ def _source_bytes(spark: SparkSession, source: Source) -> int | None:
     return None if source.fmt == "jdbc" else fs.size_bytes(spark, source.path)
 
 
+def registered(table: DataFrame, name: str, source_file: str) -> DataFrame:
+    """The registry entry of a table: one row table_name, source_file, row_count, schema_version."""
+    return table.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(name).alias("table_name"), F.lit(source_file).alias("source_file"), "row_count",
+        F.lit(DEFAULT_SCHEMA_VERSION).alias("schema_version"))
+
+
 def land(
     spark: SparkSession,
     sources: list[Source],
@@ -91,18 +99,18 @@ def land(
             log.warning("optional source %s missing at %s; skipped", source.name, source.path)
             continue
         started = time.perf_counter()
-        observation = Observation(f"land_{source.name}")
-        df = read_source(spark, source).observe(observation, F.count(F.lit(1)).alias("rows"))
+        df = read_source(spark, source)
         target = f"{out_root}/{source.name}"
         if source.keep_schema:
             replace_keeping_schema(spark, df, target)
         else:
             df.write.mode("overwrite").parquet(target)
         seconds = time.perf_counter() - started
-        count = int(observation.get["rows"])
         source_file = source.options.get("table") or source.path.rsplit("/", 1)[-1]
+        entry = registered(spark.read.parquet(target), source.name, source_file).first()  # one row
+        count = entry["row_count"]
         rows.append((
-            source.name, source_file, stamp, count, DEFAULT_SCHEMA_VERSION, _source_bytes(spark, source),
+            source.name, source_file, stamp, count, entry["schema_version"], _source_bytes(spark, source),
             seconds, count / seconds if seconds > 0 else float(count),
         ))
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)

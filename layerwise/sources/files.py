@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from layerwise.sources import fs
+
 CORRUPT_COLUMN = "_corrupt_record"
 
 
@@ -47,15 +52,22 @@ def replace_keeping_schema(spark: SparkSession, df: DataFrame, path: str) -> Non
     """Truncate-then-append: replace the rows but keep the table's declared schema, so
     dependants keep working.  A new table is simply created.  The incoming columns are
     aligned by name to the existing schema; a mismatch raises instead of silently
-    changing the table's shape."""
-    try:
-        existing = spark.read.parquet(path).schema
-    except Exception:  # no table yet
+    changing the table's shape, and so does a value that its column cannot hold: the rows that
+    would lose one are counted first, and the table is left as it is."""
+    if not fs.exists(spark, path):
         write_parquet(df, path)
         return
+    existing = spark.read.parquet(path).schema
     missing = [f.name for f in existing.fields if f.name not in df.columns]
     extra = [c for c in df.columns if c not in existing.fieldNames()]
     if missing or extra:
         raise ValueError(f"schema change refused: missing {missing}, extra {extra}")
-    aligned = df.select(*[df[f.name].try_cast(f.dataType).alias(f.name) for f in existing.fields])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    changed = [f for f in existing.fields if types[f.name] != f.dataType]
+    if changed:
+        lost = [F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull() for f in changed]
+        bad = df.select(F.count_if(reduce(lambda a, b: a | b, lost))).first()[0]
+        if bad:
+            raise ValueError(f"{bad} rows hold values that {[f.name for f in changed]} of {path} cannot take")
+    aligned = df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in existing.fields])
     write_parquet(aligned, path)

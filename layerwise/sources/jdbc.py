@@ -1,19 +1,34 @@
 """JDBC sources and sinks.
 
 An unpartitioned JDBC read is a single task holding the whole table.  Here a
-read is split on a numeric column into ``num_partitions`` ranges; when bounds
-are not given they are fetched with one MIN/MAX query executed by the database.
+read is split on a numeric, date or timestamp column into ``num_partitions``
+ranges; when bounds are not given they are fetched with one MIN/MAX query
+executed by the database.  A read in one task must be asked for as such.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 
+Bound = int | dt.date | dt.datetime | None
+
+
+def _bound(value: Bound, after: bool = False) -> int | str:
+    """A bound as Spark's JDBC reader takes it; ``after``: the one that follows, so that the range holds it."""
+    if isinstance(value, dt.datetime):
+        return (value + dt.timedelta(seconds=int(after))).strftime("%Y-%m-%d %H:%M:%S")
+    if isinstance(value, dt.date):
+        return (value + dt.timedelta(days=int(after))).isoformat()
+    return int(value) + int(after)
+
+
 def partition_bounds(
     spark: SparkSession, url: str, table: str, column: str, properties: dict | None = None,
     quote: str = '"',
-) -> tuple[int | None, int | None]:
+) -> tuple:
     """MIN and MAX of ``column``, computed by the database.  The column is quoted with
     ``quote`` (standard SQL double quotes; pass ``""`` for a raw expression)."""
     ref = f"{quote}{column}{quote}"
@@ -31,13 +46,16 @@ def read_jdbc(
     properties: dict | None = None,
     *,
     partition_column: str | None = None,
-    lower_bound: int | None = None,
-    upper_bound: int | None = None,
+    lower_bound: Bound = None,
+    upper_bound: Bound = None,
     num_partitions: int | None = None,
     fetch_size: int = 10_000,
+    small: bool = False,
 ) -> DataFrame:
-    """Whole-table read, range-partitioned on ``partition_column`` when given."""
+    """Whole-table read in ranges of ``partition_column``, or in one task if the table is declared ``small``."""
     props = {"fetchsize": str(fetch_size), **(properties or {})}
+    if not partition_column and not small:
+        raise ValueError(f"{table}: name a partition_column, or declare the table small to read it in one task")
     if not partition_column:
         return spark.read.jdbc(url, table, properties=props)
     if lower_bound is None or upper_bound is None:
@@ -47,10 +65,10 @@ def read_jdbc(
     if lower_bound is None:  # empty table
         return spark.read.jdbc(url, table, properties=props)
     parts = num_partitions or spark.sparkContext.defaultParallelism
-    return spark.read.jdbc(
-        url, table, column=partition_column, lowerBound=int(lower_bound),
-        upperBound=int(upper_bound) + 1, numPartitions=max(1, int(parts)), properties=props,
-    )
+    return spark.read.format("jdbc").options(
+        url=url, dbtable=table, partitionColumn=partition_column, lowerBound=_bound(lower_bound),
+        upperBound=_bound(upper_bound, after=True), numPartitions=max(1, int(parts)), **props,
+    ).load()
 
 
 def write_jdbc(

@@ -22,7 +22,6 @@ from layerwise.functions import (
     unknown_if_null,
 )
 from layerwise.functions.elo import expected_goals, host_advantage, outcome_probabilities, winner_label
-from layerwise.functions.names import case_insensitive_aliases, normalise_column
 
 
 def one(df):
@@ -79,29 +78,29 @@ def test_natural_key_skips_nulls(spark):
 
 def test_normalise_exact(spark):
     df = spark.createDataFrame([("Türkiye",), ("IR Iran",), ("South Korea",), ("Brazil",), (None,)], "n string")
-    got = [r[0] for r in df.select(normalise("n")).collect()]
-    assert got == ["Turkey", "Iran", "Korea Republic", "Brazil", None]
+    got = [r.m for r in normalise(df, "n", out="m").collect()]
+    assert sorted(got, key=str) == sorted(["Turkey", "Iran", "Korea Republic", "Brazil", None], key=str)
 
 
 def test_normalise_case_insensitive(spark):
-    df = spark.createDataFrame([("USA",), ("usa",), ("united states",), ("south KOREA",), ("",), (None,),
-                                ("Chile",)], "n string")
-    got = [r[0] for r in df.select(normalise_ci("n")).collect()]
-    assert got == ["United States", "United States", "United States", "South Korea", "", None, "Chile"]
+    names = ["USA", "usa", "united states", "south KOREA", "", None, "Chile"]
+    df = spark.createDataFrame(list(enumerate(names)), "i int, n string")
+    got = {r.i: r.m for r in normalise_ci(df, "n", out="m").collect()}
+    assert [got[i] for i in range(7)] == ["USA", "USA", "USA", "Korea Republic", "", None, "Chile"]
 
 
-def test_case_folding_first_pair_wins():
-    folded = case_insensitive_aliases({"A": "x", "b": "A", "a": "y"})
-    assert folded == {"a": "x", "x": "x", "b": "A", "y": "y"}
+def test_case_folding_first_pair_wins(spark):
+    df = spark.createDataFrame([("A",), ("a",), ("X",), ("B",), ("Y",)], "n string")
+    got = {r.n: r.m for r in normalise_ci(df, "n", {"A": "x", "b": "A", "a": "y"}, "m").collect()}
+    assert got == {"A": "x", "a": "y", "X": "x", "B": "A", "Y": "y"}
 
 
-def test_normalise_by_join_for_large_dictionaries(spark):
+def test_dictionaries_of_any_size(spark):
     aliases = {f"name{i}": f"canon{i}" for i in range(300)}
-    df = spark.createDataFrame([("name7",), ("other",)], "n string")
-    got = sorted(r[0] for r in normalise_column(df, "n", aliases, out="m").select("m").collect())
-    assert got == ["canon7", "other"]
-    with pytest.raises(ValueError):
-        normalise("n", aliases)
+    df = spark.createDataFrame([("name7",), ("NAME8",), ("other",)], "n string")
+    assert sorted(r.m for r in normalise(df, "n", aliases, "m").collect()) == ["NAME8", "canon7", "other"]
+    assert sorted(r.m for r in normalise_ci(df, "n", aliases, "m").collect()) == ["canon7", "canon8", "other"]
+    assert [r.n for r in normalise(df, "n", {}).orderBy("n").collect()] == ["NAME8", "name7", "other"]
 
 
 def test_text_formats(spark):
@@ -153,7 +152,22 @@ def test_zero_matches_gives_null_expected_goals(spark):
 
 
 def test_normalise_with_alias_table(spark):
-    aliases = spark.createDataFrame([("Türkiye", "Turkey")], "alias string, canonical string")
-    df = spark.createDataFrame([("Türkiye",), ("Chile",), (None,)], "n string")
-    got = sorted((r.m for r in normalise_column(df, "n", aliases, out="m").collect()), key=str)
-    assert got == sorted(["Turkey", "Chile", None], key=str)
+    aliases = spark.createDataFrame([("Türkiye", "Turkey"), ("Türkiye", "Zurkey"), (None, "x")],
+                                    "alias string, canonical string")
+    df = spark.createDataFrame([("Türkiye",), ("TÜRKIYE",), ("Chile",), (None,)], "n string")
+    got = sorted((r.m for r in normalise(df, "n", aliases, "m").collect()), key=str)
+    assert got == sorted(["Turkey", "TÜRKIYE", "Chile", None], key=str)  # a repeated alias adds no row
+    got = sorted((r.m for r in normalise_ci(df, "n", aliases, "m").collect()), key=str)
+    assert got == sorted(["Turkey", "Turkey", "Chile", None], key=str)
+
+
+def test_whole_numbers_from_decimal_text(spark):
+    df = spark.createDataFrame([("3.0",), ("12.5",), ("-5.7",), ("x",), (None,), ("99999999999",)], "s string")
+    got = df.select(truncating_int("s"), default_cast_first("s", "int", 0), default_coalesce_first("s", "int", 0)).collect()
+    assert [tuple(r) for r in got] == [
+        (3, 3, 3), (12, 12, 12), (-5, -5, -5), (None, 0, None), (None, 0, 0), (None, 0, None)]
+
+
+def test_first_part_takes_its_separator_literally(spark):
+    df = spark.createDataFrame([("a.b|c",)], "s string")
+    assert one(df.select(first_part("s", "."), first_part("s", "|"), first_part("s")))[:] == ("a", "a.b", "a.b|c")

@@ -67,7 +67,7 @@ def test_layered_job(spark, tmp_root):
 
     q = {r.table_name: r for r in quality_report(spark, out).collect()}
     assert (q["rankings"].total_records, q["rankings"].duplicate_count, q["rankings"].invalid_records) == (5, 1, 1)
-    assert (q["history"].total_records, q["history"].duplicate_count, q["history"].invalid_records) == (2, 1, 0)
+    assert (q["history"].total_records, q["history"].duplicate_count, q["history"].invalid_records) == (2, 1, 1)  # over all rows read
     assert (q["schedule"].total_records, q["schedule"].duplicate_count, q["schedule"].invalid_records) == (3, 1, 1)
     assert (q["contests"].total_records, q["contests"].duplicate_count) == (3, 1)
     assert all(r.processing_time_seconds >= 0 for r in q.values())
@@ -76,6 +76,9 @@ def test_layered_job(spark, tmp_root):
     assert ranks[("Alpha", 2022)] == (1, 1841) and ranks[("Beta", 2022)] == (2, 1700)
     assert ranks[("Gamma", 2022)] == (None, 1650) and ranks[("Beta", 2026)] == (1, 1900)
 
+    listed = spark.read.parquet(f"{out}/rejects/schedule").collect()
+    assert [r.reason for r in listed] == ["date"]
+
     contests = {r.match_id: r for r in spark.read.parquet(paths["contests"]).collect()}
     final = contests["2022-11-20_Alpha_Unknown"]
     assert (final.stadium, final.city, final.attendance, final.away_team) == ("Unknown", "Unknown", 5000, "Unknown")
@@ -160,12 +163,12 @@ def test_layered_job_exports_to_jdbc(spark, tmp_root):
                            table_names={"contests": "matches_clean"})
     paths = run_layered(spark, [Source("matches", f"{tmp_root}/matches.csv")], f"{tmp_root}/wh", config)
     assert paths["contests"].endswith("/cleaned/matches_clean")
-    assert read_jdbc(spark, url, "matches_clean", props).count() == 3
-    assert read_jdbc(spark, url, "tournament_stats", props).count() == 2
+    assert read_jdbc(spark, url, "matches_clean", props, small=True).count() == 3
+    assert read_jdbc(spark, url, "tournament_stats", props, small=True).count() == 2
     # a second export truncates and refills the same tables
     assert export_jdbc(spark, paths, {"url": url, "properties": props}, config.table_names) == [
         "matches_clean", "team_performance", "tournament_stats"]
-    assert read_jdbc(spark, url, "team_performance", props).count() == spark.read.parquet(
+    assert read_jdbc(spark, url, "team_performance", props, small=True).count() == spark.read.parquet(
         paths["team_performance"]).count()
 
 
@@ -191,3 +194,22 @@ def test_predictions_from_untyped_ratings(spark, tmp_root):
     got = {r.match_id: r for r in predict(schedule, untyped).collect()}
     assert (got["m1"].prob_home_win, got["m1"].prob_draw, got["m1"].expected_goals_home) == (0.7074, 0.1248, 0.81)
     assert got["m2"].rating_home == 1500.0  # malformed rating → default
+
+
+def test_documented_command_runs(tmp_root):
+    import json
+    import os
+    import subprocess
+    import sys
+
+    with open(f"{tmp_root}/matches.csv", "w") as fh:
+        fh.write(MATCHES)
+    with open(f"{tmp_root}/job.json", "w") as fh:
+        json.dump({"root": f"{tmp_root}/out", "sources": [{"name": "matches", "path": f"{tmp_root}/matches.csv"}],
+                   "layers": {"contests": "matches"}}, fh)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run([sys.executable, "-m", "layerwise.plans.layered", f"{tmp_root}/job.json"], cwd=root,
+                         capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-2000:]
+    report = json.loads(run.stdout.strip().splitlines()[-1])
+    assert report["quality"][0]["total_records"] == 3 and "contests" in report["paths"]

@@ -32,7 +32,7 @@ def test_dedup_is_repeatable_across_partitionings(spark):
 def test_dedup_keeps_first_by_other_columns_and_groups_null_keys(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), (None, 5), (None, 3), ("b", None), ("b", 0)],
                                "k string, v int")
-    assert sorted(rows(dd.dedup(df, "k")), key=str) == sorted([("a", 1), (None, 3), ("b", None)], key=str)
+    assert sorted(rows(dd.dedup(df, "k")), key=str) == sorted([("a", 1), (None, 3), ("b", 0)], key=str)  # known before missing
     report = dd.dedup_report(df, "k").collect()[0]
     assert (report.total_rows, report.distinct_keys, report.duplicate_count) == (6, 3, 3)
 
@@ -61,9 +61,9 @@ def test_profile_counts_nulls_duplicates_invalid(spark):
     df = spark.createDataFrame(
         [(1, "3", 3), (1, "x", None), (2, None, None), (3, "y", None)], "k int, raw string, parsed int")
     r = quality.profile(df, "t", key="k", invalid=[("raw", "parsed")]).collect()[0]
-    # kept rows: (1,'3',3) [first by raw asc nulls first? '3' < 'x'], (2,None,None), (3,'y',None)
+    # kept rows: (1,'3',3) [first by raw: '3' < 'x'], (2,None,None), (3,'y',None)
     assert (r.table_name, r.total_records, r.duplicate_count) == ("t", 3, 1)
-    assert r.null_count == 2 and r.invalid_records == 1
+    assert r.null_count == 2 and r.invalid_records == 2  # all rows that did not parse, kept or not
 
 
 def test_key_violations(spark):
@@ -119,6 +119,38 @@ def test_versioned_upsert_table(spark, tmp_root):
     assert upsert.committed_versions(spark, root) == [2, 3]
 
 
+def test_upsert_refuses_and_resolves(spark):
+    current = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    incoming = spark.createDataFrame([(1, None), (1, "z"), (1, "y"), (3, "c")], "k int, v string")
+    assert rows(upsert.upsert(current, incoming, "k"), "k") == [(1, "y"), (2, "b"), (3, "c")]
+    last = upsert.upsert(current, incoming, "k", order=[F.col("v").desc_nulls_last()])
+    assert rows(last, "k")[0] == (1, "z")
+    with pytest.raises(ValueError, match="vv"):
+        upsert.upsert(current, incoming, "k", update=["vv"])
+    with pytest.raises(Exception, match="without a key"):
+        upsert.upsert(current, spark.createDataFrame([(None, "n")], "k int, v string"), "k").collect()
+
+
+def test_versions_without_success_markers_and_with_two_writers(spark, tmp_root):
+    current, incoming = _registry(spark)
+    root = f"{tmp_root}/registry"
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        upsert.upsert_table(spark, root, current, "table_name")
+        upsert.upsert_table(spark, root, incoming, "table_name")
+        assert upsert.committed_versions(spark, root) == [1, 2]
+        assert [r.table_name for r in upsert.read_current(spark, root).orderBy("table_name").collect()] == ["a", "b", "c"]
+    finally:
+        hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    seen = upsert.committed_versions(spark, root)
+    mine = upsert.claim_next_version(spark, root)
+    upsert.upsert_table(spark, root, incoming, "table_name", retain=5)  # another writer is faster
+    with pytest.raises(upsert.VersionTaken):
+        upsert.write_version(current, mine, seen)
+    assert upsert.read_current(spark, root).count() == 3
+
+
 # --- snapshots --------------------------------------------------------------------------------
 
 def test_latest_per_key_and_global_max(spark):
@@ -130,6 +162,14 @@ def test_latest_per_key_and_global_max(spark):
     assert sorted(rows(snapshots.at_global_max(df))) == [("x", d(2026, 3, 1), 11), ("x", d(2026, 3, 1), 12)]
 
 
+def test_malformed_dates_come_last(spark):
+    df = spark.createDataFrame([("x", "2026-01-01", 1), ("x", "n/a", 2), ("y", "2026-02-01", 3), ("z", "n/a", None),
+                                ("z", "n/a", 4)], "e string, snapshot_date string, r int")
+    assert rows(snapshots.latest_per_key(df, "e"), "e") == [
+        ("x", "2026-01-01", 1), ("y", "2026-02-01", 3), ("z", "n/a", 4)]
+    assert rows(snapshots.at_global_max(df)) == [("y", "2026-02-01", 3)]
+
+
 # --- standings -------------------------------------------------------------------------------------
 
 def test_standings_invariants(spark):
@@ -229,14 +269,47 @@ def test_predict_clamped_variant(spark):
     ranks = spark.createDataFrame([("Czechia", 40), ("South Korea", 22)], "country string, rank int")
     sched = _schedule(spark).withColumn("host", F.when(F.col("match_id") == "m3", F.lit("Czechia")))
     got = {r.match_id: r for r in predict_clamped(sched, _ratings(spark), ranks, home_side="host").collect()}
-    m1 = got["m1"]  # 'Korea Republic' → 'South Korea' by the rating aliases; rank by normalised name
+    m1 = got["m1"]  # 'South Korea' is 'Korea Republic' in ratings and ranks alike: latest snapshot, its rank
     assert (m1.rating_home, m1.home_rank, m1.away_rank) == (1870.0, 22, 40)
     assert m1.expected_score == "0.7-0.7"
-    m3 = got["m3"]  # 'United States' resolves to 'United States' (absent) → 1500; away side hosts
-    assert m3.rating_home == 1500.0 and m3.prob_away_win > m3.prob_home_win
+    m3 = got["m3"]  # 'United States' resolves to 'USA'; the away side hosts
+    assert m3.rating_home == 1700.0 and m3.prob_away_win > m3.prob_home_win
     assert got["m2"].predicted_winner == "Draw"
 
 
+def test_repeated_ranks_add_no_predictions(spark):
+    ranks = spark.createDataFrame([("Czechia", 41), ("Czechia", 40), ("Korea Republic", None), ("Korea Republic", 9)],
+                                  "country string, rank int")
+    for made in (predict(_schedule(spark), _ratings(spark), ranks), predict_clamped(_schedule(spark), _ratings(spark), ranks),
+                 predict_clamped(_schedule(spark), _ratings(spark), ranks, aliases=None)):
+        got = {r.match_id: r for r in made.collect()}
+        assert made.count() == 3 and (got["m1"].home_rank, got["m1"].away_rank) == (9, 40)
+
+
+def test_text_dates_of_ratings(spark):
+    ratings = _ratings(spark).withColumn("snapshot_date", F.when(F.col("country") == "USA", "n/a")
+                                         .otherwise(F.col("snapshot_date").cast("string")))
+    for f in (predict, predict_clamped):
+        got = {r.match_id: r for r in f(_schedule(spark), ratings, aliases=None).collect()}
+        assert got["m1"].rating_home == 1800
+
+
+def test_rejects_list_every_row_without_a_whole_key(spark):
+    from layerwise.operators import clean
+
+    raw = spark.createDataFrame(
+        [(None, "2018", "A", "B", "1", "0"), (None, "2018", "A", "B", "2", "0"), ("bad", "2018", None, "B", "3.0", "x"),
+         ("2018-01-01", "2018", "A", "B", "3.0", "1.0")],
+        "Date string, Year string, home_team string, away_team string, home_score string, away_score string")
+    listed = clean.rejects(clean.contest_rows(raw), clean.CONTEST_COLUMNS)
+    assert sorted((r.home_team, r.home_score, r.reason) for r in listed.collect()) == [
+        ("A", 1, "date"), ("A", 2, "date"), ("Unknown", 3, "date,home_team")]
+    kept = {r.match_id: r for r in clean.clean_contests(raw).collect()}
+    assert (kept["2018-01-01_A_B"].home_score, kept["2018-01-01_A_B"].away_score) == (3, 1)
+    ranks = spark.createDataFrame([("n/a", "A", 1.0), ("5.0", "A", 2.0)], "rank string, country string, points double")
+    assert clean.clean_rankings([(ranks, 2026)]).collect()[0].rank == 5
+
+
 def test_rank_lookup_prefers_raw_key_even_if_null(spark):
     dim = spark.createDataFrame([("a", None), ("b", 2), ("c", 3)], "k string, v int")
     df = spark.createDataFrame([("a", "b"), ("x", "c"), ("x", "zz")], "raw string, clean string")

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from layerwise.functions import after_first_comma, first_part, normalise_ci
-from layerwise.functions.names import RATING_NAME_ALIASES
+from layerwise.functions.names import TEAM_ALIASES
 
 SETTINGS = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -23,7 +23,7 @@ def lookup_model(name, aliases):
     return name
 
 
-spellings = st.sampled_from(list(RATING_NAME_ALIASES) + ["Chile", "", "iran", "IRAN", "usa", "SOUTH korea"])
+spellings = st.sampled_from(list(TEAM_ALIASES) + ["Chile", "", "iran", "IRAN", "usa", "SOUTH korea"])
 names = st.one_of(st.none(), spellings, st.text(alphabet="abcXYZ ", max_size=6))
 
 
@@ -31,8 +31,8 @@ names = st.one_of(st.none(), spellings, st.text(alphabet="abcXYZ ", max_size=6))
 @given(st.lists(names, min_size=1, max_size=20))
 def test_normalise_ci_matches_model(spark, batch):
     df = spark.createDataFrame([(i, n) for i, n in enumerate(batch)], "i int, n string")
-    got = {r.i: r.m for r in df.select("i", normalise_ci("n").alias("m")).collect()}
-    assert [got[i] for i in range(len(batch))] == [lookup_model(n, RATING_NAME_ALIASES) for n in batch]
+    got = {r.i: r.m for r in normalise_ci(df, "n", out="m").collect()}
+    assert [got[i] for i in range(len(batch))] == [lookup_model(n, TEAM_ALIASES) for n in batch]
 
 
 venues = st.one_of(st.none(), st.text(alphabet="ab ,", max_size=12))

@@ -1,5 +1,7 @@
 """CSV / Parquet / JDBC sources and landing."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,7 +59,7 @@ def test_jdbc_roundtrip_partitioned_read_and_truncate(spark):
     assert back.rdd.getNumPartitions() == 4 and back.count() == 1000
     assert back.agg(F.sum("id")).collect()[0][0] == sum(range(1000))
     write_jdbc(df.limit(10), DERBY, "NUMBERS", DERBY_PROPS, truncate=True)
-    assert read_jdbc(spark, DERBY, "NUMBERS", DERBY_PROPS).count() == 10
+    assert read_jdbc(spark, DERBY, "NUMBERS", DERBY_PROPS, small=True).count() == 10
 
 
 def test_land_from_jdbc_source(spark, tmp_root):
@@ -80,20 +82,30 @@ def test_count_tables_excludes_registry(spark):
     assert count_tables(spark, "default") == len(names) - 1
 
 
-def test_checkpoint_folder_rules(spark):
-    from types import SimpleNamespace
-
-    from layerwise.session import ensure_checkpoint_dir
-
-    assert ensure_checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-
-    class Conf(dict):
-        def get(self, key, default=None):
-            return dict.get(self, key, default)
-
-    cluster = SimpleNamespace(conf=Conf(), sparkContext=SimpleNamespace(master="yarn"))
-    with pytest.raises(RuntimeError):
-        ensure_checkpoint_dir(cluster)
+def test_values_that_do_not_fit_are_refused(spark, tmp_root):
+    path = f"{tmp_root}/t"
+    write_parquet(spark.createDataFrame([(1,)], "id int"), path)
+    with pytest.raises(ValueError, match="2 rows"):
+        replace_keeping_schema(spark, spark.createDataFrame([("3000000000",), ("oops",), ("7",), (None,)], "id string"), path)
+    assert [r.id for r in spark.read.parquet(path).collect()] == [1]  # the table is as it was
+    os.mkdir(f"{tmp_root}/broken")
+    _write(f"{tmp_root}/broken/part-0.parquet", "not parquet")
+    with pytest.raises(Exception):
+        replace_keeping_schema(spark, spark.range(1), f"{tmp_root}/broken")
+
+
+def test_unsplit_jdbc_reads_are_asked_for(spark):
+    with pytest.raises(ValueError, match="partition_column"):
+        read_jdbc(spark, DERBY, "NUMBERS", DERBY_PROPS)
+
+
+def test_jdbc_split_on_dates(spark):
+    days = spark.range(0, 40).selectExpr("id", "date_add(date'2026-01-01', cast(id as int)) as day",
+                                         "timestamp_seconds(1767225600 + id * 3600) as at")
+    write_jdbc(days, DERBY, "DAYS", DERBY_PROPS, truncate=False)
+    for column in ("DAY", "AT"):
+        back = read_jdbc(spark, DERBY, "DAYS", DERBY_PROPS, partition_column=column.lower(), num_partitions=4)
+        assert back.rdd.getNumPartitions() == 4 and back.count() == 40
 
 
 def test_land_keeping_schema(spark, tmp_root):
