@@ -79,34 +79,32 @@ def write(pages: DataFrame, path: str, *, payload: str = "html", least_bytes: in
         .withColumn("payload_bytes", F.octet_length("payload").cast("long")) \
         .withColumn("sha1_hex", F.sha1("payload"))
     proof = F.concat_ws(":", "payload_bytes", "sha1_hex", F.xxhash64("payload"))
-    # One row per address.  Any page's bytes do, once all pages of the address agree; the payload
-    # itself is fetched by the page chosen here, so that no aggregate carries bytes.
-    chosen = raw.groupBy("address").agg(
+    # Addresses of two pages or more, once their pages agree; no bytes are carried here.
+    several = raw.groupBy("address").agg(
         F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("pages"),
-        F.min(proof).alias("proof"), F.max(proof).alias("other_proof"))
-    chosen = chosen.withColumn("first_id", F.when(
-        F.col("proof") == F.col("other_proof"), F.col("first_id")
-    ).otherwise(F.raise_error(F.concat(F.lit("different payloads share the address "), F.col("address")))
-                .cast(pages.schema["page_id"].dataType)))
-    chosen_path = f"{path}/addresses"
-    chosen.select("address", "first_id", "pages").write.parquet(chosen_path)
-    chosen = spark.read.schema("address string, first_id "
-                               f"{pages.schema['page_id'].dataType.simpleString()}, pages long").parquet(chosen_path)
+        F.min(proof).alias("proof"), F.max(proof).alias("other_proof")).filter("pages > 1")
+    several = several.withColumn("pages", F.when(F.col("proof") == F.col("other_proof"), F.col("pages")).otherwise(
+        F.raise_error(F.concat(F.lit("different payloads share the address "), F.col("address"))).cast("long")))
+    id_type = pages.schema["page_id"].dataType.simpleString()
+    several.select("address", "first_id", "pages").write.parquet(f"{path}/repeated")
+    # read back: a table under the session's broadcast threshold is broadcast, a larger one joined by shuffle
+    repeated = spark.read.schema(f"address string, first_id {id_type}, pages long").parquet(f"{path}/repeated")
 
     narrow = raw.withColumn("payload_digest", base32(F.col("sha1_hex"))).select(
         "page_id", "url", "address", "payload_bytes", "payload_digest")
-    records = narrow.join(chosen.select("address", "first_id"), "address")
-    is_first = F.col("page_id").eqNullSafe(F.col("first_id")) | (F.col("payload_bytes") < least_bytes)
+    records = narrow.join(repeated, "address", "left")
+    is_first = F.col("pages").isNull() | F.col("page_id").eqNullSafe(F.col("first_id")) \
+        | (F.col("payload_bytes") < least_bytes)
     records = records.withColumn("record_type", F.when(is_first, "response").otherwise("revisit")) \
         .withColumn("refers_to", F.when(~is_first, F.col("first_id")))
     records.select("page_id", "address", _header(date).alias("header")).write.parquet(f"{path}/records")
 
-    # Addresses of a single page need no exchange of bytes per copy: the semi-join keeps the
-    # bytes of the first page only, and repeats of that page are dropped by address.
-    firsts = raw.select("page_id", "address", "payload").join(
-        chosen.select(F.col("address").alias("a"), "first_id"),
-        (F.col("address") == F.col("a")) & F.col("page_id").eqNullSafe(F.col("first_id")), "left_semi")
-    firsts.dropDuplicates(["address"]).select("address", "payload").write.parquet(f"{path}/payloads")
+    # Payloads of one page are written where they are read.  All pages of a repeated address hold the
+    # same bytes, so any of them gives the payload; repeats go within each task before bytes are shuffled.
+    bodies = raw.select("address", "payload")
+    single = bodies.join(repeated, "address", "left_anti")
+    shared = bodies.join(repeated, "address", "left_semi").dropDuplicates(["address"])
+    single.union(shared).write.parquet(f"{path}/payloads")
 
 
 def read(spark: SparkSession, path: str, id_type: str = "bigint") -> tuple[DataFrame, DataFrame]:
