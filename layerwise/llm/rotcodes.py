@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import blocks
 from .components import components, named, with_nodes
 from .shared import stored
 
@@ -121,16 +122,6 @@ def _coded(classes: DataFrame, bits: int, keys: int) -> DataFrame:
         code, "node long, weight long, unit binary, numbers array<bigint>, factor double")
 
 
-def _pairs(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of rows i < j inside runs that begin at ``first`` and hold ``size`` rows."""
-    rows = np.repeat(first + size, size) - 1 - np.arange(size.sum()) - np.repeat(first - (np.cumsum(size) - size), size)
-    # rows[k]: how many rows of the run follow row k
-    start = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
-    left = np.repeat(start, rows)
-    step = np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows)
-    return left, left + 1 + step
-
-
 class _Blocks:
     """Links inside consecutive complete blocks of rows of one vector length."""
 
@@ -160,73 +151,32 @@ class _Blocks:
         total = np.zeros(len(node), np.int64)
         np.add.at(total, left, weight[right])
         np.add.at(total, right, weight[left])
-        label = node.copy()
-        while True:
-            low = np.minimum(label[left], label[right])
-            before = label.copy()
-            np.minimum.at(label, left, low)
-            np.minimum.at(label, right, low)
-            if (label == before).all():
-                break
+        label = blocks.lowest(node, left, right)
         used = np.flatnonzero(total)
         return pa.RecordBatch.from_arrays(
             [pa.array(node[used]), pa.array(total[used]), pa.array(label[used])], ["node", "links", "low"])
 
 
-def _linked(blocks: DataFrame, threshold: float) -> DataFrame:
-    """``node, links, low`` from rows sorted by block; a block is a bucket, or a pair of its chunks."""
+def _linked(rows: DataFrame, threshold: float) -> DataFrame:
+    """``node, links, low`` from rows sorted by block."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker, held = _Blocks(threshold), None
-        for batch in _whole_blocks(batches):
+        worker = _Blocks(threshold)
+        for batch in (part for held in blocks.whole_blocks(batches) for part in _one_length(held)):
             raw = batch.column("unit").to_pylist()
-            block = np.frombuffer(b"".join(batch.column("block").to_pylist()), "S16")
-            change = np.flatnonzero(block[1:] != block[:-1]) + 1
-            first = np.concatenate([[0], change]).astype(np.int64)
-            size = np.diff(np.concatenate([first, [len(block)]]))
-            length = len(raw[0])
-            rows = {
-                "units": np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), length // 8),
+            table = {
+                "units": np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1),
                 "numbers": np.asarray(batch.column("numbers").flatten()).reshape(len(raw), -1),
                 **{c: batch.column(c).to_numpy() for c in ("node", "weight", "factor", "band", "side", "split")},
             }
-            begin = 0
-            while begin < len(first):  # pairs of several blocks at once, within a bound
-                made = np.cumsum(size[begin:] * (size[begin:] - 1) // 2)
-                end = begin + max(1, int(np.searchsorted(made, PAIRS_AT_ONCE, side="right")))
-                left, right = worker.links(rows, *_pairs(first[begin:end], size[begin:end]))
+            for left, right in blocks.pair_slices(*blocks.runs(batch.column("block").to_pylist()), PAIRS_AT_ONCE):
+                left, right = worker.links(table, left, right)
                 if len(left):
-                    yield worker.summary(rows, left, right)
-                begin = end
-
-    return blocks.mapInArrow(compare, "node long, links long, low long")
-
-
-def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows again, cut only between blocks and between vector lengths."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        blocks = batch.column("block")
-        last = blocks[batch.num_rows - 1]
-        cut = batch.num_rows
-        while cut and blocks[cut - 1] == last:
-            cut -= 1
-        if cut == 0 and held and held[-1].column("block")[held[-1].num_rows - 1] == last:
-            held.append(batch)
-            continue
-        if held and blocks[0] != held[-1].column("block")[held[-1].num_rows - 1]:
-            yield from _one_length(held)
-            held = []
-        if cut:
-            yield from _one_length([*held, batch.slice(0, cut)])
-            held = []
-        held.append(batch.slice(cut))
-    if held:
-        yield from _one_length(held)
-
-
-def _one_length(held: list[pa.RecordBatch]) -> Iterator[pa.Table]:
+                    yield worker.summary(table, left, right)
+
+    return rows.mapInArrow(compare, "node long, links long, low long")
+
+
+def _one_length(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import pyarrow.compute as pc
 
     table = pa.Table.from_batches(held).combine_chunks()
@@ -245,19 +195,9 @@ def near_vectors(vectors: DataFrame, *, threshold: float = THRESHOLD) -> DataFra
     coded = stored(_coded(classes, bits, keys), "codes")
 
     rows = coded.select("node", F.octet_length("unit").alias("size"), F.posexplode("numbers").alias("band", "number"))
-    bucket = ["size", "band", "number"]
-    sizes = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    placed = rows.join(sizes, bucket) \
-        .withColumn("chunks", F.ceil(F.col("members") / CHUNK).cast("int")) \
-        .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    # chunk c meets every chunk, itself included: blocks (low, high) with c as one of both
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
-        .select("node", "band", F.unhex(F.substring(F.md5(F.concat_ws(
-            ",", *bucket, F.least("chunk", "other"), F.greatest("chunk", "other")).cast("binary")), 1, 32)).alias("block"),
-            (F.col("chunk") > F.col("other")).cast("int").alias("side"),
-            (F.col("chunk") != F.col("other")).cast("int").alias("split"))
-    blocks = placed.join(coded, "node").repartition("block").sortWithinPartitions("block", "node")
-    found = stored(_linked(blocks.select("block", "node", "weight", "unit", "numbers", "factor", "band", "side", "split"),
+    dealt = blocks.dealt(rows, ["size", "band", "number"], CHUNK).drop("size", "number")
+    met = dealt.join(coded, "node").repartition("block").sortWithinPartitions("block", "node")
+    found = stored(_linked(met.select("block", "node", "weight", "unit", "numbers", "factor", "band", "side", "split"),
                            threshold), "vector-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     connected = stored(components(found.select(F.col("node").alias("a"), F.col("low").alias("b"))), "components")
