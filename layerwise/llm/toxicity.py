@@ -11,8 +11,8 @@ divisible by ``FOLDS`` are never among them.  Their words, by sentence, come to
 Scoring is one pass over all documents without a shuffle.
 
 Sentences end at ``.``, ``!``, ``?`` or a line feed, and after ``LONGEST`` words.  Texts that are
-null or without words score 0.0.  Labels repeated for a document count once, the highest; null
-labels are ignored.  Without labelled documents of both kinds every document scores 0.0.
+null or without words score 0.0.  Labels repeated for a document count once, the highest, and of documents
+with one id the smallest text is trained on; null labels are ignored.  Without labelled documents of both kinds every document scores 0.0.
 Repeated rows each give a row, and a null ``doc_id`` is kept and counts as held out.  Other
 columns are not read by ``score`` and are kept by ``accepted``; empty tables give empty results.
 """
@@ -174,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS) -> Mo
 
     # at most twice ``per_class`` ids and labels are broadcast
     sample = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id") \
-        .select("label", "text").mapInArrow(words, "label int, bag array<string>")
+        .groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("label", "text").mapInArrow(words, "label int, bag array<string>")
     return train([(r["label"], r["bag"]) for r in sample.collect()])
 
 
