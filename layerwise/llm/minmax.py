@@ -9,9 +9,10 @@ number of bands is chosen so that a pair at the threshold shares none with proba
 Documents with equal sets are one class from the start, so groups of exact copies cost one row.
 In each bucket every class is paired with the bucket's smallest class only.  Pairs are tested by
 signature (a pair below the threshold by over seven standard deviations goes) and then on the full
-sets of their texts.  Confirmed pairs give components.  Buckets whose classes are then still in
-several components have the remaining pairs between different components tested likewise, so no
-link between components goes unseen, while the pairs inside a group of copies are never listed.
+sets of their texts.  Confirmed pairs give components.  In buckets whose classes are then still in
+several components the pairs between different components are tested likewise, in blocks of at most
+``CHUNK`` classes against ``CHUNK``, which give a row per class: no link between components goes
+unseen, and pairs are never listed.
 
 A text without words has no shingles and is linked with nothing.  Null texts count as empty.
 ``doc_id`` is a whole number; rows without one take part, but give no component its name: a
@@ -30,14 +31,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import blocks
 from .components import components, named, with_nodes
 from .shared import slices, stored, whole_text
 
 BAND = 6
 MISS = 1e-6
 #: How far below the threshold the signatures' estimate must be for a pair to be dropped untested.
-SLACK = 0.2
-_WORDS_KEPT = 500_000
+SLACK = 0.14
+CHUNK = 512
+PAIRS_AT_ONCE = 50_000
+_WORDS_KEPT = 200_000
 _U = np.uint64
 
 
@@ -148,14 +152,15 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
     return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(test, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs whose full sets have ``100 * intersection >= percent * union``."""
-    pairs = stored(pairs, "likely")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _texts(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``node, text``: the text of one document of each class."""
     wanted = nodes.join(classes.select("node", "text_md5"), "node")
-    texts = docs.select(whole_text().alias("text")).withColumn("text_md5", F.md5(F.col("text").cast("binary"))) \
+    return docs.select(whole_text().alias("text")).withColumn("text_md5", F.md5(F.col("text").cast("binary"))) \
         .join(wanted, "text_md5").select("node", "text").dropDuplicates(["node"])
-    texts = stored(texts, "candidate-texts")
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs whose full sets have ``100 * intersection >= percent * union``."""
     joined = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,26 +182,100 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
 def _linked(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """``node, component`` of all classes that are linked with another."""
     threshold = percent / 100
-    rows = classes.select("node", F.explode("bands").alias("key")).repartition("key")
+    rows = classes.select("node", F.posexplode("bands").alias("band", "key")).repartition("key")
     buckets = rows.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead < last")
     shared = stored(rows.join(buckets.select("key", "lead"), "key"), "shared-buckets")
+    texts = stored(_texts(shared.select("node").distinct(), docs, classes), "candidate-texts")
     stars = shared.filter("node > lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    edges = stored(_confirmed(_likely(stars, classes, threshold), docs, classes, size, percent), "links")
+    edges = stored(_confirmed(_likely(stars, classes, threshold), texts, size, percent), "links")
     found = stored(components(edges), "components")
 
     placed = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = stored(placed, "placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
         .filter("low < high").select("key")
-    open_rows = stored(placed.filter("node > lead").join(mixed, "key"), "mixed-buckets")
-    left, right = (open_rows.select("key", F.col("node").alias(n), F.col("component").alias(f"of_{n}")) for n in "ab")
-    across = left.join(right, "key").filter("a < b and of_a <> of_b").select("a", "b").distinct()
-    more = stored(_confirmed(_likely(across, classes, threshold), docs, classes, size, percent), "links")
+    open_rows = stored(placed.filter("node > lead").join(mixed, "key").select("key", "band", "node", "component"),
+                       "mixed-buckets")
+    more = stored(_across(open_rows, classes, texts, size, percent), "links")
     if more.isEmpty():
         return found
     return stored(components(edges.union(more)), "components")
 
 
+def _across(open_rows: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between different components inside buckets, as ``a`` (a class) and ``b`` (the smallest
+    class it is connected with in a block): rows per class and block, not per pair."""
+    threshold = percent / 100
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                sets = [shingles(t, size).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "values"])
+
+    sets = texts.join(open_rows.select("node").distinct(), "node", "left_semi").mapInArrow(
+        values, "node long, values binary")
+    known = stored(classes.select("node", "signature", "bands").join(sets, "node"), "open-sets")
+    dealt = blocks.dealt(open_rows, ["key"], CHUNK).drop("key")
+    met = dealt.join(known, "node").repartition("block").sortWithinPartitions("block", "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in blocks.whole_blocks(batches):
+            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            table = _SetTable(batch)
+            for left, right in blocks.pair_slices(*blocks.runs(batch.column("block").to_pylist()), PAIRS_AT_ONCE):
+                left, right = table.links(left, right, threshold, percent)
+                if len(left):
+                    low = blocks.lowest(table.node, left, right)
+                    moved = np.flatnonzero(low < table.node)
+                    yield pa.RecordBatch.from_arrays([pa.array(table.node[moved]), pa.array(low[moved])], ["a", "b"])
+
+    return met.select("block", "node", "component", "band", "side", "split", "signature", "bands", "values") \
+        .mapInArrow(compare, "a long, b long")
+
+
+class _SetTable:
+    """Classes of some blocks with their signatures and full sets."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        n = batch.num_rows
+        for name in ("node", "component", "band", "side", "split"):
+            setattr(self, name, batch.column(name).to_numpy())
+        self.bands = np.asarray(batch.column("bands").flatten()).reshape(n, -1)
+        self.signature = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u2").reshape(n, -1)
+        raw = batch.column("values").to_pylist()
+        self.size = np.array([len(r) // 8 for r in raw], np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        # shingles as numbers from 0, so that a set can be marked in an array
+        self.number = np.unique(np.frombuffer(b"".join(raw), "<u8"), return_inverse=True)[1]
+        self.mark = np.zeros(int(self.number.max(initial=-1)) + 1, np.int64)
+
+    def links(self, left: np.ndarray, right: np.ndarray, threshold: float, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        keep = self.component[left] != self.component[right]
+        keep &= (self.side[left] != self.side[right]) | (self.split[left] == 0)
+        small, large = np.minimum(self.size[left], self.size[right]), np.maximum(self.size[left], self.size[right])
+        keep &= 100 * small >= percent * large
+        left, right = left[keep], right[keep]
+        # of the buckets that two classes share, only the first tests them
+        keep = (self.bands[left] == self.bands[right]).argmax(axis=1) == self.band[left]
+        left, right = left[keep], right[keep]
+        keep = (self.signature[left] == self.signature[right]).mean(axis=1) >= threshold - SLACK
+        left, right = left[keep], right[keep]
+        linked = np.zeros(len(left), bool)
+        begins = np.concatenate([[0], np.flatnonzero(left[1:] != left[:-1]) + 1]) if len(left) else []
+        for begin, end in zip(begins, [*begins[1:], len(left)]):  # the pairs of one left row
+            a, others = left[begin], right[begin:end]
+            own = self.number[self.first[a]:self.first[a] + self.size[a]]
+            self.mark[own] = 1
+            sizes = self.size[others]
+            offset = np.cumsum(sizes) - sizes
+            at = np.arange(sizes.sum()) + np.repeat(self.first[others] - offset, sizes)
+            common = np.add.reduceat(self.mark[self.number[at]], offset)
+            linked[begin:end] = 100 * common >= percent * (len(own) + sizes - common)
+            self.mark[own] = 0
+        return left[linked], right[linked]
+
+
 def _classes(table: DataFrame) -> DataFrame:
     """One row per distinct set: ``node`` (its smallest document id where that names no other class)."""
     classes = table.filter("n_shingles > 0").groupBy("print").agg(

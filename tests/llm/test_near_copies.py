@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from layerwise.llm import blocks
 from layerwise.llm import components as cc
 from layerwise.llm import minmax, rotcodes
 
@@ -165,9 +166,14 @@ def test_no_vectors(spark):
 
 
 def test_pairs_inside_runs():
-    left, right = rotcodes._pairs(np.array([0, 3, 4]), np.array([3, 1, 4]))
-    assert sorted(zip(left.tolist(), right.tolist())) == [
+    expected = [
         (0, 1), (0, 2), (1, 2), (4, 5), (4, 6), (4, 7), (5, 6), (5, 7), (6, 7)]
+    runs = np.array([0, 3, 4]), np.array([3, 1, 4])
+    left, right = blocks.pairs(*runs)
+    assert sorted(zip(left.tolist(), right.tolist())) == expected
+    for limit in (1, 3, 4, 100):
+        made = [p for l, r in blocks.pair_slices(*runs, limit) for p in zip(l.tolist(), r.tolist())]
+        assert sorted(made) == expected
 
 
 def test_estimates_are_unbiased_over_rotations():
