@@ -6,16 +6,17 @@ substituted word leaves the seeds intact that skip it.  Every window of every do
 under every mask and looked up among the seeds of the benchmark items.  A hit fixes how item and
 document align; the words of the whole item are then compared along that alignment.  A document
 overlaps an item if, in some stretch of ``WINDOW`` words (all of a shorter item), at least
-``SHARE`` of the words agree.
+``SHARE`` of the words agree.  The masks leave no such overlap without a hit: whichever words a
+stretch may have substituted (or cut off by the document's begin or end), some mask selects only
+others; ``tests/llm`` enumerates all cases.
 
 Long items are searched in overlapping segments of ``SEGMENT`` words, any stretch lying whole in
 one of them.  Segments and their seeds are broadcast ``PART_SEGMENTS`` segments at a time, which
 bounds what is broadcast however large the benchmark is: a larger one takes more passes over the
 documents.  Windows are hashed and looked up inside the scan; only hits are shuffled.
 
-Null and empty texts overlap nothing.  Items of fewer than ``LEAST_WORDS`` words are not searched;
-those shorter than the masks are found where they lie whole in the document with at most one word
-substituted.  Equal items are reported under
+Null and empty texts overlap nothing.  Items of fewer than ``LEAST_WORDS`` words are not searched.
+Equal items are reported under
 the smallest ``item_id``.  Documents are told apart by ``doc_id`` and text; repeated rows give one
 result row.  Empty tables give an empty result; other columns are not read.
 """
@@ -29,13 +30,22 @@ from pyspark.sql import functions as F
 
 from .shared import stored
 
-#: Masks over eleven words, each selecting seven.
-MASKS = ("11101001011", "11001011101", "10110111001")
+#: Fixed values, found by search over all masks: together they hit every overlap with a segment of eleven words or more.
+MASKS = ("1101111", "11111001", "1100010111", "11010100011")
+#: The same for shorter segments, by their length.
+SHORT_MASKS = {
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("11111", "111101", "111011", "110111", "101111"),
+    7: ("111011", "101111", "1111001"),
+    8: ("110111", "1111001"),
+    9: ("1101111", "11011011"),
+    10: ("110111", "11001011", "110100101"),
+}
 WINDOW = 20
 SHARE = 0.8
 LEAST_WORDS = 5
 SEGMENT = 60
-#: Segments per pass: at most 60 words and 150 seeds each, some 30 MB in all.
+#: Segments per pass: at most 60 words and 205 seeds each, some 40 MB in all.
 PART_SEGMENTS = 6_000
 
 
@@ -66,14 +76,12 @@ def _at(count: Column) -> Column:
 
 
 def _seeds(segments: DataFrame, masks: list[str]) -> DataFrame:
-    """``seed, item_at, segment``: every window of every segment under every mask it is long enough for.
-
-    A short item's masks are used for segments of exactly their length.
-    """
+    """``seed, item_at, segment``: every window of every segment under each of ``masks`` that is for its length."""
     parts = []
     size = F.size("item_words")
     for mask in masks:
-        parts.append(segments.filter(size >= len(mask) if mask in MASKS else size == len(mask))
+        short = size.isin([n for n, own in SHORT_MASKS.items() if mask in own])
+        parts.append(segments.filter(short | (size > max(SHORT_MASKS)) if mask in MASKS else short)
                      .select("*", _at(size - len(mask) + 1).alias("item_at"))
                      .select(_seed(F.col("item_words"), F.col("item_at"), mask).alias("seed"), "item_at", "segment"))
     return reduce(DataFrame.union, parts)
@@ -95,9 +103,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     document begins inside the item), ``matched`` the agreeing words, ``share`` that of the best stretch.
     """
     segments = stored(_segments(benchmark), "segments")
-    lengths = [r[0] for r in segments.select(F.size("item_words").alias("n")).filter(F.col("n") < len(MASKS[0]))
-               .distinct().collect()]  # fewer than the masks' span
-    masks = [*MASKS, *(f"{'1' * i}0{'1' * (n - 1 - i)}" for n in sorted(lengths) for i in range(n))]
+    lengths = [r[0] for r in segments.select(F.size("item_words").alias("n")).filter(F.col("n") <= max(SHORT_MASKS))
+               .distinct().collect()]
+    masks = list(dict.fromkeys([*MASKS, *(m for n in sorted(lengths) for m in SHORT_MASKS[n])]))
     parts = max(1, -(-segments.count() // PART_SEGMENTS))
     windows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("doc_words")) \
         .select("*", _at(F.size("doc_words") - min(map(len, masks)) + 1).alias("at")) \

@@ -1,6 +1,7 @@
 """Decontamination, personal data, toxicity and the pipeline."""
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -59,6 +60,37 @@ def test_overlaps_against_every_alignment(spark):
         r.doc_id for r in docs.collect() if r.doc_id not in bad)
 
 
+def _substituted(size, count):
+    return [set(places) for places in itertools.combinations(range(size), count)]
+
+
+def test_masks_hit_every_pattern_of_substitutions():
+    for size in range(spaced_seed.LEAST_WORDS, 21):
+        masks = spaced_seed.SHORT_MASKS.get(size, spaced_seed.MASKS)
+        selected = [{at + i for i, use in enumerate(m) if use == "1"} for m in masks for at in range(size - len(m) + 1)]
+        assert all(m[0] == m[-1] == "1" for m in masks)  # a hit needs no word besides those that agree
+        for gone in _substituted(size, size // 5):
+            assert any(not places & gone for places in selected), (size, gone)
+
+
+def test_every_pattern_of_substitutions_is_found(spark):
+    items = {n: [f"n{n}w{i}" for i in range(n)] for n in range(5, 21)}
+    rows, expected = [], set()
+    for n, item in items.items():
+        for k in (n // 5, n // 5 + 1):
+            patterns = _substituted(n, k)
+            for gone in patterns if k == n // 5 else patterns[::40]:
+                rows.append((len(rows), " ".join(["before", *("no" if i in gone else w for i, w in enumerate(item)), "after"])))
+                if k == n // 5:
+                    expected.add((len(rows) - 1, n))
+        for cut in (item[n // 5:], item[:n - n // 5]):  # the document begins or ends inside the item
+            expected.add((len(rows), n))
+            rows.append((len(rows), " ".join(cut)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(n, " ".join(item)) for n, item in items.items()], "item_id long, text string")
+    assert {(r.doc_id, i) for r in spaced_seed.contaminated(docs, benchmark).collect() for i in r.item_ids} == expected
+
+
 def test_no_documents_or_no_benchmark(spark):
     benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
     assert spaced_seed.contaminated(empty(spark), benchmark).count() == 0
