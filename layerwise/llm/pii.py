@@ -16,7 +16,8 @@ per kind, above which the share of positives is at least ``PRECISION``.  A kind
 score adds no spans.
 
 The fitted trees are plain ``CASE`` expressions.  Candidates over their kind's threshold that
-touch no base span become added spans; of overlapping ones the highest score stays.
+touch no base span become added spans, taken from the highest score down: one that overlaps a
+span already taken is left out.
 
 Offsets count code points, ends are exclusive.  Null texts count as empty, and a null ``doc_id`` is
 kept; repeated rows each give a row; other columns are not read by ``find`` and are kept by
@@ -309,6 +310,16 @@ def _overlap(a: Column, b: Column) -> Column:
 _PLACE = "struct<kind:string,start:int,end:int>"
 
 
+def _disjoint(spans: Column) -> Column:
+    """``spans`` by falling score, then longer, earlier, and by kind, less those that overlap one kept before."""
+    rank = F.transform(spans, lambda s: F.struct(
+        s["score"].alias("score"), (s["end"] - s["start"]).alias("length"), (-s["start"]).alias("early"),
+        s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    none = F.array().cast("array<struct<score:double,length:int,early:int,kind:string,start:int,end:int>>")
+    return F.aggregate(F.sort_array(rank, asc=False), none, lambda kept, s: F.when(
+        F.exists(kept, lambda k: _overlap(k, s)), kept).otherwise(F.concat(kept, F.array(s))))
+
+
 def find(docs: DataFrame, model: Trees | None = None) -> DataFrame:
     """``docs`` with ``base`` and ``added``: arrays of (kind, start, end), by kind as listed, then start."""
     model = model or fit(docs)
@@ -328,16 +339,8 @@ def find(docs: DataFrame, model: Trees | None = None) -> DataFrame:
 
     none = F.array().cast("array<struct<score:double,start:int,end:int,kind:string>>")
     rated = F.concat(none, *[scored(kind, threshold) for kind, threshold in model.thresholds.items()])
-    out = out.withColumn("_scored", F.array_distinct(rated))
-
-    def stronger(a: Column, b: Column) -> Column:
-        """Whether ``a`` displaces ``b``: higher score, then longer, earlier, and by kind."""
-        def rank(s: Column) -> Column:
-            return F.struct(s["score"], s["end"] - s["start"], -s["start"], s["kind"])
-        return _overlap(a, b) & (rank(a) > rank(b))
-
-    kept = F.filter("_scored", lambda s: ~F.exists("_scored", lambda o: stronger(o, s)))
-    by_kind = [F.sort_array(F.filter(F.transform(kept, lambda s: F.struct(s["start"], s["end"], s["kind"])),
+    out = out.withColumn("_kept", _disjoint(rated))
+    by_kind = [F.sort_array(F.filter(F.transform("_kept", lambda s: F.struct(s["start"], s["end"], s["kind"])),
                                      _of_kind(kind))) for kind in KINDS]
     added = F.transform(F.concat(*by_kind), lambda s: F.struct(s["kind"], s["start"], s["end"])).cast(f"array<{_PLACE}>")
     return out.withColumn("added", added).select(*[F.col(f"`{c}`") for c in docs.columns], "base", "added")

@@ -208,6 +208,33 @@ def test_trees_and_their_expression_agree(spark):
     assert rows and all(abs(r.value - model.value("phone", r.f.asDict())) < 1e-9 for r in rows)
 
 
+def test_spans_under_a_dropped_one_stay(spark):
+    """The card displaces the longer phone, which thus can't displace the shorter one that it overlaps."""
+    docs = documents(spark, [(1, "4111111111111112 555 123 4567")], rows=False)
+    model = pii.Trees(start={"card": 3.0, "phone": 1.0}, thresholds={"card": 0.0, "phone": 0.0})
+    cells = pii._with_candidates(docs).selectExpr("explode(_cand) as c").select("c.kind", "c.start", "c.end").collect()
+    assert {("card", 0, 16), ("phone", 0, 20), ("phone", 17, 29)} <= {tuple(c) for c in cells}
+    found = pii.find(docs, model).collect()[0]
+    assert not found.base and [tuple(s) for s in found.added] == [("card", 0, 16), ("phone", 17, 29)]
+    assert pii.redact(docs).count() == 1
+
+
+def test_disjoint_spans_against_a_loop(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(200):
+        starts = rng.integers(0, 40, rng.integers(0, 12))
+        rows.append((i, [(float(rng.integers(4)), int(a), int(a + rng.integers(1, 12)), str(rng.choice(["card", "phone"])))
+                         for a in starts]))
+    table = spark.createDataFrame(rows, "i int, s array<struct<score:double,start:int,end:int,kind:string>>")
+    for r in table.select("s", pii._disjoint(table["s"]).alias("kept")).collect():
+        kept = []
+        for score, a, b, kind in sorted((tuple(s) for s in r.s), key=lambda s: (s[0], s[2] - s[1], -s[1], s[3]), reverse=True):
+            if not any(a < y and x < b for _, x, y, _ in kept):
+                kept.append((score, a, b, kind))
+        assert [(k.score, k.start, k.end, k.kind) for k in r.kept] == kept
+
+
 def test_redaction(spark):
     docs = documents(spark, [*EDGE, *PERSONAL])
     out = pii.redact(docs)
