@@ -9,11 +9,11 @@ numbers and long keys.  Each candidate has format and context features, all smal
 of which tells whether a base span was validated.  A candidate that covers the same digits or
 address as a base span of its kind is a positive example, one that covers a match which failed
 validation or nothing at all a negative one.  Counting examples per distinct feature vector is one
-aggregate over all documents; its result (at most ``MAX_CELLS`` rows, the most frequent first) is
+aggregate over all documents; of its result, the ``MAX_CELLS`` most frequent rows of each kind are
 what the trees are boosted on, so fitting costs the same however large the corpus is.  One fifth of
-the documents, by a hash of their text, is kept out of the fit; on it the smallest score is chosen,
-per kind, above which the share of positives is at least ``PRECISION``.  A kind without such a
-score adds no spans.
+the documents, by a hash of their text, is kept out of the fit; on all its candidates the smallest
+score is chosen, per kind, above which the share of positives is at least ``PRECISION``.  A kind
+without such a score, or with under ``LEAST_POSITIVES`` positives to fit to, adds no spans.
 
 The fitted trees are plain ``CASE`` expressions.  Candidates over their kind's threshold that
 touch no base span become added spans, taken from the highest score down: one that overlaps a
@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import whole_text
+from .shared import stored, whole_text
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "key")
@@ -269,29 +269,31 @@ def boost(cells: list[tuple[dict, int, int]]) -> tuple[float, list]:
 
 
 def fit(docs: DataFrame) -> Trees:
-    """Boosted trees and thresholds from the candidates of all documents."""
+    """Boosted trees from the most frequent cells of each kind, thresholds from all held-out candidates."""
     held = (F.pmod(F.xxhash64("_text"), F.lit(5)) == 0).alias("held")
-    cells = _with_candidates(docs.select("text")).select(held, F.explode("_cand").alias("c")) \
-        .groupBy("held", F.col("c.kind").alias("kind"), F.col("c.f").alias("f")) \
-        .agg(F.sum(F.col("c.hit")).alias("positives"), F.count(F.lit(1)).alias("rows")) \
-        .orderBy(F.desc("rows"), "held", "kind", "f").limit(MAX_CELLS).collect()  # the documented bound of the fit
+    cells = stored(
+        _with_candidates(docs.select("text")).select(held, F.explode("_cand").alias("c"))
+        .groupBy("held", F.col("c.kind").alias("kind"), F.col("c.f").alias("f"))
+        .agg(F.sum(F.col("c.hit")).alias("positives"), F.count(F.lit(1)).alias("rows")), "pii-cells")
     model = Trees()
     for kind in KINDS:
-        used, kept = [], []
-        for row in cells:
-            if row["kind"] == kind:
-                (kept if row["held"] else used).append(
-                    (row["f"].asDict(), row["positives"], row["rows"] - row["positives"]))
-        if sum(p for _, p, _ in used) < LEAST_POSITIVES:
-            continue
-        model.start[kind], model.trees[kind] = boost(used)
-        scored = sorted(((model.value(kind, c), p, n) for c, p, n in kept), reverse=True)
-        positives = negatives = 0
-        for i, (score, p, n) in enumerate(scored):
-            positives, negatives = positives + p, negatives + n
-            last = i + 1 == len(scored) or scored[i + 1][0] < score
-            if last and positives and positives / (positives + negatives) >= PRECISION:
-                model.thresholds[kind] = score
+        used = [(row["f"].asDict(), row["positives"], row["rows"] - row["positives"])
+                for row in cells.filter(~F.col("held") & (F.col("kind") == kind))
+                .orderBy(F.desc("rows"), "f").limit(MAX_CELLS).collect()]  # the documented bound of the fit
+        if sum(p for _, p, _ in used) >= LEAST_POSITIVES:
+            model.start[kind], model.trees[kind] = boost(used)
+    if not model.trees:
+        return model
+    scored = reduce(DataFrame.union, [
+        cells.filter(F.col("held") & (F.col("kind") == kind))
+        .select("kind", model.expression(kind, F.col("f")).alias("score"), "positives", "rows") for kind in model.trees])
+    seen: dict[str, tuple[int, int]] = {}
+    for row in scored.groupBy("kind", "score").agg(F.sum("positives").alias("positives"), F.sum("rows").alias("rows")) \
+            .orderBy("kind", F.desc("score")).toLocalIterator():  # one partition of distinct scores at a time
+        positives, count = seen.get(row["kind"], (0, 0))
+        positives, count = seen[row["kind"]] = positives + row["positives"], count + row["rows"]
+        if positives and positives / count >= PRECISION:
+            model.thresholds[row["kind"]] = row["score"]
     return model
 
 

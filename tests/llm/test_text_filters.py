@@ -200,6 +200,24 @@ def test_boosted_trees_add_phones_without_a_plus(spark):
     assert not any(found[i].added for i in range(400))
 
 
+def test_thresholds_count_all_held_out_candidates(spark, monkeypatch):
+    """However few cells the trees are fitted to."""
+    docs = _training(spark)
+    monkeypatch.setattr(pii, "MAX_CELLS", 4)
+    model = pii.fit(docs)
+    assert "phone" in model.trees
+    expected = {}
+    rows = pii._with_candidates(docs.select("text")).selectExpr(
+        "pmod(xxhash64(_text), 5) = 0 as held", "explode(_cand) as c").filter("held").collect()
+    for kind in model.trees:
+        scored = [(model.value(kind, r.c.f.asDict()), r.c.hit) for r in rows if r.c.kind == kind]
+        for least in {score for score, _ in scored}:
+            hits = [hit for score, hit in scored if score >= least]
+            if sum(hits) and sum(hits) / len(hits) >= pii.PRECISION:
+                expected[kind] = min(least, expected.get(kind, least))
+    assert model.thresholds == expected and "phone" in expected
+
+
 def test_trees_and_their_expression_agree(spark):
     docs = _training(spark)
     model = pii.fit(docs)
