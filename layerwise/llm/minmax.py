@@ -3,12 +3,13 @@
 A document's set is that of its distinct word shingles (lower-case A-Z, words between ASCII white
 space).  Every permutation is evaluated once over the set, and both its minimum and its maximum
 are kept: twice the values for the same number of hash evaluations, each agreeing between two
-documents with probability equal to their Jaccard similarity.  ``BAND`` values make a band; the
-number of bands is chosen so that a pair at the threshold shares none with probability ``MISS``.
+documents with probability equal to their Jaccard similarity.  ``BAND`` values make a band.  A pair
+at the threshold or over it is missed with probability ``MISS`` at most, under random permutations:
+half of that for sharing no band, half for failing the signature test (``band_count``, ``SLACK``).
 
 Documents with equal sets are one class from the start, so groups of exact copies cost one row.
 In each bucket every class is paired with the bucket's smallest class only.  Pairs are tested by
-signature (a pair below the threshold by over seven standard deviations goes) and then on the full
+signature (a pair whose estimate is below the threshold by over ``SLACK`` goes) and then on the full
 sets of their texts.  Confirmed pairs give components.  In buckets whose classes are then still in
 several components the pairs between different components are tested likewise, in blocks of at most
 ``CHUNK`` classes against ``CHUNK``, which give a row per class: no link between components goes
@@ -37,8 +38,10 @@ from .shared import slices, stored, whole_text
 
 BAND = 6
 MISS = 1e-6
-#: How far below the threshold the signatures' estimate must be for a pair to be dropped untested.
-SLACK = 0.14
+#: How far below the threshold the signatures' estimate must be for a pair to be dropped untested.  By
+#: Chernoff's bound a pair at the threshold is dropped with 1.1e-7 at 0.85 and under 1e-10 at 0.8; that
+#: extremes of small sets depend on one another only makes it rarer.
+SLACK = 0.16
 CHUNK = 512
 PAIRS_AT_ONCE = 50_000
 _WORDS_KEPT = 200_000
@@ -77,8 +80,19 @@ def shingles(text: str, size: int) -> np.ndarray:
     return np.unique(total)
 
 
+def both_agree(threshold: float) -> float:
+    """Least probability that minimum and maximum of a permutation both agree, over unions of all sizes.
+
+    They depend on one another in small sets: with ``m`` of ``n`` shingles in common both are among
+    them with ``m (m - 1) / (n (n - 1))``, which tends to the square of the similarity.
+    """
+    common = ((n, math.ceil(threshold * n - 1e-9)) for n in range(2, 2000))
+    return min(threshold ** 2, *(m * (m - 1) / (n * (n - 1)) for n, m in common))
+
+
 def band_count(threshold: float) -> int:
-    return math.ceil(math.log(MISS) / math.log(1 - threshold ** BAND))
+    """Bands of which a pair at the threshold shares none with half of ``MISS``, whatever its sets' sizes."""
+    return math.ceil(math.log(MISS / 2) / math.log(1 - both_agree(threshold) ** (BAND // 2)))
 
 
 class Sketcher:

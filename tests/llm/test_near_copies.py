@@ -97,6 +97,23 @@ def test_signatures_estimate_similarity():
     assert abs((first == second).mean() - 0.6) < 0.12
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_links_at_the_threshold_are_missed_as_rarely_as_stated(percent):
+    """Bands and signature test together, for unions of ``n`` shingles of which ``m`` are common."""
+    bands = minmax.band_count(percent / 100)
+    rounds = bands * minmax.BAND // 2
+    for n in range(2, 300):
+        m = -(-percent * n // 100)
+        both = m * (m - 1) / (n * (n - 1))
+        one = 2 * (m / n - both)
+        no_band = (1 - both ** (minmax.BAND // 2)) ** bands
+        agreeing = np.ones(1)  # chances of 0, 1, 2, ... values of the signature that agree
+        for _ in range(rounds):
+            agreeing = np.convolve(agreeing, [max(0.0, 1 - one - both), one, both])
+        least = (percent / 100 - minmax.SLACK) * 2 * rounds
+        assert no_band + agreeing[:int(np.ceil(least - 1e-9))].sum() <= minmax.MISS, (n, m)
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), min_size=1, max_size=30))
 def test_components(spark, links):
