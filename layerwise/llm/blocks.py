@@ -55,6 +55,15 @@ def whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBa
         yield held
 
 
+def one_batch(table: pa.Table) -> pa.RecordBatch:
+    """All rows of ``table`` as one batch; its binary columns get offsets that hold for over 2 GB."""
+    large = pa.schema([f.with_type(pa.large_binary()) if pa.types.is_binary(f.type) else f for f in table.schema])
+    batches = table.cast(large).combine_chunks().to_batches()
+    if len(batches) != 1:
+        raise ValueError(f"{table.num_rows} rows make {len(batches)} batches, not one")
+    return batches[0]
+
+
 def runs(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """First row and number of rows of each block."""
     names = np.frombuffer(b"".join(blocks), "V16")

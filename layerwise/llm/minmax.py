@@ -235,7 +235,7 @@ def _across(open_rows: DataFrame, classes: DataFrame, texts: DataFrame, size: in
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in blocks.whole_blocks(batches):
-            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            batch = blocks.one_batch(pa.Table.from_batches(held))
             table = _SetTable(batch)
             for left, right in blocks.pair_slices(*blocks.runs(batch.column("block").to_pylist()), PAIRS_AT_ONCE):
                 left, right = table.links(left, right, threshold, percent)

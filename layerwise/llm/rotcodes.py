@@ -179,10 +179,10 @@ def _linked(rows: DataFrame, threshold: float) -> DataFrame:
 def _one_length(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import pyarrow.compute as pc
 
-    table = pa.Table.from_batches(held).combine_chunks()
-    sizes = pc.binary_length(table.column("unit"))
+    batch = blocks.one_batch(pa.Table.from_batches(held))
+    sizes = pc.binary_length(batch.column("unit"))
     for size in pc.unique(sizes).to_pylist():
-        yield table.filter(pc.equal(sizes, size)).combine_chunks().to_batches()[0]
+        yield batch.filter(pc.equal(sizes, size))
 
 
 def near_vectors(vectors: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:

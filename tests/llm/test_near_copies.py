@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -128,6 +129,15 @@ def test_a_long_chain(spark):
     assert {r.component for r in cc.components(chain).collect()} == {0}
 
 
+def test_no_row_is_lost_in_more_than_two_gigabytes():
+    size = 1_100_000_000
+    raw, ends = pa.py_buffer(np.zeros(size, np.uint8)), pa.py_buffer(np.array([0, size], np.int32))
+    unit = pa.Array.from_buffers(pa.binary(), 1, [None, ends, raw])
+    held = [pa.RecordBatch.from_arrays([pa.array([node]), unit], ["node", "unit"]) for node in (1, 2)]
+    assert blocks.one_batch(pa.Table.from_batches(held)).column("node").to_pylist() == [1, 2]
+    assert [n for b in rotcodes._one_length(held) for n in b.column("node").to_pylist()] == [1, 2]
+
+
 VECTORS = [
     (-1, None), (-2, []), (-3, [0.0, 0.0]), (-4, [1.0, None]), (-5, [float("nan"), 1.0]), (-6, [float("inf"), 1.0]),
     (None, [1.0, 2.0]), (None, [1.0, 2.0]), (-7, [2.0, 4.0]), (-8, [1.0]), (-9, [-1.0]), (-10, [3.0]), (5, [1.0, 2.0, 3.0]),
