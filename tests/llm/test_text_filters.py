@@ -4,13 +4,14 @@ import hashlib
 import itertools
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from layerwise.llm import pii, spaced_seed, toxicity
+from layerwise.llm import packing, pii, spaced_seed, toxicity
 
+from tests.llm.test_near_copies import _groups, _sets
 from tests.llm.util import EDGE, SF, documents, empty
 
 # -- decontamination ----------------------------------------------------------------------------
@@ -363,6 +364,79 @@ def test_pipeline(spark):
     assert not _base(text)
 
 
+def _redacted(text, spans):
+    """``text`` with spans (start, end, kind) as their kinds; overlapping ones as one, named after the first."""
+    out, at = "", 0
+    for start, end, kind in sorted(spans):
+        if start >= at:
+            out += text[at:start] + f"[{kind.upper()}]"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_every_stage_against_brute_force(spark, tmp_path):
+    """Rows of each stage on a small corpus with an item of eleven words, copies and personal data added."""
+    import corpus_pipeline
+
+    item = [f"passage{i}" for i in range(11)]
+    base = [f"copied{i}" for i in range(9)]  # five shingles
+    sixty = [f"text{i}" for i in range(60)]
+    extra = [(9000 + i, " ".join(["so", *("no" if k in (i, 7) else w for k, w in enumerate(item)), "on"])) for i in range(7)]
+    extra += [(9010, " ".join(item[:8])), (9011, " ".join(item[:9])), (9020, " ".join(base)), (9021, " ".join(base[:8])),
+              (9022, " ".join(base[:7])), (9023, " ".join(sixty)), (9024, " ".join([*sixty[:59], "other"])),
+              (9025, " ".join([*sixty[:30], "other", *sixty[31:]])), (9030, "😀 mail a@b.co or +12345678901, 1.1.1.1"),
+              (9031, ""), (9032, "one")]
+    for name, rows, columns in (("documents", extra, "doc_id long, text string"), ("labels", [], "doc_id long, toxic int"),
+                                ("benchmark", [(900, " ".join(item))], "item_id long, text string")):
+        table = spark.read.parquet(f"{SF}/{name}.parquet")
+        table.unionByName(spark.createDataFrame(rows, columns), allowMissingColumns=True) \
+            .write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.read.parquet(f"{tmp_path}/labels.parquet")
+    items = [_words(r.text) for r in spark.read.parquet(f"{tmp_path}/benchmark.parquet").collect()]
+    before, tables = docs, {}
+    for name, stage in corpus_pipeline.STAGES:
+        tables[name] = before, corpus_pipeline.stored(stage(spark, before, str(tmp_path)), name)
+        before = tables[name][1]
+    rows = {name: [t.collect() for t in pair] for name, pair in tables.items()}
+
+    def kept(name):
+        """Ids and texts that go in, and Counter of those that come out."""
+        first, second = rows[name]
+        return [(r.doc_id, r.text) for r in first], Counter((r.doc_id, r.text) for r in second)
+
+    given, got = kept("toxicity")
+    model = toxicity.fit(docs, labels)
+    assert got == Counter((i, t) for i, t in given if model.score(t or "")[0] < toxicity.CUT)
+
+    given, got = kept("near_copies")
+    sets = _sets([t for _, t in given], 5)
+    expected = Counter()
+    for group in _groups(sets, 80):
+        expected[min(given[i] for i in group)] += 1
+    assert got == expected and len(given) > len(expected)
+
+    given, got = kept("decontamination")
+    clean = [(i, t) for i, t in given
+             if not any(len(set(w) & set(item)) >= 4 and _overlap(w, item) >= 0.8 for w in [_words(t)] for item in items)]
+    assert got == Counter(clean) and len(given) > len(clean)
+
+    given, got = kept("personal_data")
+    added = {r.doc_id: [(s["start"], s["end"], s["kind"]) for s in r.added] for r in pii.find(tables["personal_data"][0]).collect()}
+    spans = {i: [(int(a), int(b), k) for k, a, b in (s.split(":") for s in _base(t or ""))] + added[i] for i, t in given}
+    assert got == Counter((i, t and _redacted(t, spans[i])) for i, t in given)
+
+    given, packed = rows["packing"]
+    sequences, places = defaultdict(list), defaultdict(list)
+    for r in packed:
+        sequences[r.sequence_id].append((r.offset, r.length))
+        places[r.doc_id].append((r.start, r.length))
+    assert set(places) == {r.doc_id for r in given}
+    for parts in (*sequences.values(), *places.values()):  # pieces lie without gaps in sequences and in documents
+        assert [a for a, _ in sorted(parts)] == [0, *itertools.accumulate(n for _, n in sorted(parts)[:-1])]
+    assert all(sum(n for _, n in parts) <= packing.CAPACITY for parts in sequences.values())
+
+
 def test_every_operator_is_registered():
     from __spark_entry__ import oracle_sql, queries
 
