@@ -77,3 +77,33 @@ SELECT doc_id, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS item_i
        max(len(ks))::INTEGER AS matched
 FROM best WHERE most >= 0.8 * width GROUP BY doc_id
 """
+
+_KEPT = """kept AS (SELECT vec_id, row_number() OVER () AS spot,
+                   list_transform(embedding::DOUBLE[], lambda x: floor(64 * x)::BIGINT) AS v FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+
+def _zone_rounds(rounds: int) -> str:
+    """Assignments ``near0 ..`` and centroids ``mid0 ..`` of every round."""
+    parts = ["""mid0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS c, v FROM kept
+              ORDER BY c LIMIT 16)"""]
+    for r in range(rounds + 1):
+        parts.append(f"""far{r} AS (SELECT spot, c, list_sum(list_transform(range(1, 65),
+                  lambda i: (kept.v[i] - m.v[i]) * (kept.v[i] - m.v[i])))::BIGINT AS d FROM kept, mid{r} m),
+     near{r} AS (SELECT spot, min(c) AS c, min(d) AS d FROM (
+                  SELECT *, min(d) OVER (PARTITION BY spot) AS least FROM far{r}) WHERE d = least GROUP BY spot)""")
+        if r < rounds:
+            parts.append(f"""sum{r} AS (SELECT n.c, i, sum(kept.v[i])::HUGEINT AS s, count(*)::HUGEINT AS n
+                  FROM near{r} n JOIN kept USING (spot), range(1, 65) t(i) GROUP BY n.c, i),
+     mid{r + 1} AS (SELECT m.c, coalesce(x.v, m.v) AS v FROM mid{r} m LEFT JOIN (
+                  SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM sum{r} GROUP BY c) x USING (c))""")
+    return ",\n     ".join(parts)
+
+
+ORACLE["op12_zone_maps"] = f"""
+WITH {_KEPT},
+     {_zone_rounds(3)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM near3 JOIN kept USING (spot) JOIN mid3 m USING (c)
+"""

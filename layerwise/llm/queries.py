@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import idcoder, minmax, packing, pii, rotcodes, slots, spaced_seed, token_counts, toxicity, warc
+from . import (
+    alignment, idcoder, minmax, mixture, packing, pii, rotcodes, slots, spaced_seed, token_counts, toxicity, warc, zonemaps)
 
 
 def tokenizer(name: str) -> str:
@@ -62,8 +63,22 @@ def op10_mixed_ids(spark: SparkSession, root: str) -> DataFrame:
     return idcoder.round_trip(_table(spark, root, "documents"), tokenizer("byte_bpe_50k.json"), 50_257)
 
 
+def op11_deficit_mixture(spark: SparkSession, root: str) -> DataFrame:
+    return mixture.digest(mixture.mixed(_table(spark, root, "documents"), tokenizer("word_bpe_49k.json")))
+
+
+def op12_zone_maps(spark: SparkSession, root: str) -> DataFrame:
+    return zonemaps.digest(_table(spark, root, "embeddings"))
+
+
+def op13_text_alignment(spark: SparkSession, root: str) -> DataFrame:
+    return alignment.align(_table(spark, root, "documents"), tokenizer("byte_bpe_50k.json"),
+                           tokenizer("piece_bpe_32k.model"))[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_sentence_bags, op2_exact_complements, op3_token_counts, op4_warc_archive, op5_min_max_hashing,
-        op6_rotation_codes, op7_spaced_seeds, op8_boosted_candidates, op9_virtual_slots, op10_mixed_ids)
+        op6_rotation_codes, op7_spaced_seeds, op8_boosted_candidates, op9_virtual_slots, op10_mixed_ids,
+        op11_deficit_mixture, op12_zone_maps, op13_text_alignment)
 }
