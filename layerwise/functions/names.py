@@ -44,6 +44,16 @@ def alias_table(spark: SparkSession, aliases: Aliases) -> DataFrame:
         F.min_by("canonical", "place").alias("__canonical"))
 
 
+def spellings(spark: SparkSession, aliases: Aliases) -> DataFrame:
+    """``name, canonical``: every name that ``normalise`` turns into a canonical one, itself included unless it is
+    an alias of another."""
+    table = alias_table(spark, aliases)
+    itself = table.select(F.col("__canonical").alias("name")).distinct() \
+        .join(table, F.col("name") == F.col("__alias"), "left_anti")
+    return table.select(F.col("__alias").alias("name"), F.col("__canonical").alias("canonical")).union(
+        itself.select("name", F.col("name").alias("canonical")))
+
+
 def folded_alias_table(spark: SparkSession, aliases: Aliases) -> DataFrame:
     """``__alias, __canonical, __exact``: one row per spelling ignoring case, of aliases and of canonical
     names; ``__exact`` maps the aliases written in exactly some way to what they mean."""

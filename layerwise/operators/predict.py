@@ -9,9 +9,11 @@
                          snapshot for a table of ordered pairs (equi-joins, never all pairs).
 
 Join shape: ratings and ranks are first folded into one profile per entity (ranks full-outer
-latest rating), so the large schedule side is joined twice (home, away) instead of four times.
-The profile is per entity; AQE broadcasts it only when its measured size is under the
-broadcast threshold, otherwise it is a shuffled join with skew splitting for popular teams.
+latest rating).  Where names are normalised, names are resolved into a dictionary per raw name
+first: from the profiles and the aliases where names match exactly, from the distinct names of the
+schedule where they match in any case.  So the large schedule side is joined twice (home, away) in
+every variant.  Profile and dictionary hold a row per name; AQE broadcasts them only when their measured size is under the broadcast threshold,
+otherwise it is a shuffled join with skew splitting for popular teams.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from layerwise.functions.elo import (
     outcome_probabilities,
     winner_label,
 )
-from layerwise.functions.names import TEAM_ALIASES, Aliases, normalise, normalise_ci
+from layerwise.functions.names import TEAM_ALIASES, Aliases, normalise, normalise_ci, spellings
 from layerwise.functions.text import score_text_1dp
 from layerwise.operators.dedup import dedup
 from layerwise.operators.snapshots import at_global_max, latest_per_key
@@ -70,6 +72,11 @@ def _keyed(df: DataFrame, name: str, aliases: Aliases | None, out: str, ci: bool
     return (normalise_ci if ci else normalise)(df, name, aliases, out)
 
 
+def distinct_names(df: DataFrame, *columns: str) -> DataFrame:
+    """``name``: every value of the columns once, without NULL; combined in each task before the shuffle."""
+    return df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("name")).filter("name is not null").distinct()
+
+
 def _best_ranks(ranks: DataFrame, entity: str, rank: str, aliases: Aliases | None, ci: bool = False) -> DataFrame:
     """``entity, rank``: one row per (normalised) entity, the best rank of those listed for it."""
     keyed = _keyed(ranks, entity, aliases, "__entity", ci)
@@ -135,6 +142,13 @@ def predict(
         matches=matches, host=host, rank_entity=rank_entity, rank=rank, aliases=aliases,
     )
 
+    if aliases and _is_text(schedule, home) and _is_text(schedule, away):
+        # one profile per raw name: every spelling of an entity, so that the schedule needs no normalising
+        spelled = spellings(schedule.sparkSession, aliases)
+        profile = profile.join(spelled, F.col("entity") == F.col("canonical"), "left") \
+            .withColumn("entity", F.coalesce("name", "entity")).drop("name", "canonical")
+        aliases = None
+
     def side(tag: str) -> DataFrame:
         return profile.select(
             F.col("entity").alias(f"__{tag}_key"),
@@ -177,6 +191,27 @@ def predict(
     return out.select(*NARROW_COLUMNS) if narrow else out
 
 
+def resolve_ranks(
+    df: DataFrame,
+    dim: DataFrame,
+    *,
+    name: str,
+    key: str = "country",
+    value: str = "rank",
+    out: str = "rank",
+    aliases: Aliases = TEAM_ALIASES,
+) -> DataFrame:
+    """``df`` with ``out``: the value of its raw name in ``dim`` (unique on ``key``), else of the normalised name.
+
+    Raw names with a value are those of ``dim`` and the aliases of its names, so they are listed once and
+    ``df`` meets the list in one join."""
+    spelled = spellings(df.sparkSession, aliases)
+    own = dim.select(F.col(key).alias("__name"), F.col(value).alias(out))
+    other = spelled.join(own.select("__name"), F.col("name") == F.col("__name"), "left_anti") \
+        .join(own, F.col("canonical") == F.col("__name")).select(F.col("name").alias("__name"), out)
+    return df.join(own.union(other), F.col(name) == F.col("__name"), "left").drop("__name")
+
+
 def attach_ranks(
     schedule: DataFrame,
     ranks: DataFrame,
@@ -234,35 +269,30 @@ def predict_clamped(
         F.col(away).alias("away_team"), F.col(match_date).alias("match_date"),
         (F.col(home_side) if home_side else F.lit(None).cast(schedule.schema[home].dataType)).alias("__host"),
     )
-    games = _keyed(games, "home_team", aliases, "__home_clean", True)
-    games = _keyed(games, "away_team", aliases, "__away_clean", True)
-
-    # Without name normalisation the raw and normalised keys coincide, so ranks fold into the
-    # per-entity profile and the schedule is joined once per side instead of twice.
-    fold = ranks is not None and not any(aliases and _is_text(schedule, c) for c in (home, away))
-    if fold:
-        latest = latest.join(_best_ranks(ranks, rank_entity, rank, None).toDF("__key", "__rank"), "__key", "full")
+    named = aliases and _is_text(schedule, home) and _is_text(schedule, away)
+    if named:  # every raw name is resolved once; the schedule meets the result by raw name
+        book = normalise_ci(distinct_names(games, "home_team", "away_team"), "name", aliases, "__key") \
+            .join(latest, "__key", "left")
+        if ranks is not None:
+            book = rank_lookup_fallback(
+                book, _best_ranks(ranks, rank_entity, rank, None), raw="name", clean="__key", key="entity",
+                value="rank", out="__rank", clean_dim=_best_ranks(ranks, rank_entity, rank, aliases, True))
+    else:  # the raw name is the key, so ranks fold into the profile
+        book = latest if ranks is None else latest.join(
+            _best_ranks(ranks, rank_entity, rank, None).toDF("__key", "__rank"), "__key", "full")
+        book = book.withColumn("name", F.col("__key"))
+    if ranks is None:
+        book = book.withColumn("__rank", F.lit(None).cast("int"))
 
     def stats(tag: str) -> DataFrame:
-        return latest.select(
-            F.col("__key").alias(f"__{tag}_clean"), F.col("__rating").alias(f"__r_{tag}"),
-            F.col("__goals").alias(f"__g_{tag}"), F.col("__matches").alias(f"__m_{tag}"),
-            *([F.col("__rank").alias(f"{tag}_rank")] if fold else []),
+        return book.select(
+            F.col("name").alias(f"__{tag}_name"), F.col("__key").alias(f"__{tag}_clean"),
+            F.col("__rating").alias(f"__r_{tag}"), F.col("__goals").alias(f"__g_{tag}"),
+            F.col("__matches").alias(f"__m_{tag}"), F.col("__rank").alias(f"{tag}_rank"),
         )
 
-    joined = games.join(stats("home"), on="__home_clean", how="left").join(
-        stats("away"), on="__away_clean", how="left"
-    )
-    if ranks is not None and not fold:
-        raw_ranks = _best_ranks(ranks, rank_entity, rank, None)
-        clean_ranks = _best_ranks(ranks, rank_entity, rank, aliases, True)
-        for tag in ("home", "away"):
-            joined = rank_lookup_fallback(
-                joined, raw_ranks, raw=f"{tag}_team", clean=f"__{tag}_clean", key="entity", value="rank",
-                out=f"{tag}_rank", clean_dim=clean_ranks)
-    elif ranks is None:
-        joined = joined.withColumn("home_rank", F.lit(None).cast("int")).withColumn(
-            "away_rank", F.lit(None).cast("int"))
+    joined = games.join(stats("home"), F.col("home_team") == F.col("__home_name"), "left") \
+        .join(stats("away"), F.col("away_team") == F.col("__away_name"), "left")
 
     r_home = F.coalesce(F.col("__r_home"), F.lit(float(DEFAULT_RATING)))
     r_away = F.coalesce(F.col("__r_away"), F.lit(float(DEFAULT_RATING)))

@@ -11,11 +11,13 @@ incoming row without a key, and an update column that does not exist, are
 refused.
 
 Parquet has no MERGE, so ``upsert_table`` writes the result as a new version
-next to the current one.  A writer claims the next number by creating a file
-that must not exist yet, so of two writers one is refused, and commits the
-version by a marker file of its own once the data are written; readers pick the
-newest committed version.  The path being read is never overwritten, and a job
-lost half-way leaves the previous version intact.
+next to the current one.  A writer claims a number by creating a file that must
+not exist yet, and commits by exclusively creating the one file that is named
+after the version it started from.  Of two writers with the same base one
+commits and the other is refused, whatever the order of their steps; readers
+follow the commit files.  The path being read is never overwritten, and a job
+lost half-way leaves the previous version intact.  ``operators.buckets`` keeps
+large tables by the same commits, rewriting only buckets with incoming keys.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwise.operators.dedup import _keys, dedup
-from layerwise.sources.fs import delete, hadoop_path
+from layerwise.sources.fs import create_exclusively, delete, hadoop_path, read_small
 
 _OLD, _NEW = "__upsert_old", "__upsert_new"
 
@@ -41,10 +43,8 @@ def upsert(
 ) -> DataFrame:
     keys = _keys(key)
     columns = current.columns
+    require_known(update, columns)
     incoming = _one_per_key(incoming.select(*columns), keys, order)
-    unknown = sorted(set(update or ()) - set(columns))
-    if unknown:
-        raise ValueError(f"update names columns that the table lacks: {unknown}")
     listed = set(columns if update is None else update)
     old = current.select(*keys, *[F.col(c).alias(f"o_{c}") for c in columns if c not in keys],
                          F.lit(True).alias(_OLD))
@@ -62,6 +62,12 @@ def upsert(
     return merged.select(*out)
 
 
+def require_known(update: Sequence[str] | None, columns: Sequence[str]) -> None:
+    unknown = sorted(set(update or ()) - set(columns))
+    if unknown:
+        raise ValueError(f"update names columns that the table lacks: {unknown}")
+
+
 def _one_per_key(incoming: DataFrame, keys: Sequence[str], order: Sequence[Column] | None) -> DataFrame:
     """One incoming row per key; a row with a NULL in its key raises."""
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
@@ -75,23 +81,40 @@ def _one_per_key(incoming: DataFrame, keys: Sequence[str], order: Sequence[Colum
 
 _VERSION_PREFIX = "version="
 _CLAIM, _COMMITTED = "_CLAIMED", "_COMMITTED"
+_COMMITS = "_commits"
 
 
 class VersionTaken(RuntimeError):
-    """Another writer has claimed the version that this one was about to write."""
+    """Another writer has claimed or committed the version that this one was about to write."""
+
 
+def version_path(root: str, number: int) -> str:
+    return f"{root}/{_VERSION_PREFIX}{number:08d}"
 
-def _fs(spark: SparkSession, path: str):
-    return hadoop_path(spark, path)
+
+def _commit_file(root: str, base: int) -> str:
+    return f"{root}/{_COMMITS}/after={base:08d}"
+
+
+def _successor(spark: SparkSession, root: str, base: int) -> int | None:
+    """The version that was committed on top of ``base``; None while there is none."""
+    text = read_small(spark, _commit_file(root, base))
+    return int(text) if text else None
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Versions under ``root`` whose write committed, ascending."""
-    return _versions(spark, root, _COMMITTED)
+    """Versions under ``root`` whose write committed, ascending.
+
+    Folders carry a marker, set after the commit file; a version whose writer was lost in between is
+    found through the commit file of the one before it."""
+    versions = _versions(spark, root, _COMMITTED)
+    while (following := _successor(spark, root, versions[-1] if versions else 0)) is not None:
+        versions.append(following)
+    return versions
 
 
 def _versions(spark: SparkSession, root: str, marker: str) -> list[int]:
-    fs, jroot = _fs(spark, root)
+    fs, jroot = hadoop_path(spark, root)
     if not fs.exists(jroot):
         return []
     versions = []
@@ -103,38 +126,39 @@ def _versions(spark: SparkSession, root: str, marker: str) -> list[int]:
     return sorted(versions)
 
 
-def _create(spark: SparkSession, path: str) -> bool:
-    """Create an empty file; False if it exists already."""
-    fs, jpath = _fs(spark, path)
-    return bool(fs.createNewFile(jpath))
-
-
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     versions = committed_versions(spark, root)
     if not versions:
         return None
-    return spark.read.parquet(f"{root}/{_VERSION_PREFIX}{versions[-1]:08d}/data")
+    return spark.read.parquet(f"{version_path(root, versions[-1])}/data")
 
 
 def claim_next_version(spark: SparkSession, root: str) -> str:
     """The folder of the version after the newest claimed one; raises ``VersionTaken`` if a concurrent
     writer gets it first.  An abandoned claim only leaves a gap in the numbers."""
     claimed = _versions(spark, root, _CLAIM)
-    path = f"{root}/{_VERSION_PREFIX}{(claimed[-1] + 1 if claimed else 1):08d}"
-    if not _create(spark, f"{path}/{_CLAIM}"):
+    path = version_path(root, claimed[-1] + 1 if claimed else 1)
+    if not create_exclusively(spark, f"{path}/{_CLAIM}"):
         raise VersionTaken(path)
     return path
 
 
+def commit_version(spark: SparkSession, path: str, seen: Sequence[int]) -> None:
+    """Commit a written version on top of the newest of those ``seen`` when its rows were read; raises
+    ``VersionTaken`` if another one has been committed there: its rows would be lost."""
+    root, _, name = path.rpartition("/")
+    base = seen[-1] if seen else 0
+    commit = _commit_file(root, base)
+    if not create_exclusively(spark, commit, str(int(name[len(_VERSION_PREFIX):]))):
+        left = "" if _successor(spark, root, base) else f" (its writer was lost while it wrote {commit}; delete that file)"
+        raise VersionTaken(f"another version of {root} was committed while {path} was written{left}")
+    create_exclusively(spark, f"{path}/{_COMMITTED}")
+
+
 def write_version(df: DataFrame, path: str, seen: Sequence[int]) -> None:
-    """Write a claimed version and commit it, unless a version other than those ``seen`` when its rows
-    were read has been committed since: its rows would be lost."""
-    spark = df.sparkSession
+    """Write a claimed version and commit it, see ``commit_version``."""
     df.write.parquet(f"{path}/data")
-    root = path.rpartition("/")[0]
-    if committed_versions(spark, root) != list(seen):
-        raise VersionTaken(f"another version of {root} was committed while {path} was written")
-    _create(spark, f"{path}/{_COMMITTED}")
+    commit_version(df.sparkSession, path, seen)
 
 
 def upsert_table(
@@ -152,11 +176,11 @@ def upsert_table(
     Raises ``VersionTaken``, leaving the table as it is, if another writer got in between."""
     seen = committed_versions(spark, root)
     path = claim_next_version(spark, root)
-    current = read_current(spark, root)
-    merged = _one_per_key(incoming, _keys(key), order) if current is None else upsert(
-        current, incoming, key, update, order)
+    require_known(update, incoming.columns)
+    merged = upsert(spark.read.parquet(f"{version_path(root, seen[-1])}/data"), incoming, key, update, order) \
+        if seen else _one_per_key(incoming, _keys(key), order)
     write_version(merged, path, seen)
     versions = committed_versions(spark, root)
     for old in versions[:-retain] if retain > 0 else []:
-        delete(spark, f"{root}/{_VERSION_PREFIX}{old:08d}")
+        delete(spark, version_path(root, old))
     return path

@@ -23,15 +23,18 @@ from layerwise.functions import (
     unknown_if_null,
 )
 from layerwise.functions.text import after_first_comma, first_part
-from layerwise.operators import clean, dedup as dd, quality, serving, snapshots, standings, upsert
+from layerwise.operators import buckets, clean, dedup as dd, quality, serving, snapshots, standings, upsert
 from layerwise.operators.predict import (
     attach_ranks,
     pair_probabilities,
     predict,
     predict_clamped,
-    rank_lookup_fallback,
+    resolve_ranks,
 )
 from layerwise.plans import fixtures as fx
+from layerwise.sources import fs
+from layerwise.sources.catalog import Source, land, rejects_path
+from layerwise.sources.files import read_landed, read_rejects
 
 FLOAT_DIGITS = 6
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,11 +150,8 @@ def rank_lookup_fallback_query(spark, root):
             "team", (F.col("n_nationkey") + 1).alias("rank")),
         "team", order=[F.col("rank").asc()],
     )
-    c = normalise(fx.contests(spark, root).select("contest_id", "home_team"), "home_team", fx.NATION_ALIASES,
-                  "__clean")
-    looked = rank_lookup_fallback(c, dim, raw="home_team", clean="__clean", key="team", value="rank",
-                                  out="home_rank")
-    return looked.select("contest_id", "home_team", "home_rank")
+    c = fx.contests(spark, root).select("contest_id", "home_team")
+    return resolve_ranks(c, dim, name="home_team", key="team", out="home_rank", aliases=fx.NATION_ALIASES)
 
 
 # --- table cleaning -------------------------------------------------------------------
@@ -227,6 +227,24 @@ def upsert_partial(spark, root):
                          update=["c_acctbal", "c_mktsegment"])
 
 
+def upsert_buckets(spark, root):
+    target = fs.scratch_path(spark, "upsert-buckets")
+    buckets.upsert_buckets(spark, target, fx.customer_registry(spark, root), "c_custkey", buckets=32)
+    buckets.upsert_buckets(spark, target, fx.customer_changes(spark, root), "c_custkey")
+    return buckets.read_buckets(spark, target)
+
+
+def landing_rejects(spark, root):
+    folder = fs.scratch_path(spark, "landing-rejects")
+    fx.part_lines(spark, root).write.text(f"{folder}/parts.csv")
+    source = Source("parts", f"{folder}/parts.csv", "key long, size int, type string", options={"header": False})
+    entry = land(spark, [source], f"{folder}/raw").first()  # the manifest has one row per source
+    good = read_landed(spark, f"{folder}/raw/parts")
+    bad = read_rejects(spark, rejects_path(f"{folder}/raw", "parts"))
+    return good.unionByName(bad, allowMissingColumns=True).withColumns(
+        {c: F.lit(entry[c]).cast("long") for c in ("row_count", "rejected_count")})
+
+
 def ingest_manifest(spark, root):
     return serving.manifest(fx.registry(spark, root), by="row_count")
 
@@ -344,6 +362,8 @@ QUERIES: dict[str, Query] = {
     "upsert_by_key": upsert_by_key,
     "upsert_partial": upsert_partial,
     "upsert_duplicate_keys": upsert_duplicate_keys,
+    "upsert_buckets": upsert_buckets,
+    "landing_rejects": landing_rejects,
     "ingest_manifest": ingest_manifest,
     "manifest_total": manifest_total,
     "manifest_nonempty": manifest_nonempty,

@@ -382,3 +382,14 @@ def customer_changes(spark: SparkSession, root: str) -> DataFrame:
         "c_mktsegment",
     )
     return revised.unionByName(added)
+
+
+def part_lines(spark: SparkSession, root: str) -> DataFrame:
+    """value: one line per part, ``key,size,type``: the size is a word for every fifth size, one field too many for
+    every eleventh, one too few for every thirteenth."""
+    size = F.col("p_size")
+    text = F.when(size % 5 == 0, F.lit("large")).otherwise(size.cast("string"))
+    line = F.when(size % 13 == 0, F.concat_ws(",", F.col("p_partkey").cast("string"), text)).otherwise(
+        F.concat_ws(",", F.col("p_partkey").cast("string"), text, "p_type"))
+    return table(spark, root, "part").select(
+        F.when(size % 11 == 0, F.concat(line, F.lit(",extra"))).otherwise(line).alias("value"))

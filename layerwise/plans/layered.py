@@ -28,6 +28,7 @@ from layerwise.operators.quality import record
 from layerwise.operators.standings import season_stats, standings
 from layerwise.operators.upsert import read_current, upsert_table
 from layerwise.sources.catalog import Source, land
+from layerwise.sources.files import read_landed
 from layerwise.sources.jdbc import write_jdbc
 
 QUALITY_SCHEMA = (
@@ -36,7 +37,7 @@ QUALITY_SCHEMA = (
 )
 MANIFEST_UPDATED = [
     "source_file", "ingestion_timestamp", "row_count", "file_size_bytes", "ingestion_seconds",
-    "rows_per_second",
+    "rows_per_second", "rejected_count",
 ]
 
 
@@ -112,14 +113,15 @@ def run_layered(
     paths: dict[str, str] = {}
 
     manifest = land(spark, sources, raw, stamp)
-    paths["manifest"] = upsert_table(spark, f"{root}/registry/manifest", manifest, "table_name",
-                                     update=MANIFEST_UPDATED)
+    known = read_current(spark, f"{root}/registry/manifest")  # kept by an earlier release: without newer columns
+    paths["manifest"] = upsert_table(spark, f"{root}/registry/manifest", manifest, "table_name", update=[
+        c for c in MANIFEST_UPDATED if known is None or c in known.columns])
     # tables landed by this run (one manifest row each); a skipped optional source must not
     # be replaced by a raw folder left over from an earlier run
     landed = {r.table_name for r in manifest.select("table_name").collect()}
 
     def read_raw(name: str | None) -> DataFrame | None:
-        return spark.read.parquet(f"{raw}/{name}") if name in landed else None
+        return read_landed(spark, f"{raw}/{name}") if name in landed else None
 
     quality = []
     vintages = [(read_raw(n), y) for n, y in config.ranking_vintages]

@@ -509,6 +509,19 @@ SELECT * FROM cur WHERE NOT EXISTS (SELECT 1 FROM one WHERE one.c_custkey = cur.
 UNION ALL
 SELECT * FROM one"""
 
+ORACLE["upsert_buckets"] = ORACLE["upsert_by_key"]
+
+ORACLE["landing_rejects"] = """WITH p AS (
+  SELECT p_partkey AS key, p_size AS size, p_type AS type,
+         p_size % 5 = 0 OR p_size % 11 = 0 OR p_size % 13 = 0 AS bad,
+         concat_ws(',', p_partkey, CASE WHEN p_size % 5 = 0 THEN 'large' ELSE p_size::VARCHAR END,
+                   CASE WHEN p_size % 13 <> 0 THEN p_type END, CASE WHEN p_size % 11 = 0 THEN 'extra' END) AS line
+  FROM part)
+SELECT CASE WHEN NOT bad THEN key END AS key, CASE WHEN NOT bad THEN size::INTEGER END AS size,
+       CASE WHEN NOT bad THEN type END AS type, CASE WHEN bad THEN line END AS line,
+       count(*) FILTER (WHERE NOT bad) OVER () AS row_count, count(*) FILTER (WHERE bad) OVER () AS rejected_count
+FROM p"""
+
 ORACLE["upsert_partial"] = f"""WITH {CUSTOMER_CHANGES}
 SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey,
        CASE WHEN o.c_custkey IS NOT NULL THEN o.c_name ELSE n.c_name END AS c_name,

@@ -3,8 +3,11 @@
 A catalogue lists sources (name, path, declared schema, required?).  Landing
 replaces each raw table and records one manifest row per table: rows (counted
 over the written table, which Parquet answers from its footers, so that tasks
-run again after a lost executor count once), bytes of the source, seconds and rows per second.  A missing optional source is skipped
-with a warning; a missing required source stops the landing.
+run again after a lost executor count once), lines rejected, bytes of the
+source, seconds and rows per second.  Lines of a CSV source that do not fit its
+declared schema are kept beside the table, under ``<out_root>/_rejects``; the
+counts of rows and rejected lines add up to the lines read.  A missing optional
+source is skipped with a warning; a missing required source stops the landing.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from layerwise.sources import fs
-from layerwise.sources.files import read_csv, replace_keeping_schema
+from layerwise.sources.files import land_with_rejects, read_csv, read_landed, replace_keeping_schema
 from layerwise.sources.jdbc import read_jdbc
 
 log = logging.getLogger(__name__)
@@ -29,15 +33,16 @@ DEFAULT_SCHEMA_VERSION = "1.0"
 
 MANIFEST_SCHEMA = (
     "table_name string, source_file string, ingestion_timestamp timestamp, row_count long, "
-    "schema_version string, file_size_bytes long, ingestion_seconds double, rows_per_second double"
+    "schema_version string, file_size_bytes long, ingestion_seconds double, rows_per_second double, "
+    "rejected_count long"
 )
 
 
 @dataclass(frozen=True)
 class Source:
-    """A raw input.  ``path`` is a file or folder for file formats; for ``fmt="jdbc"`` it is
-    the JDBC URL and ``options`` carries ``table``, connection ``properties`` and optional
-    ``partition_column`` / ``num_partitions`` for a split read, or ``small`` for a table that one
+    """A raw input.  ``path`` is a file or folder for file formats (CSV: option ``header``, default
+    True); for ``fmt="jdbc"`` it is the JDBC URL and ``options`` carries ``table``, connection
+    ``properties`` and optional ``partition_column`` / ``num_partitions`` for a split read, or ``small`` for a table that one
     task may read."""
 
     name: str
@@ -51,7 +56,8 @@ class Source:
 
 def read_source(spark: SparkSession, source: Source) -> DataFrame:
     if source.fmt == "csv":
-        return read_csv(spark, source.path, source.schema)
+        return read_csv(spark, source.path, source.schema, header=source.options.get("header", True),
+                        keep_corrupt=source.schema is not None)
     if source.fmt == "jdbc":
         opts = dict(source.options)
         return read_jdbc(
@@ -82,6 +88,10 @@ def registered(table: DataFrame, name: str, source_file: str) -> DataFrame:
         F.lit(DEFAULT_SCHEMA_VERSION).alias("schema_version"))
 
 
+def rejects_path(out_root: str, name: str) -> str:
+    return f"{out_root}/_rejects/{name}"
+
+
 def land(
     spark: SparkSession,
     sources: list[Source],
@@ -100,8 +110,16 @@ def land(
             continue
         started = time.perf_counter()
         df = read_source(spark, source)
-        target = f"{out_root}/{source.name}"
-        if source.keep_schema:
+        target, rejects = f"{out_root}/{source.name}", rejects_path(out_root, source.name)
+        rejected = 0
+        if source.fmt == "csv" and source.schema is not None:
+            good = f"{target}.parsed-{uuid.uuid4().hex}" if source.keep_schema else target
+            land_with_rejects(df, good, rejects)
+            rejected = spark.read.parquet(rejects).count()
+            if source.keep_schema:
+                replace_keeping_schema(spark, read_landed(spark, good), target)
+                fs.delete(spark, good)
+        elif source.keep_schema:
             replace_keeping_schema(spark, df, target)
         else:
             df.write.mode("overwrite").parquet(target)
@@ -111,6 +129,6 @@ def land(
         count = entry["row_count"]
         rows.append((
             source.name, source_file, stamp, count, entry["schema_version"], _source_bytes(spark, source),
-            seconds, count / seconds if seconds > 0 else float(count),
+            seconds, count / seconds if seconds > 0 else float(count), rejected,
         ))
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)

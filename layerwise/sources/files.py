@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,35 @@ def read_csv(
     return reader.csv(path)
 
 
+def land_with_rejects(df: DataFrame, target: str, rejects: str) -> None:
+    """Write what ``read_csv(..., keep_corrupt=True)`` gives in one pass over the text: good rows replace the table
+    at ``target``, lines that do not fit the schema the one at ``rejects`` (column ``line``).
+
+    The rows are written apart by a flag and the two folders moved into place.  ``_corrupt_record`` is NULL in
+    every good row; ``read_landed`` leaves it out."""
+    spark = df.sparkSession
+    staged = f"{target}.staged-{uuid.uuid4().hex}"
+    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    df.withColumn("rejected", bad).write.partitionBy("rejected").parquet(staged)
+    for flag, path in (("false", target), ("true", rejects)):
+        part = f"{staged}/rejected={flag}"
+        if fs.exists(spark, part):
+            fs.move(spark, part, path)
+        else:  # no such rows: an empty table of the same shape
+            spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+    fs.delete(spark, staged)
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """The good rows of a landed table."""
+    return spark.read.parquet(path).drop(CORRUPT_COLUMN)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``line``: the lines of a source that did not fit its schema."""
+    return spark.read.parquet(path).select(F.col(CORRUPT_COLUMN).alias("line"))
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Replace the table at ``path`` (landing: the whole table each run)."""
     writer = df.write.mode("overwrite")
@@ -57,7 +87,7 @@ def replace_keeping_schema(spark: SparkSession, df: DataFrame, path: str) -> Non
     if not fs.exists(spark, path):
         write_parquet(df, path)
         return
-    existing = spark.read.parquet(path).schema
+    existing = read_landed(spark, path).schema
     missing = [f.name for f in existing.fields if f.name not in df.columns]
     extra = [c for c in df.columns if c not in existing.fieldNames()]
     if missing or extra:

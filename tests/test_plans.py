@@ -67,3 +67,28 @@ def test_no_broadcast_is_forced(spark):
 def test_scans_read_only_needed_columns(spark):
     plan = _plan(QUERIES["team_performance"](spark, SF_SMALL))
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_linenumber:int,l_quantity:double>" in plan
+
+
+@pytest.mark.parametrize("name,joins", [("predict_pair_named", 2), ("predict_contests_named", 2)])
+def test_schedule_meets_names_once_per_side(spark, name, joins):
+    """Joins above the schedule (its date is the only column that nothing else carries)."""
+    df = QUERIES[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    deepest = max((i for i, line in enumerate(lines) if "Relation" in line and "o_orderdate" in line
+                   and line.lstrip(" :").startswith("+-")), key=lambda i: -i)
+    above, level = 0, depth[deepest]
+    for i in range(deepest, -1, -1):
+        if depth[i] < level:
+            level = depth[i]
+            above += "Join" in lines[i]
+    assert above == joins
+
+
+def test_rank_lookup_joins_contests_once(spark):
+    df = QUERIES["rank_lookup_fallback"](spark, SF_SMALL)
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    top = [line.strip(" :+-") for line in lines[:6]]
+    assert sum("Join LeftOuter" in line for line in top) == 1
+    assert sum("l_linenumber" in line and "Relation" in line for line in lines) == 1  # contests are derived once

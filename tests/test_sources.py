@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerwise.sources import fs
-from layerwise.sources.catalog import Source, land
-from layerwise.sources.files import read_csv, replace_keeping_schema, write_parquet
+from layerwise.sources.catalog import Source, land, rejects_path
+from layerwise.sources.files import read_csv, read_landed, read_rejects, replace_keeping_schema, write_parquet
 from layerwise.sources.jdbc import read_jdbc, write_jdbc
 
 
@@ -123,3 +123,38 @@ def test_land_parquet_source(spark, tmp_root):
     manifest = land(spark, [Source("nums", f"{tmp_root}/src.parquet", fmt="parquet")], f"{tmp_root}/raw").collect()
     assert (manifest[0].row_count, manifest[0].source_file) == (5, "src.parquet")
     assert spark.read.parquet(f"{tmp_root}/raw/nums").count() == 5
+
+
+def test_lines_that_do_not_fit_are_kept_apart(spark, tmp_root):
+    _write(f"{tmp_root}/a.csv", "a,b\n1,x\noops,y\n3000000000,z\n4,w,extra\n5\n6,v\n")
+    out = f"{tmp_root}/raw"
+    manifest = land(spark, [Source("a", f"{tmp_root}/a.csv", "a int, b string")], out).collect()[0]
+    assert (manifest.row_count, manifest.rejected_count) == (2, 4)
+    landed = read_landed(spark, f"{out}/a")
+    assert sorted(tuple(r) for r in landed.collect()) == [(1, "x"), (6, "v")]
+    bad = read_rejects(spark, rejects_path(out, "a"))
+    assert sorted(r.line for r in bad.collect()) == ["3000000000,z", "4,w,extra", "5", "oops,y"]
+    _write(f"{tmp_root}/a.csv", "a,b\n7,t\n")  # landed again: table and rejects are replaced
+    manifest = land(spark, [Source("a", f"{tmp_root}/a.csv", "a int, b string")], out).collect()[0]
+    assert (manifest.row_count, manifest.rejected_count) == (1, 0)
+    assert read_rejects(spark, rejects_path(out, "a")).count() == 0 and read_landed(spark, f"{out}/a").count() == 1
+    assert sorted(os.listdir(out)) == ["_rejects", "a"]
+
+
+def test_all_or_no_lines_fit(spark, tmp_root):
+    _write(f"{tmp_root}/a.csv", "a,b\nx,1\ny,2\n")
+    _write(f"{tmp_root}/b.csv", "a,b\n")
+    out = f"{tmp_root}/raw"
+    sources = [Source(n, f"{tmp_root}/{n}.csv", "a int, b string") for n in ("a", "b")]
+    assert [(m.row_count, m.rejected_count) for m in land(spark, sources, out).orderBy("table_name").collect()] == [(0, 2), (0, 0)]
+    assert read_landed(spark, f"{out}/a").columns == ["a", "b"]
+
+
+def test_rejects_of_a_table_that_keeps_its_schema(spark, tmp_root):
+    source = Source("r", f"{tmp_root}/r.csv", "country string, rating int", keep_schema=True)
+    write_parquet(spark.createDataFrame([("old", 1)], "country string, rating long"), f"{tmp_root}/raw/r")
+    _write(f"{tmp_root}/r.csv", "country,rating\nA,1500\nB,many\n")
+    manifest = land(spark, [source], f"{tmp_root}/raw").collect()[0]
+    assert (manifest.row_count, manifest.rejected_count) == (1, 1)
+    landed = spark.read.parquet(f"{tmp_root}/raw/r")
+    assert [tuple(r) for r in landed.collect()] == [("A", 1500)] and dict(landed.dtypes)["rating"] == "bigint"
