@@ -8,7 +8,7 @@ pair is the number of documents, copies included, that hold it linked.
 A text is first cut before single spaces between plain characters (printable ASCII, Latin-1
 letters).  Both vocabularies start a token there, and none of their tokens reaches across, so the
 groups of a text are the groups of its chunks, one after the other, and a worker aligns each new
-chunk once.  What cannot be cut so (other scripts, runs of spaces) is one chunk, aligned like any.
+chunk once, several joined by spaces in one call of the library.  What cannot be cut so (other scripts, runs of spaces) is one chunk, aligned like any.
 
 About ``BLOCK_BYTES`` of distinct texts make a stored block: the chunk numbers of each text, the
 links of each distinct chunk, and every distinct id pair once with the documents of the block that
@@ -25,9 +25,11 @@ other columns are not read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -36,13 +38,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .encode import ChunkEncoder
+from .encode import byte_letters
 from .shared import slices, stored
 
 BLOCK_BYTES = 4 << 20
 HOT = 1000
 #: Chunks and characters of them that a worker remembers; beyond either it starts anew.
-CACHE_CHUNKS, CACHE_CHARS = 450_000, 1 << 24
+CACHE_CHUNKS, CACHE_CHARS = 250_000, 1 << 23
+#: Chunks that are encoded as one line of text.
+LINE = 500
 _SAFE = "!-~À-ÖØ-öø-ÿ"
 _CUT = re.compile(rf" (?<=[{_SAFE}] )(?=[{_SAFE}])")
 _MARK = "▁"
@@ -63,6 +67,16 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return upto[ends] - upto[ends - counts]
 
 
+def _flat(lists: Iterable[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64)
+
+
+def _distinct(codes: np.ndarray) -> np.ndarray:
+    """Distinct codes, ascending."""
+    ordered = np.sort(codes)
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(ordered) else ordered
+
+
 def _tallied(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes, ascending, and the sum of ``times`` over each."""
     distinct, at = np.unique(codes, return_inverse=True)
@@ -73,13 +87,15 @@ class Aligner:
     """Chunks and their alignment, remembered from text to text."""
 
     def __init__(self, path_a: str, path_b: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self._a = ChunkEncoder(path_a, CACHE_CHUNKS, plain_specials=True)
+        self._a = Tokenizer.from_file(path_a)
+        self._a.encode_special_tokens = True  # their strings inside a text are ordinary text
         self._b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        vocabulary = Tokenizer.from_file(path_a).get_vocab()
-        shown = {c: b for b, c in self._a._letters.items()}
+        vocabulary = self._a.get_vocab()
+        shown = {c: b for b, c in byte_letters().items()}
         self._bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             # a special token's string may hold characters that stand for no byte; it never comes from a text
@@ -110,29 +126,44 @@ class Aligner:
         cut = [_CUT.split(text) for text in texts]
         new = [c for c in dict.fromkeys(chain.from_iterable(cut)) if c not in self._number]
         if new:
+            gc.disable()  # many small lists, none of them in a cycle
             self._learn(new)
+            gc.enable()
         return [list(map(self._number.__getitem__, chunks)) for chunks in cut]
 
-    def _agree(self, chunks: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+    def _ids_a(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, a space in front of each, and how many belong to each."""
+        lines = [" " + " ".join(chunks[i:i + LINE]) for i in range(0, len(chunks), LINE)]
+        ids = _flat(e.ids for e in self._a.encode_batch_fast(lines, add_special_tokens=False))
+        ends = np.cumsum(self._length_a[ids])
+        stops = np.cumsum([len(chunk.encode()) + 1 for chunk in chunks])
+        upto = np.searchsorted(ends, stops, side="right")
+        if len(ends) and ends[-1] == stops[-1] and (ends[upto - 1] == stops).all():
+            return ids, np.diff(upto, prepend=0)
+        each = [e.ids for e in self._a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
+        return _flat(each), np.array([len(ids) for ids in each])
+
+    def _agree(self, chunks: list[str], sides: list[tuple[list[bytes], np.ndarray, np.ndarray]]) -> np.ndarray:
         """Whether both sides spell out space + chunk."""
         wholes = [b" " + chunk.encode() for chunk in chunks]
+        sizes = np.array([len(w) for w in wholes])
         agree = np.ones(len(chunks), dtype=bool)
-        for table, side in ((self._bytes_a, a), (self._bytes_b, b)):
-            spelt = list(map(table.__getitem__, chain.from_iterable(side)))
-            lengths = _sums(np.array([len(t) for t in spelt], dtype=np.int64), np.array([len(ids) for ids in side]))
-            agree &= lengths == np.array([len(w) for w in wholes])
+        for table, ids, counts in sides:
+            spelt = list(map(table.__getitem__, ids.tolist()))
+            agree &= _sums(np.array([len(t) for t in spelt], dtype=np.int64), counts) == sizes
             if not agree.all() or b"".join(spelt) != b"".join(wholes):
-                agree &= np.array([b"".join(map(table.__getitem__, ids)) == w for ids, w in zip(side, wholes)], dtype=bool)
+                ends = np.cumsum(counts).tolist()
+                agree &= np.array([b"".join(spelt[i:j]) == w for i, j, w in zip([0, *ends], ends, wholes)], dtype=bool)
         return agree
 
     def _learn(self, chunks: list[str]) -> None:
-        a = [np.frombuffer(ids, "<u4").tolist() for ids in self._a.chunks(chunks)]
-        b = self._b.encode(chunks, num_threads=1)
-        agree = self._agree(chunks, a, b)
-        a = [ids if good else [] for ids, good in zip(a, agree)]
-        b = [ids if good else [] for ids, good in zip(b, agree)]
-        count_a, count_b = (np.array([len(ids) for ids in side]) for side in (a, b))
-        ids_a, ids_b = (np.array(list(chain.from_iterable(side)), dtype=np.int64) for side in (a, b))
+        ids_a, count_a = self._ids_a(chunks)
+        lists = self._b.encode(chunks, num_threads=1)
+        count_b = np.array([len(ids) for ids in lists])
+        ids_b = _flat(lists)
+        agree = self._agree(chunks, [(self._bytes_a, ids_a, count_a), (self._bytes_b, ids_b, count_b)])
+        ids_a, ids_b = ids_a[np.repeat(agree, count_a)], ids_b[np.repeat(agree, count_b)]
+        count_a, count_b = np.where(agree, count_a, 0), np.where(agree, count_b, 0)
         # both sides spell the same bytes, chunk by chunk, so ends may be counted from the first chunk on
         ends_a, ends_b = np.cumsum(self._length_a[ids_a]), np.cumsum(self._length_b[ids_b])
         cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
@@ -205,10 +236,10 @@ def _block(known: Aligner, texts: list[str], copies: np.ndarray) -> dict[str, ob
     at = _spans(starts[chunks], slot_counts)
     pairs, slots = np.unique(known.pairs[at], return_inverse=True)
     # distinct chunks of each text, then distinct pairs of each text
-    held = np.unique(np.repeat(np.arange(len(texts)), counts) * max(1, len(chunks)) + words)
+    held = _distinct(np.repeat(np.arange(len(texts)), counts) * max(1, len(chunks)) + words)
     text, chunk = np.divmod(held, max(1, len(chunks)))
     slot = slots[_spans((np.cumsum(slot_counts) - slot_counts)[chunk], slot_counts[chunk])]
-    held = np.unique(np.repeat(text, slot_counts[chunk]) * max(1, len(pairs)) + slot)
+    held = _distinct(np.repeat(text, slot_counts[chunk]) * max(1, len(pairs)) + slot)
     text, slot = np.divmod(held, max(1, len(pairs)))
     documents = np.bincount(slot, weights=copies[text], minlength=len(pairs)).astype(np.int64)
     return {"hashes": hashes, "measures": measures.astype("<i8"), "words": words.astype("<u4"),

@@ -32,7 +32,7 @@ _LOWER_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\s{_LE
 CACHE_ENTRIES = 900_000
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The printable stand-in of each byte: itself where printable, else the next code from 256 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     table = {b: chr(b) for b in shown}
@@ -50,19 +50,16 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class ChunkEncoder:
-    """``ids(texts)``: per text its ids as little-endian unsigned 32-bit bytes.
+    """``ids(texts)``: per text its ids as little-endian unsigned 32-bit bytes."""
 
-    With ``plain_specials`` the strings of special tokens inside a text are ordinary text."""
-
-    def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES, plain_specials: bool = False):
+    def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = plain_specials
         self._model = self._tokenizer.model
         self._lower = self._tokenizer.normalizer is not None
-        self._letters = _byte_letters()
+        self._letters = byte_letters()
         self._limit = cache_entries
         self._known: dict[str, bytes] = {}  # a chunk after its space
         self._first: dict[str, bytes] = {}  # a chunk that opens a text
@@ -92,18 +89,9 @@ class ChunkEncoder:
             for chunk, e in zip(whole, encoded):
                 known[chunk] = _packed(e.ids)
 
-    def _forget(self) -> None:
+    def ids(self, texts: list[str]) -> list[bytes]:
         if len(self._known) + len(self._first) + len(self._words) > self._limit:
             self._known, self._first, self._words = {}, {}, {}
-
-    def chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each chunk with a space put in front of it."""
-        self._forget()
-        self._learn(self._known, set(chunks), " ")
-        return [self._known[c] for c in chunks]
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        self._forget()
         cut = [_CUT.split(t) if _LOOSE.search(t) else t.split(" ") for t in texts]
         self._learn(self._first, {c[0] for c in cut}, "")
         self._learn(self._known, set(chain.from_iterable(islice(c, 1, None) for c in cut)), " ")
