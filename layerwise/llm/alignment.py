@@ -44,7 +44,7 @@ from .shared import slices, stored
 BLOCK_BYTES = 4 << 20
 HOT = 1000
 #: Chunks and characters of them that a worker remembers; beyond either it starts anew.
-CACHE_CHUNKS, CACHE_CHARS = 250_000, 1 << 23
+CACHE_CHUNKS, CACHE_CHARS = 200_000, 1 << 23
 #: Chunks that are encoded as one line of text.
 LINE = 500
 _SAFE = "!-~À-ÖØ-öø-ÿ"
@@ -77,6 +77,16 @@ def _distinct(codes: np.ndarray) -> np.ndarray:
     return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(ordered) else ordered
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Counts or places in the narrowest width that holds them; the first byte is that width."""
+    width = next(w for w in (1, 2, 4, 8) if not len(values) or int(values.max()) < 1 << (8 * w))
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 def _tallied(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes, ascending, and the sum of ``times`` over each."""
     distinct, at = np.unique(codes, return_inverse=True)
@@ -108,9 +118,9 @@ class Aligner:
         #: Ids as text: after it the next id of the side, or the end of the side.
         self._names = [f"{i}{end}" for ends in (",|", ",;") for i in range(max(len(self._bytes_a), self.width))
                        for end in ends]
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self._number: dict[str, int] = {}
         self._chars = 0
         self.groups: list[str] = []
@@ -122,7 +132,7 @@ class Aligner:
     def numbers(self, texts: list[str]) -> list[list[int]]:
         """The chunk numbers of every text."""
         if len(self._number) > CACHE_CHUNKS or self._chars > CACHE_CHARS:
-            self._forget()
+            self.forget()
         cut = [_CUT.split(text) for text in texts]
         new = [c for c in dict.fromkeys(chain.from_iterable(cut)) if c not in self._number]
         if new:
@@ -242,9 +252,8 @@ def _block(known: Aligner, texts: list[str], copies: np.ndarray) -> dict[str, ob
     held = _distinct(np.repeat(text, slot_counts[chunk]) * max(1, len(pairs)) + slot)
     text, slot = np.divmod(held, max(1, len(pairs)))
     documents = np.bincount(slot, weights=copies[text], minlength=len(pairs)).astype(np.int64)
-    return {"hashes": hashes, "measures": measures.astype("<i8"), "words": words.astype("<u4"),
-            "word_counts": counts.astype("<i8"), "slots": slots.astype("<u4"), "times": known.times[at].astype("<i8"),
-            "slot_counts": slot_counts.astype("<i8"), "pairs": pairs.astype("<i8"), "documents": documents.astype("<i8")}
+    return {"hashes": hashes, "measures": measures, "words": words, "word_counts": counts, "slots": slots,
+            "times": known.times[at], "slot_counts": slot_counts, "pairs": pairs, "documents": documents}
 
 
 def aligned_blocks(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -255,9 +264,10 @@ def aligned_blocks(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for batch in slices(whole, "text", BLOCK_BYTES):
                 made = _block(known, batch.column("text").to_pylist(), batch.column("copies").to_numpy())
                 row = {"block": block, "keys": batch.column("key").to_pylist(), "copies": batch.column("copies").to_pylist(),
-                       **{name: v.tobytes() if isinstance(v, np.ndarray) else v for name, v in made.items()}}
+                       **{name: _packed(v.ravel()) if isinstance(v, np.ndarray) else v for name, v in made.items()}}
                 yield pa.RecordBatch.from_pylist([row], schema=_arrow_block())
                 block += 1
+        known.forget()  # a worker lives on; what it remembers should not
 
     return texts.select("text", "key", "copies").mapInArrow(align, _BLOCK)
 
@@ -273,11 +283,11 @@ def block_pairs(blocks: DataFrame, width: int) -> DataFrame:
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, pairs, documents in zip(*(batch.column(c).to_pylist() for c in ("block", "pairs", "documents"))):
-                codes = np.frombuffer(pairs, "<i8")
+                codes = _unpacked(pairs)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(codes), block)), pa.array(np.arange(len(codes), dtype=np.int32)),
                     pa.array((codes // width).astype(np.int32)), pa.array((codes % width).astype(np.int32)),
-                    pa.array(np.frombuffer(documents, "<i8"))], ["block", "slot", "a", "b", "documents"])
+                    pa.array(_unpacked(documents))], ["block", "slot", "a", "b", "documents"])
 
     return blocks.select("block", "pairs", "documents").mapInArrow(
         explode, "block long, slot int, a int, b int, documents long")
@@ -289,8 +299,7 @@ def _measured(blocks: DataFrame, counted: DataFrame) -> DataFrame:
 
     def measure(left: pa.Table, right: pa.Table) -> pa.Table:
         row = {c: left.column(c)[0].as_py() for c in left.column_names}
-        arrays = {c: np.frombuffer(row[c], "<u4" if c in ("words", "slots") else "<i8")
-                  for c in ("measures", "words", "word_counts", "slots", "times", "slot_counts")}
+        arrays = {c: _unpacked(row[c]) for c in ("measures", "words", "word_counts", "slots", "times", "slot_counts")}
         count, best = np.zeros(len(right), dtype=np.int64), np.zeros(len(right), dtype=np.int64)
         slot = right.column("slot").to_numpy()
         count[slot], best[slot] = right.column("count").to_numpy(), right.column("best").to_numpy()
