@@ -46,6 +46,9 @@ CAPACITY = 2048
 END_ID = 1
 #: Weights are whole numbers that add up to at most this, so that products stay exact in 64 bits.
 _SCALE = 1 << 30
+#: Running sums, one row per task and source, are broadcast up to so many rows (some tens of MB); beyond, ids are
+#: shuffled to them by task and source, a group that is never larger than a task's input.
+BROADCAST_ROWS = 500_000
 #: Windows times queues that are worked out at once.
 _CELLS = 1 << 20
 
@@ -256,6 +259,8 @@ def mixed(docs: DataFrame, path: str, *, source: str = "source", targets: Mappin
                     batch.column("doc_tokens").take(of), pa.array(window), pa.array(offset), ids],
                     ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
+    if sums.count() <= BROADCAST_ROWS:
+        places = F.broadcast(places)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return table.join(places, ["part", "source"]).select(
         "doc_id", "source", "part", "before", "shift", "queue", "doc_tokens", "ids").mapInArrow(
