@@ -13,7 +13,8 @@ manifest, at most one row per bucket, is the only thing that passes through the
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,8 @@ from layerwise.operators.upsert import (
 from layerwise.sources.fs import delete
 
 BUCKETS = 256
-_BUCKET = "__bucket"
+#: Column that holds a row's bucket while it is merged.
+BUCKET = "__bucket"
 
 
 def bucket_of(key: Sequence[str], buckets: int) -> Column:
@@ -64,8 +66,6 @@ def read_buckets(spark: SparkSession, root: str, key: str | Sequence[str] | None
 
 
 def _schema(rows) -> dict:
-    import json
-
     return json.loads(rows[0]["schema"])
 
 
@@ -80,16 +80,16 @@ def _merged(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str],
     rest = [c for c in columns if c not in keys]
     row = F.struct(F.lit(True).alias("here"), *[F.col(f"`{c}`") for c in rest])
     none = F.lit(None)
-    both = old.select(_BUCKET, *keys, row.alias("old"), none.alias("new")).unionByName(
-        new.select(_BUCKET, *keys, none.alias("old"), row.alias("new")))
-    one = both.repartition(_BUCKET).groupBy(_BUCKET, *keys).agg(
+    both = old.select(BUCKET, *keys, row.alias("old"), none.alias("new")).unionByName(
+        new.select(BUCKET, *keys, none.alias("old"), row.alias("new")))
+    one = both.repartition(BUCKET).groupBy(BUCKET, *keys).agg(
         F.first("old", ignorenulls=True).alias("old"), F.first("new", ignorenulls=True).alias("new"))
 
     def pick(c: str) -> Column:
         first, second = ("new", "old") if c in listed else ("old", "new")
         return F.when(F.col(first).isNotNull(), F.col(first)[c]).otherwise(F.col(second)[c]).alias(c)
 
-    return one.select(_BUCKET, *[F.col(c) if c in keys else pick(c) for c in columns])
+    return one.select(BUCKET, *[F.col(c) if c in keys else pick(c) for c in columns])
 
 
 def upsert_buckets(
@@ -104,15 +104,42 @@ def upsert_buckets(
     order: Sequence[Column] | None = None,
 ) -> str:
     """Upsert ``incoming`` into the bucketed table at ``root``, made with ``buckets`` buckets if it does not exist;
-    returns the new version's path.  Keeps the newest ``retain`` committed versions and the folders they name.
+    returns the new version's path.  See ``change_buckets``."""
+    keys = _keys(key)
+    columns = incoming.columns
+
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        return _merged(old, new, keys, [c for c in old.columns if c != BUCKET], set(columns if update is None else update))
+
+    require_known(update, columns)
+    return change_buckets(spark, root, _one_per_key(incoming, keys, order), keys, merge, buckets=buckets, retain=retain)
 
-    Raises ``VersionTaken``, leaving the table as it is, if another writer got in between."""
-    import json
 
+def change_buckets(
+    spark: SparkSession,
+    root: str,
+    incoming: DataFrame,
+    key: str | Sequence[str],
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    *,
+    buckets: int = BUCKETS,
+    retain: int = 2,
+    tag: str | None = None,
+) -> str:
+    """The next version of the table at ``root``: in every bucket that holds an incoming key its rows become
+    ``merge(old, new)``; the other buckets stay as they are.
+
+    ``old`` and ``new`` have the table's columns and ``BUCKET``; ``merge`` returns the same, one row per key.
+    ``tag`` names the change: a change whose tag the table has already seen is not applied again, so a job that
+    runs twice counts once.  Keeps the newest ``retain`` committed versions and the folders they name.  Raises
+    ``VersionTaken``, leaving the table as it is, if another writer got in between."""
     keys = _keys(key)
     seen = committed_versions(spark, root)
-    path = claim_next_version(spark, root)
     rows = spark.read.parquet(f"{version_path(root, seen[-1])}/manifest").collect() if seen else []
+    tags = json.loads(rows[0]["tags"]) if rows else []
+    if tag is not None and tag in tags:
+        return version_path(root, seen[-1])
+    path = claim_next_version(spark, root)
     folders = _folders(rows)
     if rows:
         buckets, schema = rows[0]["buckets"], StructType.fromJson(_schema(rows))
@@ -121,25 +148,22 @@ def upsert_buckets(
         # equal values of different types hash differently
         incoming = incoming.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
     else:
-        schema = StructType([f for f in incoming.schema.fields])
-    columns = schema.fieldNames()
-    require_known(update, columns)
+        schema = incoming.schema
 
     # written once, so that its buckets and its rows come from one evaluation
-    _one_per_key(incoming, keys, order).withColumn(_BUCKET, bucket_of(keys, buckets)).write.parquet(f"{path}/incoming")
+    incoming.withColumn(BUCKET, bucket_of(keys, buckets)).write.parquet(f"{path}/incoming")
     new = spark.read.parquet(f"{path}/incoming")
-    touched = sorted(r[0] for r in new.select(_BUCKET).distinct().collect())  # at most ``buckets`` rows
+    touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())  # at most ``buckets`` rows
     old = _read(spark, root, [folders[b] for b in touched if b in folders], schema) \
-        .withColumn(_BUCKET, bucket_of(keys, buckets))
+        .withColumn(BUCKET, bucket_of(keys, buckets))
     files = f"files/{path.rpartition('/')[2]}"
-    _merged(old, new, keys, columns, set(columns if update is None else update)) \
-        .write.partitionBy(_BUCKET).parquet(f"{root}/{files}")
+    merge(old, new).select(BUCKET, *schema.fieldNames()).write.partitionBy(BUCKET).parquet(f"{root}/{files}")
 
-    folders.update({b: f"{files}/{_BUCKET}={b}" for b in touched})
-    text = json.dumps(schema.jsonValue())
+    folders.update({b: f"{files}/{BUCKET}={b}" for b in touched})
+    text, applied = json.dumps(schema.jsonValue()), json.dumps(tags if tag is None else [*tags, tag])
     # a first row without a folder carries the description where there are no rows yet
-    described = [(b, folders.get(b), buckets, ",".join(keys), text) for b in sorted(folders) or [0]]
-    spark.createDataFrame(described, "bucket int, folder string, buckets int, key string, schema string") \
+    described = [(b, folders.get(b), buckets, ",".join(keys), text, applied) for b in sorted(folders) or [0]]
+    spark.createDataFrame(described, "bucket int, folder string, buckets int, key string, schema string, tags string") \
         .coalesce(1).write.parquet(f"{path}/manifest")
     commit_version(spark, path, seen)
     delete(spark, f"{path}/incoming")

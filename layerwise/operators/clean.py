@@ -93,6 +93,32 @@ def rejects(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.filter(F.col(REJECT) != "").select(*columns, F.col(REJECT).alias("reason"))
 
 
+def routed(rows: DataFrame, key: str | Sequence[str], choice: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Cleaned rows and rejected ones apart: ``columns`` and ``reason``, which is NULL for a kept row.
+
+    Rows without a whole key are taken out before the de-duplication: they go straight to the result, each of
+    them, and are never merged with one another by the text of their key or gathered under it."""
+    kept = keep_one(rows.filter(F.col(REJECT) == ""), key, choice).select(
+        *columns, F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(rejects(rows, columns))
+
+
+def routing_record(rows: DataFrame, key: str | Sequence[str], table_name: str) -> DataFrame:
+    """One row: ``rows_in`` and what became of them, kept_records, duplicate_count and rejected_records, which
+    add up to it, and invalid_records.  One hash aggregate per key, which rejected rows share as one."""
+    keys = [key] if isinstance(key, str) else list(key)
+    whole = F.col(REJECT) == ""
+    by_key = rows.groupBy(whole.alias("whole"), *[F.when(whole, F.col(k)).alias(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(INVALID)).alias("bad"))
+    none = F.lit(0).cast("long")
+    return by_key.agg(
+        F.coalesce(F.sum("n"), none).alias("rows_in"), F.count_if("whole").alias("kept_records"),
+        F.coalesce(F.sum(F.when(F.col("whole"), F.col("n") - 1)), none).alias("duplicate_count"),
+        F.coalesce(F.sum(F.when(~F.col("whole"), F.col("n"))), none).alias("rejected_records"),
+        F.coalesce(F.sum("bad"), none).alias("invalid_records"),
+    ).withColumn("table_name", F.lit(table_name))
+
+
 def require_key(df: DataFrame, columns: Sequence[str], what: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:

@@ -11,6 +11,8 @@ one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,6 +48,28 @@ def dedup(
     return df.withColumn(_RN, F.row_number().over(window)).filter(F.col(_RN) == 1).drop(_RN)
 
 
+_HASH_BITS = 56
+
+
+def fingerprint(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A row as one number: NULL cells among ``columns`` in the upper bits, below them 56 bits of a hash of all
+    columns of ``df``.  Its minimum is the fullest row, chosen alike in every run and partitioning."""
+    nulls = reduce(add, [F.col(f"`{c}`").isNull().cast("long") for c in columns], F.lit(0).cast("long"))
+    return F.shiftleft(nulls, _HASH_BITS) + F.shiftrightunsigned(
+        F.xxhash64(*[F.col(f"`{c}`") for c in _orderable(df, df.columns)]), 64 - _HASH_BITS)
+
+
+def null_cells(mark: str) -> Column:
+    """NULL cells of the row that a fingerprint stands for."""
+    return F.shiftright(F.col(mark), _HASH_BITS)
+
+
+def keep_fullest(df: DataFrame, key: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per key: the one with the fewest NULL cells (among ``columns``, default all), of several the one with
+    the smallest hash.  The order compares one number, whatever the number and width of the columns."""
+    return dedup(df, key, [fingerprint(df, list(columns or df.columns)).asc(), *tie_break_order(df, key)])
+
+
 def distinct_key_count(key: str | Sequence[str]) -> Column:
     """Distinct keys, with NULL key values counted as a group (struct of the key parts)."""
     return F.count_distinct(F.struct(*[F.col(k) for k in _keys(key)]))

@@ -9,7 +9,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerwise.operators.dedup import _keys, dedup
+from layerwise.operators.dedup import _keys, fingerprint, null_cells
 
 
 def null_count(columns: Sequence[str]) -> Column:
@@ -40,12 +40,27 @@ def profile(
     invalid: Sequence[tuple[str, str]] = (),
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Quality record of the table obtained by de-duplicating ``df`` on ``key``.
+    """Quality record of the table obtained by de-duplicating ``df`` on ``key``, the fullest row of each key being
+    kept (``dedup.keep_fullest``).
 
-    ``columns`` limits the NULL count (default: all but the raw columns of ``invalid``)."""
+    ``columns`` limits the NULL count (default: all but the raw columns of ``invalid``).
+
+    One pass over ``df``: per key its rows, bad values and smallest fingerprint, whose upper bits are the NULL cells
+    of the row it stands for; then the sums of those.  All are fixed-width counters of a hash aggregate, combined in
+    each task before the shuffle, so a key that a third of the rows share costs one row a task."""
     raw_cols = {raw for raw, _ in invalid}
     columns = list(columns) if columns is not None else [c for c in df.columns if c not in raw_cols]
-    return record(df, dedup(df, key) if key else df, table_name, invalid_count(invalid), columns)
+    bad = invalid_count(invalid)
+    if not key:
+        return record(df, df, table_name, bad, columns)
+    by_key = df.groupBy(*_keys(key)).agg(
+        F.count(F.lit(1)).alias("rows"), bad.alias("invalid"), F.min(fingerprint(df, columns)).alias("fullest"))
+    return by_key.agg(
+        F.count(F.lit(1)).alias("total_records"),
+        F.coalesce(F.sum(null_cells("fullest")), F.lit(0)).cast("long").alias("null_count"),
+        (F.coalesce(F.sum("rows"), F.lit(0)) - F.count(F.lit(1))).alias("duplicate_count"),
+        F.coalesce(F.sum("invalid"), F.lit(0)).alias("invalid_records"),
+    ).select(F.lit(table_name).alias("table_name"), "total_records", "null_count", "duplicate_count", "invalid_records")
 
 
 def record(rows: DataFrame, kept: DataFrame, table_name: str, invalid: Column, columns: Sequence[str]) -> DataFrame:

@@ -126,6 +126,12 @@ def _versions(spark: SparkSession, root: str, marker: str) -> list[int]:
     return sorted(versions)
 
 
+def current_path(spark: SparkSession, root: str) -> str | None:
+    """Folder of the newest committed version."""
+    versions = committed_versions(spark, root)
+    return version_path(root, versions[-1]) if versions else None
+
+
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     versions = committed_versions(spark, root)
     if not versions:

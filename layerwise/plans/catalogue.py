@@ -23,7 +23,7 @@ from layerwise.functions import (
     unknown_if_null,
 )
 from layerwise.functions.text import after_first_comma, first_part
-from layerwise.operators import buckets, clean, dedup as dd, quality, serving, snapshots, standings, upsert
+from layerwise.operators import buckets, clean, dedup as dd, incremental, quality, serving, snapshots, standings, upsert
 from layerwise.operators.predict import (
     attach_ranks,
     pair_probabilities,
@@ -79,6 +79,34 @@ def season_goal_series(spark, root):
     return serving.season_series(stats, season_col="season")
 
 
+def standings_incremental(spark, root):
+    """Three batches by order key: two thirds, the last third with one goal too many for the home side, and its
+    correction."""
+    folder = fs.scratch_path(spark, "standings-incremental")
+    fx.contests(spark, root, drop_same_side=True).write.parquet(f"{folder}/contests")
+    contests = spark.read.parquet(f"{folder}/contests")
+    late = F.substring_index("contest_id", "_", 1).cast("long") % 3 == 2
+    wrong = contests.filter(late).withColumn("home_score", F.col("home_score") + 1)
+    fixed = wrong.withColumn("sign", F.lit(-1)).unionByName(contests.filter(late).withColumn("sign", F.lit(1)))
+    for name, batch in (("first", contests.filter(~late)), ("late", wrong), ("fixed", fixed)):
+        state = incremental.standings_state(batch, season="season", weight="sign" if name == "fixed" else None)
+        incremental.add_batch(spark, f"{folder}/state", state, ["team", "season"], name, buckets=8)
+    table = incremental.standings_of(buckets.read_buckets(spark, f"{folder}/state"), fx.season_ranks(spark, root),
+                                     season="season", rank_team="team")
+    return _round(table, "avg_goals_scored", "avg_goals_conceded", "avg_rank")
+
+
+def season_stats_incremental(spark, root):
+    folder = fs.scratch_path(spark, "season-incremental")
+    contests = fx.contests(spark, root)
+    half = F.substring_index("contest_id", "_", 1).cast("long") % 2
+    for name in (0, 1):
+        incremental.add_batch(spark, folder, incremental.season_state(contests.filter(half == name), season="season"),
+                              ["season", "goals"], str(name), buckets=4)
+    stats = incremental.season_stats_of(buckets.read_buckets(spark, folder), season="season")
+    return serving.list_seasons(_round(stats, "avg_goals_per_match"), season_col="season")
+
+
 # --- scalar cleaning ----------------------------------------------------------------
 
 def safe_cast_query(spark, root):
@@ -176,6 +204,15 @@ def contest_rejects(spark, root):
     return clean.rejects(clean.contest_rows(fx.raw_contests(spark, root)), clean.CONTEST_COLUMNS)
 
 
+def route_contests(spark, root):
+    return clean.routed(clean.contest_rows(fx.raw_contests(spark, root)), clean.CONTEST_KEY, clean.CHOICE["contests"],
+                        clean.CONTEST_COLUMNS)
+
+
+def routing_record(spark, root):
+    return clean.routing_record(clean.contest_rows(fx.raw_contests(spark, root)), clean.CONTEST_KEY, "contests")
+
+
 def dedup_keep_one(spark, root):
     scored = fx.contests(spark, root).withColumn("home_score", F.nullif("home_score", F.lit(0)))
     return dd.dedup(scored, "contest_id")
@@ -264,6 +301,16 @@ def latest_snapshot(spark, root):
     return snapshots.latest_per_key(fx.text_ratings(spark, root), "entity", "snapshot_date")
 
 
+def latest_register(spark, root):
+    """The register after the snapshots came in three batches that follow no order of dates, one of them twice."""
+    folder = fs.scratch_path(spark, "latest-register")
+    ratings = fx.text_ratings(spark, root)
+    batch = F.pmod(F.xxhash64("snapshot_date", "rating"), F.lit(3))
+    for number in (2, 0, 1, 2):
+        incremental.register_latest(spark, folder, ratings.filter(batch == number), "entity", buckets=16)
+    return buckets.read_buckets(spark, folder)
+
+
 def global_latest(spark, root):
     return snapshots.at_global_max(fx.text_ratings(spark, root), "snapshot_date")
 
@@ -337,6 +384,8 @@ def prediction_summary(spark, root):
 QUERIES: dict[str, Query] = {
     "team_performance": team_performance,
     "season_stats": season_stats,
+    "standings_incremental": standings_incremental,
+    "season_stats_incremental": season_stats_incremental,
     "rank_average": rank_average,
     "top_teams": top_teams,
     "team_performance_search": team_performance_search,
@@ -354,6 +403,8 @@ QUERIES: dict[str, Query] = {
     "clean_schedule": clean_schedule,
     "clean_contests": clean_contests,
     "contest_rejects": contest_rejects,
+    "route_contests": route_contests,
+    "routing_record": routing_record,
     "dedup_keep_one": dedup_keep_one,
     "dedup_report": dedup_report,
     "quality_profile": quality_profile,
@@ -368,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "manifest_total": manifest_total,
     "manifest_nonempty": manifest_nonempty,
     "latest_snapshot": latest_snapshot,
+    "latest_register": latest_register,
     "global_latest": global_latest,
     "top_ratings": top_ratings,
     "rating_by_group": rating_by_group,

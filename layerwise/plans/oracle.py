@@ -232,12 +232,16 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["team_performance"] = f"WITH {STANDINGS}\nSELECT * FROM standings"
 
+ORACLE["standings_incremental"] = ORACLE["team_performance"]
+
 ORACLE["season_stats"] = f"""WITH {CONTESTS},
 {SEASON_STATS}
 SELECT season, total_matches, total_goals, {_r('avg_goals_per_match', 6)} AS avg_goals_per_match,
        max_goals_in_match, home_wins, away_wins, draws
 FROM season_stats ORDER BY season DESC NULLS FIRST"""
 
+ORACLE["season_stats_incremental"] = ORACLE["season_stats"]
+
 ORACLE["rank_average"] = f"""WITH {SEASON_RANKS}
 SELECT team, year, {_r('avg(rank)', 6)} AS avg_rank FROM season_ranks GROUP BY team, year"""
 
@@ -425,6 +429,23 @@ QUALIFY row_number() OVER (PARTITION BY match_id ORDER BY year ASC NULLS LAST, s
 ORACLE["contest_rejects"] = f"""WITH {RAW_CONTESTS}
 SELECT * FROM c WHERE reason <> ''"""
 
+ORACLE["route_contests"] = f"""WITH {RAW_CONTESTS},
+kept AS (
+  SELECT * EXCLUDE (reason) FROM c WHERE reason = ''
+  QUALIFY row_number() OVER (PARTITION BY match_id ORDER BY year ASC NULLS LAST, stage ASC NULLS LAST,
+          home_score ASC NULLS LAST, away_score ASC NULLS LAST, stadium ASC NULLS LAST, city ASC NULLS LAST,
+          attendance ASC NULLS LAST) = 1)
+SELECT *, CAST(NULL AS VARCHAR) AS reason FROM kept UNION ALL SELECT * FROM c WHERE reason <> ''"""
+
+ORACLE["routing_record"] = f"""WITH {RAW_CONTESTS}
+SELECT count(*) AS rows_in, count(DISTINCT match_id) FILTER (WHERE reason = '') AS kept_records,
+       count(*) FILTER (WHERE reason = '') - count(DISTINCT match_id) FILTER (WHERE reason = '') AS duplicate_count,
+       count(*) FILTER (WHERE reason <> '') AS rejected_records,
+       (SELECT count(*) FROM raw WHERE "Date" IS NOT NULL AND try_strptime("Date", '%Y-%m-%d') IS NULL
+               OR "Year" IS NOT NULL AND {_int('"Year"')} IS NULL) AS invalid_records,
+       'contests' AS table_name
+FROM c"""
+
 _CONTEST_ORDER = ("home_team ASC NULLS LAST, away_team ASC NULLS LAST, season ASC NULLS LAST, "
                   "contest_date ASC NULLS LAST, home_score ASC NULLS LAST, away_score ASC NULLS LAST")
 
@@ -546,6 +567,8 @@ QUALIFY row_number() OVER (PARTITION BY entity ORDER BY {_KNOWN} DESC NULLS LAST
         rating ASC NULLS LAST, goals_for ASC NULLS LAST, matches_total ASC NULLS LAST,
         is_host ASC NULLS LAST, grp ASC NULLS LAST) = 1"""
 
+ORACLE["latest_register"] = ORACLE["latest_snapshot"]
+
 ORACLE["global_latest"] = f"""WITH {TEXT_RATINGS}
 SELECT * FROM ratings WHERE {_KNOWN} = (SELECT max({_KNOWN}) FROM ratings)"""
 

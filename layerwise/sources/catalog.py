@@ -42,7 +42,7 @@ MANIFEST_SCHEMA = (
 class Source:
     """A raw input.  ``path`` is a file or folder for file formats (CSV: option ``header``, default
     True); for ``fmt="jdbc"`` it is the JDBC URL and ``options`` carries ``table``, connection
-    ``properties`` and optional ``partition_column`` / ``num_partitions`` for a split read, or ``small`` for a table that one
+    ``properties`` and optional ``partition_column`` / ``num_partitions`` / ``ranges`` for a split read, or ``small`` for a table that one
     task may read."""
 
     name: str
@@ -64,6 +64,7 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
             spark, source.path, opts.pop("table"), opts.pop("properties", None),
             partition_column=opts.pop("partition_column", None),
             num_partitions=opts.pop("num_partitions", None), small=opts.pop("small", False),
+            ranges=opts.pop("ranges", "width"),
         )
     reader = spark.read.format(source.fmt).options(**source.options)
     if source.schema is not None:
@@ -71,7 +72,7 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
     return reader.load(source.path)
 
 
-def _available(spark: SparkSession, source: Source) -> bool:
+def available(spark: SparkSession, source: Source) -> bool:
     if source.fmt == "jdbc":
         return True  # a missing table fails the read itself
     return fs.exists(spark, source.path)
@@ -103,7 +104,7 @@ def land(
     stamp = ingestion_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = []
     for source in sources:
-        if not _available(spark, source):
+        if not available(spark, source):
             if source.required:
                 raise FileNotFoundError(f"required source {source.name!r} missing: {source.path}")
             log.warning("optional source %s missing at %s; skipped", source.name, source.path)

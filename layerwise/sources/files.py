@@ -101,3 +101,41 @@ def replace_keeping_schema(spark: SparkSession, df: DataFrame, path: str) -> Non
             raise ValueError(f"{bad} rows hold values that {[f.name for f in changed]} of {path} cannot take")
     aligned = df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in existing.fields])
     write_parquet(aligned, path)
+
+
+# --- layouts that later reads can use -----------------------------------------------
+
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def write_by_date(df: DataFrame, path: str, column: str = "snapshot_date") -> None:
+    """A table partitioned by a date: one folder per day.  Dates written as text are read as dates first; rows with a
+    missing or malformed one go to the folder of NULL."""
+    day = F.col(column).try_cast("date")
+    df.withColumn(column, day).write.mode("overwrite").partitionBy(column).parquet(path)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column, from the names of the folders alone."""
+    prefix = f"{column}="
+    names = [name[len(prefix):] for name in fs.list_names(spark, path) if name.startswith(prefix)]
+    return sorted(name for name in names if name != DEFAULT_PARTITION)
+
+
+def read_latest_date(spark: SparkSession, path: str, column: str = "snapshot_date") -> DataFrame:
+    """Rows of the last day of a table written by ``write_by_date``.
+
+    The last day is the greatest folder name (dates sort as text), so no row is read to find it, and the filter on it
+    leaves one partition to read."""
+    days = partition_values(spark, path, column)
+    table = spark.read.parquet(path)
+    if not days:
+        return table.filter(F.lit(False))
+    return table.filter(F.col(column) == F.to_date(F.lit(days[-1])))
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> None:
+    """A catalogue table at ``path`` bucketed and sorted by ``keys``: tables written alike by the same keys and number
+    of buckets are joined or grouped on them without a shuffle.  One file per bucket."""
+    df.repartition(buckets, *keys).write.mode("overwrite").option("path", path) \
+        .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)

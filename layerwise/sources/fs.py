@@ -26,6 +26,24 @@ def size_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(jpath).getLength())
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder; none if it is missing."""
+    fs, jpath = hadoop_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
+def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """``name, bytes, modified`` of every file under ``path`` (a file or a tree), ascending."""
+    fs, jpath = hadoop_path(spark, path)
+    if not fs.exists(jpath):
+        return []
+    found, files = [], fs.listFiles(jpath, True)
+    while files.hasNext():
+        status = files.next()
+        found.append((status.getPath().toString(), int(status.getLen()), int(status.getModificationTime())))
+    return sorted(found)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, jpath = hadoop_path(spark, path)
     fs.delete(jpath, True)

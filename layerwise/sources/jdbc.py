@@ -4,6 +4,10 @@ An unpartitioned JDBC read is a single task holding the whole table.  Here a
 read is split on a numeric, date or timestamp column into ``num_partitions``
 ranges; when bounds are not given they are fetched with one MIN/MAX query
 executed by the database.  A read in one task must be asked for as such.
+
+Equal widths deal a skewed column unevenly.  With ``ranges="depth"`` the database is asked for the values
+at equal steps of the sorted column instead, so each range holds about as many rows; rows whose column is
+NULL are a range of their own.
 """
 
 from __future__ import annotations
@@ -39,6 +43,47 @@ def partition_bounds(
     return (bounds[0], bounds[1]) if bounds else (None, None)
 
 
+def _literal(value) -> str:
+    """A bound as a literal; dates in the escapes that every JDBC driver translates."""
+    if isinstance(value, dt.datetime):
+        return f"{{ts '{value:%Y-%m-%d %H:%M:%S.%f}'}}"
+    if isinstance(value, dt.date):
+        return f"{{d '{value:%Y-%m-%d}'}}"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def depth_predicates(
+    spark: SparkSession, url: str, table: str, column: str, ranges: int, properties: dict | None = None,
+    quote: str = '"',
+) -> list[str]:
+    """Conditions of at most ``ranges`` ranges of about equally many rows each, and one for NULL if there is any.
+
+    The database counts the column and gives the value at each step (``OFFSET ... FETCH``, standard SQL; one query of
+    one row a step, served by an index on the column where there is one).  A value that several steps hit starts one
+    range: rows with equal values cannot be told apart by the column."""
+    ref = f"{quote}{column}{quote}"
+
+    def ask(query: str):
+        return spark.read.jdbc(url, f"({query}) q", properties=properties or {}).first()
+
+    rows, known = ask(f"SELECT COUNT(*) AS n, COUNT({ref}) AS k FROM {table}")
+    starts = []
+    for step in range(1, min(ranges, known)):
+        found = ask(f"SELECT {ref} AS v FROM {table} WHERE {ref} IS NOT NULL ORDER BY {ref} "
+                    f"OFFSET {known * step // ranges} ROWS FETCH NEXT 1 ROWS ONLY")[0]
+        if not starts or found != starts[-1]:
+            starts.append(found)
+    edges = [_literal(v) for v in starts]
+    conditions = [" AND ".join(filter(None, [low and f"{ref} >= {low}", high and f"{ref} < {high}"]))
+                  for low, high in zip([None, *edges], [*edges, None])]
+    conditions = [c or f"{ref} IS NOT NULL" for c in conditions] if known else []
+    if rows > known:
+        conditions.append(f"{ref} IS NULL")
+    return conditions
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -51,13 +96,22 @@ def read_jdbc(
     num_partitions: int | None = None,
     fetch_size: int = 10_000,
     small: bool = False,
+    ranges: str = "width",
 ) -> DataFrame:
-    """Whole-table read in ranges of ``partition_column``, or in one task if the table is declared ``small``."""
+    """Whole-table read in ranges of ``partition_column``, or in one task if the table is declared ``small``.
+
+    ``ranges``: ``"width"`` for ranges of equal width, ``"depth"`` for about equally many rows in each."""
+    if ranges not in ("width", "depth"):
+        raise ValueError(f"ranges is 'width' or 'depth', not {ranges!r}")
     props = {"fetchsize": str(fetch_size), **(properties or {})}
     if not partition_column and not small:
         raise ValueError(f"{table}: name a partition_column, or declare the table small to read it in one task")
     if not partition_column:
         return spark.read.jdbc(url, table, properties=props)
+    if ranges == "depth":
+        parts = num_partitions or spark.sparkContext.defaultParallelism
+        conditions = depth_predicates(spark, url, table, partition_column, max(1, int(parts)), properties)
+        return spark.read.jdbc(url, table, predicates=conditions or ["1 = 0"], properties=props)
     if lower_bound is None or upper_bound is None:
         lo, hi = partition_bounds(spark, url, table, partition_column, properties)
         lower_bound = lo if lower_bound is None else lower_bound

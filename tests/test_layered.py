@@ -1,6 +1,9 @@
 """End to end: land hand-made CSV sources, clean them, build the aggregate tables."""
 
 import datetime as dt
+import os
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -213,3 +216,73 @@ def test_documented_command_runs(tmp_root):
     assert run.returncode == 0, run.stderr[-2000:]
     report = json.loads(run.stdout.strip().splitlines()[-1])
     assert report["quality"][0]["total_records"] == 3 and "contests" in report["paths"]
+
+
+def _stamps(root):
+    """Modification time of every data file, by table folder."""
+    found = {}
+    for layer in ("raw", "cleaned", "aggregate"):
+        for folder, _, names in os.walk(f"{root}/{layer}"):
+            for name in names:
+                if name.endswith(".parquet"):
+                    found[os.path.join(folder, name)] = os.path.getmtime(os.path.join(folder, name))
+    return found
+
+
+def test_a_lost_run_goes_on_at_the_first_unfinished_step(spark, tmp_root, monkeypatch):
+    from layerwise.plans import layered
+
+    for name, text in {"matches": MATCHES, "schedule": SCHEDULE, "ratings": RATINGS, "rank_2026": RANK_2026}.items():
+        with open(f"{tmp_root}/{name}.csv", "w") as fh:
+            fh.write(text)
+    sources = [Source(n, f"{tmp_root}/{n}.csv", RATING_SCHEMA if n == "ratings" else None)
+               for n in ("matches", "schedule", "ratings", "rank_2026")]
+    config = LayeredConfig(contests="matches", schedule="schedule", ratings="ratings",
+                           ranking_vintages=[("rank_2026", 2026)])
+    out = f"{tmp_root}/wh"
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:  # the run ends after cleaning
+        patch.setattr(layered, "season_stats", lost)
+        with pytest.raises(RuntimeError):
+            run_layered(spark, sources, out, config, resume=True)
+    before = _stamps(out)
+
+    def resumed():
+        steps = layered.Steps(spark, out, True)
+        paths = run_layered(spark, sources, out, config, resume=True, steps=steps)
+        return steps.run, paths
+
+    run, paths = resumed()
+    assert run == ["tournament_stats", "tournament_predictions", "predictions"]
+    after = _stamps(out)
+    assert all(after[path] == stamp for path, stamp in before.items())  # nothing was written twice
+    assert resumed() == ([], paths) and _stamps(out) == after
+    fresh = run_layered(spark, sources, f"{tmp_root}/fresh", config)
+    for table in ("team_performance", "tournament_stats", "predictions", "contests"):
+        assert sorted(map(str, spark.read.parquet(paths[table]).collect())) == sorted(
+            map(str, spark.read.parquet(fresh[table]).collect()))
+    assert quality_report(spark, out).count() == 3 and manifest_report(spark, out).count() == 4
+
+    with open(f"{tmp_root}/schedule.csv", "a") as fh:  # one source changes: only what depends on it runs
+        fh.write("Final,2026-07-01,Alpha,Gamma\n")
+    run, paths = resumed()
+    assert run == ["land-schedule", "clean-schedule", "tournament_predictions", "predictions"]
+    assert spark.read.parquet(paths["predictions"]).count() == 4
+    config.rank_year = 2022  # a configuration that changes counts too
+    assert resumed()[0] == ["tournament_predictions", "predictions"]
+
+
+def test_rejected_rows_can_be_kept_out(spark, tmp_root):
+    with open(f"{tmp_root}/schedule.csv", "w") as fh:
+        fh.write(SCHEDULE)
+    sources = [Source("schedule", f"{tmp_root}/schedule.csv")]
+    out = f"{tmp_root}/wh"
+    paths = run_layered(spark, sources, out, LayeredConfig(schedule="schedule", route_rejects=True))
+    q = quality_report(spark, out).collect()[0]
+    rejected = spark.read.parquet(f"{out}/rejects/schedule").count()
+    assert (q.total_records, q.duplicate_count, rejected) == (2, 1, 1)  # four rows in
+    assert spark.read.parquet(paths["schedule"]).filter("match_date is null").count() == 0
+    assert os.listdir(f"{out}/cleaned") == ["schedule"]  # the typed rows are gone

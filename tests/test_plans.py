@@ -92,3 +92,10 @@ def test_rank_lookup_joins_contests_once(spark):
     top = [line.strip(" :+-") for line in lines[:6]]
     assert sum("Join LeftOuter" in line for line in top) == 1
     assert sum("l_linenumber" in line and "Relation" in line for line in lines) == 1  # contests are derived once
+
+
+def test_quality_profile_derives_contests_once_and_sorts_nothing_but_the_log(spark):
+    df = QUERIES["quality_profile"](spark, SF_SMALL)
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert sum("Relation" in line and "l_linenumber" in line for line in lines) == 1
+    assert "Window" not in _plan(df) and "SortAggregate" not in _plan(df)

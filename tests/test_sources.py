@@ -158,3 +158,72 @@ def test_rejects_of_a_table_that_keeps_its_schema(spark, tmp_root):
     assert (manifest.row_count, manifest.rejected_count) == (1, 1)
     landed = spark.read.parquet(f"{tmp_root}/raw/r")
     assert [tuple(r) for r in landed.collect()] == [("A", 1500)] and dict(landed.dtypes)["rating"] == "bigint"
+
+
+def test_ranges_of_equal_depth(spark):
+    # a skewed key: half of the rows in a hundredth of its width, one value with a tenth of them, some without any
+    df = spark.range(0, 2000).select(F.expr(
+        "case when id % 20 = 0 then null when id % 10 = 1 then 77 when id % 2 = 0 then id % 100 else id * id end").alias("K"),
+        F.col("id").alias("ID"))
+    write_jdbc(df, DERBY, "SKEWED", DERBY_PROPS, truncate=False)
+    back = read_jdbc(spark, DERBY, "SKEWED", DERBY_PROPS, partition_column="K", num_partitions=8, ranges="depth")
+    sizes = back.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.count("K").alias("k")).collect()
+    known = [r.n for r in sizes if r.k]
+    assert sorted(r.ID for r in back.collect()) == list(range(2000))
+    assert [r.n for r in sizes if not r.k] == [100] and max(known) < 2 * sum(known) / 8
+    equal = read_jdbc(spark, DERBY, "SKEWED", DERBY_PROPS, partition_column="K", num_partitions=8)
+    assert equal.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] > 2 * 2000 / 8  # equal widths do not
+
+
+def test_ranges_of_equal_depth_on_dates_names_and_nothing(spark):
+    df = spark.range(0, 90).selectExpr("date_add(date'2026-01-01', cast(id % 30 as int)) as D", "concat('o''n', id) as N", "id as ID")
+    write_jdbc(df, DERBY, "MIXED", {**DERBY_PROPS, "createTableColumnTypes": "N VARCHAR(20)"}, truncate=False)
+    for column in ("D", "N"):
+        back = read_jdbc(spark, DERBY, "MIXED", DERBY_PROPS, partition_column=column, num_partitions=3, ranges="depth")
+        assert back.rdd.getNumPartitions() == 3 and sorted(r.ID for r in back.collect()) == list(range(90))
+    write_jdbc(df.limit(0), DERBY, "NOTHING", DERBY_PROPS, truncate=False)
+    none = read_jdbc(spark, DERBY, "NOTHING", DERBY_PROPS, partition_column="ID", num_partitions=3, ranges="depth")
+    assert none.count() == 0
+    with pytest.raises(ValueError):
+        read_jdbc(spark, DERBY, "NOTHING", DERBY_PROPS, partition_column="ID", ranges="height")
+
+
+def test_latest_day_is_found_without_reading_rows(spark, tmp_root):
+    from layerwise.operators.snapshots import at_global_max
+    from layerwise.sources.files import read_latest_date, write_by_date
+
+    rows = spark.createDataFrame([("a", "2026-01-02", 1), ("b", "2026-03-01", 2), ("c", "2026-03-01", 3), ("d", "n/a", 4),
+                                  ("e", None, 5)], "k string, snapshot_date string, v int")
+    write_by_date(rows, f"{tmp_root}/r")
+    latest = read_latest_date(spark, f"{tmp_root}/r")
+    assert sorted(r.k for r in latest.collect()) == sorted(r.k for r in at_global_max(rows).collect()) == ["b", "c"]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(snapshot_date" in plan
+    assert spark.read.parquet(f"{tmp_root}/r").count() == 5  # rows without a day are kept
+    write_by_date(rows.filter("k = 'd'"), f"{tmp_root}/n")
+    assert read_latest_date(spark, f"{tmp_root}/n").count() == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_root):
+    from layerwise.operators.standings import rank_average, standings
+    from layerwise.sources.files import write_bucketed
+
+    contests = spark.createDataFrame([("a", "b", 2018, 1, 0), ("b", "a", 2022, 2, 2)],
+                                     "home_team string, away_team string, year int, home_score int, away_score int")
+    ranks = spark.createDataFrame([("a", 2018, 3), ("b", 2022, 1)], "team string, year int, rank int")
+    write_bucketed(standings(contests), "bucketed_standings", f"{tmp_root}/s", ["team", "year"], 4)
+    write_bucketed(rank_average(ranks, "team"), "bucketed_ranks", f"{tmp_root}/r", ["team", "year"], 4)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("bucketed_standings").join(spark.table("bucketed_ranks"), ["team", "year"], "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        again = joined.groupBy("team", "year").count()._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in again
+        assert sorted((r.team, r.year, r.avg_rank) for r in joined.collect()) == [
+            ("a", 2018, 3.0), ("a", 2022, None), ("b", 2018, None), ("b", 2022, 1.0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+        spark.sql("DROP TABLE bucketed_standings")
+        spark.sql("DROP TABLE bucketed_ranks")
