@@ -66,7 +66,7 @@ WITH doc AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\
      one AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM doc),
      item AS (SELECT min(item_id) AS item_id, w FROM (
                   SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w
-                  FROM benchmark WHERE text IS NOT NULL) WHERE len(w) >= 5 GROUP BY w),
+                  FROM benchmark WHERE text IS NOT NULL) WHERE len(w) > 0 GROUP BY w),
      part AS (SELECT item_id, len(w) AS n, least(len(w), 20) AS width, unnest(w) AS word,
                      generate_subscripts(w, 1) AS k FROM item),
      hits AS (SELECT doc_id, item_id, n, width, place - k AS shift, list(k) AS ks

@@ -15,9 +15,12 @@ one of them.  Segments and their seeds are broadcast ``PART_SEGMENTS`` segments
 bounds what is broadcast however large the benchmark is: a larger one takes more passes over the
 documents.  Windows are hashed and looked up inside the scan; only hits are shuffled.
 
-Null and empty texts overlap nothing.  Items of fewer than ``LEAST_WORDS`` words are not searched.
-Equal items are reported under
-the smallest ``item_id``.  Documents are told apart by ``doc_id`` and text; repeated rows give one
+An item of one to four words has no stretch of which ``SHARE`` of the words, but not all, agree: it is
+found where the document holds the whole item, word for word.  Documents of any length are searched
+whole.
+
+Null and empty texts, and items without a word, overlap nothing.  Equal items are reported under the
+smallest ``item_id``.  Documents are told apart by ``doc_id`` and text; repeated rows give one
 result row.  Empty tables give an empty result; other columns are not read.
 """
 
@@ -34,6 +37,7 @@ from .shared import stored
 MASKS = ("1101111", "11111001", "1100010111", "11010100011")
 #: The same for shorter segments, by their length.
 SHORT_MASKS = {
+    **{n: ("1" * n,) for n in range(1, 5)},  # all words have to agree
     5: ("1111", "11101", "11011", "10111"),
     6: ("11111", "111101", "111011", "110111", "101111"),
     7: ("111011", "101111", "1111001"),
@@ -43,7 +47,6 @@ SHORT_MASKS = {
 }
 WINDOW = 20
 SHARE = 0.8
-LEAST_WORDS = 5
 SEGMENT = 60
 #: Segments per pass: at most 60 words and 205 seeds each, some 40 MB in all.
 PART_SEGMENTS = 6_000
@@ -63,7 +66,7 @@ def _segments(benchmark: DataFrame) -> DataFrame:
     size = F.size("all_words")
     last = F.greatest(F.lit(0), F.ceil((size - SEGMENT) / step).cast("int"))
     return benchmark.select("item_id", words(F.col("text")).alias("all_words")) \
-        .filter(size >= LEAST_WORDS) \
+        .filter(size > 0) \
         .groupBy("all_words").agg(F.min("item_id").alias("item_id")) \
         .select("item_id", "all_words", F.explode(F.sequence(F.lit(0), last)).alias("number")) \
         .select("item_id", (F.col("number") * step).alias("first"),

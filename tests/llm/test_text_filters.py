@@ -51,9 +51,9 @@ def test_overlaps_against_every_alignment(spark):
         words = _words(r.text)
         for number, text in items:
             item = _words(text)
-            if len(item) >= 5 and len(set(words) & set(item)) >= 4 and _overlap(words, item) >= 0.8:
+            if item and len(set(words) & set(item)) >= min(4, len(set(item))) and _overlap(words, item) >= 0.8:
                 expected.add((r.doc_id, number))
-    assert {(7001, 0), (7002, 0), (7003, 900), (7006, 904)} <= expected and got == expected
+    assert {(7001, 0), (7002, 0), (7003, 900), (7005, 901), (7006, 904)} <= expected and got == expected
     clean = spaced_seed.without_overlaps(docs, benchmark)
     assert clean.columns == docs.columns
     bad = {d for d, _ in expected}
@@ -66,7 +66,7 @@ def _substituted(size, count):
 
 
 def test_masks_hit_every_pattern_of_substitutions():
-    for size in range(spaced_seed.LEAST_WORDS, 21):
+    for size in range(1, 21):
         masks = spaced_seed.SHORT_MASKS.get(size, spaced_seed.MASKS)
         selected = [{at + i for i, use in enumerate(m) if use == "1"} for m in masks for at in range(size - len(m) + 1)]
         assert all(m[0] == m[-1] == "1" for m in masks)  # a hit needs no word besides those that agree
@@ -75,7 +75,7 @@ def test_masks_hit_every_pattern_of_substitutions():
 
 
 def test_every_pattern_of_substitutions_is_found(spark):
-    items = {n: [f"n{n}w{i}" for i in range(n)] for n in range(5, 21)}
+    items = {n: [f"n{n}w{i}" for i in range(n)] for n in range(1, 21)}
     rows, expected = [], set()
     for n, item in items.items():
         for k in (n // 5, n // 5 + 1):
@@ -84,7 +84,7 @@ def test_every_pattern_of_substitutions_is_found(spark):
                 rows.append((len(rows), " ".join(["before", *("no" if i in gone else w for i, w in enumerate(item)), "after"])))
                 if k == n // 5:
                     expected.add((len(rows) - 1, n))
-        for cut in (item[n // 5:], item[:n - n // 5]):  # the document begins or ends inside the item
+        for cut in (item[n // 5:], item[:n - n // 5]):  # the document begins or ends inside the item (5 words or more)
             expected.add((len(rows), n))
             rows.append((len(rows), " ".join(cut)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
