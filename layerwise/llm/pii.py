@@ -20,13 +20,14 @@ touch no base span become added spans, taken from the highest score down: one th
 span already taken is left out.
 
 Offsets count code points, ends are exclusive.  Null texts count as empty, and a null ``doc_id`` is
-kept; repeated rows each give a row; other columns are not read by ``find`` and are kept by
-``redact``; empty tables give empty results.
+kept; repeated rows each give a row; other columns are not read, and are kept by ``find`` and ``redact``;
+empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -52,20 +53,23 @@ GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "p
 
 #: Generators: (kind, pattern, guard).  They overlap one another and the base patterns on purpose.
 GENERATORS = (
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?"
-              r"[A-Za-z0-9-]{1,63}+(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}+){1,8}+", r"@|\(at\)|\[at\]"),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:@|\(at\)|\[at\])\x20?"
+              r"[A-Za-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++)++", r"@|\(at\)|\[at\]"),
     ("ip", r"(?<![0-9.])[0-9]{1,4}(?:\.[0-9]{1,4}){2,5}(?![0-9])", r"[0-9]\.[0-9]"),
     ("card", r"(?<![0-9-])[0-9]{4}[\x20-]?[0-9]{4,6}[\x20-]?[0-9]{4,5}(?:[\x20-]?[0-9]{1,4})?(?![0-9])", r"[0-9]{4}"),
     ("phone", r"(?<![0-9])(?:[0-9]{1,3}[\x20.-]?)?\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])", r"[0-9]{4}"),
     ("phone", r"(?<![0-9])[0-9(][0-9().\x20-]{7,20}[0-9](?![0-9])", r"[0-9][().\x20-]*[0-9]"),
-    ("key", r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]{0,40}[0-9])[A-Za-z0-9_-]{16,128}(?![A-Za-z0-9_-])", r"[A-Za-z0-9_-]{16}"),
+    ("key", r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{16,}+", r"[A-Za-z0-9_-]{16}"),
 )
+#: Code points after which a text is cut at the next safe place.
+SEGMENT = 1024
+_PIECE = r"(?s).{%d,}?(?:[^A-Za-z0-9._%%+\-@()\[\]\x20]|[A-Za-z](?=\x20[A-Za-z]))|(?s).+\z" % SEGMENT
 CONTEXT = 24
 MAX_CELLS = 20_000
 PRECISION = 0.95
 TREES = 24
 RATE = 0.4
-LEAST_POSITIVES = 20
+LEAST_POSITIVES = 1
 
 _SPAN = "struct<kind:string,start:int,end:int,text:string>"
 
@@ -128,11 +132,44 @@ def _valid_as(kind: str):
     return lambda span: _valid(span, kind)
 
 
+def _segments(text: Column) -> Column:
+    """``text`` in pieces (text, at: code points before it) of ``SEGMENT`` code points and up to the next place that
+    no pattern or generator can cross: after a sign that none of them takes, or between a letter and a space and
+    another letter.  A text without such a place is one piece."""
+    pieces = F.when(F.length(text) <= SEGMENT, F.array(text)).otherwise(
+        F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<text:string,at:int>>").alias("pieces"))
+    return F.aggregate(pieces, none, lambda state, piece: F.struct(
+        (state["at"] + F.length(piece)).alias("at"),
+        F.concat(state["pieces"], F.array(F.struct(piece.alias("text"), state["at"].alias("at")))).alias("pieces")),
+        lambda state: state["pieces"])
+
+
+def _each(docs: DataFrame, *fields: tuple[str, Callable[[Column], Column]]) -> DataFrame:
+    """``docs`` with further fields in every piece."""
+    def extend(piece: Column) -> Column:
+        return reduce(lambda out, f: out.withField(f[0], f[1](piece)), fields, piece)
+
+    return docs.withColumn("_seg", F.transform("_seg", extend))
+
+
+def _gathered(name: str, place: Callable[[Column, Column], Column]) -> Column:
+    """The spans in field ``name`` of all pieces, each turned by ``place(span, code points before its piece)``."""
+    return F.flatten(F.transform("_seg", lambda piece: F.transform(piece[name], lambda span: place(span, piece["at"]))))
+
+
 def _with_base(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_text``, every base match per kind (``_m_<kind>``) and the valid ones (``_b_<kind>``)."""
-    out = docs.withColumn("_text", whole_text())
-    out = out.withColumns({f"_m_{k}": _located(F.col("_text"), k, BASE_PATTERNS[k], GUARDS[k]) for k in BASE_KINDS})
-    return out.withColumns({f"_b_{k}": F.filter(f"_m_{k}", _valid_as(k)) for k in BASE_KINDS})
+    """``docs`` with ``_text`` and its pieces ``_seg``, which hold every base match per kind (``m_<kind>``) and the
+    valid ones (``b_<kind>``); places count from the begin of the piece."""
+    def matches(kind: str):
+        return lambda piece: _located(piece["text"], kind, BASE_PATTERNS[kind], GUARDS[kind])
+
+    def valid(kind: str):
+        return lambda piece: F.filter(piece[f"m_{kind}"], _valid_as(kind))
+
+    out = docs.withColumn("_text", whole_text()).withColumn("_seg", _segments(F.col("_text")))
+    out = _each(out, *[(f"m_{k}", matches(k)) for k in BASE_KINDS])
+    return _each(out, *[(f"b_{k}", valid(k)) for k in BASE_KINDS])
 
 
 # -- candidates ---------------------------------------------------------------------------------
@@ -177,22 +214,28 @@ def _features(text: Column, span: Column, generator: int) -> Column:
 
 
 def _with_candidates(docs: DataFrame) -> DataFrame:
-    """``_with_base`` plus ``_cand``: every generator's spans with their features, and whether a base span
-    covers the same digits or address (``hit``: 1, or 0)."""
-    out = _with_base(docs)
-    out = out.withColumns({f"_g_{i}": _located(F.col("_text"), kind, pattern, guard)
-                           for i, (kind, pattern, guard) in enumerate(GENERATORS)})
-    def described(i: int, kind: str) -> Column:
+    """``_with_base`` plus every generator's spans with their features, and whether a base span covers the same
+    digits or address (``hit``: 1, or 0): ``cand`` in each piece, ``_cand`` for the whole text."""
+    def generated(i: int):
+        kind, pattern, guard = GENERATORS[i]
+        return lambda piece: _located(piece["text"], kind, pattern, guard)
+
+    def described(piece: Column, i: int, kind: str) -> Column:
         def describe(span: Column) -> Column:
-            same = F.exists(f"_b_{kind}", lambda b: (b["end"] == span["end"]) & (b["start"] <= span["start"])
+            same = F.exists(piece[f"b_{kind}"], lambda b: (b["end"] == span["end"]) & (b["start"] <= span["start"])
                             & (span["start"] - b["start"] <= 1)) if kind in BASE_KINDS else \
                 span["text"].rlike(r"\A(?:AKIA[0-9A-Z]{16}|[0-9a-f]{32,64})\z")
             return F.struct(F.lit(kind).alias("kind"), span["start"].alias("start"), span["end"].alias("end"),
-                            _features(F.col("_text"), span, i).alias("f"), same.cast("int").alias("hit"))
+                            _features(piece["text"], span, i).alias("f"), same.cast("int").alias("hit"))
 
-        return F.transform(f"_g_{i}", describe)
+        return F.transform(piece[f"g_{i}"], describe)
 
-    return out.withColumn("_cand", F.concat(*[described(i, kind) for i, (kind, _, _) in enumerate(GENERATORS)]))
+    out = _each(_with_base(docs), *[(f"g_{i}", generated(i)) for i in range(len(GENERATORS))])
+    out = _each(out, ("cand", lambda piece: F.concat(
+        *[described(piece, i, kind) for i, (kind, _, _) in enumerate(GENERATORS)])))
+    return out.withColumn("_cand", _gathered("cand", lambda c, at: F.struct(
+        c["kind"].alias("kind"), (c["start"] + at).alias("start"), (c["end"] + at).alias("end"), c["f"].alias("f"),
+        c["hit"].alias("hit"))))
 
 
 # -- boosted trees ------------------------------------------------------------------------------
@@ -322,35 +365,52 @@ def _disjoint(spans: Column) -> Column:
         F.exists(kept, lambda k: _overlap(k, s)), kept).otherwise(F.concat(kept, F.array(s))))
 
 
-def find(docs: DataFrame, model: Trees | None = None) -> DataFrame:
-    """``docs`` with ``base`` and ``added``: arrays of (kind, start, end), by kind as listed, then start."""
-    model = model or fit(docs)
-    out = _with_candidates(docs)
-
-    def places(spans: str) -> Column:
-        return F.transform(spans, lambda s: F.struct(s["kind"], s["start"], s["end"])).cast(f"array<{_PLACE}>")
-
-    out = out.withColumn("base", F.concat(*[places(f"_b_{k}") for k in BASE_KINDS]))
+def _with_spans(docs: DataFrame, model: Trees) -> DataFrame:
+    """``_with_candidates`` with the valid base spans of each piece (``base``) and the spans added to them (``added``).
 
-    def scored(kind: str, threshold: float) -> Column:
-        free = F.filter("_cand", lambda c: (c["kind"] == kind) & ~F.exists("base", lambda b: _overlap(b, c)))
+    No span crosses a piece, so what overlaps what is settled within pieces."""
+    def scored(piece: Column, kind: str, threshold: float) -> Column:
+        free = F.filter(piece["cand"], lambda c: (c["kind"] == kind) & ~F.exists(piece["base"], lambda b: _overlap(b, c)))
         rated = F.transform(free, lambda c: F.struct(
             model.expression(kind, c["f"]).alias("score"), c["start"].alias("start"), c["end"].alias("end"),
             c["kind"].alias("kind")))
         return F.filter(rated, lambda s: s["score"] >= threshold)
 
+    def place(span: Column) -> Column:
+        return F.struct(span["kind"].alias("kind"), span["start"].alias("start"), span["end"].alias("end"))
+
     none = F.array().cast("array<struct<score:double,start:int,end:int,kind:string>>")
-    rated = F.concat(none, *[scored(kind, threshold) for kind, threshold in model.thresholds.items()])
-    out = out.withColumn("_kept", _disjoint(rated))
-    by_kind = [F.sort_array(F.filter(F.transform("_kept", lambda s: F.struct(s["start"], s["end"], s["kind"])),
-                                     _of_kind(kind))) for kind in KINDS]
-    added = F.transform(F.concat(*by_kind), lambda s: F.struct(s["kind"], s["start"], s["end"])).cast(f"array<{_PLACE}>")
-    return out.withColumn("added", added).select(*[F.col(f"`{c}`") for c in docs.columns], "base", "added")
+    out = _each(_with_candidates(docs), ("base", lambda piece: F.concat(
+        *[F.transform(piece[f"b_{k}"], place) for k in BASE_KINDS])))
+    out = _each(out, ("rated", lambda piece: F.concat(none, *[scored(piece, k, t) for k, t in model.thresholds.items()])))
+    return _each(out, ("added", lambda piece: F.transform(_disjoint(piece["rated"]), place)))
+
+
+def find(docs: DataFrame, model: Trees | None = None) -> DataFrame:
+    """``docs`` with ``base`` and ``added``: arrays of (kind, start, end), by kind as listed, then start.
+
+    Columns of these names that ``docs`` has are replaced."""
+    model = model or fit(docs)
+    out = _with_spans(docs, model)
+    columns = [c for c in docs.columns if c not in ("base", "added")]
+
+    def by_kind(name: str) -> Column:
+        moved = _gathered(name, lambda s, at: F.struct(
+            (s["start"] + at).alias("start"), (s["end"] + at).alias("end"), s["kind"].alias("kind")))
+        kinds = [F.sort_array(F.filter("_all", _of_kind(kind))) for kind in KINDS]
+        return moved, F.transform(F.concat(*kinds), lambda s: F.struct(s["kind"], s["start"], s["end"])).cast(f"array<{_PLACE}>")
+
+    for name, result in (("base", "_base"), ("added", "_added")):
+        moved, ordered = by_kind(name)
+        out = out.withColumn("_all", moved).withColumn(result, ordered)
+    return out.select(*[F.col(f"`{c}`") for c in columns], F.col("_base").alias("base"), F.col("_added").alias("added"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """Counts and spans of every document."""
-    found = find(docs.select("doc_id", "text"))
+    """Counts and spans of every document; ``learnt`` lists the kinds whose trees may add spans."""
+    docs = docs.select("doc_id", "text")
+    model = fit(docs)
+    found = find(docs, model)
 
     def count(kind: str) -> Column:
         return F.size(F.filter("base", _of_kind(kind))).cast("long").alias(f"n_{kind}")
@@ -358,25 +418,33 @@ def digest(docs: DataFrame) -> DataFrame:
     every = F.concat(*[F.array_sort(F.filter(F.concat("base", "added"), _of_kind(kind)),
                                     lambda a, b: a["start"] - b["start"]) for kind in KINDS])
     return found.select("doc_id", *[count(k) for k in BASE_KINDS],
-                        F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(every).alias("spans"))
+                        F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(every).alias("spans"),
+                        F.lit(",".join(k for k in KINDS if k in model.thresholds)).alias("learnt"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in brackets; all columns kept, nulls stay null."""
     columns = docs.columns
-    found = find(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), "text"))
-    spans = F.sort_array(F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    text = F.col("text")
-
-    def step(state: Column, span: Column) -> Column:
-        """Overlapping spans become one gap, named after the first."""
-        fresh = span["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], F.substring(text, state["at"] + 1, span["start"] - state["at"]),
-                                   F.lit("["), F.upper(span["kind"]), F.lit("]"))).otherwise(state["out"]).alias("out"))
-
-    clean = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return found.withColumn("text", F.when(F.size(spans) > 0, clean).otherwise(text)).select(
-        *[F.col("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in columns])
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), "text")
+    found = _with_spans(row, fit(row))
+
+    def cleaned(piece: Column) -> Column:
+        spans = F.sort_array(F.transform(F.concat(piece["base"], piece["added"]), lambda s: F.struct(
+            s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+        text = piece["text"]
+
+        def step(state: Column, span: Column) -> Column:
+            """Overlapping spans become one gap, named after the first."""
+            fresh = span["start"] >= state["at"]
+            return F.struct(
+                F.greatest(state["at"], span["end"]).alias("at"),
+                F.when(fresh, F.concat(state["out"], F.substring(text, state["at"] + 1, span["start"] - state["at"]),
+                                       F.lit("["), F.upper(span["kind"]), F.lit("]"))).otherwise(state["out"]).alias("out"))
+
+        return F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
+                           lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+
+    # a null text has one empty piece; it stays null
+    clean = F.when(F.col("text").isNotNull(), F.array_join(F.transform("_seg", cleaned), ""))
+    return found.withColumn("_clean", clean).select(
+        *[F.col("_clean").alias("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in columns])
