@@ -7,7 +7,7 @@ has no piece with the word mark after another character, so no merge crosses the
 and the library puts the same mark before a text that it puts in place of the space.  That is
 read from the vocabulary file; a vocabulary for which it does not hold is never split.
 
-Nulls and empty texts have 0 bytes and 0 tokens; repeated rows each give a row; other columns
+Nulls and empty texts have 0 bytes and 0 tokens; a null ``doc_id`` is kept; repeated rows each give a row; other columns
 are not read; an empty table gives an empty result.
 """
 

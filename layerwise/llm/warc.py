@@ -18,7 +18,8 @@ aggregates that combine before the shuffle and in joins that adaptive execution
 
 Null payloads are empty.  Pages smaller than ``least_bytes`` are always responses.  Pages that
 repeat the smallest ``page_id`` of their payload are responses as well; a null ``page_id`` comes
-after all others.  Null urls give an empty target.  Other columns are not read.
+after all others.  Null urls give an empty target.  A payload of any length is one row, hashed and
+written whole.  An empty table gives an archive without records.  Other columns are not read.
 """
 
 from __future__ import annotations
