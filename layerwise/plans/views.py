@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The columns of the two views.
 TEAM_PERFORMANCE_COLUMNS = [
     "team", "year", "wins", "losses", "draws", "matches_played", "goals_scored",
     "goals_conceded", "goal_difference", "points", "avg_goals_scored", "avg_goals_conceded",
