@@ -154,19 +154,25 @@ def table_bytes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 # --- ratings ------------------------------------------------------------------
 
-def top_ratings(
-    ratings: DataFrame, n: int = TOP_RATINGS_DEFAULT, *, entity: str = "country",
-    rating: str = "rating", snapshot: str = "snapshot_date",
+def best_ratings(
+    ratings: DataFrame, n: int = TOP_RATINGS_DEFAULT, *, entity: str = "country", rating: str = "rating",
 ) -> DataFrame:
-    """Best ``n`` ratings at the global latest snapshot."""
+    """Best ``n`` ratings of the rows given, such as those of one day (``sources.files.read_latest_date``)."""
     return (
-        at_global_max(ratings, snapshot)
-        .select(entity, numeric(ratings, rating).alias(rating))
+        ratings.select(entity, numeric(ratings, rating).alias(rating))
         .orderBy(F.col(rating).desc_nulls_first(), F.col(entity).asc_nulls_last())
         .limit(n)
     )
 
 
+def top_ratings(
+    ratings: DataFrame, n: int = TOP_RATINGS_DEFAULT, *, entity: str = "country",
+    rating: str = "rating", snapshot: str = "snapshot_date",
+) -> DataFrame:
+    """Best ``n`` ratings at the global latest snapshot."""
+    return best_ratings(at_global_max(ratings, snapshot), n, entity=entity, rating=rating)
+
+
 def rating_by_group(
     ratings: DataFrame, *, group: str = "confederation", rating: str = "rating",
     snapshot: str = "snapshot_date",

@@ -34,7 +34,7 @@ from layerwise.operators.predict import (
 from layerwise.plans import fixtures as fx
 from layerwise.sources import fs
 from layerwise.sources.catalog import Source, land, rejects_path
-from layerwise.sources.files import read_landed, read_rejects
+from layerwise.sources.files import read_landed, read_latest_date, read_rejects, write_by_date
 
 FLOAT_DIGITS = 6
 Query = Callable[[SparkSession, str], DataFrame]
@@ -319,6 +319,12 @@ def top_ratings(spark, root):
     return serving.top_ratings(fx.text_ratings(spark, root), 15, entity="entity")
 
 
+def top_ratings_by_date(spark, root):
+    folder = fs.scratch_path(spark, "ratings-by-date")
+    write_by_date(fx.text_ratings(spark, root), folder)
+    return serving.best_ratings(read_latest_date(spark, folder), 15, entity="entity")
+
+
 def rating_by_group(spark, root):
     return serving.rating_by_group(fx.text_ratings(spark, root), group="grp")
 
@@ -422,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "latest_register": latest_register,
     "global_latest": global_latest,
     "top_ratings": top_ratings,
+    "top_ratings_by_date": top_ratings_by_date,
     "rating_by_group": rating_by_group,
     "predict_contests": predict_contests,
     "predict_contests_narrow": predict_contests_narrow,

@@ -576,6 +576,8 @@ ORACLE["top_ratings"] = f"""WITH {TEXT_RATINGS}
 SELECT entity, rating FROM ratings WHERE {_KNOWN} = (SELECT max({_KNOWN}) FROM ratings)
 ORDER BY rating DESC NULLS FIRST, entity ASC NULLS LAST LIMIT 15"""
 
+ORACLE["top_ratings_by_date"] = ORACLE["top_ratings"]
+
 ORACLE["rating_by_group"] = f"""WITH {TEXT_RATINGS}
 SELECT grp, {_r('avg(rating)', 0)} AS avg_rating FROM ratings
 WHERE {_KNOWN} = (SELECT max({_KNOWN}) FROM ratings)
