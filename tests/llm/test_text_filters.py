@@ -443,7 +443,7 @@ def test_every_operator_is_registered():
     from __spark_entry__ import oracle_sql, queries
 
     names = [q for q in queries() if q.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in queries()
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and "pipeline" in queries()
     assert set(oracle_sql()) <= set(queries())
 
 
