@@ -1,18 +1,26 @@
 """Toxicity by multiple-instance learning: document labels train a model of sentences.
 
 A document is a bag of sentences.  A sentence's probability is logistic in its words and their
-first three to six letters, so that inflected forms share weight; a document is toxic if any sentence is, so its probability is the noisy-or of its sentences'.  Only documents
-carry labels; the gradient of the document's likelihood shares each label out among its sentences,
-and the sentences that explain it are found on the way (``locate``).
-
-Training takes at most ``PER_CLASS`` labelled documents of each label, those with the smallest
-hash of their id, which is the documented bound of the fit; documents whose id's CRC-32 is
-divisible by ``FOLDS`` are never among them.  Their words, by sentence, come to the driver.
-Scoring is one pass over all documents without a shuffle.
+first three to six letters, so that inflected forms share weight; a document is toxic if any sentence
+is, so its probability is the noisy-or of its sentences'.  Only documents carry labels; the gradient of
+the document's likelihood shares each label out among its sentences, and the sentences that explain it
+are found on the way (``locate``).
+
+The noisy-or starts from harmless sentences and stays below the truth where toxic documents are few, so
+its log-odds are calibrated: ``CALIBRATION_FOLDS`` further models, each trained without one fold of the
+sample, rate the fold they have not seen, and a scale and an offset are fitted to these ratings, a
+missed toxic document counting ``MISS_COST`` times as much as a clean one flagged.
+
+Training takes at most ``PER_CLASS`` labelled documents of each label, those with the smallest hash of
+their id, less those with which the words to collect would pass ``PER_CLASS_BYTES``: the documented
+bounds of the fit.  Documents whose id's CRC-32 is divisible by ``FOLDS`` are never among them, neither
+for the weights nor for the calibration.  Their words, by sentence, come to the driver, sorted by id, so a
+run repeated gives the same model.  Scoring is one pass over all documents without a shuffle.
 
 Sentences end at ``.``, ``!``, ``?`` or a line feed, and after ``LONGEST`` words.  Texts that are
 null or without words score 0.0.  Labels repeated for a document count once, the highest, and of documents
-with one id the smallest text is trained on; null labels are ignored.  Without labelled documents of both kinds every document scores 0.0.
+with one id the smallest text is trained on; null labels are ignored.  Without labelled documents of both
+kinds every document scores 0.0; without enough of both for every fold the score is not calibrated.
 Repeated rows each give a row, and a null ``doc_id`` is kept and counts as held out.  Other
 columns are not read by ``score`` and are kept by ``accepted``; empty tables give empty results.
 """
@@ -30,10 +38,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import slices, whole_text
+from .shared import slices, stored, whole_text
 
 FOLDS = 5
 PER_CLASS = 3_000
+PER_CLASS_BYTES = 1 << 25
+CALIBRATION_FOLDS = 3
+MISS_COST = 3.0
 #: Cut-off above which a document counts as toxic.
 CUT = 0.5
 BUCKETS = 1 << 18
@@ -77,6 +88,8 @@ def sentences(text: str) -> Iterator[tuple[int, int, list[str]]]:
 class Model:
     bias: float
     weights: np.ndarray
+    scale: float = 1.0
+    offset: float = 0.0
 
     def __post_init__(self) -> None:
         self._known: dict[str, float] = {}
@@ -94,20 +107,39 @@ class Model:
         weight = self.weight
         return [(self.bias + sum(map(weight, set(words))), start, end) for start, end, words in sentences(text)]
 
+    def chance(self, logit: float) -> float:
+        """Calibrated probability for the log-odds of a noisy-or, or of a sentence on its own."""
+        return float(np.exp(-np.logaddexp(0, -(self.scale * logit + self.offset))))
+
     def score(self, text: str) -> tuple[float, int | None, int | None]:
-        """Noisy-or of the sentences, and where the most suspicious one lies."""
+        """Calibrated noisy-or of the sentences, and where the most suspicious one lies."""
         found = self.logits(text)
         if not found:
             return 0.0, None, None
         z = np.array([f[0] for f in found])
         worst = int(z.argmax())
-        return float(-np.expm1(-np.logaddexp(0, z).sum())), found[worst][1], found[worst][2]
+        return self.chance(noisy_or(z)), found[worst][1], found[worst][2]
+
+
+def noisy_or(z: np.ndarray) -> float:
+    """Log-odds of "some sentence is toxic" from the sentences' log-odds."""
+    none = max(float(np.logaddexp(0, z).sum()), 1e-300)  # -log of "no sentence is toxic"
+    return none + float(np.log(-np.expm1(-none)))
+
+
+def likelihood(label: np.ndarray, document: np.ndarray, z: np.ndarray) -> tuple[float, np.ndarray]:
+    """Mean log-likelihood of the documents' labels, and its slope in each sentence's log-odds ``z``."""
+    none = np.bincount(document, np.logaddexp(0, z), len(label))  # -log of "no sentence is toxic"
+    some = np.maximum(-np.expm1(-none), 1e-12)
+    share = np.where(label == 1, np.exp(-none) / some, -1.0)
+    value = np.where(label == 1, np.log(some), -none).mean()
+    return float(value), share[document] / (1 + np.exp(-z)) / len(label)
 
 
 def train(bags: list[tuple[int, list[str]]]) -> Model | None:
     """Fit the sentence model to ``(label, sentences as distinct words)`` by gradient steps."""
     label = np.array([y for y, _ in bags], dtype=np.float64)
-    if not len(bags) or label.min() == label.max():
+    if not len(bags) or label.min() == label.max() or not any(bag for _, bag in bags):
         return None
     document = np.repeat(np.arange(len(bags)), [len(s) for _, s in bags])
     number: dict[str, int] = {}
@@ -137,12 +169,7 @@ def train(bags: list[tuple[int, list[str]]]) -> Model | None:
     for _ in range(ROUNDS):
         of_word = np.bincount(owner, weights[bucket], len(number))
         z = bias + np.bincount(sentence, of_word[word], at)
-        p = 1 / (1 + np.exp(-z))
-        none = np.bincount(document, np.logaddexp(0, z), len(bags))  # -log of "no sentence is toxic"
-        some = -np.expm1(-none)
-        # slope of the document's log-likelihood in each sentence's logit
-        share = np.where(label == 1, np.exp(-none) / np.maximum(some, 1e-12), -1.0)
-        slope = share[document] * p / len(bags)
+        _, slope = likelihood(label, document, z)
         step = np.bincount(bucket, np.bincount(word, slope[sentence], len(number))[owner], len(names)) - SHRINK * weights
         grown += step ** 2
         weights += RATE * step / np.sqrt(grown)
@@ -154,8 +181,67 @@ def train(bags: list[tuple[int, list[str]]]) -> Model | None:
     return Model(float(bias), whole)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS) -> Model | None:
-    """Train on at most ``per_class`` documents of each label, none of them held out."""
+def calibration(label: np.ndarray, logit: np.ndarray, cost: float = MISS_COST) -> tuple[float, float]:
+    """Scale and offset that make ``logit`` the log-odds of ``label``; labels smoothed by one of each kind, the
+    scale drawn to 1 with the strength of one document.  Damped Newton steps on a convex loss."""
+    toxic = label == 1
+    aim = np.where(toxic, 1 - 1 / (toxic.sum() + 2), 1 / ((~toxic).sum() + 2))
+    weight = np.where(toxic, cost, 1.0)
+    known = np.stack([logit, np.ones(len(logit))], 1)
+
+    def loss(at: np.ndarray) -> float:
+        z = known @ at
+        return float((weight * (np.logaddexp(0, z) - aim * z)).sum() + (at[0] - 1) ** 2 / 2)
+
+    at = np.array([1.0, 0.0])
+    for _ in range(60):
+        p = np.exp(-np.logaddexp(0, -(known @ at)))
+        slope = known.T @ (weight * (p - aim)) + [at[0] - 1, 0]
+        curve = (known * (weight * p * (1 - p))[:, None]).T @ known + np.diag([1.0, 1e-9])
+        step, part = np.linalg.solve(curve, slope), 1.0
+        while part > 1e-9 and loss(at - part * step) > loss(at):
+            part /= 2
+        if part <= 1e-9 or np.abs(step).max() < 1e-9:
+            break
+        at = at - part * step
+    return (float(at[0]), float(at[1])) if at[0] > 0 else (1.0, 0.0)
+
+
+def train_calibrated(sample: list[tuple[str, int, list[str]]]) -> Model | None:
+    """Model of ``(doc_id, label, sentences as distinct words)``, calibrated on documents not trained on."""
+    bags = [(label, bag) for _, label, bag in sample]
+    model = train(bags)
+    if model is None:
+        return None
+    fold = np.array([zlib.crc32(doc_id.encode()) // FOLDS % CALIBRATION_FOLDS for doc_id, _, _ in sample])
+    label, logit = [], []
+    for k in range(CALIBRATION_FOLDS):
+        other = train([bag for bag, f in zip(bags, fold) if f != k])
+        if other is None:
+            return model
+        for (y, bag), f in zip(bags, fold):
+            if f == k and bag:
+                label.append(y)
+                logit.append(noisy_or(np.array([other.bias + sum(map(other.weight, part.split(" "))) for part in bag])))
+    if len(set(label)) == 2:
+        model.scale, model.offset = calibration(np.array(label), np.array(logit))
+    return model
+
+
+def _within(sizes: list, limit: int) -> list[tuple[int, str]]:
+    """``(label, doc_id)`` in order of hash while their bytes, by label, stay in ``limit``; what passes it is left out."""
+    used: Counter[int] = Counter()
+    kept = []
+    for r in sorted(sizes, key=lambda r: (r["label"], r["rank"], r["doc_id"])):
+        if used[r["label"]] + r["bytes"] <= limit:
+            used[r["label"]] += r["bytes"]
+            kept.append((r["label"], r["doc_id"]))
+    return kept
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS,
+        per_class_bytes: int = PER_CLASS_BYTES) -> Model | None:
+    """Train on at most ``per_class`` documents and ``per_class_bytes`` of words of each label, none held out."""
     known = labels.filter(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)) \
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     chosen = None
@@ -169,13 +255,24 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS) -> Mo
                 bags = []
                 for text in batch.column("text").to_pylist():
                     bags.append([" ".join(sorted(set(w))) for _, _, w in sentences(text)])
+                size = [sum(len(part.encode("utf-8", "surrogatepass")) for part in bag) for bag in bags]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("label"), pa.array(bags, pa.list_(pa.string()))], ["label", "bag"])
+                    [batch.column("doc_id"), batch.column("label"), batch.column("rank"), pa.array(size, pa.int64()),
+                     pa.array(bags, pa.list_(pa.string()))], ["doc_id", "label", "rank", "bytes", "bag"])
 
     # at most twice ``per_class`` ids and labels are broadcast
     sample = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id") \
-        .groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("label", "text").mapInArrow(words, "label int, bag array<string>")
-    return train([(r["label"], r["bag"]) for r in sample.collect()])
+        .groupBy("doc_id", "label").agg(F.min("text").alias("text")) \
+        .select(F.col("doc_id").cast("string").alias("doc_id"), "label", F.xxhash64("doc_id").alias("rank"), "text") \
+        .mapInArrow(words, "doc_id string, label int, rank long, bytes long, bag array<string>")
+    table = stored(sample, "toxicity-sample")
+    kept = _within(table.select("doc_id", "label", "rank", "bytes").collect(), per_class_bytes)
+    if not kept:
+        return None
+    # kept: at most twice ``per_class`` rows
+    rows = table.join(F.broadcast(docs.sparkSession.createDataFrame(kept, "label int, doc_id string")),
+                      ["label", "doc_id"]).select("doc_id", "label", "bag").collect()
+    return train_calibrated(sorted((r["doc_id"], r["label"], r["bag"]) for r in rows))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -208,7 +305,7 @@ def locate(docs: DataFrame, model: Model | None, *, least: float = CUT) -> DataF
                 rows = []
                 for i, text in enumerate(batch.column("text").to_pylist()):
                     for z, start, end in (model.logits(text) if model else ()):
-                        chance = float(1 / (1 + np.exp(-z)))
+                        chance = model.chance(z)
                         if chance >= least:
                             rows.append((i, start, end, chance, text[start:end].strip()))
                 owner, start, end, chance, sentence = zip(*rows) if rows else ((),) * 5

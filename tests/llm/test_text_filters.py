@@ -336,6 +336,69 @@ def test_edge_texts_and_missing_labels(spark, graded):
     assert kept.columns == documents(spark).columns and kept.count() == documents(spark).count()
 
 
+def test_score_is_the_calibrated_noisy_or(spark, graded):
+    docs, labels = graded
+    model = toxicity.fit(docs, labels)
+    assert model.scale > 0 and (model.scale, model.offset) != (1.0, 0.0)
+    docs = docs.union(documents(spark, rows=False).select("doc_id", "text"))
+    texts = Counter()
+    for r in docs.collect():
+        chances = []
+        for part in re.split(r"[.!?\n]", r.text or ""):
+            found = re.findall(r"[^\W\d_]+", part.lower())
+            for k in range(0, len(found), toxicity.LONGEST):
+                logit = model.bias
+                for w in set(found[k:k + toxicity.LONGEST]):
+                    names = {w} | {f"{n}<{w[:n]}" for n in range(3, 7) if len(w) >= n}
+                    logit += sum(float(model.weights[b]) for b in {zlib.crc32(n.encode()) % toxicity.BUCKETS for n in names})
+                chances.append(1 / (1 + math.exp(-logit)))
+        some = 1 - math.prod(1 - p for p in chances)
+        odds = some / (1 - some) if chances else 0
+        odds = odds ** model.scale * math.exp(model.offset)
+        texts[r.doc_id, round(odds / (1 + odds), 5)] += 1
+    got = Counter((r.doc_id, round(r.score, 5)) for r in toxicity.score(docs, model).collect())
+    wrong = (texts - got) + (got - texts)
+    assert len(wrong) <= 4 and sum(got.values()) == sum(texts.values())  # the last digit may round either way
+
+
+def test_slopes_against_finite_differences():
+    rng = np.random.default_rng(2)
+    label, document = np.array([0, 1, 1, 0, 1]), np.array([0, 0, 1, 2, 2, 2, 3, 4, 4])
+    z = rng.normal(-1, 2, len(document))
+    value, slope = toxicity.likelihood(label, document, z)
+    by_hand = 0.0
+    for d, y in enumerate(label):
+        clean = math.prod(1 - 1 / (1 + math.exp(-v)) for v in z[document == d])
+        by_hand += math.log(1 - clean if y else clean) / len(label)
+    assert value == pytest.approx(by_hand)
+    for i in range(len(z)):
+        up, down = z.copy(), z.copy()
+        up[i] += 1e-5
+        down[i] -= 1e-5
+        measured = (toxicity.likelihood(label, document, up)[0] - toxicity.likelihood(label, document, down)[0]) / 2e-5
+        assert slope[i] == pytest.approx(measured, abs=1e-8)
+
+
+def test_calibration_undoes_a_scale_and_an_offset():
+    rng = np.random.default_rng(3)
+    truth = rng.normal(0, 2, 20_000)
+    label = (rng.random(len(truth)) < 1 / (1 + np.exp(-truth))).astype(int)
+    scale, offset = toxicity.calibration(label, truth / 2 - 4, cost=1.0)
+    assert scale == pytest.approx(2, rel=0.05) and offset == pytest.approx(8, rel=0.05)
+    parted = toxicity.calibration(np.array([0] * 40 + [1] * 5), np.array([-30.0] * 40 + [-5.0] * 5))
+    assert all(map(math.isfinite, parted)) and parted[0] * -5 + parted[1] > 0 > parted[0] * -30 + parted[1]
+    assert toxicity.calibration(np.array([1, 0] * 50), np.array([-3.0, 3.0] * 50)) == (1.0, 0.0)
+
+
+def test_sample_is_bounded_in_rows_and_bytes(spark, graded):
+    docs, labels = graded
+    sizes = [{"label": y, "rank": i, "doc_id": str(i), "bytes": b} for y in (0, 1) for i, b in enumerate([40, 70, 30, 20])]
+    assert toxicity._within(sizes, 100) == [(0, "0"), (0, "2"), (0, "3"), (1, "0"), (1, "2"), (1, "3")]
+    assert toxicity.fit(docs, labels, per_class_bytes=0) is None
+    small, same = (toxicity.fit(docs.repartition(n), labels, per_class=60) for n in (2, 7))
+    assert small.bias == same.bias and small.scale == same.scale and (small.weights == same.weights).all()
+
+
 def test_sentences_are_cut_and_counted():
     text = "One two. Three!\n\n" + "w " * 150 + "? 1234 ..."
     found = list(toxicity.sentences(text))
