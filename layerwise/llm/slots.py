@@ -9,8 +9,10 @@ their records through it.
 
 The law is ``bytes``: shard sizes near equal, as near as one slot's size allows.  Bytes per slot
 come from one aggregate with ``SLOTS`` rows whatever the input, which is all the driver sees.
-Within a shard a record's place is its rank in its slot plus the records of the shard's earlier
-slots, so no shard passes through one task.
+Within a shard records are ordered by slot, ``doc_id`` and text.  They are parted by ranges of that
+order, which cut a slot of any size between tasks, and written as (task, number in the task); an index
+of one row per task and shard tells how many records of the shard lie before the task's.  A record's
+place is the sum of the two, so neither a shard nor a slot passes through one task.
 
 The hash takes ``doc_id`` and the text, so copies of one text and rows without an id spread over
 the slots; only rows equal in both stay together.  Null texts have no bytes and count 8 like any
@@ -111,31 +113,45 @@ def load_map(spark: SparkSession, path: str, version: int) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, *, slots: int = SLOTS, shards: int = SHARDS) -> DataFrame:
-    """Store map versions 1 and 2 and the documents by shard under ``path``; returns the written rows.
-
-    Columns: those of ``docs`` under ``record``, and ``shard``, ``virtual_slot``, ``slot`` (place in
-    the shard, gapless from 0), ``size``.
-    """
+    """Store map versions 1 and 2, the documents by shard and their index under ``path``; returns ``read_shards``."""
     spark = docs.sparkSession
-    found = {r["slot"]: (r["bytes"], r["rows"]) for r in slot_bytes(docs, slots).collect()}  # <= slots rows
+    weight = {r["slot"]: r["bytes"] for r in slot_bytes(docs, slots).collect()}  # <= slots rows
     start = first_map(slots, shards)
     store_map(spark, f"{path}/map", 1, start)
-    store_map(spark, f"{path}/map", 2, rebalanced(start, {s: b for s, (b, _) in found.items()}, shards))
-    edited = {r["slot"]: r["shard"] for r in load_map(spark, f"{path}/map", 2).collect()}
-    before, seen = [], [0] * shards
-    for slot in sorted(edited):
-        before.append((slot, edited[slot], seen[edited[slot]]))
-        seen[edited[slot]] += found.get(slot, (0, 0))[1]
-    # ``slots`` rows of 16 bytes, fixed by the parameter: small enough to broadcast at any input size
-    places = spark.createDataFrame(before, "virtual_slot int, shard int, before long")
+    store_map(spark, f"{path}/map", 2, rebalanced(start, weight, shards))
+    # ``slots`` rows of 8 bytes, fixed by the parameter: small enough to broadcast at any input size
+    shard_of = load_map(spark, f"{path}/map", 2).withColumnRenamed("slot", "virtual_slot")
+    order = ["shard", "virtual_slot", "record.doc_id", F.xxhash64("record.text")]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record")) \
         .withColumn("virtual_slot", slot_of(F.col("record.doc_id"), F.col("record.text"), slots)) \
         .withColumn("size", record_size(F.col("record.text"))) \
-        .join(F.broadcast(places), "virtual_slot")
-    in_slot = Window.partitionBy("shard", "virtual_slot").orderBy("record.doc_id", "size")
-    placed = rows.withColumn("slot", F.col("before") + F.row_number().over(in_slot) - 1).drop("before")
-    placed.write.partitionBy("shard").parquet(f"{path}/shards")
-    return spark.read.schema(placed.schema).parquet(f"{path}/shards")
+        .join(F.broadcast(shard_of), "virtual_slot") \
+        .repartitionByRange(*order).sortWithinPartitions(*order) \
+        .withColumn("number", F.monotonically_increasing_id())  # task << 33, plus the row's number in the task
+    rows.write.partitionBy("shard").parquet(f"{path}/shards")
+    stored_rows = spark.read.schema(rows.schema).parquet(f"{path}/shards")
+    earlier = Window.partitionBy("shard").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    stored_rows.groupBy("shard", _task().alias("task")) \
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("number").alias("first")) \
+        .withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).write.parquet(f"{path}/index")
+    return read_shards(stored_rows, path)
+
+
+def _task() -> Column:
+    return F.shiftright("number", 33)
+
+
+def read_shards(stored_rows: DataFrame, path: str) -> DataFrame:
+    """Rows of ``path``/shards with their places.
+
+    Columns: those of the documents under ``record``, and ``shard``, ``virtual_slot``, ``slot`` (place in
+    the shard, gapless from 0), ``size``.
+    """
+    index = stored_rows.sparkSession.read.schema("shard int, task long, rows long, first long, before long") \
+        .parquet(f"{path}/index").drop("rows")
+    # at most one row per writing task and one more per shard: some 20 MB after 400,000 tasks
+    return stored_rows.withColumn("task", _task()).join(F.broadcast(index), ["shard", "task"]) \
+        .select("record", "virtual_slot", "size", (F.col("before") + F.col("number") - F.col("first")).alias("slot"), "shard")
 
 
 def sharded(docs: DataFrame, *, slots: int = SLOTS, shards: int = SHARDS) -> DataFrame:

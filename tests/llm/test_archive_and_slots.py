@@ -119,3 +119,20 @@ def test_written_shards_keep_all_columns(spark, tmp_path):
     written = slots.write_shards(docs, str(tmp_path / "s"))
     assert written.select("record.*").columns == docs.columns and written.count() == docs.count()
 
+
+def test_a_slot_is_cut_between_tasks(spark, tmp_path):
+    """Two slots hold all rows; places follow slot, id and text whatever the tasks."""
+    docs = spark.range(4000).selectExpr("id % 1000 as doc_id", "concat('text ', id) as text", "id as shard")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = slots.write_shards(docs, str(tmp_path / "s"), slots=2, shards=2).collect()
+        index = spark.read.parquet(str(tmp_path / "s" / "index")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert Counter((r.record.doc_id, r.record.text) for r in rows) == Counter((r.doc_id, r.text) for r in docs.collect())
+    assert len(index) > 4 and sum(r["rows"] for r in index) == 4000  # several tasks a slot
+    for shard in {r.shard for r in rows}:
+        own = sorted((r for r in rows if r.shard == shard), key=lambda r: r["slot"])
+        assert [r["slot"] for r in own] == list(range(len(own)))
+        keys = [(r.virtual_slot, r.record.doc_id) for r in own]
+        assert keys == sorted(keys)
