@@ -11,9 +11,11 @@ stretch may have substituted (or cut off by the document's begin or end), some m
 others; ``tests/llm`` enumerates all cases.
 
 Long items are searched in overlapping segments of ``SEGMENT`` words, any stretch lying whole in
-one of them.  Segments and their seeds are broadcast ``PART_SEGMENTS`` segments at a time, which
-bounds what is broadcast however large the benchmark is: a larger one takes more passes over the
-documents.  Windows are hashed and looked up inside the scan; only hits are shuffled.
+one of them.  Windows are hashed inside one scan of the documents, however large the benchmark is.  Up
+to ``PART_SEGMENTS`` segments, these and their seeds are broadcast and looked up right there.  Beyond,
+what is broadcast is a bit set of the seeds, of ``FILTER_BITS`` bits at any size: windows whose bit is
+set are shuffled to the seeds by hash, without their texts, and the hits that remain are joined with
+their segments and documents.  Either way the same hits are compared word by word.
 
 An item of one to four words has no stretch of which ``SHARE`` of the words, but not all, agree: it is
 found where the document holds the whole item, word for word.  Documents of any length are searched
@@ -48,8 +50,10 @@ SHORT_MASKS = {
 WINDOW = 20
 SHARE = 0.8
 SEGMENT = 60
-#: Segments per pass: at most 60 words and 205 seeds each, some 40 MB in all.
+#: Segments up to which they are broadcast with their seeds: at most 60 words and 205 seeds each, some 40 MB in all.
 PART_SEGMENTS = 6_000
+#: Bits of the filter of a larger benchmark's seeds: 128 MB.
+FILTER_BITS = 1 << 30
 
 
 def words(text: Column) -> Column:
@@ -86,10 +90,31 @@ def _seeds(segments: DataFrame, masks: list[str]) -> DataFrame:
         short = size.isin([n for n, own in SHORT_MASKS.items() if mask in own])
         parts.append(segments.filter(short | (size > max(SHORT_MASKS)) if mask in MASKS else short)
                      .select("*", _at(size - len(mask) + 1).alias("item_at"))
-                     .select(_seed(F.col("item_words"), F.col("item_at"), mask).alias("seed"), "item_at", "segment"))
+                     .select(_seed(F.col("item_words"), F.col("item_at"), mask).alias("seed"), "item_at", "segment",
+                             size.alias("item_size")))
     return reduce(DataFrame.union, parts)
 
 
+def _bit(seed: Column) -> tuple[Column, Column]:
+    """Bucket of 32,768 bits and the bit there that stand for ``seed`` in the filter."""
+    number = F.pmod(seed, F.lit(FILTER_BITS)) + 1
+    return F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).cast("int").alias("bit")
+
+
+def _shuffled_hits(windows: DataFrame, seeds: DataFrame, docs: DataFrame) -> DataFrame:
+    """Hits with their documents' words, found by a shuffle of the windows that pass a filter of the seeds."""
+    seeds = stored(seeds, "seeds")
+    bits = seeds.select(*_bit(F.col("seed"))).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright("bit", 3) + 1, F.lit(1))), 16, 10).cast("int")
+    hits = windows.select("doc_id", "text_hash", "at", "window_seed", *_bit(F.col("window_seed"))) \
+        .join(F.broadcast(bits), "bucket") \
+        .filter(F.getbit(byte, F.col("bit").bitwiseAND(7)) == 1) \
+        .join(seeds, F.col("window_seed") == F.col("seed")) \
+        .select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"), "segment", "item_size",
+                (F.col("at") - F.col("item_at")).alias("start")).distinct()
+    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")))
+
+
 def _best_window(marks: Column) -> Column:
     """The largest number of agreeing words in a stretch of ``WINDOW`` words, as share of the stretch."""
     size = F.length(marks)
@@ -109,24 +134,30 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = [r[0] for r in segments.select(F.size("item_words").alias("n")).filter(F.col("n") <= max(SHORT_MASKS))
                .distinct().collect()]
     masks = list(dict.fromkeys([*MASKS, *(m for n in sorted(lengths) for m in SHORT_MASKS[n])]))
-    parts = max(1, -(-segments.count() // PART_SEGMENTS))
-    windows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("doc_words")) \
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("doc_words"))
+    windows = texts \
         .select("*", _at(F.size("doc_words") - min(map(len, masks)) + 1).alias("at")) \
         .select("*", F.explode(F.array(*[
             F.when(F.col("at") + len(m) <= F.size("doc_words"), _seed(F.col("doc_words"), F.col("at"), m))
             for m in masks])).alias("window_seed")).filter(F.col("window_seed").isNotNull())
-    start = F.col("at") - F.col("item_at")
+    seeds = _seeds(segments, masks)
+    few = segments.count() <= PART_SEGMENTS
+    if few:
+        hits = windows.join(F.broadcast(seeds), F.col("window_seed") == F.col("seed")) \
+            .withColumn("start", F.col("at") - F.col("item_at"))
+    else:
+        hits = _shuffled_hits(windows, seeds, texts)
+    # only the words along the segment go on with a hit: a long document isn't repeated with each of its hits
+    begin = F.greatest(F.col("start"), F.lit(0))
+    hits = hits.select("doc_id", "text_hash", "segment", "start", (begin - F.col("start")).alias("skipped"),
+                       F.slice("doc_words", begin + 1, F.col("item_size")).alias("near"))
     marks = F.array_join(F.transform(F.col("item_words"), lambda w, i: F.when(
-        (start + i >= 0) & F.get(F.col("doc_words"), start + i).eqNullSafe(w), "1").otherwise("0")), "")
-    hits = []
-    for part in range(parts):
-        own = segments.filter(F.pmod(F.xxhash64("segment"), F.lit(parts)) == part) if parts > 1 else segments
-        # both sides hold about PART_SEGMENTS segments: an even share by hash
-        hits.append(windows.join(F.broadcast(_seeds(own, masks)), F.col("window_seed") == F.col("seed"))
-                    .join(F.broadcast(own), "segment")
-                    .select("doc_id", "text_hash", "item_id", "first", start.alias("segment_word"), marks.alias("marks")))
-    return reduce(DataFrame.union, hits) \
-        .groupBy("doc_id", "text_hash", "item_id", "first", "segment_word").agg(F.max("marks").alias("marks")) \
+        (i >= F.col("skipped")) & (i - F.col("skipped") < F.size("near"))
+        & F.get(F.col("near"), i - F.col("skipped")).eqNullSafe(w), "1").otherwise("0")), "")
+    # distinct, marks included: an aggregate of the marks would sort the rows before the marks are made
+    return hits.join(F.broadcast(segments) if few else segments, "segment") \
+        .select("doc_id", "text_hash", "item_id", "first", F.col("start").alias("segment_word"), marks.alias("marks")) \
+        .distinct() \
         .withColumn("share", _best_window(F.col("marks"))) \
         .filter(F.col("share") >= SHARE) \
         .select("doc_id", "text_hash", "item_id", (F.col("segment_word") - F.col("first")).alias("doc_word"),

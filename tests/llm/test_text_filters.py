@@ -109,6 +109,23 @@ def test_large_benchmarks_take_more_passes(spark, monkeypatch):
                     .selectExpr("doc_id", "cast(item_ids as string)").collect()} and once
 
 
+def test_large_benchmarks_take_one_pass(spark, monkeypatch):
+    """The filter, nearly full here, and the shuffled lookup find the same overlaps and scan the documents for hits once."""
+    docs, benchmark = documents(spark, [*EDGE, (None, "tiny one"), (None, "tiny one")]), spark.read.parquet(f"{SF}/benchmark.parquet")
+    benchmark = benchmark.select("item_id", "text").union(spark.createDataFrame([(901, "tiny one"), (902, "w w w w")], "item_id long, text string"))
+    columns = ["doc_id", "item_id", "doc_word", "matched", "share"]
+    few = Counter(tuple(r) for r in spaced_seed.overlaps(docs, benchmark).select(columns).collect())
+    monkeypatch.setattr(spaced_seed, "PART_SEGMENTS", 0)
+    for bits in (1 << 10, 1 << 20):
+        monkeypatch.setattr(spaced_seed, "FILTER_BITS", bits)
+        found = spaced_seed.overlaps(docs, benchmark)
+        assert Counter(tuple(r) for r in found.select(columns).collect()) == few
+    assert any(r[0] is None for r in few) and sum(r[1] == 902 for r in few) > 100
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan)
+    assert spaced_seed.contaminated(empty(spark), benchmark).count() == 0
+
+
 def test_decontamination_plan_is_native(spark):
     plan = spaced_seed.contaminated(documents(spark), spark.read.parquet(f"{SF}/benchmark.parquet")) \
         ._jdf.queryExecution().executedPlan().toString()
