@@ -10,16 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from layerwise.llm import minmax, packing, pii, spaced_seed, toxicity
 from layerwise.llm.queries import tokenizer
-from layerwise.llm.shared import stored
+from layerwise.llm.shared import small_batches, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under the cut; the model is trained on labelled ones among them."""
+    small_batches(spark)
     return toxicity.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a Jaccard similarity of 0.8 on five-word shingles."""
+    small_batches(spark)
     return minmax.deduplicated(docs, size=5, percent=80)
 
 
@@ -35,6 +37,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where every piece of every document lies in the packed sequences."""
+    small_batches(spark)
     return packing.pack(docs, tokenizer("word_bpe_49k.json"))
 
 

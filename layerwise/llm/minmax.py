@@ -59,6 +59,11 @@ class _WordHashes(dict):
 _HASHES = _WordHashes()
 
 
+def forget_words() -> None:
+    """At the end of a task: a worker lives on; what it remembers should not."""
+    _HASHES.clear()
+
+
 def _stir(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
@@ -141,6 +146,7 @@ def sketches(docs: DataFrame, size: int, threshold: float) -> DataFrame:
                     pa.array(prints, pa.binary()), pa.array(signatures, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ], ["doc_id", "text_md5", "n_shingles", "print", "signature", "bands"])
+        forget_words()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")) \
         .withColumn("text_md5", F.md5(F.col("text").cast("binary")))
@@ -189,6 +195,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
                 links.append(100 * common >= percent * (len(first) + len(second) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]) \
                 .filter(pa.array(links, pa.bool_()))
+        forget_words()
 
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(test, "a long, b long")
 
@@ -226,6 +233,7 @@ def _across(open_rows: DataFrame, classes: DataFrame, texts: DataFrame, size: in
             for batch in slices(whole, "text"):
                 sets = [shingles(t, size).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "values"])
+        forget_words()
 
     sets = texts.join(open_rows.select("node").distinct(), "node", "left_semi").mapInArrow(
         values, "node long, values binary")

@@ -210,6 +210,7 @@ def pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end_id: int
                     pa.array([zlib.crc32(c) for c in chunks], pa.int64()),
                     pa.array([part] * len(chunks), pa.int32()), pa.array(rank, pa.int64()), ids_column,
                 ], ["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank", "ids"])
+        encode.forget()
 
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(
         cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, part int, rank long, ids binary")
