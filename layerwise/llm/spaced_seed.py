@@ -154,14 +154,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     marks = F.array_join(F.transform(F.col("item_words"), lambda w, i: F.when(
         (i >= F.col("skipped")) & (i - F.col("skipped") < F.size("near"))
         & F.get(F.col("near"), i - F.col("skipped")).eqNullSafe(w), "1").otherwise("0")), "")
-    # distinct, marks included: an aggregate of the marks would sort the rows before the marks are made
+    # exploded: no filter passes that, so the words of a hit are compared once, not once for each use of the marks
+    matched = F.length(F.replace("marks", F.lit("0"), F.lit("")))
     return hits.join(F.broadcast(segments) if few else segments, "segment") \
-        .select("doc_id", "text_hash", "item_id", "first", F.col("start").alias("segment_word"), marks.alias("marks")) \
-        .distinct() \
-        .withColumn("share", _best_window(F.col("marks"))) \
+        .select("doc_id", "text_hash", "item_id", "first", F.col("start").alias("segment_word"),
+                F.explode(F.array(marks)).alias("marks")) \
+        .filter(matched / F.least(F.length("marks"), F.lit(WINDOW)) >= SHARE) \
+        .withColumn("share", F.element_at(F.transform(F.array("marks"), _best_window), 1)) \
         .filter(F.col("share") >= SHARE) \
+        .distinct() \
         .select("doc_id", "text_hash", "item_id", (F.col("segment_word") - F.col("first")).alias("doc_word"),
-                F.length(F.replace("marks", F.lit("0"), F.lit(""))).alias("matched"), "share")
+                matched.alias("matched"), "share")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

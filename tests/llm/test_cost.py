@@ -1,13 +1,22 @@
-"""What operators must not keep: caches of a task that is over, large batches."""
+"""What operators must not do twice, or keep: comparisons of a hit, caches of a task that is over, large batches."""
 
 import pyarrow as pa
 
-from layerwise.llm import minmax, packing, shared
+from layerwise.llm import minmax, packing, shared, spaced_seed
 
 from tests.llm.test_tokens import LOWER
 from tests.llm.util import documents
 
 
+def test_words_of_a_hit_are_compared_once(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l"), (2, "x y z")], "doc_id long, text string")
+    items = spark.createDataFrame([(5, "b c d e f g h i j k")], "item_id long, text string")
+    found = spaced_seed.overlaps(docs, items)
+    assert [(r.doc_id, r.item_id, r.doc_word, r.matched, r.share) for r in found.collect()] == [(1, 5, 1, 10, 1.0)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("transform(item_words") == 1
+
+
 def _kept(spark):
     """Most chunks and word hashes that a worker still holds."""
     def count(batches):
