@@ -280,7 +280,6 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, *, en
                     total += len(ids) // 4
         if waiting:
             yield close()
-        encode.forget()
 
     ordered = docs.select("doc_id", whole_text().alias("text")) \
         .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))

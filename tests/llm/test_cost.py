@@ -1,11 +1,12 @@
 """What operators must not do twice, or keep: comparisons of a hit, caches of a task that is over, large batches."""
 
+import shutil
+
 import pyarrow as pa
 
 from layerwise.llm import minmax, packing, shared, spaced_seed
 
 from tests.llm.test_tokens import LOWER
-from tests.llm.util import documents
 
 
 def test_words_of_a_hit_are_compared_once(spark):
@@ -17,24 +18,26 @@ def test_words_of_a_hit_are_compared_once(spark):
     assert plan.count("transform(item_words") == 1
 
 
-def _kept(spark):
-    """Most chunks and word hashes that a worker still holds."""
+def _kept(spark, path, word):
+    """Most that a worker still holds of the chunks of the vocabulary at ``path`` and of ``word``."""
     def count(batches):
         from layerwise.llm import encode
 
         for batch in batches:
-            chunks = sum(len(e._known) + len(e._first) + len(e._words) for e in encode._ENCODERS.values())
-            yield pa.RecordBatch.from_arrays([pa.array([chunks + len(minmax._HASHES)], pa.int64())], ["n"])
+            own = encode._ENCODERS.get(path)
+            chunks = len(own._known) + len(own._first) + len(own._words) if own else 0
+            yield pa.RecordBatch.from_arrays([pa.array([chunks + (word in minmax._HASHES)], pa.int64())], ["n"])
 
     return max(r.n for r in spark.range(0, 64, 1, 16).mapInArrow(count, "n long").collect())
 
 
-def test_workers_keep_nothing_of_a_task(spark):
-    docs = documents(spark)
-    assert packing.pieces(docs, LOWER).count() >= docs.count()
-    assert _kept(spark) == 0
-    minmax.deduplicated(docs).count()
-    assert _kept(spark) == 0
+def test_workers_keep_nothing_of_a_task(spark, tmp_path):
+    path = shutil.copy(LOWER, tmp_path)  # other tests' workers know it not
+    docs = spark.createDataFrame([(i, f"unheardofword and number {i}") for i in range(40)], "doc_id long, text string")
+    assert packing.pieces(docs, path).count() == 40
+    assert _kept(spark, path, b"unheardofword") == 0
+    assert minmax.deduplicated(docs).count() == 40
+    assert _kept(spark, path, b"unheardofword") == 0
 
 
 def test_batches_are_bounded_in_bytes(spark):
