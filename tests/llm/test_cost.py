@@ -1,12 +1,14 @@
 """What operators must not do twice, or keep: comparisons of a hit, caches of a task that is over, large batches."""
 
+import re
 import shutil
 
+import numpy as np
 import pyarrow as pa
 
-from layerwise.llm import minmax, packing, shared, spaced_seed
+from layerwise.llm import encode, idcoder, minmax, packing, shared, spaced_seed
 
-from tests.llm.test_tokens import LOWER
+from tests.llm.test_tokens import BYTE, LOWER, PLAIN
 
 
 def test_words_of_a_hit_are_compared_once(spark):
@@ -56,3 +58,48 @@ def test_batches_are_bounded_in_bytes(spark):
     shared.small_batches(spark)
     assert spark.conf.get(shared._ARROW_BYTES) == str(1 << 16)
     spark.conf.unset(shared._ARROW_BYTES)
+
+
+class _Counted:
+    """A BPE model that counts how often it is called."""
+
+    def __init__(self, model):
+        self.model, self.calls = model, 0
+
+    def tokenize(self, text):
+        self.calls += 1
+        return self.model.tokenize(text)
+
+
+def test_new_words_reach_the_model_many_at_a_time():
+    bulk = encode.BulkEncoder(BYTE)
+    bulk._model = counted = _Counted(bulk._model)
+    texts = [" ".join(f"{'bcdfghjklm'[i % 10]}{'aeiou'[i % 5]}w{'xyz' * (i % 7)}q{i}." for i in range(n, n + 50))
+             for n in range(0, 2000, 50)]
+    ids, sizes = bulk.ids(pa.array(texts))
+    expected = [e.ids for e in PLAIN[BYTE].encode_batch(texts, add_special_tokens=False)]
+    assert sizes.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+    assert 0 < counted.calls < 100  # 2,000 chunks of several words each
+    calls = counted.calls
+    assert bulk.ids(pa.array(texts))[0].tolist() == ids.tolist() and counted.calls == calls
+
+
+def test_a_block_of_a_million_ids_takes_few_steps(monkeypatch):
+    steps = []
+    predict = idcoder._Model.predict
+    monkeypatch.setattr(idcoder._Model, "predict", lambda model, active: steps.append(active) or predict(model, active))
+    ids = np.random.default_rng(7).integers(0, 3000, 1 << 20).astype(np.uint32)
+    block = idcoder.encode_block(ids, 50_257)
+    assert len(steps) <= 256 and sum(steps) == len(ids)
+    assert (idcoder.decode_block(block) == ids).all() and len(steps) <= 512
+
+
+def test_ids_that_nobody_asks_for_stay_in_the_worker(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(40)], "doc_id long, text string")
+    idcoder.write_ids(docs, str(tmp_path / "ids"), BYTE, 50_257)
+    blocks = idcoder.open_ids(spark, str(tmp_path / "ids"))
+    with_ids, without = idcoder.read_ids(blocks), idcoder.read_ids(blocks, with_ids=False)
+    assert "ids" not in without.columns
+    assert sorted(with_ids.drop("ids").collect()) == sorted(without.collect())
+    plan = idcoder.round_trip(docs, BYTE, 50_257)._jdf.queryExecution().optimizedPlan().toString()
+    assert "decode(" in plan and re.search(r"(?<!_)\bids#", plan) is None

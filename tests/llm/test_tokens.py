@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from layerwise.llm import idcoder, packing, token_counts
-from layerwise.llm.encode import ChunkEncoder
+from layerwise.llm.encode import BulkEncoder, ChunkEncoder
 
 from tests.llm.util import documents, empty
 
@@ -25,6 +26,10 @@ MODEL = sentencepiece.SentencePieceProcessor(model_file=PIECE)
 TEXTS = st.text(alphabet=st.one_of(
     st.sampled_from(" \n\t'.,!sStTdDaAbB09éÉßñ<|endoftext|> \x1c\x85 ́Σς"), st.characters()), max_size=60)
 
+BULK = BulkEncoder(BYTE)
+BULK_TEXTS = st.one_of(st.text(alphabet=" \n'.,sa0é", max_size=60), st.text(alphabet=st.one_of(
+    st.sampled_from(" \n\t'.,!sStTdDaAbB09éÉßñ<|endoftext|> \x1c\x85 ́Σς"), st.characters(codec="utf-8")), max_size=60))
+
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(TEXTS, max_size=5))
@@ -40,6 +45,31 @@ def test_cache_starts_anew_without_changing_ids():
         assert np.frombuffer(small.ids([text])[0], "<u4").tolist() == PLAIN[BYTE].encode(text).ids
 
 
+def _in_bulk(encoder, texts):
+    ids, sizes = encoder.ids(pa.array(texts, pa.string()))
+    assert len(sizes) == len(texts) and sizes.sum() == len(ids)
+    return [part.tolist() for part in np.split(ids, np.cumsum(sizes))[:-1]]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(BULK_TEXTS, min_size=1, max_size=5))
+def test_bulk_gives_the_librarys_ids(texts):
+    expected = [e.ids for e in PLAIN[BYTE].encode_batch(texts, add_special_tokens=False)]
+    assert _in_bulk(BULK, texts) == expected
+    assert _in_bulk(BulkEncoder(BYTE) if len(texts) == 3 else BULK, texts) == expected
+
+
+def test_bulk_takes_every_plain_letter_and_starts_anew():
+    letters = [chr(c) for c in range(0x20, 0x250)]
+    texts = ["", *letters, *(f"a {c}b {c}{c} c{c}\n'{c} {c}'s" for c in letters), "x <|endoftext|> <|y|> z", "", "ç ç", "ш ш我"]
+    expected = [e.ids for e in PLAIN[BYTE].encode_batch(texts, add_special_tokens=False)]
+    small = BulkEncoder(BYTE, cache_entries=3)
+    assert _in_bulk(small, texts) == expected and _in_bulk(small, texts[::-1]) == expected[::-1]
+    assert _in_bulk(BULK, []) == []
+    for text, ids in zip(texts, expected):
+        assert _in_bulk(BULK, [text]) == [ids]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(TEXTS, max_size=4).map(" ".join))
 def test_pieces_of_long_texts_add_up(text):
