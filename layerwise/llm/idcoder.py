@@ -129,7 +129,7 @@ class _Model:
         """Predictions and event chances for the next id of the first ``active`` lanes."""
         if self.step < 8 or self.step % 8 == 0:
             self._mix()
-        if self.step in (0, 1, 2, 4, 8) or self.step % 16 == 0:
+        if self.step in (0, 1, 2, 4, 8, 16) or self.step % 32 == 0:
             self._count()
         self.place1 = self.last1[:active]
         self.place2 = (self.place1 * 40503 + self.last2[:active] * 30011 + (self.place1 >> 5)) & (_CONTEXTS - 1)
@@ -146,9 +146,7 @@ class _Model:
         for table, place, entry, hit in ((self.after1, self.place1, self.entry1, self.guess1 == ids),
                                          (self.after2, self.place2, self.entry2, hit2)):
             trust = entry & 7
-            now = entry + np.where(hit, trust < 7, -1)
-            np.copyto(now, doubted, where=now < entry - trust)  # missed without confidence: another id
-            table[place] = now
+            table[place] = np.where(hit, entry + (trust < 7), np.where(trust, entry - 1, doubted))
         active = len(ids)
         self.last2[:active] = self.place1
         self.last1[:active] = ids
