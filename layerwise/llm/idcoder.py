@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .encode import bulk_encoder
+from .encode import bulk_ids
 from .shared import gathered, new_path, whole_text
 
 MAGIC = b"IDCM"
@@ -116,7 +116,7 @@ class _Model:
             self.seen += np.bincount(np.concatenate(self.missed), minlength=len(self.seen))
             self.missed.clear()
         size = _to_total(self.seen, 1 << _ID_BITS)
-        self.id_size, self.id_begin = size.astype(np.uint64), (np.cumsum(size) - size).astype(np.uint64)
+        self.id_size, self.id_begin = size.astype(np.uint32), (np.cumsum(size) - size).astype(np.uint32)
         self._slots = None
 
     def id_at(self, slot: np.ndarray) -> np.ndarray:
@@ -181,14 +181,17 @@ def encode_block(ids: np.ndarray, vocabulary: int, lanes: int = LANES) -> bytes:
         coded = (model.state << 2) | event
         missed = np.flatnonzero(event == 2)
         y = x.take(missed)
-        ranges.append((model.event_begin.take(coded), model.event_size.take(coded),
-                       missed, model.id_begin.take(y), model.id_size.take(y)))
+        # narrow types: the ranges of a whole block, however long its document, wait here
+        ranges.append((model.event_begin, model.event_size, coded.astype(np.uint16),
+                       missed.astype(np.uint16), model.id_begin.take(y), model.id_size.take(y)))
         model.update(x, coded, y, hit2)
 
     states = np.full(lanes, _FIRST_STATE, np.uint64)
     words = []
     while ranges:
-        begin, size, missed, id_begin, id_size = ranges.pop()
+        event_begin, event_size, coded, missed, id_begin, id_size = ranges.pop()
+        coded, missed, id_size = coded.astype(np.int64), missed.astype(np.int64), id_size.astype(np.uint64)
+        size = event_size.take(coded)
         state = states[:len(size)]
         bound = size << (_ID_SHIFT + _WORD)
         bound[missed] = (size.take(missed) * id_size) << _WORD
@@ -201,7 +204,7 @@ def encode_block(ids: np.ndarray, vocabulary: int, lanes: int = LANES) -> bytes:
         state[missed] = (part << _ID_SHIFT) + (rest - part * id_size) + id_begin
         part = state // size
         state -= part * size
-        state += begin
+        state += event_begin.take(coded)
         state += part << _EVENT_SHIFT
     body = _HEAD.pack(MAGIC, VERSION, lanes, vocabulary, n, zlib.crc32(ids.astype("<u4").tobytes())) \
         + states.astype("<u8").tobytes() + b"".join(w.tobytes() for w in reversed(words))
@@ -261,7 +264,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, *, en
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard, number = bulk_encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encode, shard, number = bulk_ids(tokenizer), TaskContext.get().partitionId(), 0
         id_arrow = None
         doc_ids: list = []
         waiting: list[np.ndarray] = []
@@ -281,7 +284,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, *, en
 
         for batch in gathered(batches, "text", TEXT_BYTES):
             id_arrow = batch.schema.field("doc_id").type
-            ids, sizes = encode.ids(batch.column("text").cast(pa.string()))
+            ids, sizes = encode(batch.column("text").cast(pa.string()))
             ends = np.cumsum(sizes)
             for doc_id, begin, end in zip(batch.column("doc_id").to_pylist(), (ends - sizes).tolist(), ends.tolist()):
                 if waiting and total + end - begin + 1 > block_ids:

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from layerwise.llm import idcoder, packing, token_counts
+from layerwise.llm import idcoder, packing, shared, token_counts
 from layerwise.llm.encode import BulkEncoder, ChunkEncoder
 
 from tests.llm.util import documents, empty
@@ -173,3 +173,23 @@ def test_small_blocks_hold_whole_documents(spark, tmp_path):
     idcoder.write_ids(docs, str(tmp_path / "ids"), BYTE, 50_257, block_ids=300)
     blocks = idcoder.open_ids(spark, str(tmp_path / "ids"))
     assert blocks.count() > 50 and idcoder.read_ids(blocks).count() == docs.count()
+
+
+def test_id_files_of_the_lower_case_vocabulary(spark):
+    docs = documents(spark)
+    expected = Counter()
+    for r in docs.collect():
+        ids = np.array(PLAIN[LOWER].encode(r.text or "", add_special_tokens=False).ids + [0], "<u4").tobytes()
+        expected[r.doc_id, len(ids) // 4, zlib.crc32(ids)] += 1
+    got = idcoder.round_trip(docs, LOWER, PLAIN[LOWER].get_vocab_size())
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got.collect()) == expected
+
+
+def test_batches_are_gathered_whole():
+    batches = [pa.RecordBatch.from_pydict({"n": [i], "text": ["x" * i]}) for i in range(40)]
+    for limit in (1, 50, 10_000):
+        got = list(shared.gathered(iter(batches), "text", limit))
+        assert [n for b in got for n in b.column("n").to_pylist()] == list(range(40))
+        assert all(b.num_rows < 3 or sum(map(len, b.column("text").to_pylist())) <= limit for b in got)
+    assert list(shared.gathered(iter([]), "text", 5)) == []
+    assert len(got) == 1
