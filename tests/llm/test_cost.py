@@ -6,7 +6,7 @@ import shutil
 import numpy as np
 import pyarrow as pa
 
-from layerwise.llm import encode, idcoder, minmax, packing, shared, spaced_seed
+from layerwise.llm import encode, idcoder, minmax, mixture, packing, shared, spaced_seed
 
 from tests.llm.test_tokens import BYTE, LOWER, PLAIN
 
@@ -84,6 +84,45 @@ def test_new_words_reach_the_model_many_at_a_time():
     assert bulk.ids(pa.array(texts))[0].tolist() == ids.tolist() and counted.calls == calls
 
 
+def test_new_lower_case_words_reach_the_model_many_at_a_time():
+    bulk = encode.BulkEncoder(LOWER)
+    bulk._model = counted = _Counted(bulk._model)
+    texts = [" ".join(f"{'bcdfghjklm'[i % 10]}{'aeiou'[i % 5]}W{'xyz' * (i % 7)}q{i}." for i in range(n, n + 50))
+             for n in range(0, 2000, 50)]
+    ids, sizes = bulk.ids(pa.array(texts))
+    expected = [e.ids for e in PLAIN[LOWER].encode_batch(texts, add_special_tokens=False)]
+    assert sizes.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+    assert 0 < counted.calls < 100  # 2,000 chunks of several words each
+
+
+def test_mixture_encodes_in_bulk(spark, tmp_path):
+    path = shutil.copy(LOWER, tmp_path)  # other tests' workers know it not
+
+    def ways(batches):
+        from layerwise.llm import encode
+
+        for _ in batches:
+            own = encode._BULK.get(path)
+            bulk = own is not None and isinstance(own.__self__, encode.BulkEncoder)
+            yield pa.RecordBatch.from_arrays([pa.array([bulk]), pa.array([path in encode._ENCODERS])], ["bulk", "single"])
+
+    docs = spark.createDataFrame([(i, f"text number {i}", "a") for i in range(40)], "doc_id long, text string, source string")
+    assert mixture.token_rows(docs, path).count() == 40
+    seen = spark.range(0, 64, 1, 16).mapInArrow(ways, "bulk boolean, single boolean").collect()
+    assert any(r.bulk for r in seen) and not any(r.single for r in seen)
+
+
+def test_places_in_a_source_go_on_from_batch_to_batch(spark):
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "repeat('word ', 4000 * int(id % 2)) as text",
+                                                 "string(id % 3) as source")
+    rows = mixture.token_rows(docs, LOWER).selectExpr("doc_id", "source", "before", "doc_tokens", "length(ids) as n").collect()
+    given = {"0": 0, "1": 0, "2": 0}
+    for r in sorted(rows):  # 30 MB of texts in one task, more than are encoded at once
+        assert (r.before, r.doc_tokens, r.n) == (given[r.source], 4000 * (r.doc_id % 2) + 1, 4 * r.doc_tokens)
+        given[r.source] += r.doc_tokens
+    assert len(rows) == 3000
+
+
 def test_a_block_of_a_million_ids_takes_few_steps(monkeypatch):
     steps = []
     predict = idcoder._Model.predict

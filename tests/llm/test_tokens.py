@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from layerwise.llm import idcoder, packing, shared, token_counts
-from layerwise.llm.encode import BulkEncoder, ChunkEncoder
+from layerwise.llm.encode import BulkEncoder, ChunkEncoder, byte_letters
 
 from tests.llm.util import documents, empty
 
@@ -70,6 +70,38 @@ def test_bulk_takes_every_plain_letter_and_starts_anew():
         assert _in_bulk(BULK, [text]) == [ids]
 
 
+BULK_LOWER = BulkEncoder(LOWER)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(BULK_TEXTS, min_size=1, max_size=5))
+def test_bulk_gives_the_librarys_ids_of_the_lower_case_vocabulary(texts):
+    expected = [e.ids for e in PLAIN[LOWER].encode_batch(texts, add_special_tokens=False)]
+    assert _in_bulk(BULK_LOWER, texts) == expected
+
+
+def test_bulk_lower_case_takes_every_letter_and_starts_anew():
+    letters = [chr(c) for c in [*range(0x250), 0x301, 0x3A3, 0x2028, 0x3000, 0xFF21]]
+    texts = ["", " ", *letters, *(f"a {c}B {c}{c} C{c}\n'{c} {c}'S 1{c}2</w> {c}\n\n {c}</w>" for c in letters),
+             "x <|endoftext|> <|startoftext|>y <|ENDOFTEXT|> z", "", "Ç ç", "ш Ш我", "ΟΔΟΣ ΟΔΟΣ. Σ", "it's ' s 'stop '\ns"]
+    expected = [e.ids for e in PLAIN[LOWER].encode_batch(texts, add_special_tokens=False)]
+    small = BulkEncoder(LOWER, cache_entries=3)
+    assert _in_bulk(small, texts) == expected and _in_bulk(small, texts[::-1]) == expected[::-1]
+    assert _in_bulk(BULK_LOWER, []) == []
+    for text, ids in zip(texts, expected):
+        assert _in_bulk(BULK_LOWER, [text]) == [ids]
+
+
+def test_bulk_gives_every_token_of_the_lower_case_vocabulary():
+    letters = {shown: byte for byte, shown in byte_letters().items()}
+    words = []
+    for token in PLAIN[LOWER].get_vocab():
+        raw = bytes(letters[c] for c in token.removesuffix("</w>") if c in letters)
+        words.append(raw.decode("utf-8", "ignore").replace(" ", ""))
+    texts = [" ".join(["one", *words[i:i + 500]]) for i in range(0, len(words), 500)]
+    assert _in_bulk(BULK_LOWER, texts) == [e.ids for e in PLAIN[LOWER].encode_batch(texts, add_special_tokens=False)]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(TEXTS, max_size=4).map(" ".join))
 def test_pieces_of_long_texts_add_up(text):
@@ -193,3 +225,9 @@ def test_batches_are_gathered_whole():
         assert all(b.num_rows < 3 or sum(map(len, b.column("text").to_pylist())) <= limit for b in got)
     assert list(shared.gathered(iter([]), "text", 5)) == []
     assert len(got) == 1
+
+
+def test_gathered_rows_without_texts_are_bounded():
+    empty_texts = pa.RecordBatch.from_pydict({"n": list(range(1000)), "text": [""] * 1000})
+    got = list(shared.gathered(iter([empty_texts] * 8), "text", 2000 * 64, 64))
+    assert [b.num_rows for b in got] == [2000] * 4
