@@ -3,6 +3,7 @@ cluster is configured for (HDFS, object stores), not only on the driver's local
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -52,6 +53,15 @@ def delete(spark: SparkSession, path: str) -> None:
 def create_exclusively(spark: SparkSession, path: str, content: str = "") -> bool:
     """Create a file that must not exist yet; False if it does."""
     fs, jpath = hadoop_path(spark, path)
+    if fs.getUri().getScheme() == "file":  # where Hadoop looks first and creates then, so that two writers may succeed
+        local = fs.makeQualified(jpath).toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            with open(local, "x", encoding="utf-8") as out:
+                out.write(content)
+        except FileExistsError:
+            return False
+        return True
     if not content:
         return bool(fs.createNewFile(jpath))
     if fs.exists(jpath):

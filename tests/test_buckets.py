@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerwise.operators import buckets, upsert
+from layerwise.sources import fs
 
 
 def _files(root):
@@ -116,6 +117,25 @@ def test_commits_at_the_same_moment(spark, tmp_root):
     assert [upsert.version_path(tmp_root, v) for v in upsert.committed_versions(spark, tmp_root)[1:]] == done
 
 
+def test_one_of_many_creates_a_file(spark, tmp_root):
+    for content in ("", "7"):
+        for i in range(20):
+            made, start = [], threading.Barrier(4)
+
+            def create(path):
+                start.wait()
+                made.append(fs.create_exclusively(spark, path, content))
+
+            path = f"{tmp_root}/new{content}/{i}"
+            threads = [threading.Thread(target=create, args=(path,)) for _ in range(4)]
+            for t in threads:
+                t.start()
+            for t in threads:
+                t.join()
+            assert sorted(made) == [False, False, False, True]
+            assert fs.read_small(spark, path) == content
+
+
 def test_a_version_whose_marker_is_missing_still_counts(spark, tmp_root):
     upsert.upsert_table(spark, tmp_root, spark.createDataFrame([(1, "v")], "k long, v string"), "k")
     os.remove(f"{upsert.version_path(tmp_root, 1)}/_COMMITTED")  # its writer was lost after the commit file
